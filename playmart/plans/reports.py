@@ -61,12 +61,8 @@ def plays_by_hour_from_staging(events: DataFrame, songs: DataFrame) -> DataFrame
     The time dimension holds every second of the fact exactly once, so its join
     only drops plays without a time.
     """
-    timed = (
-        play_events(events)
-        .withColumn("start_time", epoch_to_timestamp("ts"))
-        .filter(F.col("start_time").isNotNull())
-    )
-    return _count_plays(timed, songs, F.hour("start_time"), "hour").orderBy("hour")
+    timed = play_events(events).filter(F.col("ts").isNotNull())
+    return _count_plays(timed, songs, F.hour(epoch_to_timestamp("ts")), "hour").orderBy("hour")
 
 
 def plays_by_level_from_staging(events: DataFrame, songs: DataFrame) -> DataFrame:

@@ -12,6 +12,23 @@ from playmart.schemas import COLUMNS, NOT_NULL, SORT_KEY, STAGING, column_names,
 WRITE_MODES = ("overwrite", "append")
 
 
+def lay_out(table: str, rows: DataFrame) -> DataFrame:
+    """Order rows by the table's sort key, so that min/max statistics prune.
+
+    Staging is always scanned whole and gains nothing from an order. The fact
+    arrives range-partitioned by its numbering and is only sorted in place.
+    Dimensions are range-partitioned on all columns, sort key first, which lets
+    one frequent key span several files.
+    """
+    if table in STAGING:
+        return rows
+    key = SORT_KEY[table]
+    if table == "songplays":
+        return rows.sortWithinPartitions(key)
+    rest = [c for c in rows.columns if c != key]
+    return rows.repartitionByRange(key, *rest).sortWithinPartitions(key)
+
+
 class Warehouse:
     """Parquet tables under ``root``, registered in the catalog as ``database``.
 
@@ -65,26 +82,9 @@ class Warehouse:
         if mode not in WRITE_MODES:
             raise ValueError(f"mode must be one of {WRITE_MODES}, not {mode!r}")
         rows = enforce_not_null(df.select(*column_names(table)), table)
-        self._lay_out(table, rows).write.insertInto(self.name(table), overwrite=mode == "overwrite")
+        lay_out(table, rows).write.insertInto(self.name(table), overwrite=mode == "overwrite")
 
     def next_songplay_id(self) -> int:
         """One past the largest stored key. Numbering assumes a single writer."""
         last = self.table("songplays").agg(F.max("songplay_id")).first()[0]
         return 0 if last is None else last + 1
-
-    @staticmethod
-    def _lay_out(table: str, rows: DataFrame) -> DataFrame:
-        """Order rows by the table's sort key, so that min/max statistics prune.
-
-        Staging is always scanned whole and gains nothing from an order. The fact
-        arrives range-partitioned by its numbering and is only sorted in place.
-        Dimensions are range-partitioned on all columns, sort key first, which
-        lets one frequent key span several files.
-        """
-        if table in STAGING:
-            return rows
-        key = SORT_KEY[table]
-        if table == "songplays":
-            return rows.sortWithinPartitions(key)
-        rest = [c for c in rows.columns if c != key]
-        return rows.repartitionByRange(key, *rest).sortWithinPartitions(key)

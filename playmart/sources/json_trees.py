@@ -115,10 +115,14 @@ def read_json_quarantine(
     """(typed rows, malformed records): broken lines are reported, not fatal."""
     paths = _field_paths(table, paths)
     schema = _raw_schema(paths)
+    # Spark refuses a plan that reads the corrupt-record column alone, so both
+    # parts also read one data field, through a condition that always holds.
+    any_field = F.coalesce(F.length(f"`{schema[0].name}`"), F.lit(0)) >= 0
     raw = (
         _reader(spark.read, schema.add(CORRUPT, T.StringType()), "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
+        .filter(any_field)
         .select("*", F.col("_metadata.file_path").alias("_file"))
     )
     good = _typed(raw.filter(F.col(CORRUPT).isNull()), table, paths, numeric_mode)

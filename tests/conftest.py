@@ -8,7 +8,11 @@ def spark(tmp_path_factory):
     warehouse = tmp_path_factory.mktemp("warehouse")
     session = local_session(
         8,
-        **{"spark.sql.shuffle.partitions": "8", "spark.sql.warehouse.dir": str(warehouse)},
+        **{
+            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.warehouse.dir": str(warehouse),
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

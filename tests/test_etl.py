@@ -1,0 +1,179 @@
+"""Full loads from JSON trees into stored tables."""
+
+import uuid
+from pathlib import Path
+
+import pytest
+from helpers import event, events, multiset, song, songs, write_logs, write_song
+
+from playmart.plans import reports
+from playmart.plans.job import load_targets, run_etl
+from playmart.schemas import COLUMNS, TARGETS, column_names, struct
+from playmart.sinks import Warehouse
+
+DAY = 86_400_000
+
+
+@pytest.fixture
+def trees(tmp_path):
+    write_song(tmp_path / "songs", "TRAABJL12903CDCF1A", song())
+    write_song(tmp_path / "songs", "TRABCEI128F424C983", song(song_id="S2", title="Other", artist_location="Paris"))
+    write_logs(tmp_path / "logs", "2018-11-12", event(), event(page="Home"), event(userId="", song="Unknown"))
+    write_logs(
+        tmp_path / "logs",
+        "2018-11-13",
+        event(ts=1541990258796 + DAY, userId="39", level="free", gender="M"),
+        event(ts=1541990258796 + DAY, song="Other"),
+        event(ts=1541990258796 + 2 * DAY, song="Unknown"),
+    )
+    return str(tmp_path / "logs"), str(tmp_path / "songs")
+
+
+@pytest.fixture
+def place(spark, tmp_path):
+    database = f"mart_{uuid.uuid4().hex[:8]}"
+    yield {"root": str(tmp_path / "mart"), "database": database}
+    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
+def contents(warehouse):
+    return {table: multiset(warehouse.table(table)) for table in COLUMNS}
+
+
+def counts(warehouse):
+    return {table: warehouse.table(table).count() for table in COLUMNS}
+
+
+EXPECTED = {
+    "staging_events": 6,
+    "staging_songs": 2,
+    "songplays": 3,
+    "users": 2,
+    "songs": 2,
+    "artists": 2,
+    "time": 3,
+}
+
+
+def test_full_load(spark, trees, place):
+    warehouse = run_etl(spark, *trees, **place)
+    assert counts(warehouse) == EXPECTED
+    for table in COLUMNS:
+        assert warehouse.table(table).columns == column_names(table)
+        assert [f.dataType for f in warehouse.table(table).schema] == [f.dataType for f in struct(table)]
+    plays = reports.plays_by_hour(warehouse.table("songplays"), warehouse.table("time"))
+    assert multiset(plays) == {(2, 3): 1}
+    assert multiset(reports.plays_by_level(warehouse.table("songplays"))) == {("paid", 2): 1, ("free", 1): 1}
+    assert multiset(reports.users_by_gender(warehouse.table("users"))) == {("F", 1): 1, ("M", 1): 1}
+
+
+def test_reports_as_sql(spark, trees, place):
+    run_etl(spark, *trees, **place)
+    mart = place["database"]
+    rows = spark.sql(
+        f"SELECT t.hour, count(DISTINCT p.songplay_id) AS n FROM {mart}.songplays p "
+        f"JOIN {mart}.time t ON t.start_time = p.start_time GROUP BY t.hour ORDER BY t.hour"
+    ).collect()
+    assert [tuple(r) for r in rows] == [(2, 3)]
+
+
+def test_overwrite_is_repeatable(spark, trees, place):
+    first = contents(run_etl(spark, *trees, **place))
+    assert contents(run_etl(spark, *trees, **place)) == first
+
+
+def test_append_doubles_rows_under_new_keys(spark, trees, place):
+    run_etl(spark, *trees, **place)
+    warehouse = run_etl(spark, *trees, **place, write_mode="append")
+    for table in TARGETS:
+        assert warehouse.table(table).count() == 2 * EXPECTED[table]
+    assert sorted(r.songplay_id for r in warehouse.table("songplays").collect()) == list(range(6))
+    plays = reports.plays_by_hour(warehouse.table("songplays"), warehouse.table("time"))
+    assert multiset(plays) == {(2, 6): 1}
+
+
+def test_appended_staging_is_loaded_again(spark, trees, place):
+    """Both staged twice: every play matches two copies of its song, twice."""
+    run_etl(spark, *trees, **place)
+    warehouse = run_etl(spark, *trees, **place, write_mode="append", staging_mode="append")
+    assert warehouse.table("staging_events").count() == 2 * EXPECTED["staging_events"]
+    assert sorted(r.songplay_id for r in warehouse.table("songplays").collect()) == list(range(3 + 12))
+    assert warehouse.table("users").count() == 2 * EXPECTED["users"]
+
+
+def test_numeric_ddl_mode(spark, trees, place):
+    warehouse = run_etl(spark, *trees, **place, numeric_mode="ddl")
+    assert {r.duration for r in warehouse.table("songs").collect()} == {152}
+
+
+def test_reset_empties_all_tables(spark, trees, place):
+    warehouse = run_etl(spark, *trees, **place)
+    warehouse.reset()
+    assert counts(warehouse) == dict.fromkeys(COLUMNS, 0)
+    assert counts(run_etl(spark, *trees, **place)) == EXPECTED
+
+
+def test_create_leaves_existing_tables_alone(spark, place):
+    warehouse = Warehouse(spark, **place)
+    spark.sql(f"CREATE DATABASE {place['database']}")
+    spark.sql(f"CREATE TABLE {warehouse.name('users')} (other int) USING parquet LOCATION '{warehouse.location('users')}'")
+    warehouse.create()
+    assert warehouse.table("users").columns == ["other"]
+
+
+def test_tables_outlive_the_catalog(spark, trees, place):
+    first = contents(run_etl(spark, *trees, **place))
+    spark.sql(f"DROP DATABASE {place['database']} CASCADE")
+    again = Warehouse(spark, **place)
+    again.create()
+    assert contents(again) == first
+
+
+def test_columns_are_matched_by_name(spark, place):
+    warehouse = Warehouse(spark, **place)
+    warehouse.create()
+    reordered = spark.createDataFrame([("paid", "F", "b", "a", 1)], "level string, gender string, last_name string, first_name string, user_id int")
+    warehouse.load("users", reordered)
+    assert multiset(warehouse.table("users")) == {(1, "a", "b", "F", "paid"): 1}
+
+
+def test_unknown_mode(spark, place):
+    with pytest.raises(ValueError, match="mode must be"):
+        Warehouse(spark, **place).load("users", spark.range(1), "merge")
+
+
+def load(spark, place, event_rows, song_rows=None, tables=TARGETS):
+    warehouse = Warehouse(spark, **place)
+    warehouse.create()
+    load_targets(warehouse, events(spark, *event_rows), songs(spark, *(song_rows or [song()])), tables=tables)
+    return warehouse
+
+
+@pytest.mark.parametrize(
+    ("table", "event_change", "song_change", "column"),
+    [
+        ("songplays", {"userId": None}, {}, "songplays.user_id"),
+        ("songplays", {"sessionId": None}, {}, "songplays.session_id"),
+        ("songplays", {"ts": None}, {}, "songplays.start_time"),
+        ("time", {"ts": None}, {}, "time.start_time"),
+        ("songs", {}, {"artist_id": None}, "songs.artist_id"),
+        ("songs", {}, {"title": None}, "songs.title"),
+        ("artists", {}, {"artist_name": None}, "artists.name"),
+    ],
+)
+def test_not_null_violation_aborts(spark, place, table, event_change, song_change, column):
+    with pytest.raises(Exception, match=f"NOT NULL violated: {column}"):
+        load(spark, place, [event(**event_change)], [song(**song_change)], [table])
+
+
+@pytest.mark.parametrize("change", [{"userId": None}, {"ts": None}])
+def test_unmatched_null_does_not_abort_the_fact(spark, place, change):
+    warehouse = load(spark, place, [event(song="Unknown", **change)], tables=["songplays"])
+    assert warehouse.table("songplays").count() == 0
+
+
+def test_scratch_is_removed(spark, place):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    load(spark, place, [event()])
+    assert set(folder.iterdir()) == before

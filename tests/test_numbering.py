@@ -1,0 +1,109 @@
+"""Surrogate keys: dense, ordered, and spread over tasks under heavy skew."""
+
+from collections import Counter
+
+import pytest
+from helpers import event, events, song, songs
+from pyspark.sql import functions as F
+
+from playmart.operators import Scratch, dense_ids, numbering
+from playmart.operators.numbering import MAX_PARTITIONS, ORDINAL_BITS, SLOT, TARGET_BYTES, range_partitions
+from playmart.operators.scratch import path_exists
+from playmart.plans.star import build_songplays
+
+
+@pytest.fixture
+def many_partitions(monkeypatch):
+    monkeypatch.setattr(numbering, "SMALL_BYTES", 1)
+
+
+@pytest.fixture
+def scratch(spark):
+    scratch = Scratch(spark, "test")
+    yield scratch
+    scratch.clean()
+
+
+def check(df, source, start=0):
+    rows = [tuple(r) for r in df.orderBy("id").collect()]
+    assert [r[0] for r in rows] == list(range(start, start + len(rows)))
+    values = [r[1:] for r in rows]
+    assert values == sorted(values, key=lambda v: [(x is not None, x) for x in v])
+    assert Counter(values) == Counter(tuple(r) for r in source.collect())
+
+
+def test_ids_follow_all_columns(spark, scratch, many_partitions):
+    source = spark.range(1000).select((F.col("id") * 7919 % 101).alias("a"), (F.col("id") % 13).cast("string").alias("b"))
+    check(dense_ids(source, "id", scratch), source)
+
+
+def test_nulls_come_first(spark, scratch, many_partitions):
+    source = spark.createDataFrame([(None, "x"), (1, None), (1, "a"), (None, None)], "a int, b string")
+    check(dense_ids(source, "id", scratch), source)
+
+
+def test_start_and_type(spark, scratch):
+    source = spark.range(5).select(F.col("id").alias("a"))
+    df = dense_ids(source, "id", scratch, start=10, id_type="int")
+    assert df.schema["id"].dataType.typeName() == "integer"
+    check(df, source, start=10)
+
+
+def test_empty(spark, scratch):
+    source = spark.range(0).select(F.col("id").alias("a"))
+    df = dense_ids(source, "id", scratch)
+    assert df.count() == 0 and df.columns == ["id", "a"]
+
+
+@pytest.mark.parametrize("hot", ["value", "copies"])
+def test_hot_group_is_spread(spark, scratch, many_partitions, hot):
+    """A third of all rows share one second, or are copies of one another."""
+    third = F.col("id") % 3 == 0
+    other = F.lit(0) if hot == "copies" else F.col("id")
+    source = spark.range(0, 9000, 1, 8).select(
+        F.when(third, F.lit(500)).otherwise(F.col("id")).alias("a"),
+        F.when(third, other).otherwise(F.col("id")).alias("b"),
+    )
+    df = dense_ids(source, "id", scratch)
+    check(df, source)
+    parts = spark.read.parquet(scratch.path("id-sorted")).groupBy(F.shiftright(SLOT, ORDINAL_BITS).alias("part"))
+    sizes = parts.agg(F.count("*").alias("n"), F.sum((F.col("a") == 500).cast("int")).alias("hot")).collect()
+    assert len(sizes) == 8
+    assert max(r.n for r in sizes) < 2 * 9000 / 8
+    assert sum(r.hot > 1 for r in sizes) >= 2
+
+
+def test_result_is_stable(spark, scratch, many_partitions):
+    source = spark.range(500).select((F.col("id") % 50).alias("a"), F.col("id").alias("b")).repartition(7)
+    df = dense_ids(source, "id", scratch)
+    assert df.collect() == df.collect()
+
+
+def test_first_copy_of_the_rows_is_dropped(spark, scratch):
+    dense_ids(spark.range(10).select(F.col("id").alias("a")), "id", scratch)
+    assert not path_exists(spark, scratch.path("id-raw"))
+
+
+def test_partition_count():
+    assert range_partitions(0, 8) == 1
+    assert range_partitions(10, 8) == 1
+    assert range_partitions(TARGET_BYTES, 8) == 8
+    assert range_partitions(100 * TARGET_BYTES, 8) == 100
+    assert range_partitions(10**15, 8) == MAX_PARTITIONS
+
+
+def test_ids_over_several_days(spark, many_partitions):
+    day = 86_400_000
+    staged = events(spark, *[event(ts=1541990258000 + (i * 7 % 20) * day // 4, userId=i) for i in range(40)])
+    rows = build_songplays(staged, songs(spark, song())).orderBy("songplay_id").collect()
+    assert [r.songplay_id for r in rows] == list(range(40))
+    assert [r.start_time for r in rows] == sorted(r.start_time for r in rows)
+
+
+def test_scratch_uses_the_named_folder(spark):
+    scratch = Scratch(spark, "named")
+    assert scratch.root.startswith(spark.conf.get("spark.checkpoint.dir") + "/")
+    scratch.write("t", spark.range(3))
+    assert path_exists(spark, scratch.path("t"))
+    scratch.clean()
+    assert not path_exists(spark, scratch.root)
