@@ -12,9 +12,7 @@ def epoch_to_timestamp(millis: str) -> Column:
     ``div`` truncates toward zero, so milliseconds are dropped. Adding an
     interval to an NTZ literal keeps the result free of the session time zone.
     """
-    return F.expr(
-        f"timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, `{millis}` div 1000)"
-    )
+    return F.expr(f"timestamp_ntz'1970-01-01 00:00:00' + (`{millis}` div 1000) * interval '1' second")
 
 
 def calendar_parts(start_time: str = "start_time") -> list[Column]:

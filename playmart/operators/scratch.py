@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
 import tempfile
 import uuid
 
@@ -23,7 +21,6 @@ def shared_root(spark: SparkSession) -> str:
     global _local_root
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="playmart-")
-        atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
     return _local_root
 
 
@@ -51,12 +48,16 @@ class Scratch:
     """One run's folder of written intermediate tables.
 
     A written table fixes row order and any generated value, and an executor
-    lost later re-reads it instead of recomputing what led to it.
+    lost later re-reads it instead of recomputing what led to it. The folder is
+    removed by :meth:`clean`, or else when the driver exits.
     """
 
     def __init__(self, spark: SparkSession, label: str = "run"):
         self.spark = spark
         self.root = f"{shared_root(spark)}/playmart-{label}-{uuid.uuid4().hex}"
+        hadoop_path, fs = _hadoop_path(spark, self.root)
+        fs.mkdirs(hadoop_path)
+        fs.deleteOnExit(hadoop_path)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

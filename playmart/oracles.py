@@ -103,4 +103,17 @@ _RESULTS = {
     "users_by_gender": "SELECT gender, count(DISTINCT user_id) AS users FROM users GROUP BY gender",
 }
 
+_RESULTS |= {
+    "appended_songplays": """
+        SELECT * FROM numbered
+        UNION ALL
+        SELECT songplay_id + (SELECT count(*) FROM numbered), * EXCLUDE (songplay_id) FROM numbered""",
+    "arrivals_songplays": _RESULTS["songplays"],
+    "arrivals_users": _RESULTS["users"],
+    "arrivals_time": _RESULTS["time"],
+    "stored_plays_by_hour": _RESULTS["plays_by_hour"],
+    "stored_plays_by_level": _RESULTS["plays_by_level"],
+    "stored_users_by_gender": _RESULTS["users_by_gender"],
+}
+
 ORACLES = {name: f"{STAGED}{result.strip()}" for name, result in _RESULTS.items()}

@@ -41,7 +41,12 @@ def load_staging(
 
 
 def load_targets(
-    warehouse: Warehouse, events: DataFrame, songs: DataFrame, mode: str = "overwrite", tables: list[str] = TARGETS
+    warehouse: Warehouse,
+    events: DataFrame,
+    songs: DataFrame,
+    mode: str = "overwrite",
+    tables: list[str] = TARGETS,
+    ignore_trailing_blanks: bool = False,
 ) -> None:
     """Build the fact and dimensions from staging and store them.
 
@@ -58,7 +63,10 @@ def load_targets(
         if table == "songplays":
             start = warehouse.next_songplay_id() if mode == "append" else 0
             with _scratch(warehouse.spark, "songplays") as scratch:
-                warehouse.load(table, build_songplays(events, songs, scratch, start), mode)
+                plays = build_songplays(
+                    events, songs, scratch, start, ignore_trailing_blanks=ignore_trailing_blanks
+                )
+                warehouse.load(table, plays, mode)
         else:
             warehouse.load(table, builders[table](), mode)
 
@@ -73,6 +81,7 @@ def run_etl(
     numeric_mode: str = "exact",
     write_mode: str = "overwrite",
     staging_mode: str = "overwrite",
+    ignore_trailing_blanks: bool = False,
 ) -> Warehouse:
     """Load staging, then every target table.
 
@@ -84,5 +93,11 @@ def run_etl(
     warehouse = Warehouse(spark, root, database, numeric_mode)
     warehouse.create()
     load_staging(warehouse, log_path, song_path, event_paths, staging_mode)
-    load_targets(warehouse, warehouse.table("staging_events"), warehouse.table("staging_songs"), write_mode)
+    load_targets(
+        warehouse,
+        warehouse.table("staging_events"),
+        warehouse.table("staging_songs"),
+        write_mode,
+        ignore_trailing_blanks=ignore_trailing_blanks,
+    )
     return warehouse

@@ -15,22 +15,26 @@ def play_events(events: DataFrame) -> DataFrame:
     return events.filter(F.col("page") == PLAY_PAGE)
 
 
-def match_songs(events: DataFrame, songs: DataFrame) -> DataFrame:
+def match_songs(events: DataFrame, songs: DataFrame, ignore_trailing_blanks: bool = False) -> DataFrame:
     """Inner join of events to staged songs on artist name and title.
 
     A NULL or unknown artist or title drops the event; several staged songs
-    under one artist and title each give a row.
+    under one artist and title each give a row. The match is exact, or blind to
+    trailing blanks on request.
+
+    The join is not hinted. Catalyst broadcasts the songs when their size allows
+    it; otherwise adaptive execution splits the partition of a hot song.
     """
     keys = songs.select("artist_name", "title", "song_id", "artist_id")
-    return events.join(
-        keys,
-        (events["artist"] == keys["artist_name"]) & (events["song"] == keys["title"]),
-    )
+    left, right = [events["artist"], events["song"]], [keys["artist_name"], keys["title"]]
+    if ignore_trailing_blanks:
+        left, right = [F.rtrim(c) for c in left], [F.rtrim(c) for c in right]
+    return events.join(keys, (left[0] == right[0]) & (left[1] == right[1]))
 
 
-def songplay_rows(events: DataFrame, songs: DataFrame) -> DataFrame:
+def songplay_rows(events: DataFrame, songs: DataFrame, ignore_trailing_blanks: bool = False) -> DataFrame:
     """The fact without its surrogate key: one row per play and matching song."""
-    return match_songs(play_events(events), songs).select(
+    return match_songs(play_events(events), songs, ignore_trailing_blanks).select(
         epoch_to_timestamp("ts").alias("start_time"),
         F.col("userId").alias("user_id"),
         "level",
@@ -43,14 +47,19 @@ def songplay_rows(events: DataFrame, songs: DataFrame) -> DataFrame:
 
 
 def build_songplays(
-    events: DataFrame, songs: DataFrame, scratch: Scratch | None = None, start: int = 0, id_type: str = "bigint"
+    events: DataFrame,
+    songs: DataFrame,
+    scratch: Scratch | None = None,
+    start: int = 0,
+    id_type: str = "bigint",
+    ignore_trailing_blanks: bool = False,
 ) -> DataFrame:
     """The fact, numbered from ``start`` in the order of all its columns.
 
     The key is a bigint: a fact of the intended size outgrows 31 bits. Pass
     ``id_type="int"`` for the narrower type, which fails on overflow.
     """
-    rows = songplay_rows(events, songs)
+    rows = songplay_rows(events, songs, ignore_trailing_blanks)
     scratch = scratch or Scratch(rows.sparkSession, "songplays")
     return dense_ids(rows, "songplay_id", scratch, start, id_type)
 

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from playmart.functions import calendar_parts, epoch_to_timestamp
 from playmart.operators import Scratch, duplicate_keys
 from playmart.plans import reports, star
+from playmart.plans.job import load_targets
+from playmart.schemas import struct
+from playmart.sinks import Warehouse
 from playmart.sources import json_trees
 from playmart.sources.tables import staging_events, staging_songs
+from playmart.streaming.arrivals import ArrivalStore, load_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +68,51 @@ def _json_round_trip(spark: SparkSession, df: DataFrame, table: str, folders: di
     return json_trees.read_json_table(spark, path, table)
 
 
+def _stored(spark: SparkSession, sf_dir: str, tables: list[str], loads: int = 1) -> dict[str, DataFrame]:
+    """The given target tables, written ``loads`` times and read back."""
+    scratch = Scratch(spark, "stored")
+    warehouse = Warehouse(spark, scratch.root, scratch.root.rsplit("/", 1)[-1].replace("-", "_"))
+    warehouse.create()
+    try:
+        for n in range(loads):
+            mode = "append" if n else "overwrite"
+            load_targets(warehouse, _plays(spark, sf_dir), staging_songs(spark, sf_dir), mode, tables)
+    finally:
+        spark.sql(f"DROP DATABASE `{warehouse.database}` CASCADE")  # the files stay
+    return {t: spark.read.schema(struct(t)).parquet(warehouse.location(t)) for t in tables}
+
+
+def stored_plays_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.plays_by_hour(**_stored(spark, sf_dir, ["songplays", "time"]))
+
+
+def stored_plays_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.plays_by_level(**_stored(spark, sf_dir, ["songplays"]))
+
+
+def stored_users_by_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.users_by_gender(**_stored(spark, sf_dir, ["users"]))
+
+
+def appended_songplays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, ["songplays"], loads=2)["songplays"]
+
+
+def _arrivals(spark: SparkSession, sf_dir: str) -> ArrivalStore:
+    """Logs arriving in two halves of the covered time, each loaded on arrival."""
+    scratch = Scratch(spark, "arrivals")
+    logs, songs, root = (scratch.path(name) for name in ("logs", "songs", "mart"))
+    staging_songs(spark, sf_dir).write.json(f"{songs}/all")
+    events = staging_events(spark, sf_dir)
+    second = F.expr("ts div 1000")
+    bounds = events.agg(F.min(second).alias("first"), F.max(second).alias("last")).first()
+    middle = (bounds["first"] + bounds["last"]) // 2
+    for half, arrived in [("early", second < middle), ("late", second >= middle)]:
+        events.filter(arrived).write.json(f"{logs}/{half}")
+        store = load_arrivals(spark, logs, songs, root)
+    return store
+
+
 def ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = epoch_to_timestamp("ts")
     folders = {"log_year": F.year(start), "log_month": F.month(start)}
@@ -91,7 +140,14 @@ QUERIES: dict[str, Query] = {
     "artists": lambda spark, sf_dir: star.build_artists(staging_songs(spark, sf_dir)),
     "time": lambda spark, sf_dir: star.build_time(_plays(spark, sf_dir)),
     "duplicate_keys": user_duplicates,
+    "appended_songplays": appended_songplays,
+    "arrivals_songplays": lambda spark, sf_dir: _arrivals(spark, sf_dir).read("songplays"),
+    "arrivals_users": lambda spark, sf_dir: _arrivals(spark, sf_dir).read("users"),
+    "arrivals_time": lambda spark, sf_dir: _arrivals(spark, sf_dir).read("time"),
     "plays_by_hour": plays_by_hour,
     "plays_by_level": plays_by_level,
     "users_by_gender": lambda spark, sf_dir: reports.users_by_gender_from_staging(_plays(spark, sf_dir)),
+    "stored_plays_by_hour": stored_plays_by_hour,
+    "stored_plays_by_level": stored_plays_by_level,
+    "stored_users_by_gender": stored_users_by_gender,
 }

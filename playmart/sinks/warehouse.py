@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playmart.functions.guards import enforce_not_null
+from playmart.operators import duplicate_keys
 from playmart.operators.scratch import delete_path
-from playmart.schemas import COLUMNS, NOT_NULL, SORT_KEY, STAGING, column_names, column_types, numeric_type
+from playmart.schemas import COLUMNS, NOT_NULL, PRIMARY_KEY, SORT_KEY, STAGING, column_names, column_types, numeric_type
 
 WRITE_MODES = ("overwrite", "append")
 
@@ -84,6 +85,10 @@ class Warehouse:
         rows = enforce_not_null(df.select(*column_names(table)), table)
         lay_out(table, rows).write.insertInto(self.name(table), overwrite=mode == "overwrite")
 
+    def duplicate_keys(self, table: str) -> DataFrame:
+        """Primary-key values stored more than once; they are legal, not removed."""
+        return duplicate_keys(self.table(table), PRIMARY_KEY[table])
+
     def next_songplay_id(self) -> int:
         """One past the largest stored key. Numbering assumes a single writer."""
         last = self.table("songplays").agg(F.max("songplay_id")).first()[0]

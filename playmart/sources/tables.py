@@ -15,11 +15,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _epoch_millis(ts: str) -> Column:
-    """Floored epoch milliseconds of a TIMESTAMP_NTZ, whatever the session zone."""
-    return F.expr(
-        f"cast(floor(cast(cast({ts} - timestamp_ntz'1970-01-01 00:00:00' as interval second)"
-        " as decimal(18,6)) * 1000) as bigint)"
-    )
+    """Floored epoch milliseconds of a TIMESTAMP_NTZ, whatever the session zone.
+
+    ``div`` truncates toward zero, so it counts from year 1, where every time is
+    positive, and then shifts to 1970.
+    """
+    return F.expr(f"({ts} - timestamp_ntz'0001-01-01 00:00:00') div interval '0.001' second - 62135596800000")
+
+
+def _part_key(props: str) -> Column:
+    """The number under ``k``. A pattern is several times faster than parsing."""
+    return F.nullif(F.regexp_extract(props, r'"k"\s*:\s*(\d+)', 1), F.lit("")).cast("bigint")
 
 
 def _empty(column: Column, kind: str) -> Column:
@@ -40,7 +46,7 @@ def staging_events(spark: SparkSession, sf_dir: str, plays_only: bool = False) -
     events = _table(spark, sf_dir, "events")
     if plays_only:
         events = events.filter(F.col("event_type").isin(PLAY_EVENT, PLAY_PAGE))
-    events = events.withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    events = events.withColumn("k", _part_key("props"))
     customer = _table(spark, sf_dir, "customer")
     nation = _table(spark, sf_dir, "nation")
     part = _table(spark, sf_dir, "part")

@@ -92,6 +92,14 @@ def test_append_doubles_rows_under_new_keys(spark, trees, place):
     assert multiset(plays) == {(2, 6): 1}
 
 
+def test_duplicate_key_report(spark, trees, place):
+    warehouse = run_etl(spark, *trees, **place)
+    assert [warehouse.duplicate_keys(t).count() for t in ("songplays", "users", "songs", "time")] == [0, 0, 0, 0]
+    warehouse = run_etl(spark, *trees, **place, write_mode="append")
+    assert multiset(warehouse.duplicate_keys("users")) == {(15, 2): 1, (39, 2): 1}
+    assert warehouse.duplicate_keys("songplays").count() == 0
+
+
 def test_appended_staging_is_loaded_again(spark, trees, place):
     """Both staged twice: every play matches two copies of its song, twice."""
     run_etl(spark, *trees, **place)

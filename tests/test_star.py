@@ -57,6 +57,12 @@ def test_unmatched_play_is_only_in_dimensions(spark, change):
     assert build_time(staged).count() == 1
 
 
+def test_trailing_blanks_can_be_ignored(spark):
+    staged, catalog = events(spark, event(song="Der Kleine Dompfaff  ")), songs(spark, song(artist_name="Line Renaud "))
+    assert songplay_rows(staged, catalog).count() == 0
+    assert songplay_rows(staged, catalog, ignore_trailing_blanks=True).count() == 1
+
+
 def test_null_keys_do_not_match_each_other(spark):
     df = match_songs(events(spark, event(artist=None, song=None)), songs(spark, song(artist_name=None, title=None)))
     assert df.count() == 0
