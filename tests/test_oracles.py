@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__ as contract
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+TYPES = {"VARCHAR": "string", "INTEGER": "int", "BIGINT": "bigint", "TIMESTAMP": "timestamp_ntz", "DECIMAL(23,5)": "decimal(23,5)"}
 TABLES = ["events", "customer", "nation", "part"]
 
 
@@ -31,6 +32,8 @@ def test_query_matches_oracle(spark, oracle, name):
     expected = Counter(result.fetchall())
     df = contract.queries()[name](spark, SF_DIR)
     assert sorted(df.columns) == sorted(expected_columns)
+    expected_types = {d[0]: TYPES[str(d[1])] for d in result.description}
+    assert {f.name: f.dataType.simpleString() for f in df.schema} == expected_types
     rows = [tuple(r) for r in df.select(*expected_columns).collect()]
     assert Counter(rows) == expected
     assert rows
