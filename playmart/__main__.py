@@ -11,7 +11,7 @@ from playmart.plans.job import run_etl
 from playmart.session import SETTINGS
 from playmart.sinks import Warehouse
 from playmart.sources.json_trees import read_path_list
-from playmart.streaming.arrivals import load_arrivals
+from playmart.streaming.arrivals import ArrivalStore, load_arrivals
 
 
 def _arguments() -> argparse.Namespace:
@@ -34,9 +34,20 @@ def _arguments() -> argparse.Namespace:
         if name == "load":
             command.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
             command.add_argument("--staging-mode", choices=["overwrite", "append"], default="overwrite")
+            command.add_argument("--ignore-trailing-blanks", action="store_true", help="in artist names and titles")
+            command.add_argument("--quarantine", help="folder for malformed records; without it they abort the load")
+        if name == "report":
+            command.add_argument("--incremental", action="store_true", help="report on tables loaded by arrivals")
     return parser.parse_args()
 
 
+def _report(tables: Warehouse | ArrivalStore) -> None:
+    plays = tables.table("songplays")
+    reports.plays_by_hour(plays, tables.table("time")).show(24)
+    reports.plays_by_level(plays).show()
+    reports.users_by_gender(tables.table("users")).show()
+
+
 def main() -> None:
     args = _arguments()
     builder = SparkSession.builder.appName("playmart")
@@ -47,10 +58,11 @@ def main() -> None:
     if args.command == "reset":
         warehouse.reset()
     elif args.command == "report":
-        warehouse.create()
-        reports.plays_by_hour(warehouse.table("songplays"), warehouse.table("time")).show(24)
-        reports.plays_by_level(warehouse.table("songplays")).show()
-        reports.users_by_gender(warehouse.table("users")).show()
+        if args.incremental:
+            _report(ArrivalStore(spark, args.root, args.numeric_mode))
+        else:
+            warehouse.create()
+            _report(warehouse)
     else:
         paths = read_path_list(spark, args.event_paths) if args.event_paths else None
         if args.command == "load":
@@ -64,6 +76,8 @@ def main() -> None:
                 args.numeric_mode,
                 args.mode,
                 args.staging_mode,
+                args.ignore_trailing_blanks,
+                args.quarantine,
             )
         else:
             load_arrivals(spark, args.logs, args.songs, args.root, paths, args.numeric_mode)

@@ -11,7 +11,7 @@ from playmart.operators import Scratch
 from playmart.plans.star import build_artists, build_songplays, build_songs, build_time, build_users
 from playmart.schemas import TARGETS
 from playmart.sinks import Warehouse
-from playmart.sources.json_trees import read_events, read_songs
+from playmart.sources.json_trees import read_json_quarantine, read_json_table
 
 
 @contextmanager
@@ -29,15 +29,22 @@ def load_staging(
     song_path: str,
     event_paths: list[str] | None = None,
     mode: str = "overwrite",
+    quarantine: str | None = None,
 ) -> None:
-    """Read both raw trees once and store them as the staging tables.
+    """Read both raw trees and store them as the staging tables.
 
-    The stored parquet also replaces the many tiny song files for the three
-    reads that follow.
+    A malformed record aborts the load, unless ``quarantine`` names a folder to
+    write such records to. The stored parquet also replaces the many tiny song
+    files for the reads that follow.
     """
-    spark, numeric_mode = warehouse.spark, warehouse.numeric_mode
-    warehouse.load("staging_events", read_events(spark, log_path, event_paths, numeric_mode), mode)
-    warehouse.load("staging_songs", read_songs(spark, song_path, numeric_mode), mode)
+    for table, path, paths in [("staging_events", log_path, event_paths), ("staging_songs", song_path, None)]:
+        source = (warehouse.spark, path, table, paths, warehouse.numeric_mode)
+        if quarantine is None:
+            rows = read_json_table(*source)
+        else:
+            rows, malformed = read_json_quarantine(*source)
+            malformed.write.mode(mode).json(f"{quarantine}/{table}")
+        warehouse.load(table, rows, mode)
 
 
 def load_targets(
@@ -82,6 +89,7 @@ def run_etl(
     write_mode: str = "overwrite",
     staging_mode: str = "overwrite",
     ignore_trailing_blanks: bool = False,
+    quarantine: str | None = None,
 ) -> Warehouse:
     """Load staging, then every target table.
 
@@ -92,7 +100,7 @@ def run_etl(
     """
     warehouse = Warehouse(spark, root, database, numeric_mode)
     warehouse.create()
-    load_staging(warehouse, log_path, song_path, event_paths, staging_mode)
+    load_staging(warehouse, log_path, song_path, event_paths, staging_mode, quarantine)
     load_targets(
         warehouse,
         warehouse.table("staging_events"),

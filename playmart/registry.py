@@ -141,9 +141,9 @@ QUERIES: dict[str, Query] = {
     "time": lambda spark, sf_dir: star.build_time(_plays(spark, sf_dir)),
     "duplicate_keys": user_duplicates,
     "appended_songplays": appended_songplays,
-    "arrivals_songplays": lambda spark, sf_dir: _arrivals(spark, sf_dir).read("songplays"),
-    "arrivals_users": lambda spark, sf_dir: _arrivals(spark, sf_dir).read("users"),
-    "arrivals_time": lambda spark, sf_dir: _arrivals(spark, sf_dir).read("time"),
+    "arrivals_songplays": lambda spark, sf_dir: _arrivals(spark, sf_dir).table("songplays"),
+    "arrivals_users": lambda spark, sf_dir: _arrivals(spark, sf_dir).table("users"),
+    "arrivals_time": lambda spark, sf_dir: _arrivals(spark, sf_dir).table("time"),
     "plays_by_hour": plays_by_hour,
     "plays_by_level": plays_by_level,
     "users_by_gender": lambda spark, sf_dir: reports.users_by_gender_from_staging(_plays(spark, sf_dir)),

@@ -9,9 +9,18 @@ from playmart.schemas import PLAY_PAGE, column_types, numeric_type
 
 PLAY_EVENT = "view"
 
+# Columns used of each test table. A given schema saves the footer-reading job
+# that inference runs per table and query.
+SCHEMAS = {
+    "events": "ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _epoch_millis(ts: str) -> Column:

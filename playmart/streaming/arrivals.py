@@ -51,7 +51,7 @@ class ArrivalStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.location(table))
 
-    def read(self, table: str) -> DataFrame:
+    def table(self, table: str) -> DataFrame:
         return self._batches(table).drop(BATCH)
 
     def read_before(self, table: str, batch_id: int) -> DataFrame:
@@ -81,7 +81,7 @@ def _load_events(store: ArrivalStore, batch: DataFrame, batch_id: int) -> None:
     scratch = Scratch(store.spark, "arrivals")
     try:
         start = 0 if last is None else last + 1
-        store.write("songplays", build_songplays(events, store.read("staging_songs"), scratch, start), batch_id)
+        store.write("songplays", build_songplays(events, store.table("staging_songs"), scratch, start), batch_id)
     finally:
         scratch.clean()
 

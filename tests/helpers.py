@@ -6,20 +6,20 @@ from pathlib import Path
 from playmart.schemas import struct
 
 EVENT = {
-    "artist": "Line Renaud",
+    "artist": "Ada Brook",
     "auth": "Logged In",
-    "firstName": "Lily",
+    "firstName": "Vera",
     "gender": "F",
     "iteminSession": 0,
-    "lastName": "Koch",
+    "lastName": "Moss",
     "length": 152.92036,
     "level": "paid",
     "location": "Chicago",
     "method": "PUT",
     "page": "NextSong",
     "registration": 1541033612796.0,
-    "sessionId": 818,
-    "song": "Der Kleine Dompfaff",
+    "sessionId": 41,
+    "song": "Quiet Harbour",
     "status": 200,
     "ts": 1541990258796,
     "userAgent": "Mozilla",
@@ -27,13 +27,13 @@ EVENT = {
 }
 SONG = {
     "num_songs": 1,
-    "artist_id": "ARJIE2Y1187B994AB7",
+    "artist_id": "R1",
     "artist_latitude": None,
     "artist_longitude": None,
     "artist_location": "",
-    "artist_name": "Line Renaud",
-    "song_id": "SOUPIRU12A6D4FA1E1",
-    "title": "Der Kleine Dompfaff",
+    "artist_name": "Ada Brook",
+    "song_id": "S1",
+    "title": "Quiet Harbour",
     "duration": 152.92036,
     "year": 0,
 }

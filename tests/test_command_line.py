@@ -12,7 +12,8 @@ REPO = Path(__file__).resolve().parent.parent
 
 
 def run(*args, cwd):
-    env = {**os.environ, "PYTHONPATH": str(REPO)}
+    settings = "--conf spark.sql.shuffle.partitions=4 pyspark-shell"
+    env = {**os.environ, "PYTHONPATH": str(REPO), "PYSPARK_SUBMIT_ARGS": settings}
     done = subprocess.run(
         [sys.executable, "-m", "playmart", *args], cwd=cwd, env=env, capture_output=True, text=True, timeout=300
     )
@@ -20,9 +21,13 @@ def run(*args, cwd):
     return done.stdout
 
 
-def test_load_then_report(tmp_path):
+def write_inputs(tmp_path):
     write_song(tmp_path / "songs", "TRAAAAA", song())
     write_logs(tmp_path / "logs", "2018-11-12", event(), event(userId=9, gender="M", level="free"))
+
+
+def test_load_then_report(tmp_path):
+    write_inputs(tmp_path)
     write_lines(tmp_path / "paths.json", [json.dumps({"jsonpaths": [f"$['{c}']" for c in column_names("staging_events")]})])
     root = str(tmp_path / "mart")
     run("reset", "--root", root, cwd=tmp_path)
@@ -38,7 +43,17 @@ def test_load_then_report(tmp_path):
         str(tmp_path / "paths.json"),
         cwd=tmp_path,
     )
-    shown = run("report", "--root", root, cwd=tmp_path)
+    check(run("report", "--root", root, cwd=tmp_path))
+
+
+def test_arrivals_then_report(tmp_path):
+    write_inputs(tmp_path)
+    root = str(tmp_path / "mart")
+    run("arrivals", "--root", root, "--logs", str(tmp_path / "logs"), "--songs", str(tmp_path / "songs"), cwd=tmp_path)
+    check(run("report", "--root", root, "--incremental", cwd=tmp_path))
+
+
+def check(shown):
     cells = [[c.strip() for c in line.strip("|").split("|")] for line in shown.splitlines() if line.startswith("|")]
     assert ["2", "2"] in cells
     assert ["paid", "1"] in cells and ["free", "1"] in cells

@@ -4,7 +4,7 @@ import uuid
 from pathlib import Path
 
 import pytest
-from helpers import event, events, multiset, song, songs, write_logs, write_song
+from helpers import event, events, multiset, song, songs, write_lines, write_logs, write_song
 
 from playmart.plans import reports
 from playmart.plans.job import load_targets, run_etl
@@ -16,8 +16,8 @@ DAY = 86_400_000
 
 @pytest.fixture
 def trees(tmp_path):
-    write_song(tmp_path / "songs", "TRAABJL12903CDCF1A", song())
-    write_song(tmp_path / "songs", "TRABCEI128F424C983", song(song_id="S2", title="Other", artist_location="Paris"))
+    write_song(tmp_path / "songs", "TRAAB01", song())
+    write_song(tmp_path / "songs", "TRABC02", song(song_id="S2", title="Other", artist_location="Paris"))
     write_logs(tmp_path / "logs", "2018-11-12", event(), event(page="Home"), event(userId="", song="Unknown"))
     write_logs(
         tmp_path / "logs",
@@ -109,6 +109,17 @@ def test_appended_staging_is_loaded_again(spark, trees, place):
     assert warehouse.table("users").count() == 2 * EXPECTED["users"]
 
 
+def test_malformed_records(spark, trees, place, tmp_path):
+    logs, catalog = trees
+    write_lines(tmp_path / "logs" / "2018" / "11" / "broken.json", ["{bad"])
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|FAILED_READ_FILE"):
+        run_etl(spark, logs, catalog, **place)
+    aside = str(tmp_path / "aside")
+    warehouse = run_etl(spark, logs, catalog, **place, quarantine=aside)
+    assert counts(warehouse) == EXPECTED
+    assert [r.record for r in spark.read.json(f"{aside}/staging_events").collect()] == ["{bad"]
+
+
 def test_numeric_ddl_mode(spark, trees, place):
     warehouse = run_etl(spark, *trees, **place, numeric_mode="ddl")
     assert {r.duration for r in warehouse.table("songs").collect()} == {152}

@@ -11,7 +11,7 @@ DAY = 86_400_000
 
 
 def ids(store):
-    return sorted(r.songplay_id for r in store.read("songplays").collect())
+    return sorted(r.songplay_id for r in store.table("songplays").collect())
 
 
 def test_arrivals(spark, tmp_path):
@@ -20,22 +20,22 @@ def test_arrivals(spark, tmp_path):
     write_logs(logs, "2018-11-12", event(), event(), event(userId=9, location=None))
     store = load_arrivals(spark, logs, catalog, root)
     assert ids(store) == [0, 1, 2]
-    assert store.read("users").count() == 2
+    assert store.table("users").count() == 2
 
     write_song(catalog, "TRAAAAB", song(song_id="S2", title="Other"))
     write_song(catalog, "TRAAAAC", song(song_id="S3", title="Third"))
     write_logs(logs, "2018-11-13", event(), event(ts=1541990258796 + DAY, song="Other", level="free"))
     store = load_arrivals(spark, logs, catalog, root)
     assert ids(store) == [0, 1, 2, 3, 4]
-    assert {(r.user_id, r.level) for r in store.read("users").collect()} == {(15, "paid"), (9, "paid"), (15, "free")}
-    assert store.read("time").count() == 2
-    assert store.read("songs").count() == 3
-    assert store.read("artists").count() == 1
-    assert store.read("staging_events").count() == 5
+    assert {(r.user_id, r.level) for r in store.table("users").collect()} == {(15, "paid"), (9, "paid"), (15, "free")}
+    assert store.table("time").count() == 2
+    assert store.table("songs").count() == 3
+    assert store.table("artists").count() == 1
+    assert store.table("staging_events").count() == 5
 
-    before = {t: multiset(store.read(t)) for t in TARGETS}
+    before = {t: multiset(store.table(t)) for t in TARGETS}
     store = load_arrivals(spark, logs, catalog, root)
-    assert {t: multiset(store.read(t)) for t in TARGETS} == before
+    assert {t: multiset(store.table(t)) for t in TARGETS} == before
 
 
 def test_one_file_per_batch_equals_one_batch(spark, tmp_path):
@@ -49,11 +49,11 @@ def test_one_file_per_batch_equals_one_batch(spark, tmp_path):
     many = load_arrivals(spark, logs, catalog, str(tmp_path / "many"), max_files=1)
     assert ids(one) == ids(many) == list(range(9))
     for table in ("users", "time", "songs", "artists"):
-        assert multiset(one.read(table)) == multiset(many.read(table))
-    assert multiset(one.read("songplays").drop("songplay_id")) == multiset(many.read("songplays").drop("songplay_id"))
-    staged = many.read("staging_events")
-    assert multiset(build_users(staged)) == multiset(many.read("users"))
-    assert multiset(build_time(staged)) == multiset(many.read("time"))
+        assert multiset(one.table(table)) == multiset(many.table(table))
+    assert multiset(one.table("songplays").drop("songplay_id")) == multiset(many.table("songplays").drop("songplay_id"))
+    staged = many.table("staging_events")
+    assert multiset(build_users(staged)) == multiset(many.table("users"))
+    assert multiset(build_time(staged)) == multiset(many.table("time"))
 
 
 def test_repeated_batch_replaces_its_rows(spark, tmp_path, monkeypatch):
@@ -75,12 +75,12 @@ def test_repeated_batch_replaces_its_rows(spark, tmp_path, monkeypatch):
             raise AssertionError("the batch must fail")
     store = load_arrivals(spark, logs, catalog, root)
     assert ids(store) == [0, 1]
-    assert store.read("users").count() == 2
-    assert store.read("staging_events").count() == 2
+    assert store.table("users").count() == 2
+    assert store.table("staging_events").count() == 2
 
 
 def test_no_files_yet(spark, tmp_path):
     (tmp_path / "logs").mkdir()
     (tmp_path / "songs").mkdir()
     store = load_arrivals(spark, str(tmp_path / "logs"), str(tmp_path / "songs"), str(tmp_path / "mart"))
-    assert store.read("songplays").count() == 0
+    assert store.table("songplays").count() == 0
