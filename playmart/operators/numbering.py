@@ -16,7 +16,7 @@ OFFSET = "__offset"
 ORDINAL_BITS = 33  # layout of monotonically_increasing_id: partition, then row
 
 TARGET_BYTES = 128 * 1024 * 1024
-SMALL_BYTES = 4 * 1024 * 1024
+SMALL_BYTES = 1024 * 1024
 MAX_PARTITIONS = 20_000
 
 

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from playmart import files
+
 SETTING = "spark.checkpoint.dir"
 _local_root: str | None = None
 
@@ -24,26 +26,6 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path, fs = _hadoop_path(spark, path)
-    return fs.exists(hadoop_path)
-
-
-def path_bytes(spark: SparkSession, path: str) -> int:
-    hadoop_path, fs = _hadoop_path(spark, path)
-    return fs.getContentSummary(hadoop_path).getLength()
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    hadoop_path, fs = _hadoop_path(spark, path)
-    fs.delete(hadoop_path, True)
-
-
 class Scratch:
     """One run's folder of written intermediate tables.
 
@@ -55,9 +37,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str = "run"):
         self.spark = spark
         self.root = f"{shared_root(spark)}/playmart-{label}-{uuid.uuid4().hex}"
-        hadoop_path, fs = _hadoop_path(spark, self.root)
-        fs.mkdirs(hadoop_path)
-        fs.deleteOnExit(hadoop_path)
+        files.make_temporary(spark, self.root)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -67,10 +47,10 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def bytes(self, name: str) -> int:
-        return path_bytes(self.spark, self.path(name))
+        return files.total_bytes(self.spark, self.path(name))
 
     def drop(self, name: str) -> None:
-        delete_path(self.spark, self.path(name))
+        files.delete(self.spark, self.path(name))
 
     def clean(self) -> None:
-        delete_path(self.spark, self.root)
+        files.delete(self.spark, self.root)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playmart import files
 from playmart.functions.guards import enforce_not_null
 from playmart.operators import duplicate_keys
-from playmart.operators.scratch import delete_path
 from playmart.schemas import COLUMNS, NOT_NULL, PRIMARY_KEY, SORT_KEY, STAGING, column_names, column_types, numeric_type
 
 WRITE_MODES = ("overwrite", "append")
@@ -40,7 +40,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str, database: str = "playmart", numeric_mode: str = "exact"):
         numeric_type(numeric_mode)
         self.spark = spark
-        self.root = root.rstrip("/")
+        self.root = files.qualified(spark, root)
         self.database = database
         self.numeric_mode = numeric_mode
 
@@ -69,7 +69,7 @@ class Warehouse:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
         for table in COLUMNS:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
-            delete_path(self.spark, self.location(table))
+            files.delete(self.spark, self.location(table))
 
     def reset(self) -> None:
         self.drop()

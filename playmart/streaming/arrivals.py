@@ -13,9 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playmart import files
 from playmart.functions.guards import enforce_not_null
 from playmart.operators import Scratch
-from playmart.operators.scratch import path_exists
 from playmart.plans.star import build_artists, build_songplays, build_songs, build_time, build_users
 from playmart.schemas import column_names, struct
 from playmart.sinks.warehouse import lay_out
@@ -35,7 +35,7 @@ class ArrivalStore:
 
     def __init__(self, spark: SparkSession, root: str, numeric_mode: str = "exact"):
         self.spark = spark
-        self.root = root.rstrip("/")
+        self.root = files.qualified(spark, root)
         self.numeric_mode = numeric_mode
 
     def location(self, table: str) -> str:
@@ -47,7 +47,7 @@ class ArrivalStore:
 
     def _batches(self, table: str) -> DataFrame:
         schema = struct(table, self.numeric_mode).add(BATCH, "long")
-        if not path_exists(self.spark, self.location(table)):
+        if not files.exists(self.spark, self.location(table)):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.location(table))
 

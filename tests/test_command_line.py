@@ -29,7 +29,7 @@ def write_inputs(tmp_path):
 def test_load_then_report(tmp_path):
     write_inputs(tmp_path)
     write_lines(tmp_path / "paths.json", [json.dumps({"jsonpaths": [f"$['{c}']" for c in column_names("staging_events")]})])
-    root = str(tmp_path / "mart")
+    root = "mart"  # relative to the working directory
     run("reset", "--root", root, cwd=tmp_path)
     run(
         "load",
@@ -43,6 +43,7 @@ def test_load_then_report(tmp_path):
         str(tmp_path / "paths.json"),
         cwd=tmp_path,
     )
+    assert (tmp_path / "mart" / "songplays").is_dir()
     check(run("report", "--root", root, cwd=tmp_path))
 
 

@@ -6,9 +6,9 @@ import pytest
 from helpers import event, events, song, songs
 from pyspark.sql import functions as F
 
+from playmart.files import exists
 from playmart.operators import Scratch, dense_ids, numbering
 from playmart.operators.numbering import MAX_PARTITIONS, ORDINAL_BITS, SLOT, TARGET_BYTES, range_partitions
-from playmart.operators.scratch import path_exists
 from playmart.plans.star import build_songplays
 
 
@@ -81,7 +81,7 @@ def test_result_is_stable(spark, scratch, many_partitions):
 
 def test_first_copy_of_the_rows_is_dropped(spark, scratch):
     dense_ids(spark.range(10).select(F.col("id").alias("a")), "id", scratch)
-    assert not path_exists(spark, scratch.path("id-raw"))
+    assert not exists(spark, scratch.path("id-raw"))
 
 
 def test_partition_count():
@@ -104,6 +104,6 @@ def test_scratch_uses_the_named_folder(spark):
     scratch = Scratch(spark, "named")
     assert scratch.root.startswith(spark.conf.get("spark.checkpoint.dir") + "/")
     scratch.write("t", spark.range(3))
-    assert path_exists(spark, scratch.path("t"))
+    assert exists(spark, scratch.path("t"))
     scratch.clean()
-    assert not path_exists(spark, scratch.root)
+    assert not exists(spark, scratch.root)
