@@ -36,6 +36,8 @@ def _arguments() -> argparse.Namespace:
             command.add_argument("--staging-mode", choices=["overwrite", "append"], default="overwrite")
             command.add_argument("--ignore-trailing-blanks", action="store_true", help="in artist names and titles")
             command.add_argument("--quarantine", help="folder for malformed records; without it they abort the load")
+        if name == "arrivals":
+            command.add_argument("--max-files", type=int, help="most files of one micro-batch")
         if name == "report":
             command.add_argument("--incremental", action="store_true", help="report on tables loaded by arrivals")
     return parser.parse_args()
@@ -80,7 +82,7 @@ def main() -> None:
                 args.quarantine,
             )
         else:
-            load_arrivals(spark, args.logs, args.songs, args.root, paths, args.numeric_mode)
+            load_arrivals(spark, args.logs, args.songs, args.root, paths, args.numeric_mode, args.max_files)
     spark.stop()
 
 

@@ -8,19 +8,31 @@ from pyspark.sql import functions as F
 from playmart.schemas import numeric_type
 
 
-def coerce(raw: Column, kind: str, numeric_mode: str = "exact") -> Column:
-    """Cast raw text to the column type ``kind`` of a staging table.
+def checked_cast(value: Column, *kinds: str, label: str) -> Column:
+    """``value`` cast through ``kinds`` in turn; what does not fit fails the job.
 
-    Empty text becomes NULL for every type but string. Junk raises through the
-    ANSI cast, which aborts the load.
+    Written out rather than left to the ANSI setting, so that no session turns
+    junk into NULL.
+    """
+    result = value
+    for kind in kinds:
+        result = result.try_cast(kind)
+    message = F.concat(F.lit(f"cannot load {label} as {kinds[-1]}: "), value.cast("string"))
+    return F.coalesce(result, F.when(value.isNotNull(), F.raise_error(message).cast(kinds[-1])))
+
+
+def coerce(raw: Column, name: str, kind: str, numeric_mode: str = "exact") -> Column:
+    """Raw text as column ``name`` of type ``kind``.
+
+    Empty text becomes NULL for every type but string; junk aborts the load.
     """
     if kind == "string":
-        return raw
+        return raw.alias(name)
     text = F.nullif(F.trim(raw), F.lit(""))
-    if kind != "numeric":
-        return text.cast(kind)
-    target = numeric_type(numeric_mode)
-    if numeric_mode == "exact":
-        return text.cast(target)
-    # A cast to decimal(18,0) rounds; going through bigint truncates toward zero.
-    return text.cast("decimal(38,18)").cast("bigint").cast(target)
+    kinds = [kind]
+    if kind == "numeric":
+        kinds = [numeric_type(numeric_mode)]
+        if numeric_mode == "ddl":
+            # A cast to decimal(18,0) rounds; through bigint it truncates toward zero.
+            kinds = ["decimal(38,18)", "bigint", *kinds]
+    return checked_cast(text, *kinds, label=name).alias(name)

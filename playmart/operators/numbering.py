@@ -7,6 +7,7 @@ from math import ceil
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from playmart.functions import checked_cast
 from playmart.operators.scratch import Scratch
 
 SLOT = "__slot"
@@ -66,7 +67,9 @@ def dense_ids(
     before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(PART, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(OFFSET))
     ordinal = F.col(SLOT).bitwiseAND(F.lit((1 << ORDINAL_BITS) - 1))
-    row_id = (F.col(OFFSET) + ordinal + F.lit(start)).cast(id_type)
+    row_id = F.col(OFFSET) + ordinal + F.lit(start)
+    if id_type != "bigint":
+        row_id = checked_cast(row_id, id_type, label=id_name)
     return (
         numbered.withColumn(PART, part)
         .join(F.broadcast(offsets), PART)

@@ -69,7 +69,7 @@ def _reader(source: Any, schema: T.StructType, mode: str) -> Any:
 def _typed(raw: DataFrame, table: str, paths: list[str], numeric_mode: str) -> DataFrame:
     return raw.select(
         *[
-            coerce(_raw_field(path), kind, numeric_mode).alias(name)
+            coerce(_raw_field(path), name, kind, numeric_mode)
             for path, (name, kind) in zip(paths, COLUMNS[table], strict=True)
         ]
     )

@@ -53,10 +53,22 @@ def test_empty_text_stays_text(spark, tmp_path):
 
 
 @pytest.mark.parametrize("change", [{"userId": "abc"}, {"ts": "soon"}, {"length": "long"}, {"status": 3_000_000_000}])
-def test_junk_aborts(spark, tmp_path, change):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_junk_aborts(spark, tmp_path, change, ansi):
     write_logs(tmp_path, "a", event(**change))
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT|CAST_OVERFLOW|cannot be cast"):
-        read_events(spark, str(tmp_path)).collect()
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match=f"cannot load {next(iter(change))} as"):
+            read_events(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+@pytest.mark.parametrize(("mode", "value"), [("exact", "1e18"), ("ddl", "1e18"), ("ddl", "1e30")])
+def test_number_too_wide_aborts(spark, tmp_path, mode, value):
+    write_lines(tmp_path / "2018" / "x.json", ['{"length": %s}' % value])
+    with pytest.raises(Exception, match="cannot load length as decimal"):
+        read_events(spark, str(tmp_path), numeric_mode=mode).collect()
 
 
 @pytest.mark.parametrize(

@@ -49,6 +49,17 @@ def test_start_and_type(spark, scratch):
     check(df, source, start=10)
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_narrow_key_fails_on_overflow(spark, scratch, ansi):
+    df = dense_ids(spark.range(3).select(F.col("id").alias("a")), "id", scratch, start=2**31 - 2, id_type="int")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="cannot load id as int: 2147483648"):
+            df.select("*").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_empty(spark, scratch):
     source = spark.range(0).select(F.col("id").alias("a"))
     df = dense_ids(source, "id", scratch)
