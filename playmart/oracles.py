@@ -111,6 +111,21 @@ _RESULTS |= {
     "arrivals_songplays": _RESULTS["songplays"],
     "arrivals_users": _RESULTS["users"],
     "arrivals_time": _RESULTS["time"],
+    "ingest_songs_ddl": """
+        SELECT num_songs, artist_id, CAST(NULL AS DECIMAL(18,0)) AS artist_latitude,
+               CAST(NULL AS DECIMAL(18,0)) AS artist_longitude, artist_location, artist_name, song_id, title,
+               CAST(trunc(duration) AS DECIMAL(18,0)) AS duration, year
+        FROM staging_songs""",
+    "etl_row_counts": """
+        SELECT 'staging_events' AS table_name, count(*) AS n FROM staging_events
+        UNION ALL SELECT 'staging_songs', count(*) FROM staging_songs
+        UNION ALL SELECT 'songplays', count(*) FROM numbered
+        UNION ALL SELECT 'users', count(*) FROM users
+        UNION ALL SELECT 'songs', count(*)
+                  FROM (SELECT DISTINCT song_id, title, artist_id, year, duration FROM staging_songs)
+        UNION ALL SELECT 'artists', count(*)
+                  FROM (SELECT DISTINCT artist_id, artist_name, artist_location FROM staging_songs)
+        UNION ALL SELECT 'time', count(*) FROM time_rows""",
     "stored_plays_by_hour": _RESULTS["plays_by_hour"],
     "stored_plays_by_level": _RESULTS["plays_by_level"],
     "stored_users_by_gender": _RESULTS["users_by_gender"],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 from playmart.functions import calendar_parts, epoch_to_timestamp
 from playmart.operators import Scratch, duplicate_keys
 from playmart.plans import reports, star
-from playmart.plans.job import load_targets
-from playmart.schemas import struct
+from playmart.plans.job import load_targets, run_etl
+from playmart.schemas import COLUMNS, struct
 from playmart.sinks import Warehouse
 from playmart.sources import json_trees
 from playmart.sources.tables import staging_events, staging_songs
@@ -61,17 +62,53 @@ def plays_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.plays_by_level_from_staging(_plays(spark, sf_dir), staging_songs(spark, sf_dir))
 
 
-def _json_round_trip(spark: SparkSession, df: DataFrame, table: str, folders: dict) -> DataFrame:
-    """Write ``df`` as a nested tree of JSON records and load it back."""
-    path = Scratch(spark, "json").path(table)
-    df.withColumns(folders).write.partitionBy(*folders).json(path)
-    return json_trees.read_json_table(spark, path, table)
+def _write_logs(spark: SparkSession, sf_dir: str, scratch: Scratch) -> str:
+    """The staged events as JSON records below year and month folders."""
+    path, start = scratch.path("logs"), epoch_to_timestamp("ts")
+    folders = {"log_year": F.year(start), "log_month": F.month(start)}
+    staging_events(spark, sf_dir).withColumns(folders).write.partitionBy(*folders).json(path)
+    return path
+
+
+def _write_songs(spark: SparkSession, sf_dir: str, scratch: Scratch) -> str:
+    """The staged songs as JSON records below folders of single letters."""
+    path = scratch.path("songs")
+    folders = {"first": F.substring("artist_name", -2, 1), "second": F.substring("artist_name", -1, 1)}
+    staging_songs(spark, sf_dir).withColumns(folders).write.partitionBy(*folders).json(path)
+    return path
+
+
+def ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return json_trees.read_events(spark, _write_logs(spark, sf_dir, Scratch(spark, "json")))
+
+
+def ingest_songs(spark: SparkSession, sf_dir: str, numeric_mode: str = "exact") -> DataFrame:
+    return json_trees.read_songs(spark, _write_songs(spark, sf_dir, Scratch(spark, "json")), numeric_mode)
+
+
+def _database(scratch: Scratch) -> str:
+    return scratch.root.rsplit("/", 1)[-1].replace("-", "_")
+
+
+def etl_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each stored table after a full load from JSON."""
+    scratch = Scratch(spark, "etl")
+    logs, songs = _write_logs(spark, sf_dir, scratch), _write_songs(spark, sf_dir, scratch)
+    warehouse = run_etl(spark, logs, songs, scratch.path("mart"), _database(scratch))
+    spark.sql(f"DROP DATABASE `{warehouse.database}` CASCADE")  # the files stay
+    counts = [
+        spark.read.schema(struct(t)).parquet(warehouse.location(t)).agg(
+            F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n")
+        )
+        for t in COLUMNS
+    ]
+    return reduce(DataFrame.unionAll, counts)
 
 
 def _stored(spark: SparkSession, sf_dir: str, tables: list[str], loads: int = 1) -> dict[str, DataFrame]:
     """The given target tables, written ``loads`` times and read back."""
     scratch = Scratch(spark, "stored")
-    warehouse = Warehouse(spark, scratch.root, scratch.root.rsplit("/", 1)[-1].replace("-", "_"))
+    warehouse = Warehouse(spark, scratch.root, _database(scratch))
     warehouse.create()
     try:
         for n in range(loads):
@@ -113,22 +150,13 @@ def _arrivals(spark: SparkSession, sf_dir: str) -> ArrivalStore:
     return store
 
 
-def ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    start = epoch_to_timestamp("ts")
-    folders = {"log_year": F.year(start), "log_month": F.month(start)}
-    return _json_round_trip(spark, staging_events(spark, sf_dir), "staging_events", folders)
-
-
-def ingest_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folders = {"first": F.substring("artist_name", -2, 1), "second": F.substring("artist_name", -1, 1)}
-    return _json_round_trip(spark, staging_songs(spark, sf_dir), "staging_songs", folders)
-
-
 QUERIES: dict[str, Query] = {
     "staging_events": staging_events,
     "staging_songs": staging_songs,
     "ingest_events": ingest_events,
     "ingest_songs": ingest_songs,
+    "ingest_songs_ddl": lambda spark, sf_dir: ingest_songs(spark, sf_dir, "ddl"),
+    "etl_row_counts": etl_row_counts,
     "nextsong_filter": nextsong_filter,
     "not_null_filter": not_null_filter,
     "epoch_to_timestamp": epoch_times,

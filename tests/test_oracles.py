@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as contract
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-TYPES = {"VARCHAR": "string", "INTEGER": "int", "BIGINT": "bigint", "TIMESTAMP": "timestamp_ntz", "DECIMAL(23,5)": "decimal(23,5)"}
+TYPES = {"VARCHAR": "string", "INTEGER": "int", "BIGINT": "bigint", "TIMESTAMP": "timestamp_ntz", "DECIMAL(23,5)": "decimal(23,5)", "DECIMAL(18,0)": "decimal(18,0)"}
 TABLES = ["events", "customer", "nation", "part"]
 
 
