@@ -37,8 +37,9 @@ def _part_key(props: str) -> Column:
     return F.nullif(F.regexp_extract(props, r'"k"\s*:\s*(\d+)', 1), F.lit("")).cast("bigint")
 
 
-def _empty(column: Column, kind: str) -> Column:
-    return F.lit(None).cast(kind) if column is None else column.cast(kind)
+def _typed(values: dict[str, Column], table: str) -> list[Column]:
+    """All columns of ``table`` in order and type; those without a value are NULL."""
+    return [values.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in column_types(table)]
 
 
 def staging_events(spark: SparkSession, sf_dir: str, plays_only: bool = False) -> DataFrame:
@@ -76,11 +77,9 @@ def staging_events(spark: SparkSession, sf_dir: str, plays_only: bool = False) -
         "song": F.col("p_name"),
         "ts": _epoch_millis("ts"),
         "userAgent": F.col("event_type"),
-        "userId": F.when(F.col("event_type") != "error", F.col("user_id")),
+        "userId": F.when(F.col("event_type") == "error", None).otherwise(F.col("user_id")),
     }
-    return joined.select(
-        *[_empty(values.get(name), kind).alias(name) for name, kind in column_types("staging_events")]
-    )
+    return joined.select(*_typed(values, "staging_events"))
 
 
 def staging_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +94,4 @@ def staging_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "duration": F.col("p_retailprice").cast(numeric_type()),
         "year": F.col("p_size"),
     }
-    return _table(spark, sf_dir, "part").select(
-        *[_empty(values.get(name), kind).alias(name) for name, kind in column_types("staging_songs")]
-    )
+    return _table(spark, sf_dir, "part").select(*_typed(values, "staging_songs"))

@@ -62,7 +62,9 @@ class ArrivalStore:
 
     def write_unseen(self, table: str, rows: DataFrame, batch_id: int) -> None:
         """Append the rows of a distinct dimension that earlier batches lack."""
-        self.write(table, unseen(rows, self.read_before(table, batch_id)), batch_id)
+        if batch_id > 0:
+            rows = unseen(rows, self.read_before(table, batch_id))
+        self.write(table, rows, batch_id)
 
 
 def _load_songs(store: ArrivalStore, batch: DataFrame, batch_id: int) -> None:
