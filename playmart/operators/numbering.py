@@ -17,18 +17,21 @@ OFFSET = "__offset"
 ORDINAL_BITS = 33  # layout of monotonically_increasing_id: partition, then row
 
 TARGET_BYTES = 128 * 1024 * 1024
-SMALL_BYTES = 1024 * 1024
-MAX_PARTITIONS = 20_000
+TARGET_ROWS = 2_000_000
+SMALL_ROWS = 100_000
+MAX_PARTITIONS = 50_000
 
 
-def range_partitions(total_bytes: int, cores: int) -> int:
-    """Range partitions for ``total_bytes`` of parquet.
+def range_partitions(total_bytes: int, rows: int, cores: int) -> int:
+    """Range partitions for ``rows`` rows in ``total_bytes`` of parquet.
 
-    Aims at TARGET_BYTES each, uses the idle cores when there is less data than
-    that, and stops at MAX_PARTITIONS, which bounds the offset table.
+    Aims at TARGET_BYTES and TARGET_ROWS each; rows matter because repeated
+    values all but vanish in parquet, yet are sorted at full width. Less data
+    than that is spread over the idle cores. MAX_PARTITIONS bounds the offset
+    table.
     """
-    by_size = ceil(total_bytes / TARGET_BYTES)
-    by_cores = min(cores, ceil(total_bytes / SMALL_BYTES))
+    by_size = max(ceil(total_bytes / TARGET_BYTES), ceil(rows / TARGET_ROWS))
+    by_cores = min(cores, ceil(rows / SMALL_ROWS))
     return max(1, min(MAX_PARTITIONS, max(by_size, by_cores)))
 
 
@@ -52,7 +55,9 @@ def dense_ids(
     spark = df.sparkSession
     columns = df.columns
     raw = scratch.write(f"{id_name}-raw", df.withColumn(TIE, F.monotonically_increasing_id()))
-    partitions = range_partitions(scratch.bytes(f"{id_name}-raw"), spark.sparkContext.defaultParallelism)
+    partitions = range_partitions(
+        scratch.bytes(f"{id_name}-raw"), raw.count(), spark.sparkContext.defaultParallelism
+    )
     ordered = (
         raw.repartitionByRange(partitions, *columns, TIE)
         .sortWithinPartitions(*columns, TIE)

@@ -49,9 +49,13 @@ def read_path_list(spark: SparkSession, path: str) -> list[str]:
     return json.loads(text)["jsonpaths"]
 
 
+def _quoted(key: str) -> str:
+    return "`" + key.replace("`", "``") + "`"
+
+
 def _raw_field(path: str) -> Column:
     key, below = parse_path(path)
-    column = F.col(f"`{key}`")
+    column = F.col(_quoted(key))
     return column if below is None else F.get_json_object(column, below)
 
 
@@ -117,7 +121,7 @@ def read_json_quarantine(
     schema = _raw_schema(paths)
     # Spark refuses a plan that reads the corrupt-record column alone, so both
     # parts also read one data field, through a condition that always holds.
-    any_field = F.coalesce(F.length(f"`{schema[0].name}`"), F.lit(0)) >= 0
+    any_field = F.coalesce(F.length(_quoted(schema[0].name)), F.lit(0)) >= 0
     raw = (
         _reader(spark.read, schema.add(CORRUPT, T.StringType()), "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)

@@ -8,13 +8,21 @@ from pyspark.sql import functions as F
 
 from playmart.files import exists
 from playmart.operators import Scratch, dense_ids, numbering
-from playmart.operators.numbering import MAX_PARTITIONS, ORDINAL_BITS, SLOT, TARGET_BYTES, range_partitions
+from playmart.operators.numbering import (
+    MAX_PARTITIONS,
+    ORDINAL_BITS,
+    SLOT,
+    SMALL_ROWS,
+    TARGET_BYTES,
+    TARGET_ROWS,
+    range_partitions,
+)
 from playmart.plans.star import build_songplays
 
 
 @pytest.fixture
 def many_partitions(monkeypatch):
-    monkeypatch.setattr(numbering, "SMALL_BYTES", 1)
+    monkeypatch.setattr(numbering, "SMALL_ROWS", 1)
 
 
 @pytest.fixture
@@ -95,12 +103,20 @@ def test_first_copy_of_the_rows_is_dropped(spark, scratch):
     assert not exists(spark, scratch.path("id-raw"))
 
 
-def test_partition_count():
-    assert range_partitions(0, 8) == 1
-    assert range_partitions(10, 8) == 1
-    assert range_partitions(TARGET_BYTES, 8) == 8
-    assert range_partitions(100 * TARGET_BYTES, 8) == 100
-    assert range_partitions(10**15, 8) == MAX_PARTITIONS
+@pytest.mark.parametrize(
+    ("total_bytes", "rows", "expected"),
+    [
+        (0, 0, 1),
+        (10, 10, 1),
+        (10, 3 * SMALL_ROWS, 3),
+        (TARGET_BYTES, 100 * SMALL_ROWS, 8),
+        (100 * TARGET_BYTES, 10 * TARGET_ROWS, 100),
+        (TARGET_BYTES, 100 * TARGET_ROWS, 100),
+        (10**15, 10**12, MAX_PARTITIONS),
+    ],
+)
+def test_partition_count(total_bytes, rows, expected):
+    assert range_partitions(total_bytes, rows, 8) == expected
 
 
 def test_ids_over_several_days(spark, many_partitions):
