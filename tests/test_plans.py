@@ -7,7 +7,9 @@ import pytest
 from helpers import event, events, song, songs
 from pyspark.sql import functions as F
 
+from playmart.functions import calendar_parts, epoch_to_timestamp
 from playmart.plans.job import load_targets
+from playmart.plans.reports import plays_by_hour
 from playmart.plans.star import build_artists, build_time, build_users, songplay_rows
 from playmart.registry import QUERIES
 from playmart.schemas import column_types
@@ -101,8 +103,8 @@ def test_reports_from_staging_never_join_single_rows(spark, settings):
     assert any("Aggregate [p_brand" in line or "Aggregate [artist_name" in line for line in lines[at + 2 :])
 
 
-def test_hot_song_is_split(spark, tmp_path, settings):
-    """A third of the plays are of one song: its partition is read by several tasks."""
+@pytest.fixture
+def small_skew_limits(settings):
     settings(
         shuffle__partitions="32",
         autoBroadcastJoinThreshold="-1",
@@ -110,6 +112,24 @@ def test_hot_song_is_split(spark, tmp_path, settings):
         adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
         adaptive__advisoryPartitionSizeInBytes="20k",
     )
+
+
+def test_hot_second_is_split(spark, small_skew_limits):
+    """A third of the stored plays share one second of the time dimension."""
+    n = 200_000
+    second = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000).alias("ts")
+    plays = spark.range(0, n, 1, 16).select(F.col("id").alias("songplay_id"), (second * 1000).alias("ts"))
+    plays = plays.select("songplay_id", epoch_to_timestamp("ts").alias("start_time"))
+    time = spark.range(5000).select((F.col("id") * 1000).alias("ts")).select(epoch_to_timestamp("ts").alias("start_time"))
+    time = time.select("start_time", *calendar_parts())
+    df = plays_by_hour(plays, time.unionAll(time))
+    rows = {r.hour: r.song_plays for r in df.collect()}
+    assert "skew=true" in plan(df)
+    assert rows == {0: n - rows[1], 1: sum(i % 3 != 0 and i % 5000 >= 3600 for i in range(n))}
+
+
+def test_hot_song_is_split(spark, small_skew_limits):
+    """A third of the plays are of one song: its partition is read by several tasks."""
     n = 60_000
     hot = F.col("id") % 3 == 0
     key = F.when(hot, F.lit(0)).otherwise(F.col("id") % 400).cast("string")
