@@ -28,6 +28,15 @@ def total_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(hadoop_path).getLength()
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the data files directly below ``path``, without job markers."""
+    hadoop_path, fs = _hadoop(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    found = [entry.getPath() for entry in fs.listStatus(hadoop_path)]
+    return [entry.toString() for entry in found if not entry.getName().startswith(("_", "."))]
+
+
 def delete(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _hadoop(spark, path)
     fs.delete(hadoop_path, True)

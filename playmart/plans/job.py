@@ -57,8 +57,8 @@ def load_targets(
 ) -> None:
     """Build the fact and dimensions from staging and store them.
 
-    Each write commits by itself, as there is no transaction across tables. A
-    failed load leaves the tables before it written.
+    Each table commits by itself, as there is no transaction across tables: a
+    load that fails leaves the tables before it written, the others unchanged.
     """
     builders = {
         "users": lambda: build_users(events),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,37 +88,40 @@ def ingest_songs(spark: SparkSession, sf_dir: str, numeric_mode: str = "exact")
     return json_trees.read_songs(spark, _write_songs(spark, sf_dir, Scratch(spark, "json")), numeric_mode)
 
 
-def _database(scratch: Scratch) -> str:
-    return scratch.root.rsplit("/", 1)[-1].replace("-", "_")
+@contextmanager
+def _database(spark: SparkSession) -> Iterator[str]:
+    """A database for the time of a load. Its tables' files outlive it."""
+    name = f"playmart_{uuid.uuid4().hex}"
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+
+
+def _read_back(warehouse: Warehouse, tables: Iterable[str]) -> dict[str, DataFrame]:
+    return {t: warehouse.spark.read.schema(struct(t)).parquet(warehouse.location(t)) for t in tables}
 
 
 def etl_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of each stored table after a full load from JSON."""
     scratch = Scratch(spark, "etl")
     logs, songs = _write_logs(spark, sf_dir, scratch), _write_songs(spark, sf_dir, scratch)
-    warehouse = run_etl(spark, logs, songs, scratch.path("mart"), _database(scratch))
-    spark.sql(f"DROP DATABASE `{warehouse.database}` CASCADE")  # the files stay
-    counts = [
-        spark.read.schema(struct(t)).parquet(warehouse.location(t)).agg(
-            F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n")
-        )
-        for t in COLUMNS
-    ]
+    with _database(spark) as database:
+        warehouse = run_etl(spark, logs, songs, scratch.path("mart"), database)
+    tables = _read_back(warehouse, COLUMNS)
+    counts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n")) for name, df in tables.items()]
     return reduce(DataFrame.unionAll, counts)
 
 
 def _stored(spark: SparkSession, sf_dir: str, tables: list[str], loads: int = 1) -> dict[str, DataFrame]:
     """The given target tables, written ``loads`` times and read back."""
-    scratch = Scratch(spark, "stored")
-    warehouse = Warehouse(spark, scratch.root, _database(scratch))
-    warehouse.create()
-    try:
+    with _database(spark) as database:
+        warehouse = Warehouse(spark, Scratch(spark, "stored").root, database)
+        warehouse.create()
         for n in range(loads):
             mode = "append" if n else "overwrite"
             load_targets(warehouse, _plays(spark, sf_dir), staging_songs(spark, sf_dir), mode, tables)
-    finally:
-        spark.sql(f"DROP DATABASE `{warehouse.database}` CASCADE")  # the files stay
-    return {t: spark.read.schema(struct(t)).parquet(warehouse.location(t)) for t in tables}
+    return _read_back(warehouse, tables)
 
 
 def stored_plays_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:

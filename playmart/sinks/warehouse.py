@@ -79,11 +79,20 @@ class Warehouse:
         return self.spark.table(self.name(table))
 
     def load(self, table: str, df: DataFrame, mode: str = "overwrite") -> None:
-        """Write ``df`` into ``table``: columns by name, not-null rules enforced."""
+        """Write ``df`` into ``table``: columns by name, not-null rules enforced.
+
+        Overwriting adds the new files first and drops the old ones once they are
+        committed. A load that fails leaves the stored rows as they were; one
+        interrupted between the two steps is put right by running it again.
+        """
         if mode not in WRITE_MODES:
             raise ValueError(f"mode must be one of {WRITE_MODES}, not {mode!r}")
+        replaced = files.data_files(self.spark, self.location(table)) if mode == "overwrite" else []
         rows = enforce_not_null(df.select(*column_names(table)), table)
-        lay_out(table, rows).write.insertInto(self.name(table), overwrite=mode == "overwrite")
+        lay_out(table, rows).write.insertInto(self.name(table))
+        for path in replaced:
+            files.delete(self.spark, path)
+        self.spark.catalog.refreshTable(self.name(table))
 
     def duplicate_keys(self, table: str) -> DataFrame:
         """Primary-key values stored more than once; they are legal, not removed."""

@@ -185,6 +185,21 @@ def test_not_null_violation_aborts(spark, place, table, event_change, song_chang
         load(spark, place, [event(**event_change)], [song(**song_change)], [table])
 
 
+def test_failed_overwrite_keeps_the_stored_rows(spark, trees, place):
+    warehouse = run_etl(spark, *trees, **place)
+    before = contents(warehouse)
+    for table in ("songplays", "time"):
+        with pytest.raises(Exception, match="NOT NULL violated"):
+            load(spark, place, [event(), event(ts=None)], tables=[table])
+    assert contents(warehouse) == before
+
+
+def test_table_can_be_rewritten_from_itself(spark, trees, place):
+    warehouse = run_etl(spark, *trees, **place)
+    warehouse.load("users", warehouse.table("users").filter("gender = 'M'"))
+    assert {r.gender for r in warehouse.table("users").collect()} == {"M"}
+
+
 @pytest.mark.parametrize("change", [{"userId": None}, {"ts": None}])
 def test_unmatched_null_does_not_abort_the_fact(spark, place, change):
     warehouse = load(spark, place, [event(song="Unknown", **change)], tables=["songplays"])
