@@ -25,6 +25,8 @@ HEADLINE = [
     "artists",
     "time",
 ]
+# Same work as arrivals_songplays; only the table returned differs.
+REPEATS = ["arrivals_users", "arrivals_time"]
 
 
 def main() -> None:
@@ -40,7 +42,8 @@ def main() -> None:
 
     for name in HEADLINE:
         run(name)
-    seconds = {name: run(name) for name in [*HEADLINE, *(q for q in QUERIES if q not in HEADLINE)]}
+    others = [name for name in QUERIES if name not in HEADLINE + REPEATS]
+    seconds = {name: run(name) for name in HEADLINE + others}
     spark.stop()
     print(
         json.dumps(

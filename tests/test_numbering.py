@@ -1,6 +1,8 @@
 """Surrogate keys: dense, ordered, and spread over tasks under heavy skew."""
 
 from collections import Counter
+from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from helpers import event, events, song, songs
@@ -17,6 +19,7 @@ from playmart.operators.numbering import (
     TARGET_ROWS,
     range_partitions,
 )
+from playmart.operators.scratch import shared_root
 from playmart.plans.star import build_songplays
 
 
@@ -134,3 +137,19 @@ def test_scratch_uses_the_named_folder(spark):
     assert exists(spark, scratch.path("t"))
     scratch.clean()
     assert not exists(spark, scratch.root)
+
+
+def stub_session(master):
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(stub_session("spark://host:7077"))
+
+
+def test_local_mode_without_a_named_folder():
+    folder = Path(shared_root(stub_session("local[2]")))
+    assert folder.is_dir()
+    folder.rmdir()
