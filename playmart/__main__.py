@@ -4,11 +4,9 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
-
 from playmart.plans import reports
 from playmart.plans.job import run_etl
-from playmart.session import SETTINGS
+from playmart.session import submitted_session
 from playmart.sinks import Warehouse
 from playmart.sources.json_trees import read_path_list
 from playmart.streaming.arrivals import ArrivalStore, load_arrivals
@@ -52,10 +50,7 @@ def _report(tables: Warehouse | ArrivalStore) -> None:
 
 def main() -> None:
     args = _arguments()
-    builder = SparkSession.builder.appName("playmart")
-    for key, value in SETTINGS.items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    spark = submitted_session()
     warehouse = Warehouse(spark, args.root, args.database, args.numeric_mode)
     if args.command == "reset":
         warehouse.reset()

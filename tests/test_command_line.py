@@ -12,7 +12,7 @@ REPO = Path(__file__).resolve().parent.parent
 
 
 def run(*args, cwd):
-    settings = "--conf spark.sql.shuffle.partitions=4 pyspark-shell"
+    settings = "--conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=4 pyspark-shell"
     env = {**os.environ, "PYTHONPATH": str(REPO), "PYSPARK_SUBMIT_ARGS": settings}
     done = subprocess.run(
         [sys.executable, "-m", "playmart", *args], cwd=cwd, env=env, capture_output=True, text=True, timeout=300
