@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playmart.functions import calendar_parts, epoch_to_timestamp
-from playmart.operators import Scratch, dense_ids
+from playmart.operators import Scratch, broadcast_within, dense_ids
+from playmart.operators.lookup import BROADCAST_BYTES
 from playmart.schemas import PLAY_PAGE
 
 
+SONG_KEYS = ["artist_name", "title", "song_id", "artist_id"]
+
+
 def play_events(events: DataFrame) -> DataFrame:
     """Events of the play page; exact match, a NULL page is dropped."""
     return events.filter(F.col("page") == PLAY_PAGE)
@@ -22,10 +26,10 @@ def match_songs(events: DataFrame, songs: DataFrame, ignore_trailing_blanks: boo
     under one artist and title each give a row. The match is exact, or blind to
     trailing blanks on request.
 
-    The join is not hinted. Catalyst broadcasts the songs when their size allows
+    Without a hint on ``songs`` Catalyst broadcasts them when their size allows
     it; otherwise adaptive execution splits the partition of a hot song.
     """
-    keys = songs.select("artist_name", "title", "song_id", "artist_id")
+    keys = songs.select(*SONG_KEYS)
     left, right = [events["artist"], events["song"]], [keys["artist_name"], keys["title"]]
     if ignore_trailing_blanks:
         left, right = [F.rtrim(c) for c in left], [F.rtrim(c) for c in right]
@@ -53,13 +57,18 @@ def build_songplays(
     start: int = 0,
     id_type: str = "bigint",
     ignore_trailing_blanks: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The fact, numbered from ``start`` in the order of all its columns.
 
+    Songs that measure at most ``broadcast_bytes`` are broadcast, so that plays
+    are matched where they are read, and a hot song is spread as its plays are.
+
     The key is a bigint: a fact of the intended size outgrows 31 bits. Pass
     ``id_type="int"`` for the narrower type, which fails on overflow.
     """
-    rows = songplay_rows(events, songs, ignore_trailing_blanks)
+    keys = broadcast_within(songs.select(*SONG_KEYS), broadcast_bytes)
+    rows = songplay_rows(events, keys, ignore_trailing_blanks)
     scratch = scratch or Scratch(rows.sparkSession, "songplays")
     return dense_ids(rows, "songplay_id", scratch, start, id_type)
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from playmart.functions import calendar_parts, epoch_to_timestamp
 from playmart.plans.job import load_targets
 from playmart.plans.reports import plays_by_hour
-from playmart.plans.star import build_artists, build_time, build_users, songplay_rows
+from playmart.operators.lookup import VALUE_BYTES, broadcast_within, measured_bytes
+from playmart.plans.star import SONG_KEYS, build_artists, build_songplays, build_time, build_users, songplay_rows
 from playmart.registry import QUERIES
 from playmart.schemas import column_types
 from playmart.sinks import Warehouse
@@ -86,6 +87,34 @@ def test_page_filter_reaches_the_table_scan(spark, name):
     assert re.search(r"PushedFilters: \[[^\]]*In\(event_type, \[NextSong,view\]\)", plan(QUERIES[name](spark, SF_DIR)))
 
 
+def test_songs_are_broadcast_by_measured_size(spark, staged, settings):
+    settings(autoBroadcastJoinThreshold="-1")
+    keys = staged.table("staging_songs").select(*SONG_KEYS)
+    size = measured_bytes(keys)
+    assert size == sum(len(song()[c].encode()) + VALUE_BYTES for c in SONG_KEYS)
+    small = plan(songplay_rows(staged.table("staging_events"), broadcast_within(keys, size)))
+    assert "BroadcastHashJoin" in small and "hashpartitioning" not in small
+    large = plan(songplay_rows(staged.table("staging_events"), broadcast_within(keys, size - 1)))
+    assert "SortMergeJoin" in large and "Broadcast" not in large
+
+
+def test_measured_bytes(spark):
+    rows = [("é", 1, None), (None, None, "abc")]
+    df = spark.createDataFrame(rows, "a string, b int, c string")
+    assert measured_bytes(df) == 2 + 3 + 6 * VALUE_BYTES
+    assert measured_bytes(df.limit(0)) == 0
+
+
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_fact_is_the_same_either_way(spark, limit):
+    rows = [event(userId=i % 7, ts=1541990258796 + i % 50 * 1000) for i in range(200)]
+    catalog = songs(spark, song(), song(song_id="S2"), song(title="Other"))
+    df = build_songplays(events(spark, *rows), catalog, broadcast_bytes=limit)
+    found = df.orderBy("songplay_id").collect()
+    assert [r.songplay_id for r in found] == list(range(400))
+    assert {(r.user_id, r.song_id) for r in found} == {(i, s) for i in range(7) for s in ("S1", "S2")}
+
+
 def test_time_shuffles_only_the_second(spark, staged):
     """The distinct moves one column; the parts are computed after it."""
     text = plan(build_time(staged.table("staging_events")))
