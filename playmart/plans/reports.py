@@ -6,16 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playmart.functions import epoch_to_timestamp
+from playmart.operators import broadcast_within
+from playmart.operators.lookup import BROADCAST_BYTES
 from playmart.plans.star import play_events
 
 
-def plays_by_hour(songplays: DataFrame, time: DataFrame) -> DataFrame:
+def plays_by_hour(
+    songplays: DataFrame, time: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Distinct plays per hour of day: fact joined to the time dimension.
 
     Appended loads repeat rows of ``time``. The distinct count hides that, so
-    dropping the repeats first changes nothing but the size of the join.
+    dropping the repeats first changes nothing but the size of the join. Seconds
+    that measure at most ``broadcast_bytes`` spare the fact a shuffle.
     """
-    hours = time.select("start_time", "hour").distinct()
+    hours = broadcast_within(time.select("start_time", "hour").distinct(), broadcast_bytes)
     return (
         songplays.select("start_time", "songplay_id")
         .join(hours, "start_time")

@@ -151,10 +151,11 @@ def test_hot_second_is_split(spark, small_skew_limits):
     plays = plays.select("songplay_id", epoch_to_timestamp("ts").alias("start_time"))
     time = spark.range(5000).select((F.col("id") * 1000).alias("ts")).select(epoch_to_timestamp("ts").alias("start_time"))
     time = time.select("start_time", *calendar_parts())
-    df = plays_by_hour(plays, time.unionAll(time))
-    rows = {r.hour: r.song_plays for r in df.collect()}
-    assert "skew=true" in plan(df)
-    assert rows == {0: n - rows[1], 1: sum(i % 3 != 0 and i % 5000 >= 3600 for i in range(n))}
+    late = sum(i % 3 != 0 and i % 5000 >= 3600 for i in range(n))
+    for limit, sign in [(0, "skew=true"), (5000 * 16, "BroadcastHashJoin")]:
+        df = plays_by_hour(plays, time.unionAll(time), broadcast_bytes=limit)
+        assert {r.hour: r.song_plays for r in df.collect()} == {0: n - late, 1: late}
+        assert sign in plan(df)
 
 
 def test_hot_song_is_split(spark, small_skew_limits):
