@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,6 +23,10 @@ END_OF_DOCUMENT = 1
 SEQUENCE_TOKENS = 4096
 #: Words remembered by one Python worker, and the longest word worth remembering.
 CACHED_WORDS, CACHED_BYTES = 600_000, 64
+# What the vocabulary's word-closing tokens end with.
+CLOSING = "</w>"
+# ASCII punctuation, which the tokenizer never joins with a letter before it.
+PUNCTUATION = string.punctuation.encode()
 #: Sequences that one group of pieces fills, about. A group is packed by one task and
 #: leaves a part-filled sequence or two, so larger groups waste less.
 GROUP_SEQUENCES = 1024
@@ -44,8 +49,10 @@ class Capacity:
 class WordIds:
     """Ids of white-space-free words, as little-endian bytes.
 
-    The tokenizer drops white space and merges within words only, so a text's ids
-    are those of its words in order. Words not seen before go to it in one batch.
+    The tokenizer drops white space and case and merges within words only, so a
+    text's ids are those of its words in order. It also parts a letter from
+    punctuation, so a word is looked up without the punctuation at its end, and that
+    by itself. What was not seen before goes to the tokenizer in one batch.
     """
 
     def __init__(self, vocabulary: bytes):
@@ -56,15 +63,26 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_buffer(vocabulary)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        tokens = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(tokens.values()) + 1, dtype=bool)
+        self.closing[[i for t, i in tokens.items() if t.endswith(CLOSING)]] = True
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words = [t.encode("utf-8", "replace").split() for t in texts]
+        words = [t.encode("utf-8", "replace").lower().split() for t in texts]
         new = list(set().union(*words).difference(self.known))
-        coded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        found = {w: np.array(c.ids, dtype="<u4").tobytes() for w, c in zip(new, coded, strict=True)}
-        self.known.update(found)
+        stems = [w.rstrip(PUNCTUATION) for w in new]
+        parts = [
+            (s, w[len(s) :]) if len(s) < len(w) and s.decode().lower()[-1:].isalpha() else (w,)
+            for w, s in zip(new, stems, strict=True)
+        ]
+        asked = list({p for each in parts for p in each}.difference(self.known))
+        self._learn(asked)
+        for word, each in zip(new, parts, strict=True):
+            if len(each) == 2:
+                self.known[word] = self.known[each[0]] + self.known[each[1]]
         out = [b"".join(map(self.known.__getitem__, w)) for w in words]
+        new = list({*new, *asked})
         # Frequent words come early; once the memory is full, later ones are rare.
         room = CACHED_WORDS - len(self.known) + len(new)
         for place, word in enumerate(new):
@@ -72,6 +90,25 @@ class WordIds:
                 del self.known[word]
         return out
 
+    def _learn(self, asked: list[bytes]) -> None:
+        """Look up words without punctuation at their end."""
+        decoded = [a.decode() for a in asked]
+        single = [d.lower().isalpha() for d in decoded]
+        # A word of letters only has one last token and that closes it, so many of
+        # them can be looked up as one text.
+        words = [a for a, s in zip(asked, single, strict=True) if s]
+        text = " ".join(d for d, s in zip(decoded, single, strict=True) if s)
+        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        ends = np.flatnonzero(self.closing[ids]) + 1
+        raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+        if len(ends) != len(words):
+            raise AssertionError("words and closing tokens differ")
+        self.known.update(zip(words, map(raw.__getitem__, map(slice, cuts[:-1], cuts[1:])), strict=True))
+        others = [a for a, s in zip(asked, single, strict=True) if not s]
+        coded = self.tokenizer.encode_batch_fast([a.decode() for a in others], add_special_tokens=False)
+        for word, c in zip(others, coded, strict=True):
+            self.known[word] = np.array(c.ids, dtype="<u4").tobytes()
+
 
 @cache
 def _word_ids(vocabulary: bytes) -> WordIds:
