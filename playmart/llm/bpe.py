@@ -23,11 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playmart.llm.common import documents, list_array, public_file, text_chunks
+from playmart.llm.common import documents, equal_slices, gather, list_array, public_file, sums_between, text_chunks
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pieces remembered by one Python worker, and the longest piece worth remembering.
-CACHED_PIECES, CACHED_BYTES = 300_000, 64
+CACHED_PIECES, CACHED_BYTES = 400_000, 64
+#: Rank of a pair that is no token.
+NONE = 1 << 40
 
 # The white space of the Unicode property White_Space.
 WHITE_SPACE = [
@@ -153,20 +155,21 @@ def piece_starts(codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return starts[state, kinds]
 
 
-def pieces(texts: list[str]) -> list[list[str]]:
-    """The pieces of each text, in order; together they are the text."""
+def piece_bounds(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(raw, starts, ends, cuts): the texts' UTF-8 bytes, the places of all pieces in
+    them, and for each text the number of pieces before it; the last cut is their total."""
     joined = "\0".join(texts) + "\0"
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    ends = np.cumsum([len(t) + 1 for t in texts]) - 1
-    cuts = np.flatnonzero(piece_starts(codes, ends))
-    out, at = [], np.searchsorted(cuts, ends)
-    first = 0
-    for last, end in zip(at.tolist(), ends.tolist(), strict=True):
-        inside = cuts[first : last + 1].tolist()
-        out.append(list(map(joined.__getitem__, map(slice, inside[:-1], inside[1:]))))
-        assert inside[-1] == end
-        first = last + 1
-    return out
+    codes = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
+    breaks = np.cumsum([len(t) + 1 for t in texts]) - 1
+    begins = np.flatnonzero(piece_starts(codes, breaks))
+    width = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
+    at = np.concatenate([[0], np.cumsum(width)])[np.append(begins, len(codes))]
+    inside = np.ones(len(begins), dtype=bool)
+    last = np.searchsorted(begins, breaks)
+    inside[last] = False
+    cuts = np.concatenate([[0], last - np.arange(len(texts))])
+    raw = np.frombuffer(joined.encode(), dtype=np.uint8)
+    return raw, at[:-1][inside], at[1:][inside], cuts
 
 
 def parse_ranks(raw: bytes) -> dict[bytes, int]:
@@ -209,21 +212,86 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[piece[i : ends[i]]] for i in range(n) if alive[i]]
 
 
-class PieceIds(dict):
+class PieceIds:
     """Piece to its ids as little-endian bytes; remembers the short ones."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        super().__init__()
         self.ranks = ranks
-
-    def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode("utf-8", "replace")
-        ids = np.array(merge(raw, self.ranks), dtype="<u4").tobytes()
-        if len(raw) <= CACHED_BYTES:
-            if len(self) >= CACHED_PIECES:
-                self.clear()
-            self[piece] = ids
-        return ids
+        self.known: dict[bytes, bytes] = {}
+        self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        # Every pair of tokens that together are a token, by the pair, with its rank.
+        pairs = [
+            (ranks[token[:cut]] << 32 | ranks[token[cut:]], rank)
+            for token, rank in ranks.items()
+            for cut in range(1, len(token))
+            if token[:cut] in ranks and token[cut:] in ranks
+        ]
+        self.pairs, self.merged = np.array(sorted(pairs), dtype=np.int64).T.copy()
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair of tokens, NONE where they are no token together."""
+        pair = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pair, self.merged[at], NONE)
+
+    def merge_all(self, pieces: list[bytes]) -> list[bytes]:
+        """merge() of many short pieces side by side, one merge of each at a time."""
+        sizes = np.array([len(p) for p in pieces])
+        tokens = self.of_byte[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
+        owner = np.repeat(np.arange(len(pieces)), sizes)
+        rank = np.full(len(tokens), NONE)
+        inner = np.flatnonzero(owner[1:] == owner[:-1])
+        rank[inner] = self._rank(tokens[inner], tokens[inner + 1])
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(tokens):
+            firsts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            least = np.minimum.reduceat(rank, firsts)
+            spans = np.diff(np.append(firsts, len(tokens)))
+            least = np.repeat(least, spans)
+            over = least == NONE
+            if over.any():
+                done.append((owner[over], tokens[over]))
+                tokens, owner, rank, least = (x[~over] for x in (tokens, owner, rank, least))
+                if not len(tokens):
+                    break
+            at = np.flatnonzero(rank == least)
+            at = at[np.append(True, owner[at[1:]] != owner[at[:-1]])]  # the leftmost of each
+            tokens[at] = rank[at]
+            kept = np.ones(len(tokens), dtype=bool)
+            kept[at + 1] = False
+            at = (np.cumsum(kept) - 1)[at]
+            tokens, owner, rank = tokens[kept], owner[kept], rank[kept]
+            for left in (at, at[at > 0] - 1):
+                right = np.minimum(left + 1, len(tokens) - 1)
+                joined = (owner[left] == owner[right]) & (left < right)
+                rank[left] = np.where(joined, self._rank(tokens[left], tokens[right]), NONE)
+        owners = np.concatenate([o for o, _ in done])
+        order = np.argsort(owners, kind="stable")
+        raw = np.concatenate([t for _, t in done])[order].astype("<u4").tobytes()
+        cuts = [0, *(4 * np.cumsum(np.bincount(owners, minlength=len(pieces)))).tolist()]
+        return list(map(raw.__getitem__, map(slice, cuts[:-1], cuts[1:])))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each). Equal pieces are looked up once,
+        and those not met before are merged in one go."""
+        raw, starts, ends, cuts = piece_bounds(texts)
+        first, place = equal_slices(raw, starts, ends)
+        whole = raw.tobytes()
+        words = list(map(whole.__getitem__, map(slice, starts[first].tolist(), ends[first].tolist())))
+        new = [w for w in words if w not in self.known]
+        short = [w for w in new if len(w) <= CACHED_BYTES]
+        if short:
+            self.known.update(zip(short, self.merge_all(short), strict=True))
+        for word in new:
+            if len(word) > CACHED_BYTES:
+                self.known[word] = np.array(merge(word, self.ranks), dtype="<u4").tobytes()
+        ids, sizes = gather([self.known[w] for w in words], place)
+        # Frequent pieces come early; once the memory is full, later ones are rare.
+        room = CACHED_PIECES - len(self.known) + len(new)
+        for number, word in enumerate(new):
+            if number >= room or len(word) > CACHED_BYTES:
+                del self.known[word]
+        return ids, sums_between(sizes, cuts)
 
 
 @cache
@@ -232,10 +300,6 @@ def _piece_ids(ranks: bytes) -> PieceIds:
     return PieceIds(parse_ranks(ranks))
 
 
-def encode_texts(texts: list[str], known: PieceIds) -> list[np.ndarray]:
-    return [np.frombuffer(b"".join(map(known.__getitem__, p)), dtype="<u4") for p in pieces(texts)]
-
-
 def encode(docs: DataFrame, ranks: bytes, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """Token ids of every whole text, with where each token ends.
 
@@ -255,13 +319,11 @@ def encode(docs: DataFrame, ranks: bytes, text: str = "text", id_column: str = "
         width = np.zeros(max(table.values()) + 1, dtype=np.int32)
         width[list(table.values())] = [len(t) for t in table]
         for batch, texts in text_chunks(batches, "_text"):
-            encoded = encode_texts(texts, known)
-            ids = np.concatenate(encoded).astype(np.int32)
-            sizes = [len(e) for e in encoded]
+            ids, sizes = known.encode(texts)
+            ids = ids.astype(np.int32)
             total = np.cumsum(width[ids], dtype=np.int64)
-            firsts = np.cumsum([0, *sizes[:-1]])
-            base = np.where(firsts > 0, total[firsts - 1] if len(total) else 0, 0)
-            ends = (total - np.repeat(base, sizes)).astype(np.int32)
+            before = np.concatenate([[0], total])[np.cumsum(sizes) - sizes]
+            ends = (total - np.repeat(before, sizes)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), list_array(ids, sizes), list_array(ends, sizes)], ["_id", "ids", "ends"]
             )

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Characters handed to one vectorised step inside a task.
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,3 +63,57 @@ def fresh_name(taken: list[str], name: str) -> str:
     while name.lower() in lowered:
         name = f"{name}_"
     return name
+
+
+MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
+INVERSE = pow(MULTIPLIER, -1, 1 << 64)
+
+
+@cache
+def _powers(factor: int, count: int) -> np.ndarray:
+    steps = np.full(count, factor, dtype=np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps)
+
+
+def equal_slices(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(representatives, place): the first slice of each content, and for every slice
+    the place of its content among them.
+
+    Slices of a byte array are told apart by a polynomial hash, which running sums
+    give for all slices at once, and then compared byte by byte with their
+    representative. Slices that differ under one hash get representatives of their own.
+    """
+    size = 1 << max(10, int(len(raw)).bit_length())
+    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _powers(MULTIPLIER, size)[: len(raw)], out=sums[1:])
+    lengths = ends - starts
+    hashes = (sums[ends] - sums[starts]) * _powers(INVERSE, size)[starts] + lengths.astype(np.uint64)
+    _, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+    shift = starts[first][place] - starts
+    at = np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+    alike = lengths == lengths[first][place]
+    if alike.all():
+        differ = raw[at] != raw[at + np.repeat(shift, lengths)]
+        if not differ.any():
+            return first, place
+        alike[np.repeat(np.arange(len(starts)), lengths)[differ]] = False
+    contents = [raw[s:e].tobytes() for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+    places: dict[bytes, int] = {}
+    place = np.array([places.setdefault(c, len(places)) for c in contents])
+    return np.unique(place, return_index=True)[1], place
+
+
+def gather(lists: list[bytes], place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, sizes) of the lists at the given places, one after another; a list is
+    given as the bytes of its unsigned 32-bit integers."""
+    flat = np.frombuffer(b"".join(lists), dtype="<u4")
+    counts = np.array([len(x) // 4 for x in lists], dtype=np.int64)
+    firsts = np.cumsum(counts) - counts
+    sizes = counts[place]
+    return flat[np.repeat(firsts[place] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())], sizes
+
+
+def sums_between(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Sums of the values from one cut to the next."""
+    return np.diff(np.concatenate([[0], np.cumsum(values)])[cuts])

@@ -15,7 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playmart.llm.common import documents, fresh_name, list_array, public_file, text_chunks
+from playmart.llm.common import (
+    documents,
+    equal_slices,
+    fresh_name,
+    gather,
+    list_array,
+    public_file,
+    sums_between,
+    text_chunks,
+)
 from playmart.operators import Scratch
 
 VOCABULARY = "word_bpe_49k.json"
@@ -23,6 +32,9 @@ END_OF_DOCUMENT = 1
 SEQUENCE_TOKENS = 4096
 #: Words remembered by one Python worker, and the longest word worth remembering.
 CACHED_WORDS, CACHED_BYTES = 600_000, 64
+# ASCII white space, which parts words in any case.
+WHITE = np.zeros(256, dtype=bool)
+WHITE[[0x20, *range(0x09, 0x0E)]] = True
 # What the vocabulary's word-closing tokens end with.
 CLOSING = "</w>"
 # ASCII punctuation, which the tokenizer never joins with a letter before it.
@@ -68,27 +80,36 @@ class WordIds:
         self.closing[[i for t, i in tokens.items() if t.endswith(CLOSING)]] = True
         self.known: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [t.encode("utf-8", "replace").lower().split() for t in texts]
-        new = list(set().union(*words).difference(self.known))
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each). Equal words are looked up once."""
+        whole = "\n".join([*texts, ""]).encode().lower()
+        raw = np.frombuffer(whole, dtype=np.uint8)
+        inside = np.concatenate([[False], ~WHITE[raw], [False]])
+        bounds = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = bounds[::2], bounds[1::2]
+        cuts = np.searchsorted(starts, np.cumsum([0, *(len(t.encode()) + 1 for t in texts)]))
+        first, place = equal_slices(raw, starts, ends)
+        words = list(map(whole.__getitem__, map(slice, starts[first].tolist(), ends[first].tolist())))
+        known = self.known
+        new = [w for w in words if w not in known]
         stems = [w.rstrip(PUNCTUATION) for w in new]
         parts = [
             (s, w[len(s) :]) if len(s) < len(w) and s.decode().lower()[-1:].isalpha() else (w,)
             for w, s in zip(new, stems, strict=True)
         ]
-        asked = list({p for each in parts for p in each}.difference(self.known))
+        asked = list({p for each in parts for p in each}.difference(known))
         self._learn(asked)
         for word, each in zip(new, parts, strict=True):
             if len(each) == 2:
-                self.known[word] = self.known[each[0]] + self.known[each[1]]
-        out = [b"".join(map(self.known.__getitem__, w)) for w in words]
-        new = list({*new, *asked})
+                known[word] = known[each[0]] + known[each[1]]
+        ids, sizes = gather([known[w] for w in words], place)
         # Frequent words come early; once the memory is full, later ones are rare.
-        room = CACHED_WORDS - len(self.known) + len(new)
-        for place, word in enumerate(new):
-            if place >= room or len(word) > CACHED_BYTES:
-                del self.known[word]
-        return out
+        added = {*new, *asked}
+        room = CACHED_WORDS - len(known) + len(added)
+        for number, word in enumerate(added):
+            if number >= room or len(word) > CACHED_BYTES:
+                del known[word]
+        return ids, sums_between(sizes, cuts)
 
     def _learn(self, asked: list[bytes]) -> None:
         """Look up words without punctuation at their end."""
@@ -144,8 +165,10 @@ def token_pieces(
         words = _word_ids(shared.value)
         for batch, texts in text_chunks(batches, "_text"):
             rows, numbers, starts, cut = [], [], [], []
-            for row, ids in enumerate(words.encode(texts)):
-                ids += end
+            coded, sizes = words.encode(texts)
+            flat, stops = coded.tobytes(), (4 * np.cumsum(sizes)).tolist()
+            for row, (begin, stop) in enumerate(zip([0, *stops], stops, strict=False)):
+                ids = flat[begin:stop] + end
                 for number, at in enumerate(range(0, len(ids), 4 * max_tokens)):
                     rows.append(row)
                     numbers.append(number)
@@ -159,8 +182,8 @@ def token_pieces(
                 pa.array([zlib.crc32(c) for c in cut], type=pa.int64()),
             ]
             if with_ids:
-                flat = np.frombuffer(b"".join(cut), dtype="<u4").astype(np.int32)
-                columns.append(list_array(flat, [len(c) // 4 for c in cut]))
+                numbers = np.frombuffer(b"".join(cut), dtype="<u4").astype(np.int32)
+                columns.append(list_array(numbers, [len(c) // 4 for c in cut]))
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     plain = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_text"))

@@ -4,19 +4,23 @@ from __future__ import annotations
 
 from playmart.llm.bpe import op1_byte_bpe
 from playmart.llm.licenses import OP8_SQL, op8_license_scans
+from playmart.llm.lines import op9_line_dedup
 from playmart.llm.packing import op10_best_fit_packing
 from playmart.llm.pii import op3_pii
 from playmart.llm.quality import op5_quality_rules
 from playmart.llm.topk import OP2_SQL, op2_exact_top_k
+from playmart.llm.toxicity import op4_toxicity
 from playmart.llm.urls import OP7_SQL, op7_url_filters
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_top_k": op2_exact_top_k,
     "op3_pii": op3_pii,
+    "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
     "op7_url_filters": op7_url_filters,
     "op8_license_scans": op8_license_scans,
+    "op9_line_dedup": op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 ORACLES = {
