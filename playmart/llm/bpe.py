@@ -334,40 +334,49 @@ def encode(docs: DataFrame, ranks: bytes, text: str = "text", id_column: str = "
     return plain.mapInArrow(run, schema).withColumnRenamed("_id", id_column)
 
 
-def decode(encoded: DataFrame, ranks: bytes, ids: str = "ids") -> DataFrame:
-    """Add ``decoded binary``: the bytes that the ids of each row stand for.
+def decoder(spark: SparkSession, ranks: bytes):
+    """A column function from a list of ids to the bytes that they stand for.
 
-    A null list decodes to null. An id outside of the vocabulary raises.
+    A null list gives null. An id outside of the vocabulary raises.
     """
-    shared = encoded.sparkSession.sparkContext.broadcast(ranks)
+    shared = spark.sparkContext.broadcast(ranks)
 
     @F.arrow_udf(T.BinaryType())
-    def to_bytes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        words = {i: t for t, i in parse_ranks(shared.value).items()}
-        for column in batches:
-            out = []
-            for i in range(len(column)):
-                row = column[i].values
-                out.append(None if row is None else b"".join(map(words.__getitem__, row.to_numpy().tolist())))
-            yield pa.array(out, type=pa.binary())
+    def to_bytes(column: pa.Array) -> pa.Array:
+        words = _token_bytes(shared.value)
+        lists = (column[i].values for i in range(len(column)))
+        joined = (None if x is None else b"".join(map(words.__getitem__, x.to_numpy().tolist())) for x in lists)
+        return pa.array(joined, type=pa.binary())
+
+    return to_bytes
 
-    return encoded.withColumn("decoded", to_bytes(F.col(ids)))
+
+@cache
+def _token_bytes(ranks: bytes) -> dict[int, bytes]:
+    return {i: t for t, i in parse_ranks(ranks).items()}
+
+
+def decode(encoded: DataFrame, ranks: bytes, ids: str = "ids") -> DataFrame:
+    """Add ``decoded binary``: the bytes of the ids of each row; see decoder()."""
+    return encoded.withColumn("decoded", decoder(encoded.sparkSession, ranks)(F.col(ids)))
 
 
 @F.arrow_udf(T.StringType())
 def ids_sha256(column: pa.Array) -> pa.Array:
     """SHA-256 of the ids as little-endian unsigned 32-bit integers."""
     rows = (column[i].values.to_numpy().astype("<u4").tobytes() for i in range(len(column)))
-    return pa.array([hashlib.sha256(r).hexdigest() for r in rows])
+    return pa.array([hashlib.sha256(r).hexdigest() for r in rows], type=pa.string())
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode all documents, decode the ids, digest both."""
     ranks = public_file(VOCABULARY)
-    coded = decode(encode(documents(spark, sf_dir), ranks), ranks)
-    return coded.select(
+    coded = encode(documents(spark, sf_dir), ranks)
+    # Both functions of the ids are asked for together, so one Python worker runs them.
+    both = coded.select("doc_id", "ids", ids_sha256("ids").alias("ids_sha256"), decoder(spark, ranks)("ids").alias("decoded"))
+    return both.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
-        ids_sha256("ids").alias("ids_sha256"),
+        "ids_sha256",
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )

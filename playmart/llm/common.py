@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Characters handed to one vectorised step inside a task.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,8 +32,10 @@ def public_file(name: str) -> bytes:
         return file.read()
 
 
-def text_chunks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of the batches with at most CHUNK_CHARS characters of text, or one row.
+def text_chunks(
+    batches: Iterator[pa.RecordBatch], column: str, chars: int = CHUNK_CHARS
+) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of the batches with at most ``chars`` characters of text, or one row.
 
     Yields each slice with its texts; a null text is given as an empty one.
     """
@@ -42,7 +43,7 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tupl
         texts = [t or "" for t in batch.column(column).to_pylist()]
         start = held = 0
         for end, text in enumerate(texts):
-            if end > start and held + len(text) > CHUNK_CHARS:
+            if end > start and held + len(text) > chars:
                 yield batch.slice(start, end - start), texts[start:end]
                 start, held = end, 0
             held += len(text)
@@ -69,11 +70,16 @@ MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 
 
-@cache
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(factor: int, count: int) -> np.ndarray:
-    steps = np.full(count, factor, dtype=np.uint64)
-    steps[0] = 1
-    return np.cumprod(steps)
+    """The first powers of a factor modulo 2 ** 64; the longest table is kept."""
+    if len(_POWERS.get(factor, ())) < count:
+        steps = np.full(count + count // 4, factor, dtype=np.uint64)
+        steps[0] = 1
+        _POWERS[factor] = np.cumprod(steps, out=steps)
+    return _POWERS[factor][:count]
 
 
 def equal_slices(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,20 +90,21 @@ def equal_slices(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple
     give for all slices at once, and then compared byte by byte with their
     representative. Slices that differ under one hash get representatives of their own.
     """
-    size = 1 << max(10, int(len(raw)).bit_length())
-    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _powers(MULTIPLIER, size)[: len(raw)], out=sums[1:])
+    size = len(raw) + 1
+    sums = np.zeros(size, dtype=np.uint64)
+    np.multiply(raw, _powers(MULTIPLIER, size)[:-1], out=sums[1:])
+    np.cumsum(sums, out=sums)
     lengths = ends - starts
     hashes = (sums[ends] - sums[starts]) * _powers(INVERSE, size)[starts] + lengths.astype(np.uint64)
+    del sums
     _, first, place = np.unique(hashes, return_index=True, return_inverse=True)
-    shift = starts[first][place] - starts
-    at = np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-    alike = lengths == lengths[first][place]
-    if alike.all():
-        differ = raw[at] != raw[at + np.repeat(shift, lengths)]
-        if not differ.any():
+    if (lengths == lengths[first][place]).all():
+        at = np.arange(lengths.sum(), dtype=np.int32)
+        at += np.repeat((starts - np.cumsum(lengths) + lengths).astype(np.int32), lengths)
+        own = raw[at]
+        at += np.repeat((starts[first][place] - starts).astype(np.int32), lengths)
+        if np.array_equal(own, raw[at]):
             return first, place
-        alike[np.repeat(np.arange(len(starts)), lengths)[differ]] = False
     contents = [raw[s:e].tobytes() for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
     places: dict[bytes, int] = {}
     place = np.array([places.setdefault(c, len(places)) for c in contents])

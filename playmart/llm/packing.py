@@ -31,7 +31,9 @@ VOCABULARY = "word_bpe_49k.json"
 END_OF_DOCUMENT = 1
 SEQUENCE_TOKENS = 4096
 #: Words remembered by one Python worker, and the longest word worth remembering.
-CACHED_WORDS, CACHED_BYTES = 600_000, 64
+CACHED_WORDS, CACHED_BYTES = 1_000_000, 64
+#: Characters looked up together: more of them share their words.
+TOGETHER_CHARS = 3_000_000
 # ASCII white space, which parts words in any case.
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -163,7 +165,7 @@ def token_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _word_ids(shared.value)
-        for batch, texts in text_chunks(batches, "_text"):
+        for batch, texts in text_chunks(batches, "_text", TOGETHER_CHARS):
             rows, numbers, starts, cut = [], [], [], []
             coded, sizes = words.encode(texts)
             flat, stops = coded.tobytes(), (4 * np.cumsum(sizes)).tolist()

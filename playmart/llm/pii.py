@@ -192,13 +192,14 @@ def _listed(spans: Column) -> Column:
     )
 
 
+def _count(spans: Column, number: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind_no"] == number))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of all documents: counts, digest of the base spans, all spans."""
     found = find(documents(spark, sf_dir).select("doc_id", "text"))
-    counts = [
-        F.size(F.filter("spans", lambda s, n=number: s["kind_no"] == n)).cast("bigint").alias(f"n_{kind.name}")
-        for number, kind in enumerate(KINDS[:BASE_KINDS])
-    ]
+    counts = [_count(F.col("spans"), n).cast("bigint").alias(f"n_{k.name}") for n, k in enumerate(KINDS[:BASE_KINDS])]
     base = F.filter("spans", lambda s: s["kind_no"] < BASE_KINDS)
     return found.select(
         "doc_id", *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans")

@@ -109,7 +109,7 @@ def apply_rules(
     )
     ranges = max(spark.sparkContext.defaultParallelism, ceil(pages.count() / RANGE_ROWS))
     stored = scratch.write("ranges", keyed.repartitionByRange(ranges, key, row).withColumn(part, F.spark_partition_id()))
-    bounds = stored.groupBy(F.col(part)).agg(F.min(key).alias("first"), F.max(key).alias("last"))
+    bounds = stored.groupBy(F.col(part).alias("range")).agg(F.min(key).alias("first"), F.max(key).alias("last"))
 
     start = host_key(F.col("host"))
     known = rules.filter(F.col("host").isNotNull() & F.col("path").isNotNull()).select(
@@ -118,7 +118,7 @@ def apply_rules(
     # Every key with the rule's key as its beginning is at least it and less than it
     # followed by a character beyond all others.
     meets = (F.col("start") <= F.col("last")) & (F.concat("start", F.lit("\U0010ffff")) >= F.col("first"))
-    dealt = known.join(F.broadcast(bounds), meets).select(part, "start", "rule_host", "rule_path", "verdict")
+    dealt = known.join(F.broadcast(bounds), meets).select("range", "start", "rule_host", "rule_path", "verdict")
     schema = T.StructType(
         [*stored.select(*names, "host", "path").schema, T.StructField("rule", T.StringType())]
     ).add("verdict", T.StringType())
@@ -132,7 +132,7 @@ def apply_rules(
         out = out.append_column("rule", pa.array([f and f[0] for f in found], type=pa.string()))
         return out.append_column("verdict", pa.array([f[1] if f else default for f in found], type=pa.string()))
 
-    return stored.groupBy(part).cogroup(dealt.groupBy(part)).applyInArrow(run, schema)
+    return stored.groupBy(part).cogroup(dealt.groupBy("range")).applyInArrow(run, schema)
 
 
 def rule_rows(spark: SparkSession, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
