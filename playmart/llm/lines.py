@@ -91,9 +91,10 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, text: str, order: list[str]
     """Disjoint runs of lines to delete: the columns of ``order``, start, end.
 
     Each window is matched with its first occurrence only, so that a passage in a third
-    of all documents makes as many rows as it has copies. What follows a window is
-    compared with what follows its first occurrence; what precedes it needs no look, as
-    the window that starts there matches by itself.
+    of all documents makes as many rows as it has copies. To the right, the lines up to
+    the end of the next window are compared with those after the first occurrence; from
+    there on the next window has a match of its own. To the left nothing need be
+    compared, as the window that starts there matches by itself.
     """
     windows = scratch.write("windows", _windows(docs, order, text, min_words))
     place = F.struct(*order, "start")
@@ -129,8 +130,9 @@ def remove_repeats(
     A run has ``min_words`` words or more and equal lines, white space at their ends
     aside. It occurred before if it starts in a document of a smaller id, or further up
     in its own; a null id comes first, and documents of one id are ordered by a hash
-    of their text. Of a run in many documents the first one stays. Lines without a word
-    go only from within a deleted run. All other lines stay, in order.
+    of their text. Of a run in many documents the first one stays. A repeat ends with
+    the last line of its last window, or of those lines after that which also follow the
+    window's first occurrence. Lines without a word go only from within a deleted run. All other lines stay, in order.
 
     A null text stays null and an empty one empty. Rows with equal id and text are one
     document to this operator: their runs are not repeats of each other, and all get

@@ -1,0 +1,94 @@
+"""Personal data against a plain reading of the prescribed patterns."""
+
+import random
+import re
+
+from playmart.llm import pii
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        value = int(c) * (2 if i % 2 else 1)
+        total += value - 9 if value > 9 else value
+    return total % 10 == 0
+
+
+def number(value):
+    return re.sub("[^0-9]", "", value)
+
+
+BASE = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda v: True),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda v: all(int(p) <= 255 for p in v.split("."))),
+    ("card", r"[0-9]([\x20-]?[0-9])+", lambda v: 14 <= len(number(v)) <= 19 and luhn(number(v))),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda v: 10 <= len(number(v)) <= 15),
+]
+
+
+def plain(text):
+    spans = []
+    for order, (kind, pattern, passes) in enumerate(BASE):
+        spans += [(m.start(), order, m.end(), kind) for m in re.finditer(pattern, text or "") if passes(m[0])]
+    return [(s, e, k) for s, _, e, k in sorted(spans)]
+
+
+def found(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    rows = pii.find(docs).select("doc_id", "spans").collect()
+    return {r.doc_id: [(s.start, s.end, s.kind) for s in r.spans] for r in rows}
+
+
+def test_base_spans_on_random_texts(spark):
+    draw = random.Random(11)
+    parts = ["a", "b.c", "@", ".", "+", "1", "23", "255", "256", " ", "-", "(", ")", "%", "_", "é", "𝒳", "4111 1111 1111 1111",
+             "4111111111111111", "x@y.z", "1.2.3.4", "+1 (743) 555-3824", "007.08.09.255", "\n"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randrange(25))) for _ in range(1500)]
+    texts += ["a@b.c_d@e.f", "a@b.c.d@e.f", "1.2.3.4.5.6.7.8", "4111-1111-1111-1111-", "4" * 30, "1 1 1", "", None]
+    kinds = {k for k, _, _ in BASE}
+    got = found(spark, texts)
+    for i, text in enumerate(texts):
+        assert [s for s in got[i] if s[2] in kinds] == plain(text), text
+
+
+def test_long_runs_neither_overflow_nor_stall(spark):
+    runs = ["a" * 200_000, "1" * 200_000, "1 " * 100_000, "a." * 100_000 + "@", "x@" + "a." * 50_000, "1." * 100_000, "+1" + "(" * 200_000]
+    got = found(spark, runs)
+    assert got[4][0][:2] == (0, 2 + 99_999) and len(got[5]) == 25_000
+    assert not got[0] and not got[1] and not got[6]
+
+
+def test_added_kinds_need_checksum_or_context(spark):
+    texts = [
+        "pay to GB82 WEST 1234 5698 7654 32 today",
+        "pay to GB83 WEST 1234 5698 7654 32 today",
+        "my ssn is 078-05-1120.",
+        "order 078-05-1120.",
+        'token = "1eb9c654e721b4f812088970"',
+        "call (499) 555-6503 now",
+    ]
+    got = found(spark, texts)
+    assert [[s[2] for s in got[i]] for i in range(6)] == [["iban"], [], ["social"], [], ["secret"], ["local_phone"]]
+
+
+def test_mask(spark):
+    texts = ["x a@b.cd y 1.2.3.4 é", "clean", None, "", "+1 743 555 3824, 4111111111111111"]
+    docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id int, text string, spans int")
+    rows = {r.doc_id: r.text for r in pii.mask(pii.find(docs)).collect()}
+    assert rows[0] == "x [EMAIL] y [IP] é" and rows[1] == "clean" and rows[2] is None and rows[3] == ""
+    assert "743" not in rows[4] and "4111" not in rows[4]
+    assert pii.find(docs.limit(0)).count() == 0
+
+
+def test_query(spark):
+    rows = pii.op3_pii(spark, "/root/testdata/sf0.01").collect()
+    docs = {d.doc_id: d.text for d in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    import hashlib
+
+    assert len(rows) == len(docs)
+    for row in rows:
+        spans = plain(docs[row.doc_id])
+        listed = ",".join(f"{k}:{s}:{e}" for s, e, k in spans)
+        assert row.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == [sum(k == x for _, _, k in spans) for x, _, _ in BASE]
+        assert {f"{k}:{s}:{e}" for s, e, k in spans} <= set(row.spans.split(","))

@@ -1,0 +1,58 @@
+"""Exact top-k against brute force and DuckDB."""
+
+import numpy as np
+import pytest
+
+from playmart.llm import topk
+from playmart.operators import Scratch
+from pyspark.sql import functions as F
+
+
+def brute(vectors, k, step):
+    out = []
+    for q, own in vectors.items():
+        if q % step:
+            continue
+        scored = [(-sum(a * b for a, b in zip(own, v)), i) for i, v in vectors.items() if i != q]
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scored)[:k])]
+    return sorted(out)
+
+
+def rows_of(df):
+    return sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in df.collect())
+
+
+@pytest.mark.parametrize("spread", [2, 40])
+def test_many_shards_and_ties(spark, spread, monkeypatch):
+    monkeypatch.setattr(topk, "RANGE_VECTORS", 16)
+    draw = np.random.default_rng(spread)
+    vectors = {i: draw.integers(-spread, spread, 6).tolist() for i in range(300)}
+    df = spark.createDataFrame(list(vectors.items()), "vec_id bigint, terms array<bigint>")
+    got = topk.top_k(df, F.col("vec_id") % 20 == 0, Scratch(spark, "t"), 7, shard_vectors=64, block_queries=4)
+    assert rows_of(got) == brute(vectors, 7, 20)
+
+
+def test_bounds_spare_terms():
+    """With a known threshold some terms are probed, not traversed."""
+    draw = np.random.default_rng(1)
+    values = np.concatenate([np.full((25, 8), 60), draw.integers(0, 3, (4000, 8))])
+    shard = topk.Shard(np.arange(len(values)), values)
+    ids, scores = shard.search(np.array([9, 8, 7, 1, 1, 1, 1, 1]), 0, 20)
+    expected = values @ np.array([9, 8, 7, 1, 1, 1, 1, 1])
+    expected[0] = -1
+    order = np.lexsort((np.arange(len(values)), -expected))[:20]
+    assert ids.tolist() == order.tolist() and scores.tolist() == expected[order].tolist()
+
+
+def test_odd_rows(spark):
+    rows = [(0, [1, 2]), (0, [1, 2]), (20, [3]), (40, None), (None, [9, 9]), (60, []), (7, [0, 0]), (9, [-5, 1, 4])]
+    df = spark.createDataFrame([(a, b, 1) for a, b in rows], "vec_id bigint, terms array<bigint>, score int")
+    got = topk.top_k(df, F.col("vec_id") % 20 == 0, Scratch(spark, "t"), 3)
+    padded = {0: [1, 2, 0], 20: [3, 0, 0], 60: [0, 0, 0], 7: [0, 0, 0], 9: [-5, 1, 4]}
+    assert rows_of(got) == brute(padded, 3, 20)
+    assert topk.top_k(df.limit(0), F.col("vec_id") >= 0, Scratch(spark, "t")).count() == 0
+
+
+def test_unusable_vectors(spark):
+    df = spark.createDataFrame([(1, [1.0, None]), (2, [float("nan")]), (3, [float("inf")]), (4, [0.5]), (5, None)], "i int, v array<float>")
+    assert [r.i for r in df.filter(topk.usable(F.col("v"))).collect()] == [4]
