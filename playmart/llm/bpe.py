@@ -23,7 +23,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playmart.llm.common import documents, equal_slices, gather, list_array, public_file, sums_between, text_chunks
+from playmart.llm.common import (
+    bound_batches,
+    documents,
+    equal_slices,
+    gather,
+    list_array,
+    public_file,
+    sums_between,
+    text_chunks,
+)
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pieces remembered by one Python worker, and the longest piece worth remembering.
@@ -310,6 +319,7 @@ def encode(docs: DataFrame, ranks: bytes, text: str = "text", id_column: str = "
     A null text counts as an empty one: no ids. Repeated rows are encoded each. Other
     columns are ignored, whatever their names. An empty table gives an empty result.
     """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     kind = docs.schema[id_column].dataType
 

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Characters handed to one vectorised step inside a task.
 CHUNK_CHARS = 1_000_000
+#: Rows of one Arrow batch, at most. Spark's default of 10,000 can be GBs of whole texts.
+BATCH_ROWS = 1000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +35,13 @@ def public_file(name: str) -> bytes:
         return file.read()
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to BATCH_ROWS, unless they are smaller already."""
+    rows = int(spark.conf.get(BATCH_SETTING, "0"))
+    if not 0 < rows <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 def text_chunks(
     batches: Iterator[pa.RecordBatch], column: str, chars: int = CHUNK_CHARS
 ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

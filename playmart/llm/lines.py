@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playmart.llm.common import documents, fresh_name, list_array, text_chunks
+from playmart.llm.common import bound_batches, documents, fresh_name, list_array, text_chunks
 from playmart.operators import Scratch
 
 #: Words that a run must have to be deleted where it repeats.
@@ -96,6 +96,7 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, text: str, order: list[str]
     there on the next window has a match of its own. To the left nothing need be
     compared, as the window that starts there matches by itself.
     """
+    bound_batches(docs.sparkSession)
     windows = scratch.write("windows", _windows(docs, order, text, min_words))
     place = F.struct(*order, "start")
     first = (

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playmart.llm.common import documents, equal_slices, list_array, text_chunks
+from playmart.llm.common import bound_batches, documents, equal_slices, list_array, text_chunks
 from playmart.llm.components import components
 from playmart.operators import Scratch
 from playmart.operators.lookup import broadcast_within
@@ -384,6 +384,7 @@ def near_duplicates(
 
     Shingles are told apart by 64-bit hashes and sets by 128-bit ones.
     """
+    bound_batches(docs.sparkSession)
     keyed = docs.select(F.col(id_column).alias("near_id"), F.col(text).alias("near_text")).withColumn(
         "near_hash", F.xxhash64("near_text")
     )

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playmart.llm.common import (
+    bound_batches,
     documents,
     equal_slices,
     fresh_name,
@@ -154,6 +155,7 @@ def token_pieces(
     ``with_ids``. A null text counts as an empty one and gives one piece of one token.
     Repeated rows give their pieces each. Other columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     kind = docs.schema[id_column].dataType
     schema = T.StructType([T.StructField("_id", kind), T.StructField("piece", T.IntegerType())])

@@ -14,6 +14,7 @@ other documents are negative.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playmart.llm.common import documents, table, text_chunks
+from playmart.llm.common import bound_batches, documents, table, text_chunks
 
 #: Labelled documents that training takes at most, by class; longer texts are passed
 #: over there. These bounds hold for training only: scoring reads every whole text.
@@ -35,6 +36,8 @@ TOXIC_LANDMARKS, OTHER_LANDMARKS = 96, 96
 #: Different words of non-toxic documents used as negative examples, at most.
 NEGATIVE_WORDS = 30_000
 ROUNDS = 4
+#: Weight of a toxic document's witness against a word of another document.
+POSITIVE_WEIGHT = 1.0
 DECAY, MAX_SPAN = 0.6, 5
 #: Longer words are read in overlapping windows of so many letters.
 WINDOW = 24
@@ -124,12 +127,11 @@ def _machine(
 
 @dataclass(frozen=True)
 class Model:
-    """One weight per triple, a bias, and the map from margin to probability."""
+    """One weight per triple, a bias, and the map from a text's features to probability."""
 
     weights: np.ndarray
     bias: float
-    slope: float
-    offset: float
+    curve: tuple[float, ...]
 
     def margins(self, words: list[str]) -> np.ndarray:
         """The largest margin among each word's windows."""
@@ -139,8 +141,16 @@ class Model:
         flat = np.bincount(row, weight * self.weights[name], minlength=sum(sizes)) + self.bias
         return np.maximum.reduceat(flat, np.cumsum([0, *sizes[:-1]])) if sizes else flat
 
-    def probability(self, margin: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
+    def features(self, margins: list[float]) -> tuple[float, float, float, float]:
+        """Of a text with these margins of its different words: the largest, the second
+        one, how many words there were to choose from, and 1."""
+        worst = heapq.nlargest(2, margins)
+        worst += [self.bias] * (2 - len(worst))
+        return max(worst[0], self.bias), max(worst[1], self.bias), float(np.log1p(len(margins))), 1.0
+
+    def probability(self, features: list[tuple[float, float, float, float]]) -> np.ndarray:
+        logits = np.array(features, dtype=np.float64).reshape(-1, 4) @ np.array(self.curve)
+        return 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
 
 
 def _kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
@@ -155,36 +165,57 @@ def _kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     return out
 
 
-def _calibrated(margins: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve through (margin, toxic), by Newton steps."""
+def _calibrated(x: np.ndarray, toxic: np.ndarray) -> tuple[float, ...]:
+    """A logistic curve through the features, by Newton steps."""
     high, low = toxic.sum() + 1.0, (~toxic).sum() + 1.0
     wanted = np.where(toxic, high / (high + 1), 1 / (low + 1))
-    x = np.stack([margins, np.ones(len(margins))], axis=1)
-    solution = np.array([1.0, 0.0])
+    solution = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ solution, -30, 30)))
-        slope = x.T @ (p - wanted) + 1e-3 * solution
-        curve = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + 1e-3 * np.eye(2)
+        slope = x.T @ (p - wanted) + 0.1 * solution
+        curve = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + 0.1 * np.eye(x.shape[1])
         solution = solution - np.linalg.solve(curve, slope)
-    return float(max(solution[0], 0.0)), float(solution[1])
+    return tuple(solution.tolist())
 
 
 def train(bags: list[tuple[list[str], bool]]) -> Model:
-    """Fit on (words, toxic) of labelled documents; constant without both classes."""
+    """Fit on (words, toxic) of labelled documents; constant without both classes.
+
+    The curve is fitted on margins by machines that have not seen the document: two
+    halves, each judged by the machine of the other.
+    """
     seen: dict[tuple[str, ...], bool] = {}
     for words, toxic in bags:
         seen.setdefault(tuple(sorted({v for w in words for v in _windows(w)})), toxic)
+    share = (sum(t for _, t in bags) + 1) / (len(bags) + 2)
+    constant = Model(np.zeros(CODES**3, dtype=np.float32), 0.0, (0.0, 0.0, 0.0, float(np.log(share / (1 - share)))))
+    # Both classes are spread evenly over the halves.
+    ranked = sorted(seen, key=lambda b: (seen[b], len(b), b))
+    halves = [ranked[0::2], ranked[1::2]]
+    whole, *parts = (_weights({b: seen[b] for b in part}) for part in (ranked, *halves))
+    if whole is None or None in parts:
+        return constant
+    features = [
+        other.features(other.margins(list(b)).tolist())
+        for half, other in zip(halves, (Model(*p, constant.curve) for p in reversed(parts)), strict=True)
+        for b in half
+    ]
+    toxic = np.array([seen[b] for half in halves for b in half])
+    return Model(*whole, _calibrated(np.array(features), toxic))
+
+
+def _weights(seen: dict[tuple[str, ...], bool]) -> tuple[np.ndarray, float] | None:
+    """Triple weights and bias of a machine for bags of words, or None without both
+    classes."""
     toxic_bags = [list(b) for b, toxic in seen.items() if toxic]
     other_bags = [list(b) for b, toxic in seen.items() if not toxic]
-    share = (sum(t for _, t in bags) + 1) / (len(bags) + 2)
-    constant = Model(np.zeros(CODES**3), 0.0, 0.0, float(np.log(share / (1 - share))))
     counts, against = Counter(), Counter()
     for bag in toxic_bags:
         counts.update(bag)
     for bag in other_bags:
         against.update(bag)
     if not counts or not against:
-        return constant
+        return None
 
     def leaning(word: str) -> float:
         """How far the word's share of toxic documents exceeds that of others, in
@@ -201,7 +232,7 @@ def train(bags: list[tuple[list[str], bool]]) -> Model:
     spread = usual[:: max(1, len(usual) // OTHER_LANDMARKS)][:OTHER_LANDMARKS]
     landmarks = marked + spread
     if not marked or not spread:
-        return constant
+        return None
 
     inner = _kernel(landmarks, landmarks)
     values, vectors = np.linalg.eigh(inner)
@@ -228,22 +259,17 @@ def train(bags: list[tuple[list[str], bool]]) -> Model:
             break
         x = np.vstack([above[chosen], below])
         signs = np.concatenate([np.ones(len(chosen)), -np.ones(len(below))])
-        balance = np.concatenate(
-            [np.full(len(chosen), 0.5 * len(below) / len(chosen)), np.log1p([against[w] for w in negative])]
-        )
+        # A word counts by the documents that it stands for; both classes weigh alike.
+        evened = np.full(len(chosen), POSITIVE_WEIGHT * len(other_bags) / len(toxic_bags))
+        balance = np.concatenate([evened, [against[w] for w in negative]])
         solution = _machine(x, signs, balance, 1.0, solution)
     if solution is None:
-        return constant
+        return None
     by_landmark = root @ solution[:-1]
     row, name, weight = triples(landmarks)
     weights = np.zeros(CODES**3)
     np.add.at(weights, name, weight * by_landmark[row])
-    model = Model(weights, float(solution[-1]), 1.0, 0.0)
-    known = sorted({w for b in seen for w in b})
-    margin_of = dict(zip(known, model.margins(known).tolist(), strict=True))
-    margins = np.array([max((margin_of[w] for w in b), default=model.bias) for b in seen])
-    slope, offset = _calibrated(margins, np.array(list(seen.values())))
-    return Model(weights.astype(np.float32), model.bias, slope, offset)
+    return weights.astype(np.float32), float(solution[-1])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -279,24 +305,26 @@ _KNOWN: dict[int, dict[str, float]] = {}
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Add ``toxicity``: the probability that a text is toxic, from its worst word.
+    """Add ``toxicity``: the probability that a text is toxic, from its two worst words
+    and the number of its different words.
 
     Every whole text is read. A null text counts as an empty one; a text without words
     gets the value of a word without letters. Repeated rows get equal values. Other
     columns stay; one called toxicity is replaced.
     """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     plain = docs.drop("toxicity")
     schema = T.StructType([*plain.schema.fields, T.StructField("toxicity", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        known = _KNOWN.setdefault(hash((model.bias, model.slope, model.offset)), {})
+        known = _KNOWN.setdefault(hash((model.bias, model.curve)), {})
         for batch, texts in text_chunks(batches, text):
-            words = [words_of(t) for t in texts]
+            words = [set(words_of(t)) for t in texts]
             new = list(set().union(*words).difference(known))
             known.update(zip(new, model.margins(new).tolist(), strict=True))
-            worst = np.array([max(map(known.__getitem__, w), default=model.bias) for w in words])
+            worst = [model.features(list(map(known.__getitem__, w))) for w in words]
             room = CACHED_WORDS - len(known) + len(new)
             for place, word in enumerate(new):
                 if place >= room or len(word) > CACHED_CHARS:
