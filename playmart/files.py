@@ -28,13 +28,12 @@ def total_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(hadoop_path).getLength()
 
 
-def data_files(spark: SparkSession, path: str) -> list[str]:
-    """Paths of the data files directly below ``path``, without job markers."""
+def names_below(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders directly below ``path``; none if it is missing."""
     hadoop_path, fs = _hadoop(spark, path)
     if not fs.exists(hadoop_path):
         return []
-    found = [entry.getPath() for entry in fs.listStatus(hadoop_path)]
-    return [entry.toString() for entry in found if not entry.getName().startswith(("_", "."))]
+    return sorted(entry.getPath().getName() for entry in fs.listStatus(hadoop_path))
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -42,6 +41,13 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def delete_empty(spark: SparkSession, path: str) -> None:
+    """Delete a folder unless something lies in it."""
+    hadoop_path, fs = _hadoop(spark, path)
+    if fs.exists(hadoop_path) and not fs.listStatus(hadoop_path):
+        fs.delete(hadoop_path, False)
+
+
 def make_temporary(spark: SparkSession, path: str) -> None:
     """Create a folder that goes away when the driver exits."""
     hadoop_path, fs = _hadoop(spark, path)

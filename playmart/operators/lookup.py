@@ -11,17 +11,18 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 128 * 1024 * 1024
 VALUE_BYTES = 8  # a fixed-width value, or the offset of a variable one
+ROW_BYTES = 64  # row headers, a copy of the key, and the hash table's pointers
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Uncompressed size of all rows, from their actual values."""
+    """Size of all rows in a hashed relation, from their actual values."""
     widths = [
         F.coalesce(F.octet_length(c), F.lit(0)) + VALUE_BYTES
-        if isinstance(df.schema[c].dataType, T.StringType)
+        if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))
         else F.lit(VALUE_BYTES)
         for c in df.columns
     ]
-    return df.agg(F.sum(reduce(add, widths).cast("bigint"))).first()[0] or 0
+    return df.agg(F.sum(reduce(add, widths, F.lit(ROW_BYTES)).cast("bigint"))).first()[0] or 0
 
 
 def broadcast_within(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from math import ceil
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from playmart.functions import checked_cast
@@ -22,21 +24,43 @@ SMALL_ROWS = 100_000
 MAX_PARTITIONS = 50_000
 
 
-def range_partitions(total_bytes: int, rows: int, cores: int) -> int:
+@contextmanager
+def file_by_file(spark: SparkSession) -> Iterator[None]:
+    """Within it, a scan never puts two files into one task.
+
+    Spark packs small files by size, which mixes distant ranges of a sorted table.
+    With an opening cost of a whole split, each file, or each part of a large one, is
+    a task of its own, so rows that are written again keep their order.
+    """
+    cost, split = "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(cost)
+    spark.conf.set(cost, spark.conf.get(split))
+    try:
+        yield
+    finally:
+        spark.conf.set(cost, before)
+
+
+def range_partitions(total_bytes: int, rows: int, cores: int, most: int = MAX_PARTITIONS) -> int:
     """Range partitions for ``rows`` rows in ``total_bytes`` of parquet.
 
     Aims at TARGET_BYTES and TARGET_ROWS each; rows matter because repeated
     values all but vanish in parquet, yet are sorted at full width. Less data
-    than that is spread over the idle cores. MAX_PARTITIONS bounds the offset
-    table.
+    than that is spread over the idle cores. ``most`` bounds the offset table:
+    beyond ``most`` times the target, partitions grow instead.
     """
     by_size = max(ceil(total_bytes / TARGET_BYTES), ceil(rows / TARGET_ROWS))
     by_cores = min(cores, ceil(rows / SMALL_ROWS))
-    return max(1, min(MAX_PARTITIONS, max(by_size, by_cores)))
+    return max(1, min(most, max(by_size, by_cores)))
 
 
 def dense_ids(
-    df: DataFrame, id_name: str, scratch: Scratch, start: int = 0, id_type: str = "bigint"
+    df: DataFrame,
+    id_name: str,
+    scratch: Scratch,
+    start: int = 0,
+    id_type: str = "bigint",
+    max_partitions: int = MAX_PARTITIONS,
 ) -> DataFrame:
     """Prepend ids ``start .. start + n - 1`` in the order of all columns.
 
@@ -47,8 +71,9 @@ def dense_ids(
        over several partitions. Write again, with each row's partition and
        ordinal.
     3. The id is the partition's offset plus the ordinal. Offsets come from one
-       count per partition: at most MAX_PARTITIONS rows, so both the running sum
-       and the broadcast are bounded whatever the size of the data.
+       count per partition: at most ``max_partitions`` rows of two numbers, so the
+       running sum and the broadcast stay small. The default holds the targets up
+       to 6.4 TB of parquet or 100 billion rows; give more for more.
 
     Identical rows may swap ids, which leaves the same table.
     """
@@ -56,7 +81,7 @@ def dense_ids(
     columns = df.columns
     raw = scratch.write(f"{id_name}-raw", df.withColumn(TIE, F.monotonically_increasing_id()))
     partitions = range_partitions(
-        scratch.bytes(f"{id_name}-raw"), raw.count(), spark.sparkContext.defaultParallelism
+        scratch.bytes(f"{id_name}-raw"), raw.count(), spark.sparkContext.defaultParallelism, max_partitions
     )
     ordered = (
         raw.repartitionByRange(partitions, *columns, TIE)

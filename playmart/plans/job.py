@@ -8,10 +8,11 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 from playmart.operators import Scratch
+from playmart.operators.numbering import file_by_file
 from playmart.plans.star import build_artists, build_songplays, build_songs, build_time, build_users
 from playmart.schemas import TARGETS
 from playmart.sinks import Warehouse
-from playmart.sources.json_trees import read_json_quarantine, read_json_table
+from playmart.sources.json_trees import read_json_parsed, read_json_table, split_malformed
 
 
 @contextmanager
@@ -40,11 +41,12 @@ def load_staging(
     for table, path, paths in [("staging_events", log_path, event_paths), ("staging_songs", song_path, None)]:
         source = (warehouse.spark, path, table, paths, warehouse.numeric_mode)
         if quarantine is None:
-            rows = read_json_table(*source)
-        else:
-            rows, malformed = read_json_quarantine(*source)
+            warehouse.load(table, read_json_table(*source), mode)
+            continue
+        with _scratch(warehouse.spark, table) as scratch:  # so that the files are parsed once
+            rows, malformed = split_malformed(scratch.write("parsed", read_json_parsed(*source)))
             malformed.write.mode(mode).json(f"{quarantine}/{table}")
-        warehouse.load(table, rows, mode)
+            warehouse.load(table, rows, mode)
 
 
 def load_targets(
@@ -73,7 +75,9 @@ def load_targets(
                 plays = build_songplays(
                     events, songs, scratch, start, ignore_trailing_blanks=ignore_trailing_blanks
                 )
-                warehouse.load(table, plays, mode)
+                # The numbered rows are read back sorted; so they are stored.
+                with file_by_file(warehouse.spark):
+                    warehouse.load(table, plays, mode)
         else:
             warehouse.load(table, builders[table](), mode)
 

@@ -18,6 +18,8 @@ from playmart.functions import coerce
 from playmart.schemas import COLUMNS, column_names
 
 CORRUPT = "_corrupt_record"
+# Columns beside the typed ones: the line's file, and the line itself if malformed.
+FILE, BAD = "_file", "_malformed"
 _STEP = re.compile(r"\[\s*'((?:[^'\\]|\\.)*)'\s*\]|\[\s*\"((?:[^\"\\]|\\.)*)\"\s*\]|\.([^.\[\]]+)|\[(\d+)\]")
 
 
@@ -64,19 +66,50 @@ def _raw_schema(paths: list[str]) -> T.StructType:
     return T.StructType([T.StructField(k, T.StringType()) for k in keys])
 
 
-def _reader(source: Any, schema: T.StructType, mode: str) -> Any:
-    # Without recursive lookup a reader with a schema finds no rows, silently,
-    # in trees whose files lie below unnamed sub-directories.
-    return source.schema(schema).option("recursiveFileLookup", "true").option("mode", mode)
+def _lines(reader: Any, path: str) -> DataFrame:
+    """All lines below ``path`` that are not blank, as value and file."""
+    # Without recursive lookup a reader finds no rows, silently, in trees whose files
+    # lie below unnamed sub-directories.
+    found = reader.format("text").option("recursiveFileLookup", "true").load(path)
+    lines = found.select("value", F.col("_metadata.file_path").alias(FILE))
+    return lines.filter(F.trim("value", F.lit(" \t\r")) != "")
 
 
-def _typed(raw: DataFrame, table: str, paths: list[str], numeric_mode: str) -> DataFrame:
-    return raw.select(
-        *[
-            coerce(_raw_field(path), name, kind, numeric_mode)
-            for path, (name, kind) in zip(paths, COLUMNS[table], strict=True)
-        ]
-    )
+def _parsed(lines: DataFrame, table: str, paths: list[str], numeric_mode: str) -> DataFrame:
+    """Typed columns of each line, with ``_corrupt_record``: the line if it is not
+    exactly one JSON object, else NULL.
+
+    A parser alone would take the first value of a line and drop what follows it.
+    """
+    schema = _raw_schema(paths)
+    kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    single = F.json_array_length(F.concat(F.lit("["), "value", F.lit("]"))) == 1
+    is_object = F.ltrim("value").startswith("{")
+    raw = lines.select("value", FILE, F.from_json("value", kept, options).alias("raw"))
+    sound = F.coalesce(single & is_object & F.col("raw").isNotNull() & F.col(f"raw.{CORRUPT}").isNull(), F.lit(False))
+    flat = raw.select("raw.*", FILE, F.when(sound, None).otherwise(F.col("value")).alias(BAD)).drop(CORRUPT)
+    # Fields of a malformed line are not cast: it may be set aside rather than fail.
+    fields = [F.when(F.col(BAD).isNull(), _raw_field(path)) for path in paths]
+    typed = [
+        coerce(field, name, kind, numeric_mode)
+        for field, (name, kind) in zip(fields, COLUMNS[table], strict=True)
+    ]
+    return flat.select(*typed, FILE, BAD)
+
+
+def _sound_rows(parsed: DataFrame) -> DataFrame:
+    """The typed rows; a malformed line fails the job."""
+    message = F.concat(F.lit("MALFORMED record in "), FILE, F.lit(": "), BAD)
+    sound = F.when(F.col(BAD).isNull(), True).otherwise(F.raise_error(message).cast("boolean"))
+    return parsed.filter(sound).drop(FILE, BAD)
+
+
+def split_malformed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(typed rows, malformed lines with their file) of a parsed and stored frame."""
+    good = parsed.filter(F.col(BAD).isNull()).drop(FILE, BAD)
+    bad = parsed.filter(F.col(BAD).isNotNull()).select(F.col(FILE).alias("file"), F.col(BAD).alias("record"))
+    return good, bad
 
 
 def _field_paths(table: str, paths: list[str] | None) -> list[str]:
@@ -91,10 +124,19 @@ def _field_paths(table: str, paths: list[str] | None) -> list[str]:
 def read_json_table(
     spark: SparkSession, path: str, table: str, paths: list[str] | None = None, numeric_mode: str = "exact"
 ) -> DataFrame:
-    """Typed staging frame; a malformed record or a junk value aborts the load."""
-    paths = _field_paths(table, paths)
-    raw = _reader(spark.read, _raw_schema(paths), "FAILFAST").json(path)
-    return _typed(raw, table, paths, numeric_mode)
+    """Typed staging frame; a malformed record or a junk value aborts the load.
+
+    A record is one JSON object on a line of its own. A line with two of them, or with
+    anything after the first, is malformed.
+    """
+    return _sound_rows(read_json_parsed(spark, path, table, paths, numeric_mode))
+
+
+def read_json_parsed(
+    spark: SparkSession, path: str, table: str, paths: list[str] | None = None, numeric_mode: str = "exact"
+) -> DataFrame:
+    """Typed rows and malformed lines in one frame, for :func:`split_malformed`."""
+    return _parsed(_lines(spark.read, path), table, _field_paths(table, paths), numeric_mode)
 
 
 def stream_json_table(
@@ -105,35 +147,22 @@ def stream_json_table(
     numeric_mode: str = "exact",
     max_files: int | None = None,
 ) -> DataFrame:
-    """Streaming form of :func:`read_json_table`: each file is read once."""
-    paths = _field_paths(table, paths)
-    source = _reader(spark.readStream, _raw_schema(paths), "FAILFAST")
+    """Streaming form of :func:`read_json_parsed`: each file is read once."""
+    reader = spark.readStream
     if max_files is not None:
-        source = source.option("maxFilesPerTrigger", str(max_files))
-    return _typed(source.json(path), table, paths, numeric_mode)
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    return _parsed(_lines(reader, path), table, _field_paths(table, paths), numeric_mode)
 
 
 def read_json_quarantine(
     spark: SparkSession, path: str, table: str, paths: list[str] | None = None, numeric_mode: str = "exact"
 ) -> tuple[DataFrame, DataFrame]:
-    """(typed rows, malformed records): broken lines are reported, not fatal."""
-    paths = _field_paths(table, paths)
-    schema = _raw_schema(paths)
-    # Spark refuses a plan that reads the corrupt-record column alone, so both
-    # parts also read one data field, through a condition that always holds.
-    any_field = F.coalesce(F.length(_quoted(schema[0].name)), F.lit(0)) >= 0
-    raw = (
-        _reader(spark.read, schema.add(CORRUPT, T.StringType()), "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-        .filter(any_field)
-        .select("*", F.col("_metadata.file_path").alias("_file"))
-    )
-    good = _typed(raw.filter(F.col(CORRUPT).isNull()), table, paths, numeric_mode)
-    bad = raw.filter(F.col(CORRUPT).isNotNull()).select(
-        F.col("_file").alias("file"), F.col(CORRUPT).alias("record")
-    )
-    return good, bad
+    """(typed rows, malformed records): broken lines are reported, not fatal.
+
+    Each part parses the files when it is evaluated; store :func:`read_json_parsed`
+    and split that to parse them once.
+    """
+    return split_malformed(read_json_parsed(spark, path, table, paths, numeric_mode))
 
 
 def read_events(
