@@ -32,20 +32,31 @@ def _arguments() -> argparse.Namespace:
         if name == "load":
             command.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
             command.add_argument("--staging-mode", choices=["overwrite", "append"], default="overwrite")
+        if name in ("load", "arrivals"):
             command.add_argument("--ignore-trailing-blanks", action="store_true", help="in artist names and titles")
             command.add_argument("--quarantine", help="folder for malformed records; without it they abort the load")
         if name == "arrivals":
             command.add_argument("--max-files", type=int, help="most files of one micro-batch")
         if name == "report":
             command.add_argument("--incremental", action="store_true", help="report on tables loaded by arrivals")
+            command.add_argument("--out", help="folder to write the reports to as JSON, too")
     return parser.parse_args()
 
 
-def _report(tables: Warehouse | ArrivalStore) -> None:
+def _report(tables: Warehouse | ArrivalStore, out: str | None) -> None:
+    """Print all rows of each report in full; their number is that of the groups."""
     plays = tables.table("songplays")
-    reports.plays_by_hour(plays, tables.table("time")).show(24)
-    reports.plays_by_level(plays).show()
-    reports.users_by_gender(tables.table("users")).show()
+    results = {
+        "plays_by_hour": reports.plays_by_hour(plays, tables.table("time")),
+        "plays_by_level": reports.plays_by_level(plays),
+        "users_by_gender": reports.users_by_gender(tables.table("users")),
+    }
+    for name, result in results.items():
+        stored = result.persist()
+        if out:
+            stored.write.mode("overwrite").json(f"{out}/{name}")
+        stored.show(max(1, stored.count()), truncate=False)
+        stored.unpersist()
 
 
 def main() -> None:
@@ -56,10 +67,10 @@ def main() -> None:
         warehouse.reset()
     elif args.command == "report":
         if args.incremental:
-            _report(ArrivalStore(spark, args.root, args.numeric_mode))
+            _report(ArrivalStore(spark, args.root, args.numeric_mode), args.out)
         else:
             warehouse.create()
-            _report(warehouse)
+            _report(warehouse, args.out)
     else:
         paths = read_path_list(spark, args.event_paths) if args.event_paths else None
         if args.command == "load":
@@ -77,7 +88,17 @@ def main() -> None:
                 args.quarantine,
             )
         else:
-            load_arrivals(spark, args.logs, args.songs, args.root, paths, args.numeric_mode, args.max_files)
+            load_arrivals(
+                spark,
+                args.logs,
+                args.songs,
+                args.root,
+                paths,
+                args.numeric_mode,
+                args.max_files,
+                args.ignore_trailing_blanks,
+                args.quarantine,
+            )
     spark.stop()
 
 

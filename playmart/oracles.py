@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+from playmart.schemas import COLUMNS, NOT_NULL
+
 STAGED = """
 WITH staging_events AS (
-    SELECT p_brand AS artist,
+    SELECT 'Artist ' || (p_partkey // 60) AS artist,
            CAST(NULL AS VARCHAR) AS auth,
            c_name AS "firstName",
-           CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
+           CASE WHEN c_custkey % 10 = 7 THEN NULL WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
            CAST(NULL AS INTEGER) AS "iteminSession",
            c_mktsegment AS "lastName",
            CAST(NULL AS DECIMAL(23,5)) AS length,
-           CASE WHEN value >= 20 THEN 'paid' ELSE 'free' END AS level,
+           CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN value >= 20 THEN 'paid' ELSE 'free' END AS level,
            n_name AS location,
            CAST(NULL AS VARCHAR) AS method,
            CASE WHEN event_type = 'view' THEN 'NextSong' ELSE event_type END AS page,
            CAST(NULL AS DECIMAL(23,5)) AS registration,
            CAST(user_id AS INTEGER) AS "sessionId",
-           p_name AS song,
+           'Title ' || (p_partkey // 3) AS song,
            CAST(NULL AS INTEGER) AS status,
            epoch_us(ts) // 1000 AS ts,
            event_type AS "userAgent",
@@ -29,13 +31,13 @@ WITH staging_events AS (
 ),
 staging_songs AS (
     SELECT CAST(1 AS INTEGER) AS num_songs,
-           p_brand AS artist_id,
+           'AR' || (p_partkey // 60) AS artist_id,
            CAST(NULL AS DECIMAL(23,5)) AS artist_latitude,
            CAST(NULL AS DECIMAL(23,5)) AS artist_longitude,
            p_type AS artist_location,
-           p_brand AS artist_name,
+           'Artist ' || (p_partkey // 60) AS artist_name,
            'SO' || p_partkey AS song_id,
-           p_name AS title,
+           'Title ' || (p_partkey // 3) AS title,
            CAST(p_retailprice AS DECIMAL(23,5)) AS duration,
            CAST(p_size AS INTEGER) AS year
     FROM part
@@ -126,9 +128,29 @@ _RESULTS |= {
         UNION ALL SELECT 'artists', count(*)
                   FROM (SELECT DISTINCT artist_id, artist_name, artist_location FROM staging_songs)
         UNION ALL SELECT 'time', count(*) FROM time_rows""",
-    "stored_plays_by_hour": _RESULTS["plays_by_hour"],
-    "stored_plays_by_level": _RESULTS["plays_by_level"],
-    "stored_users_by_gender": _RESULTS["users_by_gender"],
+    "plays_by_hour_from_staging": _RESULTS["plays_by_hour"],
+    "plays_by_level_from_staging": _RESULTS["plays_by_level"],
+    "users_by_gender_from_staging": _RESULTS["users_by_gender"],
+    "arrivals_late_songs": "SELECT * EXCLUDE (songplay_id) FROM numbered",
+    "overwritten_songplays": _RESULTS["songplays"],
+    "etl_songplays": _RESULTS["songplays"],
+    "etl_users": _RESULTS["users"],
+    "etl_time": _RESULTS["time"],
+    "reset_row_counts": "SELECT * FROM (VALUES "
+    + ", ".join(f"('{table}', CAST(0 AS BIGINT))" for table in COLUMNS)
+    + ") AS t(table_name, n)",
+    "not_null_rejects": "SELECT * FROM (VALUES "
+    + ", ".join(f"('{table}', '{column}', true)" for table, columns in NOT_NULL.items() for column in columns)
+    + ") AS t(table_name, column_name, rejected)",
+    "ingest_dirty_events": """
+        SELECT "userId", "sessionId", ts, page, CAST(ts AS DECIMAL(23,5)) AS registration FROM staging_events""",
+    "quarantined_events": """
+        SELECT CASE WHEN ts % 4 = 0 THEN "sessionId" END AS session_id,
+               CASE WHEN ts % 4 = 0 THEN ts END AS ts,
+               CASE ts % 4 WHEN 1 THEN line || line WHEN 2 THEN line || ' xyz{bad'
+                    WHEN 3 THEN left(line, length(line) - 2) END AS record
+        FROM (SELECT "sessionId", ts, '{"sessionId":' || "sessionId" || ',"ts":' || ts || '}' AS line
+              FROM staging_events)""",
 }
 
 ORACLES = {name: f"{STAGED}{result.strip()}" for name, result in _RESULTS.items()}

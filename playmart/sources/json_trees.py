@@ -98,7 +98,7 @@ def _parsed(lines: DataFrame, table: str, paths: list[str], numeric_mode: str) -
     return flat.select(*typed, FILE, BAD)
 
 
-def _sound_rows(parsed: DataFrame) -> DataFrame:
+def sound_rows(parsed: DataFrame) -> DataFrame:
     """The typed rows; a malformed line fails the job."""
     message = F.concat(F.lit("MALFORMED record in "), FILE, F.lit(": "), BAD)
     sound = F.when(F.col(BAD).isNull(), True).otherwise(F.raise_error(message).cast("boolean"))
@@ -129,7 +129,7 @@ def read_json_table(
     A record is one JSON object on a line of its own. A line with two of them, or with
     anything after the first, is malformed.
     """
-    return _sound_rows(read_json_parsed(spark, path, table, paths, numeric_mode))
+    return sound_rows(read_json_parsed(spark, path, table, paths, numeric_mode))
 
 
 def read_json_parsed(

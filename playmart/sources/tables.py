@@ -15,7 +15,7 @@ SCHEMAS = {
     "events": "ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
     "nation": "n_nationkey int, n_name string",
-    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "part": "p_partkey bigint, p_type string, p_size int, p_retailprice double",
 }
 
 
@@ -37,6 +37,16 @@ def _part_key(props: str) -> Column:
     return F.nullif(F.regexp_extract(props, r'"k"\s*:\s*(\d+)', 1), F.lit("")).cast("bigint")
 
 
+def _artist() -> Column:
+    """Sixty neighbouring parts share an artist."""
+    return F.concat(F.lit("Artist "), F.expr("p_partkey div 60").cast("string"))
+
+
+def _title() -> Column:
+    """Three neighbouring parts share a title, so each play matches three songs."""
+    return F.concat(F.lit("Title "), F.expr("p_partkey div 3").cast("string"))
+
+
 def _typed(values: dict[str, Column], table: str) -> list[Column]:
     """All columns of ``table`` in order and type; those without a value are NULL."""
     return [values.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in column_types(table)]
@@ -66,15 +76,15 @@ def staging_events(spark: SparkSession, sf_dir: str, plays_only: bool = False) -
         .join(part, events.k == part.p_partkey)
     )
     values = {
-        "artist": F.col("p_brand"),
+        "artist": _artist(),
         "firstName": F.col("c_name"),
-        "gender": F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("M"),
+        "gender": F.when(F.col("c_custkey") % 10 == 7, None).when(F.col("c_custkey") % 2 == 0, "F").otherwise("M"),
         "lastName": F.col("c_mktsegment"),
-        "level": F.when(F.col("value") >= 20, "paid").otherwise("free"),
+        "level": F.when(F.col("c_custkey") % 13 == 0, None).when(F.col("value") >= 20, "paid").otherwise("free"),
         "location": F.col("n_name"),
         "page": F.when(F.col("event_type") == PLAY_EVENT, PLAY_PAGE).otherwise(F.col("event_type")),
         "sessionId": F.col("user_id"),
-        "song": F.col("p_name"),
+        "song": _title(),
         "ts": _epoch_millis("ts"),
         "userAgent": F.col("event_type"),
         "userId": F.when(F.col("event_type") == "error", None).otherwise(F.col("user_id")),
@@ -83,14 +93,14 @@ def staging_events(spark: SparkSession, sf_dir: str, plays_only: bool = False) -
 
 
 def staging_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One staged song per part; brand is the artist and name the title."""
+    """One staged song per part; three neighbouring parts share a title."""
     values = {
         "num_songs": F.lit(1),
-        "artist_id": F.col("p_brand"),
+        "artist_id": F.concat(F.lit("AR"), F.expr("p_partkey div 60").cast("string")),
         "artist_location": F.col("p_type"),
-        "artist_name": F.col("p_brand"),
+        "artist_name": _artist(),
         "song_id": F.concat(F.lit("SO"), F.col("p_partkey").cast("string")),
-        "title": F.col("p_name"),
+        "title": _title(),
         "duration": F.col("p_retailprice").cast(numeric_type()),
         "year": F.col("p_size"),
     }

@@ -4,6 +4,11 @@ A file stream reads each file once. Every micro-batch is staged and then goes
 through the same builders as the full load. Each batch owns one folder per
 table and overwrites it, so a batch repeated after a failure replaces its own
 rows and adds none.
+
+A play whose song arrives later gets its fact row with the song: a batch of songs
+is also joined to all plays of earlier batches of events. Those rows lie in a table
+of their own, by batch of songs. Which batches of events such a join has covered is
+stored with it, so that a batch of events that is repeated later leaves those songs out.
 """
 
 from __future__ import annotations
@@ -16,12 +21,17 @@ from pyspark.sql import functions as F
 from playmart import files
 from playmart.functions.guards import enforce_not_null
 from playmart.operators import Scratch
+from playmart.operators.numbering import file_by_file
 from playmart.plans.star import build_artists, build_songplays, build_songs, build_time, build_users
 from playmart.schemas import column_names, struct
-from playmart.sinks.warehouse import lay_out
-from playmart.sources.json_trees import stream_json_table
+from playmart.sinks.warehouse import COMMITTED, lay_out
+from playmart.sources.json_trees import sound_rows, split_malformed, stream_json_table
 
 BATCH = "batch_id"
+# Fact rows of plays that were staged before their song, by batch of songs; and up to
+# which batch of events those plays go.
+LATE = "songplays_late"
+COVERED = "songplays_covered"
 
 
 def unseen(rows: DataFrame, stored: DataFrame) -> DataFrame:
@@ -41,18 +51,46 @@ class ArrivalStore:
     def location(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def write(self, table: str, rows: DataFrame, batch_id: int) -> None:
+    def folder(self, table: str, batch_id: int) -> str:
+        return f"{self.location(table)}/{BATCH}={batch_id}"
+
+    def write(self, table: str, rows: DataFrame, batch_id: int, folder: str | None = None) -> None:
         checked = enforce_not_null(rows.select(*column_names(table)), table)
-        lay_out(table, checked).write.mode("overwrite").parquet(f"{self.location(table)}/{BATCH}={batch_id}")
+        lay_out(table, checked).write.mode("overwrite").parquet(self.folder(folder or table, batch_id))
 
-    def _batches(self, table: str) -> DataFrame:
+    def _batches(self, table: str, folder: str | None = None) -> DataFrame:
         schema = struct(table, self.numeric_mode).add(BATCH, "long")
-        if not files.exists(self.spark, self.location(table)):
+        location = self.location(folder or table)
+        if not files.exists(self.spark, location):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.location(table))
+        return self.spark.read.schema(schema).parquet(location)
 
     def table(self, table: str) -> DataFrame:
-        return self._batches(table).drop(BATCH)
+        rows = self._batches(table).drop(BATCH)
+        return rows.unionAll(self._batches(table, LATE).drop(BATCH)) if table == "songplays" else rows
+
+    def batch_ids(self, folder: str) -> list[int]:
+        """Batches whose folder is committed, in order."""
+        prefix = f"{BATCH}="
+        names = files.names_below(self.spark, self.location(folder))
+        ids = sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix))
+        return [i for i in ids if COMMITTED in files.names_below(self.spark, self.folder(folder, i))]
+
+    def next_songplay_id(self, folder: str, batch_id: int) -> int:
+        """One past the largest id of all batches but the given one of ``folder``.
+
+        Ids rise with the batches of a folder, so its newest batch with rows has the
+        largest; older ones are not read.
+        """
+        last = -1
+        for place in ("songplays", LATE):
+            for i in reversed([i for i in self.batch_ids(place) if (place, i) != (folder, batch_id)]):
+                found = self.spark.read.schema(struct("songplays")).parquet(self.folder(place, i))
+                largest = found.agg(F.max("songplay_id")).first()[0]
+                if largest is not None:
+                    last = max(last, largest)
+                    break
+        return last + 1
 
     def read_before(self, table: str, batch_id: int) -> DataFrame:
         return self._batches(table).filter(F.col(BATCH) < batch_id).drop(BATCH)
@@ -61,31 +99,81 @@ class ArrivalStore:
         return self._batches(table).filter(F.col(BATCH) == batch_id).drop(BATCH)
 
     def write_unseen(self, table: str, rows: DataFrame, batch_id: int) -> None:
-        """Append the rows of a distinct dimension that earlier batches lack."""
+        """Append the rows of a distinct dimension that earlier batches lack.
+
+        Only seconds between the batch's first and last one can repeat in ``time``, and
+        the stored rows are in their order, so the others are not read.
+        """
         if batch_id > 0:
-            rows = unseen(rows, self.read_before(table, batch_id))
+            stored = self.read_before(table, batch_id)
+            if table == "time":
+                first, last = rows.agg(F.min("start_time"), F.max("start_time")).first()
+                if first is not None:
+                    stored = stored.filter(F.col("start_time").between(F.lit(first), F.lit(last)))
+            rows = unseen(rows, stored)
         self.write(table, rows, batch_id)
 
-
-def _load_songs(store: ArrivalStore, batch: DataFrame, batch_id: int) -> None:
-    store.write("staging_songs", batch, batch_id)
-    songs = store.read_batch("staging_songs", batch_id)
+    def write_songplays(self, events: DataFrame, songs: DataFrame, batch_id: int, folder: str, blanks: bool) -> None:
+        scratch = Scratch(self.spark, "arrivals")
+        try:
+            start = self.next_songplay_id(folder, batch_id)
+            plays = build_songplays(events, songs, scratch, start, ignore_trailing_blanks=blanks)
+            with file_by_file(self.spark):
+                self.write("songplays", plays, batch_id, folder)
+        finally:
+            scratch.clean()
+
+    def uncovered_songs(self, batch_id: int) -> DataFrame:
+        """Staged songs but those already joined to this batch of events."""
+        staged = self._batches("staging_songs")
+        if not files.exists(self.spark, self.location(COVERED)):
+            return staged.drop(BATCH)
+        schema = f"events_until bigint, {BATCH} bigint"
+        covered = self.spark.read.schema(schema).parquet(self.location(COVERED))
+        done = covered.filter(F.col("events_until") >= batch_id).select(BATCH)
+        return staged.join(done, BATCH, "left_anti").drop(BATCH)
+
+    def check_streams(self) -> None:
+        """Raise if batches are stored whose checkpoint is gone: a stream that starts
+        over would count its batches from 0 and overwrite them one by one."""
+        for stream, table in [("songs", "staging_songs"), ("events", "staging_events")]:
+            checkpoint = f"{self.root}/_checkpoints/{stream}"
+            if self.batch_ids(table) and not files.names_below(self.spark, f"{checkpoint}/offsets"):
+                raise RuntimeError(f"{self.location(table)} has rows, but their checkpoint {checkpoint} is missing")
+
+
+def _stage(store: ArrivalStore, table: str, batch: DataFrame, batch_id: int, quarantine: str | None) -> DataFrame:
+    """Store the typed rows of a batch and set its malformed lines aside."""
+    if quarantine is None:
+        store.write(table, sound_rows(batch), batch_id)
+    else:
+        scratch = Scratch(store.spark, "parsed")
+        try:
+            good, bad = split_malformed(scratch.write("parsed", batch))
+            bad.write.mode("overwrite").json(f"{quarantine}/{table}/{BATCH}={batch_id}")
+            store.write(table, good, batch_id)
+        finally:
+            scratch.clean()
+    return store.read_batch(table, batch_id)
+
+
+def _load_songs(store: ArrivalStore, batch: DataFrame, batch_id: int, quarantine: str | None, blanks: bool) -> None:
+    songs = _stage(store, "staging_songs", batch, batch_id, quarantine)
     store.write_unseen("songs", build_songs(songs), batch_id)
     store.write_unseen("artists", build_artists(songs), batch_id)
+    until = max(store.batch_ids("songplays"), default=None)
+    if until is not None:
+        events = store.read_before("staging_events", until + 1)
+        store.write_songplays(events, songs, batch_id, LATE, blanks)
+        covered = store.spark.range(1).select(F.lit(until).cast("long").alias("events_until"))
+        covered.write.mode("overwrite").parquet(store.folder(COVERED, batch_id))
 
 
-def _load_events(store: ArrivalStore, batch: DataFrame, batch_id: int) -> None:
-    store.write("staging_events", batch, batch_id)
-    events = store.read_batch("staging_events", batch_id)
+def _load_events(store: ArrivalStore, batch: DataFrame, batch_id: int, quarantine: str | None, blanks: bool) -> None:
+    events = _stage(store, "staging_events", batch, batch_id, quarantine)
     store.write_unseen("users", build_users(events), batch_id)
     store.write_unseen("time", build_time(events), batch_id)
-    last = store.read_before("songplays", batch_id).agg(F.max("songplay_id")).first()[0]
-    scratch = Scratch(store.spark, "arrivals")
-    try:
-        start = 0 if last is None else last + 1
-        store.write("songplays", build_songplays(events, store.table("staging_songs"), scratch, start), batch_id)
-    finally:
-        scratch.clean()
+    store.write_songplays(events, store.uncovered_songs(batch_id), batch_id, "songplays", blanks)
 
 
 def _run(source: DataFrame, checkpoint: str, load: Callable[[DataFrame, int], None]) -> None:
@@ -106,15 +194,20 @@ def load_arrivals(
     event_paths: list[str] | None = None,
     numeric_mode: str = "exact",
     max_files: int | None = None,
+    ignore_trailing_blanks: bool = False,
+    quarantine: str | None = None,
 ) -> ArrivalStore:
     """Load every file not loaded before, then stop. Songs go first.
 
-    A play is matched to the songs staged by then: one whose song arrives in a
-    later run stays out of the fact, as in a repeated batch load.
+    After each run the fact holds the plays and songs of all runs, as a full load of
+    all files would, but for the order of its ids: they rise with arrival. Malformed
+    lines abort the batch, or are set aside in the folder ``quarantine``.
     """
     store = ArrivalStore(spark, root, numeric_mode)
+    store.check_streams()
+    rest = (quarantine, ignore_trailing_blanks)
     songs = stream_json_table(spark, song_path, "staging_songs", None, numeric_mode, max_files)
-    _run(songs, f"{store.root}/_checkpoints/songs", lambda df, n: _load_songs(store, df, n))
+    _run(songs, f"{store.root}/_checkpoints/songs", lambda df, n: _load_songs(store, df, n, *rest))
     events = stream_json_table(spark, log_path, "staging_events", event_paths, numeric_mode, max_files)
-    _run(events, f"{store.root}/_checkpoints/events", lambda df, n: _load_events(store, df, n))
+    _run(events, f"{store.root}/_checkpoints/events", lambda df, n: _load_events(store, df, n, *rest))
     return store

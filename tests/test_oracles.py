@@ -11,7 +11,7 @@ from playmart.oracles import ORACLES
 from playmart.registry import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-TYPES = {"VARCHAR": "string", "INTEGER": "int", "BIGINT": "bigint", "TIMESTAMP": "timestamp_ntz", "DECIMAL(23,5)": "decimal(23,5)", "DECIMAL(18,0)": "decimal(18,0)"}
+TYPES = {"VARCHAR": "string", "INTEGER": "int", "BIGINT": "bigint", "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean", "DECIMAL(23,5)": "decimal(23,5)", "DECIMAL(18,0)": "decimal(18,0)"}
 TABLES = ["events", "customer", "nation", "part"]
 
 
