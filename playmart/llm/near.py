@@ -38,11 +38,14 @@ from playmart.operators.lookup import broadcast_within
 #: HEAVY_LIMIT are put last in the order. The bound is that of their broadcast: 8 bytes
 #: each. Shingles beyond it keep their place, which costs time but no result.
 HEAVY_COUNT, HEAVY_LIMIT = 32, 200_000
+#: Sets of this many shingles or more must share so many of their first ones.
+LEAST_SHARED = 6
 #: Lists of so many sets give edges to their first member instead of pairs.
 LONG_LIST = 64
-#: Sets of one block; a task compares two blocks at most.
-BLOCK = 512
-#: Members of candidate groups are looked up by broadcast up to this measured size.
+#: Bytes of the sets of one block, about, at 8 for a shingle; a task compares two
+#: blocks at most.
+BLOCK_BYTES = 1 << 20
+#: Sides of joins that hold members of groups are broadcast up to this measured size.
 MEMBER_BYTES = 64 << 20
 #: Weight of the probe against the merge in the choice of long lists.
 PROBE_WEIGHT = 0.0085
@@ -65,9 +68,10 @@ class Likeness:
 
     def shared(self, size):
         """Shingles that two similar sets share among their first(), at least, where
-        ``size`` is the smaller one's."""
+        ``size`` is the smaller one's: about half of the first ones, so that sharing a
+        passage alone makes no candidates."""
         spare = size - self.overlap(size) + 1
-        return np.minimum(np.maximum(spare // 2, 1), np.maximum(self.overlap(size), 1))
+        return np.minimum(np.maximum(spare, LEAST_SHARED), np.maximum(self.overlap(size), 1))
 
     def first(self, size):
         """How many shingles, in the common order, are the first of a set."""
@@ -366,6 +370,11 @@ def _members(docs: DataFrame, text: str, keys: list[str], wanted: DataFrame, lik
     return plain.dropDuplicates(["set_key"])
 
 
+def small_side(df: DataFrame) -> DataFrame:
+    """A side that is cheap to measure, broadcast if it takes MEMBER_BYTES at most."""
+    return broadcast_within(df, MEMBER_BYTES)
+
+
 def near_duplicates(
     docs: DataFrame,
     scratch: Scratch,
@@ -399,16 +408,16 @@ def near_duplicates(
     )
     kinds = scratch.write("kinds", kinds.select("set_key", "least_id", "sample.*"))
 
-    found = components(_candidates(filled, likeness), scratch, "candidates")
+    found = small_side(components(_candidates(filled, likeness), scratch, "candidates"))
     wanted = scratch.write("wanted", kinds.join(found, "node").select("set_key", *keys, "root"))
     members = scratch.write("members", _members(keyed, body, keys, wanted, likeness))
-    grouped = scratch.write("blocks", members.groupBy("root").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    small = grouped.filter(F.col("n") <= BLOCK).agg(F.sum("n")).first()[0] or 0
-    bundles = max(1, ceil(small / BLOCK))
+    sized = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("shingles")).alias("held"))
+    grouped = sized.filter("n > 1").withColumn("blocks", F.ceil(F.col("held") / BLOCK_BYTES).cast("int"))
+    grouped = scratch.write("blocks", grouped)
+    undivided = grouped.filter("blocks = 1").agg(F.sum("held")).first()[0] or 0
+    bundles = max(1, ceil(undivided / BLOCK_BYTES))
     placed = (
-        members.join(grouped, "root")
-        .withColumn("blocks", blocks)
+        members.join(small_side(grouped), "root")
         .withColumn("block", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
         .withColumn("known", F.lit(None).cast("binary"))
     )
@@ -432,10 +441,10 @@ def near_duplicates(
 
     # What is left of large components that these links do not connect: all other pairs
     # of blocks, where sets that are connected already need no comparison.
-    known = large.drop("known").join(labels.select(F.col("node").alias("set_key"), F.col("root").alias("label")), "set_key", "left")
+    known = large.drop("known").join(small_side(labels.select(F.col("node").alias("set_key"), F.col("root").alias("label"))), "set_key", "left")
     known = known.withColumn("known", F.coalesce("label", "set_key"))
-    split = known.groupBy("root").agg(F.min("known").alias("a"), F.max("known").alias("b")).filter("a <> b").select("root")
-    rest = scratch.write("rest", known.join(split, "root", "left_semi"))
+    split = known.filter("blocks > 1").groupBy("root").agg(F.min("known").alias("a"), F.max("known").alias("b")).filter("a <> b").select("root")
+    rest = scratch.write("rest", known.join(small_side(split), "root", "left_semi"))
     if not rest.isEmpty():
         pairs = rest.filter("block > 0").withColumn("other", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1))).filter("other <> block")
         dealt = pairs.select(
@@ -446,9 +455,12 @@ def near_duplicates(
         more = scratch.write("more", _links(dealt, likeness))
         labels = scratch.write("all-labels", components(links.unionAll(more), scratch, "links-all"))
 
-    named = kinds.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("label", F.coalesce("root", "set_key"))
-    groups = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    of_set = named.join(groups, "label").select("set_key", "component_id")
+    # Sets with links to others get the least id of all; the rest keep their own.
+    linked = scratch.write("linked", kinds.join(small_side(labels.withColumnRenamed("node", "set_key")), "set_key"))
+    groups = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    of_linked = linked.join(small_side(groups), "root").select("set_key", "component_id")
+    named = kinds.join(small_side(of_linked), "set_key", "left")
+    of_set = named.select("set_key", F.coalesce("component_id", "least_id").alias("component_id"))
     joined = sets.join(of_set, "set_key", "left")
     return joined.select(
         F.col("near_id").alias(id_column),

@@ -61,7 +61,7 @@ def family(draw, base, count, edits):
 def test_every_path_finds_all_links(spark, monkeypatch, words, share):
     monkeypatch.setattr(near, "HEAVY_COUNT", 6)
     monkeypatch.setattr(near, "LONG_LIST", 5)
-    monkeypatch.setattr(near, "BLOCK", 8)
+    monkeypatch.setattr(near, "BLOCK_BYTES", 2000)
     draw = random.Random(words)
     line = "a line that very many documents share with each other"
     texts = []
@@ -75,7 +75,7 @@ def test_every_path_finds_all_links(spark, monkeypatch, words, share):
 
 
 def test_two_large_unlinked_groups_that_share_shingles(spark, monkeypatch):
-    monkeypatch.setattr(near, "BLOCK", 4)
+    monkeypatch.setattr(near, "BLOCK_BYTES", 3000)
     monkeypatch.setattr(near, "HEAVY_COUNT", 3)
     draw = random.Random(1)
     base = [f"v{i}" for i in range(100)]
@@ -135,7 +135,11 @@ def test_odd_rows(spark):
     assert near.near_duplicates(docs.limit(0), Scratch(spark, "t")).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("edges_of_task", [1_000_000, 10])
+def test_components(spark, monkeypatch, edges_of_task):
+    from playmart.llm import components as module
+
+    monkeypatch.setattr(module, "EDGES_OF_TASK", edges_of_task)
     chain = [(i, i + 1) for i in range(40)] + [(100, 7), (200, 201), (201, 200), (5, 5), (300, 300)]
     found = {r.node: r.root for r in components(spark.createDataFrame(chain, "a int, b int"), Scratch(spark, "t"), "c").collect()}
     assert found == {**{i: 0 for i in [*range(41), 100]}, 200: 200, 201: 200}
