@@ -19,61 +19,76 @@ SCALE = 64
 SHARD_VECTORS, BLOCK_QUERIES = 8192, 2048
 #: Vectors whose postings are traversed together; bounds are kept for each such range.
 RANGE_VECTORS = 2048
+#: Queries that share an order of terms, and terms probed between two looks at bounds.
+QUERIES_TOGETHER, PROBED_TERMS = 64, 8
+#: Threshold of a query that has fewer than k results so far.
+NONE = -(1 << 62)
+
+
+def _exact_type(bound: float) -> type:
+    """The fastest type in which sums of whole numbers up to ``bound`` are exact."""
+    return np.float32 if bound < 2**24 else np.float64 if bound < 2**53 else np.int64
 
 
 class Shard:
     """Inverted lists of a set of vectors, by term (component number) and range.
 
-    A range holds, for each term, the places and values of its non-zero components and
-    the largest and least value, zero included where a vector has no such component.
+    A range holds, for each term, the values of its vectors in order and the largest
+    and least of them. Lists of vectors that use most terms are full, so a list is an
+    array with a zero for a vector that is not in it.
     """
 
     def __init__(self, ids: np.ndarray, values: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.values = ids[order], values[order]
+        self.largest = float(np.abs(self.values).max(initial=0))
         self.ranges = []
         for start in range(0, len(ids), RANGE_VECTORS):
             part = self.values[start : start + RANGE_VECTORS]
-            places = [np.flatnonzero(column) for column in part.T]
-            postings = [(p, part[p, term]) for term, p in enumerate(places)]
-            most, least = part.max(axis=0), part.min(axis=0)
-            self.ranges.append((start, part, postings, most, least))
-
-    def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k highest scores but the query's own, ties to smaller ids."""
-        best_ids, best_scores = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-        terms = np.flatnonzero(query)
-        for start, part, postings, most, least in self.ranges:
-            bounds = np.maximum(np.maximum(query[terms] * most[terms], query[terms] * least[terms]), 0)
-            order = np.argsort(-bounds, kind="stable")
-            ranked, bounds = terms[order], bounds[order]
-            # rest[i]: what the terms from i on can add at most. The terms from
-            # ``essential`` on cannot lift a vector to the threshold by themselves.
-            rest = np.append(np.cumsum(bounds[::-1])[::-1], 0)
-            threshold = best_scores[-1] if len(best_scores) == k else None
-            essential = len(ranked) if threshold is None else int(np.searchsorted(-rest, -threshold, "right"))
-            essential = min(essential, len(ranked))
-            scores = np.zeros(len(part), dtype=np.int64)
-            for term in ranked[:essential]:
-                places, values = postings[term]
-                scores[places] += query[term] * values
-            # Vectors met in no essential list stay at zero and below the threshold.
-            alive = np.arange(len(part)) if threshold is None else np.flatnonzero(scores + rest[essential] >= threshold)
-            partial = scores[alive]
-            for i in range(essential, len(ranked)):
-                if not len(alive):
-                    break
-                term = ranked[i]
-                partial = partial + query[term] * part[alive, term]
-                still = partial + rest[i + 1] >= threshold
-                alive, partial = alive[still], partial[still]
-            found = self.ids[start + alive]
-            other = found != own
-            found, partial = found[other], partial[other]
-            ids, scored = np.concatenate([best_ids, found]), np.concatenate([best_scores, partial])
-            keep = np.lexsort((ids, -scored))[:k]
-            best_ids, best_scores = ids[keep], scored[keep]
-        return best_ids, best_scores
+            self.ranges.append((start, part, part.max(axis=0, initial=0), part.min(axis=0, initial=0)))
+
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query numbers, ids, scores): the k highest scores of each query but its
+        own, ties to smaller ids.
+
+        The queries share an order of the terms. Those from ``essential`` on cannot lift
+        a vector to any query's threshold by themselves: a vector that is in no essential
+        list is out of the race. The essential lists are traversed for all queries at
+        once, the other terms probed for the vectors that stay competitive.
+        """
+        count, width = queries.shape
+        kind = _exact_type(width * self.largest * float(np.abs(queries).max(initial=0)))
+        lists, asked = self.values.T.astype(kind), queries.astype(kind)
+        best = (np.empty(0, dtype=np.int64),) * 3
+        threshold = np.full(count, NONE)
+        for start, part, most, least in self.ranges:
+            bounds = np.maximum(np.maximum(queries * most, queries * least), 0)
+            order = np.argsort(-bounds.sum(axis=0), kind="stable")
+            # rest[q, i]: what the terms from i on can add to a score at most.
+            rest = np.zeros((count, width + 1), dtype=np.int64)
+            rest[:, :-1] = np.cumsum(bounds[:, order[::-1]], axis=1)[:, ::-1]
+            essential = int((rest >= threshold[:, None]).sum(axis=1).max())
+            essential = min(essential, width)
+            terms = order[:essential]
+            scores = (asked[:, terms] @ lists[terms, start : start + len(part)]).astype(np.int64)
+            query, place = np.nonzero(scores + rest[:, essential, None] >= threshold[:, None])
+            partial = scores[query, place]
+            for first in range(essential, width, PROBED_TERMS):
+                some = order[first : first + PROBED_TERMS]
+                partial = partial + np.einsum("ij,ij->i", queries[query[:, None], some], part[place[:, None], some])
+                still = partial + rest[query, min(first + PROBED_TERMS, width)] >= threshold[query]
+                query, place, partial = query[still], place[still], partial[still]
+            found = self.ids[start + place]
+            other = found != own[query]
+            joined = [np.concatenate([b, x[other]]) for b, x in zip(best, (query, found, partial), strict=True)]
+            ranked = np.lexsort((joined[1], -joined[2], joined[0]))
+            query, found, partial = (x[ranked] for x in joined)
+            begins = np.searchsorted(query, np.arange(count))
+            rank = np.arange(len(query)) - begins[query]
+            best = tuple(x[rank < k] for x in (query, found, partial))
+            last = rank == k - 1
+            threshold[query[last]] = partial[last]
+        return best
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -133,23 +148,19 @@ def top_k(
     )
 
     def run(candidates: pa.Table, asked: pa.Table) -> pa.Table:
-        out: list[tuple[int, np.ndarray, np.ndarray]] = []
+        found = [(np.empty(0, dtype=np.int64),) * 3]
         if candidates.num_rows and asked.num_rows:
             values, wanted = _matrix(candidates.column("terms")), _matrix(asked.column("query"))
             width = max(values.shape[1], wanted.shape[1])
             values, wanted = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (values, wanted))
             shard = Shard(candidates.column("vec_id").to_numpy(), values)
-            for own, query in zip(asked.column("query_id").to_pylist(), wanted, strict=True):
-                out.append((own, *shard.search(query, own, k)))
-        sizes = [len(ids) for _, ids, _ in out]
-        empty = np.empty(0, dtype=np.int64)
-        return pa.table(
-            {
-                "query_id": pa.array(np.repeat(np.array([o[0] for o in out], dtype=np.int64), sizes)),
-                "vec_id": pa.array(np.concatenate([empty, *(o[1] for o in out)])),
-                "score": pa.array(np.concatenate([empty, *(o[2] for o in out)])),
-            }
-        )
+            own = asked.column("query_id").to_numpy()
+            for at in range(0, len(own), QUERIES_TOGETHER):
+                some = own[at : at + QUERIES_TOGETHER]
+                query, ids, scores = shard.search(wanted[at : at + QUERIES_TOGETHER], some, k)
+                found.append((some[query], ids, scores))
+        columns = (pa.array(np.concatenate(c)) for c in zip(*found, strict=True))
+        return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
 
     keys = ["shard", "block"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(

@@ -37,13 +37,27 @@ def test_bounds_spare_terms():
     draw = np.random.default_rng(1)
     values = np.concatenate([np.full((25, 8), 60), draw.integers(0, 3, (4000, 8))])
     shard = topk.Shard(np.arange(len(values)), values)
-    ids, scores = shard.search(np.array([9, 8, 7, 1, 1, 1, 1, 1]), 0, 20)
+    query, ids, scores = shard.search(np.array([[9, 8, 7, 1, 1, 1, 1, 1]]), np.array([0]), 20)
+    assert query.tolist() == [0] * 20
     expected = values @ np.array([9, 8, 7, 1, 1, 1, 1, 1])
     expected[0] = -1
     order = np.lexsort((np.arange(len(values)), -expected))[:20]
     assert ids.tolist() == order.tolist() and scores.tolist() == expected[order].tolist()
 
 
+def test_large_values_stay_exact():
+    draw = np.random.default_rng(3)
+    for size in (10, 2**12, 2**28):
+        values, queries = (draw.integers(-size, size, (n, 5)) for n in (3000, 70))
+        shard = topk.Shard(np.arange(3000) + 100, values)
+        query, ids, scores = shard.search(queries, np.arange(70), 9)
+        exact = queries @ values.T
+        for q in range(70):
+            order = np.lexsort((np.arange(3000), -exact[q]))[:9]
+            assert ids[query == q].tolist() == (order + 100).tolist()
+            assert scores[query == q].tolist() == exact[q][order].tolist()
+
+
 def test_odd_rows(spark):
     rows = [(0, [1, 2]), (0, [1, 2]), (20, [3]), (40, None), (None, [9, 9]), (60, []), (7, [0, 0]), (9, [-5, 1, 4])]
     df = spark.createDataFrame([(a, b, 1) for a, b in rows], "vec_id bigint, terms array<bigint>, score int")
