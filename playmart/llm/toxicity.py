@@ -17,7 +17,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -31,10 +31,14 @@ from playmart.llm.common import bound_batches, documents, table, text_chunks
 
 #: Labelled documents that training takes at most, by class; longer texts are passed
 #: over there. These bounds hold for training only: scoring reads every whole text.
-TRAIN_TOXIC, TRAIN_OTHER, TRAIN_CHARS = 2500, 4000, 20_000
+TRAIN_TOXIC, TRAIN_OTHER, TRAIN_CHARS = 1200, 2400, 20_000
 TOXIC_LANDMARKS, OTHER_LANDMARKS = 96, 96
 #: Different words of non-toxic documents used as negative examples, at most.
-NEGATIVE_WORDS = 30_000
+NEGATIVE_WORDS = 20_000
+#: Words whose kernel values are computed together.
+KERNEL_WORDS = 4000
+#: A witness leans to toxic documents by so many standard deviations at least.
+LEAST_LEANING = 0.5
 ROUNDS = 4
 #: Weight of a toxic document's witness against a word of another document.
 POSITIVE_WEIGHT = 1.0
@@ -117,7 +121,8 @@ def _machine(
         inside = margin < 1
         part, w = x[inside], weights[inside]
         slope = shrink * solution - part.T @ (w * signs[inside] * (1 - margin[inside]))
-        curve = np.diag(shrink) + (part * w[:, None]).T @ part
+        part *= np.sqrt(w)[:, None]
+        curve = np.diag(shrink) + part.T @ part
         step = np.linalg.solve(curve, slope)
         solution = solution - step
         if np.abs(step).max() < 1e-4:
@@ -154,14 +159,24 @@ class Model:
 
 
 def _kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
-    row, name, weight = triples(words)
     own_row, own_name, own_weight = triples(landmarks)
-    out = np.empty((len(words), len(landmarks)))
-    for i in range(len(landmarks)):
-        mine = own_row == i
-        dense = np.zeros(CODES**3)
-        np.add.at(dense, own_name[mine], own_weight[mine])
-        out[:, i] = np.bincount(row, weight * dense[name], minlength=len(words))
+    # The landmarks' triples side by side, those that none has in a last row of zeros.
+    names, place = np.unique(own_name, return_inverse=True)
+    dense = np.zeros((len(names) + 1, len(landmarks)))
+    np.add.at(dense, (place, own_row), own_weight)
+    out = np.zeros((len(words), len(landmarks)), dtype=np.float32)
+    for start in range(0, len(words), KERNEL_WORDS):
+        row, name, weight = triples(words[start : start + KERNEL_WORDS])
+        at = np.minimum(np.searchsorted(names, name), len(names) - 1)
+        known = names[at] == name
+        row, at, weight = row[known], at[known], weight[known]
+        order = np.argsort(row, kind="stable")
+        row, at, weight = row[order], at[order], weight[order]
+        for piece in range(0, len(row), 50_000):
+            some = slice(piece, piece + 50_000)
+            values = dense[at[some]] * weight[some, None]
+            firsts = np.flatnonzero(np.append(True, row[some][1:] != row[some][:-1]))
+            out[start + row[some][firsts]] += np.add.reduceat(values, firsts, axis=0)
     return out
 
 
@@ -178,16 +193,20 @@ def _calibrated(x: np.ndarray, toxic: np.ndarray) -> tuple[float, ...]:
     return tuple(solution.tolist())
 
 
-def train(bags: list[tuple[list[str], bool]]) -> Model:
+def train(bags: Iterable[tuple[list[str], bool]]) -> Model:
     """Fit on (words, toxic) of labelled documents; constant without both classes.
 
     The curve is fitted on margins by machines that have not seen the document: two
     halves, each judged by the machine of the other.
     """
     seen: dict[tuple[str, ...], bool] = {}
+    shared: dict[str, str] = {}  # one object for each word, however many bags have it
+    labels = []
     for words, toxic in bags:
-        seen.setdefault(tuple(sorted({v for w in words for v in _windows(w)})), toxic)
-    share = (sum(t for _, t in bags) + 1) / (len(bags) + 2)
+        labels.append(toxic)
+        bag = {v for w in set(words) for v in _windows(w)}
+        seen.setdefault(tuple(sorted(shared.setdefault(v, v) for v in bag)), toxic)
+    share = (sum(labels) + 1) / (len(labels) + 2)
     constant = Model(np.zeros(CODES**3, dtype=np.float32), 0.0, (0.0, 0.0, 0.0, float(np.log(share / (1 - share)))))
     # Both classes are spread evenly over the halves.
     ranked = sorted(seen, key=lambda b: (seen[b], len(b), b))
@@ -237,11 +256,11 @@ def _weights(seen: dict[tuple[str, ...], bool]) -> tuple[np.ndarray, float] | No
     inner = _kernel(landmarks, landmarks)
     values, vectors = np.linalg.eigh(inner)
     good = values > 1e-6
-    root = vectors[:, good] / np.sqrt(values[good])
+    root = (vectors[:, good] / np.sqrt(values[good])).astype(np.float32)
 
     negative = plain[:: max(1, len(plain) // NEGATIVE_WORDS)][:NEGATIVE_WORDS]
     below = _kernel(negative, landmarks) @ root
-    everything = sorted({w for bag in toxic_bags for w in bag if len(w) >= 3})
+    everything = sorted(w for w in counts if len(w) >= 3 and leaning(w) > LEAST_LEANING)
     place = {w: i for i, w in enumerate(everything)}
     above = _kernel(everything, landmarks) @ root
     members = [np.array([place[w] for w in bag if w in place], dtype=np.int64) for bag in toxic_bags]
@@ -249,7 +268,7 @@ def _weights(seen: dict[tuple[str, ...], bool]) -> tuple[np.ndarray, float] | No
     leanings = np.array([leaning(w) for w in everything])
     solution = None
     for turn in range(ROUNDS):
-        margin = leanings if solution is None else above @ solution[:-1] + solution[-1]
+        margin = leanings if solution is None else above @ solution[:-1].astype(np.float32) + solution[-1]
         chosen = np.array([m[margin[m].argmax()] for m in members])
         # A bag whose best word is no more than the words of other documents are is
         # left out: its label comes from something else than a word.
@@ -257,7 +276,7 @@ def _weights(seen: dict[tuple[str, ...], bool]) -> tuple[np.ndarray, float] | No
         chosen = chosen[margin[chosen] > limit]
         if not len(chosen):
             break
-        x = np.vstack([above[chosen], below])
+        x = np.vstack([above[chosen], below]).astype(np.float64)
         signs = np.concatenate([np.ones(len(chosen)), -np.ones(len(below))])
         # A word counts by the documents that it stands for; both classes weigh alike.
         evened = np.full(len(chosen), POSITIVE_WEIGHT * len(other_bags) / len(toxic_bags))
@@ -298,7 +317,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     # Broadcast: TRAIN_TOXIC + TRAIN_OTHER rows of two numbers at most.
     rows = texts.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic").collect()
     rows = sorted({r.doc_id: r for r in sorted(rows, key=lambda r: r.text)}.values(), key=lambda r: r.doc_id)
-    return train([(words_of(r.text), r.toxic == 1) for r in rows])
+    return train((words_of(r.text), r.toxic == 1) for r in rows)
 
 
 _KNOWN: dict[int, dict[str, float]] = {}
