@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from playmart.functions import calendar_parts, epoch_to_timestamp
 from playmart.plans.job import load_targets
 from playmart.plans.reports import plays_by_hour
-from playmart.operators.lookup import VALUE_BYTES, broadcast_within, measured_bytes
+from playmart.operators.lookup import ROW_BYTES, VALUE_BYTES, broadcast_within, measured_bytes
 from playmart.plans.star import SONG_KEYS, build_artists, build_songplays, build_time, build_users, songplay_rows
 from playmart.registry import QUERIES
 from playmart.schemas import column_types
 from playmart.sinks import Warehouse
 
 SF_DIR = "/root/testdata/sf0.001"
-VIEWS = [q for q in QUERIES if not q.startswith(("arrivals", "appended", "stored", "ingest", "etl"))]
+# Queries that load first and read back; the others are one plan over the tables.
+LOADING = ("arrivals", "appended", "overwritten", "ingest", "etl", "quarantined", "reset", "not_null_rejects")
+REPORTS = ("plays_by_hour", "plays_by_level", "users_by_gender")
+VIEWS = [q for q in QUERIES if not q.startswith(LOADING) and q not in REPORTS]
 
 
 def plan(df):
@@ -82,7 +85,7 @@ def test_page_filter_and_columns_reach_the_staging_scan(spark, staged):
     assert "IsNotNull(artist_id)" in plan(build_artists(songs_table))
 
 
-@pytest.mark.parametrize("name", ["nextsong_filter", "users", "time", "plays_by_hour", "users_by_gender"])
+@pytest.mark.parametrize("name", ["nextsong_filter", "users", "time", "plays_by_hour_from_staging", "users_by_gender_from_staging"])
 def test_page_filter_reaches_the_table_scan(spark, name):
     assert re.search(r"PushedFilters: \[[^\]]*In\(event_type, \[NextSong,view\]\)", plan(QUERIES[name](spark, SF_DIR)))
 
@@ -91,7 +94,7 @@ def test_songs_are_broadcast_by_measured_size(spark, staged, settings):
     settings(autoBroadcastJoinThreshold="-1")
     keys = staged.table("staging_songs").select(*SONG_KEYS)
     size = measured_bytes(keys)
-    assert size == sum(len(song()[c].encode()) + VALUE_BYTES for c in SONG_KEYS)
+    assert size == ROW_BYTES + sum(len(song()[c].encode()) + VALUE_BYTES for c in SONG_KEYS)
     small = plan(songplay_rows(staged.table("staging_events"), broadcast_within(keys, size)))
     assert "BroadcastHashJoin" in small and "hashpartitioning" not in small
     large = plan(songplay_rows(staged.table("staging_events"), broadcast_within(keys, size - 1)))
@@ -101,7 +104,7 @@ def test_songs_are_broadcast_by_measured_size(spark, staged, settings):
 def test_measured_bytes(spark):
     rows = [("é", 1, None), (None, None, "abc")]
     df = spark.createDataFrame(rows, "a string, b int, c string")
-    assert measured_bytes(df) == 2 + 3 + 6 * VALUE_BYTES
+    assert measured_bytes(df) == 2 + 3 + 6 * VALUE_BYTES + 2 * ROW_BYTES
     assert measured_bytes(df.limit(0)) == 0
 
 
@@ -125,11 +128,11 @@ def test_time_shuffles_only_the_second(spark, staged):
 def test_reports_from_staging_never_join_single_rows(spark, settings):
     """Both inputs of the song join are aggregates, whatever the key skew."""
     settings(autoBroadcastJoinThreshold="-1")
-    optimized = QUERIES["plays_by_hour"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    optimized = QUERIES["plays_by_hour_from_staging"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     lines = optimized.splitlines()
     at = next(i for i, line in enumerate(lines) if "Join Inner, ((artist" in line)
     assert "Aggregate [artist" in lines[at + 1]
-    assert any("Aggregate [p_brand" in line or "Aggregate [artist_name" in line for line in lines[at + 2 :])
+    assert any("Aggregate [" in line for line in lines[at + 2 :])
 
 
 @pytest.fixture
@@ -152,7 +155,7 @@ def test_hot_second_is_split(spark, small_skew_limits):
     time = spark.range(5000).select((F.col("id") * 1000).alias("ts")).select(epoch_to_timestamp("ts").alias("start_time"))
     time = time.select("start_time", *calendar_parts())
     late = sum(i % 3 != 0 and i % 5000 >= 3600 for i in range(n))
-    for limit, sign in [(0, "skew=true"), (5000 * 16, "BroadcastHashJoin")]:
+    for limit, sign in [(0, "skew=true"), (2 * 5000 * (16 + ROW_BYTES), "BroadcastHashJoin")]:
         df = plays_by_hour(plays, time.unionAll(time), broadcast_bytes=limit)
         assert {r.hour: r.song_plays for r in df.collect()} == {0: n - late, 1: late}
         assert sign in plan(df)
