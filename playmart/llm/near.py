@@ -20,12 +20,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import ceil, log2
+from math import ceil, log, log2
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,13 +35,14 @@ from playmart.operators import Scratch
 from playmart.operators.lookup import broadcast_within
 
 #: A shingle among the first of so many documents counts as frequent; the most frequent
-#: HEAVY_LIMIT are put last in the order. The bound is that of their broadcast: 8 bytes
-#: each. Shingles beyond it keep their place, which costs time but no result.
+#: HEAVY_LIMIT are put last in the order, by their number. The bound is that of their
+#: broadcast: 16 bytes each. Shingles beyond it keep their place, which costs time but no
+#: result.
 HEAVY_COUNT, HEAVY_LIMIT = 32, 200_000
 #: Sets of this many shingles or more must share so many of their first ones.
 LEAST_SHARED = 6
 #: Lists of so many sets give edges to their first member instead of pairs.
-LONG_LIST = 64
+LONG_LIST = 128
 #: Bytes of the sets of one block, about, at 8 for a shingle; a task compares two
 #: blocks at most.
 BLOCK_BYTES = 1 << 20
@@ -80,6 +81,16 @@ class Likeness:
     def similar(self, common, a, b):
         return self.of * common >= self.share * (a + b - common)
 
+    def least_size(self) -> int:
+        """Smaller sets are similar to none but equal ones."""
+        return -(-self.share // max(self.of - self.share, 1))
+
+    def size_classes(self, size: Column) -> Column:
+        """Two classes of a size; any two sizes that similar sets can have share one."""
+        step = -log(self.share / self.of) if self.share < self.of else 1e-6
+        lower = F.floor(F.log(size.cast("double")) / step)
+        return F.array(lower, lower + 1)
+
     def near_sizes(self, a, b):
         return self.of * np.minimum(a, b) >= self.share * np.maximum(a, b)
 
@@ -133,16 +144,19 @@ def _first_shingles(docs: DataFrame, text: str, likeness: Likeness) -> DataFrame
     return docs.select(text).mapInArrow(run, "shingle bigint")
 
 
-def _sets(docs: DataFrame, text: str, keys: list[str], likeness: Likeness, heavy: np.ndarray) -> DataFrame:
-    """For every document: keys, size, set_key, node and its first shingles, the
-    frequent ones apart."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.sort(heavy))
+def _sets(
+    docs: DataFrame, text: str, keys: list[str], likeness: Likeness, heavy: np.ndarray, counts: np.ndarray
+) -> DataFrame:
+    """For every document: keys, size, set_key, node and its first shingles, those with
+    long lists apart. ``heavy`` and ``counts``: the frequent shingles."""
+    by_hash = np.argsort(heavy)
+    shared = docs.sparkSession.sparkContext.broadcast((heavy[by_hash], counts[by_hash]))
     schema = T.StructType([docs.schema[k] for k in keys])
     schema = schema.add("size", T.IntegerType()).add("set_key", T.BinaryType()).add("node", T.LongType())
     schema = schema.add("light", T.ArrayType(T.LongType())).add("heavy", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = shared.value
+        frequent, often = shared.value
         for batch, texts in text_chunks(batches, text):
             sets = shingle_sets(texts, likeness.words)
             light, late = [], []
@@ -152,9 +166,12 @@ def _sets(docs: DataFrame, text: str, keys: list[str], likeness: Likeness, heavy
                     is_heavy = frequent[at] == s
                 else:
                     is_heavy = np.zeros(len(s), dtype=bool)
-                count = likeness.first(len(s))
-                light.append(s[~is_heavy][:count])
-                late.append(s[is_heavy][: count - len(light[-1])])
+                count = likeness.first(len(s)) if len(s) >= likeness.least_size() else 0
+                rare = s[~is_heavy][:count]
+                order = np.argsort(often[at[is_heavy]], kind="stable")[: count - len(rare)] if is_heavy.any() else []
+                usual, times = s[is_heavy][order], often[at[is_heavy]][order] if is_heavy.any() else np.empty(0)
+                light.append(np.concatenate([rare, usual[times < LONG_LIST]]))
+                late.append(usual[times >= LONG_LIST])
             set_keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             nodes = np.frombuffer(b"".join(k[:8] for k in set_keys), dtype=np.int64)
             columns = [
@@ -244,10 +261,7 @@ def _candidates(sets: DataFrame, likeness: Likeness) -> DataFrame:
     )
     counted = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("need").alias("need"))
     found = counted.filter("shared >= need").select("a", "b")
-    # Similar sets are in one class of sizes or in neighbouring ones.
-    step = -float(np.log(likeness.share / likeness.of))
-    lower = F.floor(F.log(F.col("size").cast("double")) / step)
-    classed = F.explode(F.array(lower, lower + 1))
+    classed = F.explode(likeness.size_classes(F.col("size")))
     late = sets.select(F.explode("heavy").alias("shingle"), "node", "size").select("shingle", "node", classed.alias("c"))
     first = late.groupBy("shingle", "c").agg(F.min("node").alias("a"))
     stars = late.join(first, ["shingle", "c"]).filter("a <> node").select("a", F.col("node").alias("b"))
@@ -370,6 +384,22 @@ def _members(docs: DataFrame, text: str, keys: list[str], wanted: DataFrame, lik
     return plain.dropDuplicates(["set_key"])
 
 
+def _blocks(members: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Members of groups (root, c) of two or more, with the group's number of blocks and
+    their own block."""
+    sized = members.groupBy("root", "c").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("shingles")).alias("held"))
+    grouped = sized.filter("n > 1").withColumn("blocks", F.ceil(F.col("held") / BLOCK_BYTES).cast("int"))
+    joined = members.join(small_side(scratch.write(name, grouped)), ["root", "c"])
+    block = F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")
+    return joined.withColumn("block", block).withColumn("known", F.lit(None).cast("binary"))
+
+
+def _dealt(rows: DataFrame, root: Column, c: Column, i: Column, j: Column, lane: int) -> DataFrame:
+    """Rows for _links(): their task and their side in it."""
+    task = F.struct(root.alias("root"), c.alias("c"), i.alias("i"), j.alias("j"))
+    return rows.select(task.alias("task"), F.lit(lane).alias("lane"), "set_key", "shingles", "known")
+
+
 def small_side(df: DataFrame) -> DataFrame:
     """A side that is cheap to measure, broadcast if it takes MEMBER_BYTES at most."""
     return broadcast_within(df, MEMBER_BYTES)
@@ -399,9 +429,10 @@ def near_duplicates(
     )
     keys, body = ["near_id", "near_hash"], "near_text"
     counts = _first_shingles(keyed, body, likeness).groupBy("shingle").count().filter(F.col("count") >= HEAVY_COUNT)
-    frequent = counts.orderBy(F.desc("count"), "shingle").limit(HEAVY_LIMIT).toArrow().column("shingle")
-    heavy = frequent.to_numpy().astype(np.int64).view(np.uint64)
-    sets = scratch.write("sets", _sets(keyed, body, keys, likeness, heavy))
+    frequent = counts.orderBy(F.desc("count"), "shingle").limit(HEAVY_LIMIT).toArrow()
+    heavy = frequent.column("shingle").to_numpy().astype(np.int64).view(np.uint64)
+    often = frequent.column("count").to_numpy().astype(np.int64)
+    sets = scratch.write("sets", _sets(keyed, body, keys, likeness, heavy, often))
     filled = sets.filter("size > 0")
     kinds = filled.groupBy("set_key").agg(
         F.min("near_id").alias("least_id"), F.min(F.struct(*keys, "node")).alias("sample")
@@ -411,48 +442,38 @@ def near_duplicates(
     found = small_side(components(_candidates(filled, likeness), scratch, "candidates"))
     wanted = scratch.write("wanted", kinds.join(found, "node").select("set_key", *keys, "root"))
     members = scratch.write("members", _members(keyed, body, keys, wanted, likeness))
-    sized = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("shingles")).alias("held"))
-    grouped = sized.filter("n > 1").withColumn("blocks", F.ceil(F.col("held") / BLOCK_BYTES).cast("int"))
-    grouped = scratch.write("blocks", grouped)
-    undivided = grouped.filter("blocks = 1").agg(F.sum("held")).first()[0] or 0
-    bundles = max(1, ceil(undivided / BLOCK_BYTES))
-    placed = (
-        members.join(small_side(grouped), "root")
-        .withColumn("block", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
-        .withColumn("known", F.lit(None).cast("binary"))
-    )
-    columns = ["set_key", "shingles", "known"]
-    # Small components by bundles; of large ones every block by itself and with the first.
-    bundled = placed.filter("blocks = 1").select(
-        F.struct(F.lit(None).cast("bigint").alias("root"), F.pmod(F.xxhash64("root"), F.lit(bundles)).cast("int").alias("i"), F.lit(0).alias("j")).alias("task"),
-        F.lit(2).alias("lane"),
-        *columns,
-    )
-    large = placed.filter("blocks > 1")
-    alone = large.select(F.struct("root", F.col("block").alias("i"), F.col("block").alias("j")).alias("task"), F.lit(2).alias("lane"), *columns)
-    heads = large.filter("block = 0").withColumn("j", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)))
-    heads = heads.select(F.struct("root", F.lit(0).alias("i"), "j").alias("task"), F.lit(0).alias("lane"), *columns)
-    others = large.filter("block > 0").select(
-        F.struct("root", F.lit(0).alias("i"), F.col("block").alias("j")).alias("task"), F.lit(1).alias("lane"), *columns
-    )
-    dealt = bundled.unionAll(alone).unionAll(heads).unionAll(others)
-    links = scratch.write("links", _links(dealt, likeness))
+    members = members.withColumn("c", F.lit(0).cast("bigint"))
+    divided = _blocks(members, scratch, "blocks")
+    # A large component is divided by size classes first: other pairs cannot be similar.
+    large = scratch.write("large", divided.filter("blocks > 1").select("set_key", "root", "shingles"))
+    classes = likeness.size_classes(F.octet_length("shingles") / 8)
+    large = _blocks(large.withColumn("c", F.explode(classes)), scratch, "class-blocks")
+    small = divided.filter("blocks = 1")
+    held = small.agg(F.sum(F.octet_length("shingles"))).first()[0] or 0
+    bundle = F.pmod(F.xxhash64("root"), F.lit(max(1, ceil(held / BLOCK_BYTES)))).cast("int")
+    nothing = F.lit(None).cast("bigint")
+    bundled = _dealt(small, nothing, nothing, bundle, F.lit(0), 2)
+    # Every block of a large component by itself and with the first one.
+    alone = _dealt(large, F.col("root"), F.col("c"), F.col("block"), F.col("block"), 2)
+    heads = large.filter("block = 0 AND blocks > 1").withColumn("j", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)))
+    heads = _dealt(heads, F.col("root"), F.col("c"), F.lit(0), F.col("j"), 0)
+    others = _dealt(large.filter("block > 0"), F.col("root"), F.col("c"), F.lit(0), F.col("block"), 1)
+    links = scratch.write("links", _links(bundled.unionAll(alone).unionAll(heads).unionAll(others), likeness))
     labels = scratch.write("labels", components(links, scratch, "links-by-head"))
 
     # What is left of large components that these links do not connect: all other pairs
     # of blocks, where sets that are connected already need no comparison.
-    known = large.drop("known").join(small_side(labels.select(F.col("node").alias("set_key"), F.col("root").alias("label"))), "set_key", "left")
+    label = labels.select(F.col("node").alias("set_key"), F.col("root").alias("label"))
+    known = large.filter("blocks > 2").drop("known").join(small_side(label), "set_key", "left")
     known = known.withColumn("known", F.coalesce("label", "set_key"))
-    split = known.filter("blocks > 1").groupBy("root").agg(F.min("known").alias("a"), F.max("known").alias("b")).filter("a <> b").select("root")
-    rest = scratch.write("rest", known.join(small_side(split), "root", "left_semi"))
+    split = known.groupBy("root", "c").agg(F.min("known").alias("a"), F.max("known").alias("b")).filter("a <> b")
+    rest = scratch.write("rest", known.join(small_side(split.select("root", "c")), ["root", "c"], "left_semi"))
     if not rest.isEmpty():
-        pairs = rest.filter("block > 0").withColumn("other", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1))).filter("other <> block")
-        dealt = pairs.select(
-            F.struct("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).alias("task"),
-            F.when(F.col("block") < F.col("other"), 0).otherwise(1).alias("lane"),
-            *columns,
-        )
-        more = scratch.write("more", _links(dealt, likeness))
+        pairs = rest.filter("block > 0").withColumn("j", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)))
+        ends = F.least("block", "j"), F.greatest("block", "j")
+        lower = _dealt(pairs.filter("block < j"), F.col("root"), F.col("c"), *ends, 0)
+        upper = _dealt(pairs.filter("block > j"), F.col("root"), F.col("c"), *ends, 1)
+        more = scratch.write("more", _links(lower.unionAll(upper), likeness))
         labels = scratch.write("all-labels", components(links.unionAll(more), scratch, "links-all"))
 
     # Sets with links to others get the least id of all; the rest keep their own.
