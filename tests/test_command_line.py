@@ -54,6 +54,18 @@ def test_arrivals_then_report(tmp_path):
     check(run("report", "--root", root, "--incremental", cwd=tmp_path))
 
 
+def test_report_prints_every_group_in_full(tmp_path):
+    write_song(tmp_path / "songs", "TRAAAAA", song())
+    levels = [f"level {i:02} {'x' * 40}" for i in range(30)]
+    write_logs(tmp_path / "logs", "2018-11-12", *[event(level=level) for level in levels])
+    root, out = str(tmp_path / "mart"), tmp_path / "out"
+    run("arrivals", "--root", root, "--logs", str(tmp_path / "logs"), "--songs", str(tmp_path / "songs"), cwd=tmp_path)
+    shown = run("report", "--root", root, "--incremental", "--out", str(out), cwd=tmp_path)
+    assert all(level in shown for level in levels)
+    written = [json.loads(line) for f in (out / "plays_by_level").glob("part-*") for line in f.read_text().splitlines()]
+    assert sorted(r["level"] for r in written) == levels
+
+
 def check(shown):
     cells = [[c.strip() for c in line.strip("|").split("|")] for line in shown.splitlines() if line.startswith("|")]
     assert ["2", "2"] in cells

@@ -211,3 +211,71 @@ def test_scratch_is_removed(spark, place):
     before = set(folder.iterdir()) if folder.exists() else set()
     load(spark, place, [event()])
     assert set(folder.iterdir()) == before
+
+
+def test_one_database_has_one_root(spark, trees, place, tmp_path):
+    first = run_etl(spark, *trees, **place)
+    before = contents(first)
+    other = {**place, "root": str(tmp_path / "other")}
+    with pytest.raises(ValueError, match="registered at"):
+        run_etl(spark, *trees, **other)
+    second = Warehouse(spark, **other)
+    for refused in (second.create, second.reset, lambda: second.load("users", first.table("users"))):
+        with pytest.raises(ValueError, match="registered at"):
+            refused()
+    assert contents(first) == before and not (tmp_path / "other").exists()
+
+
+def test_reset_leaves_what_it_does_not_own(spark, trees, place):
+    kept = Path(place["root"]) / "users" / "keep.txt"
+    kept.parent.mkdir(parents=True)
+    kept.write_text("not ours")
+    warehouse = run_etl(spark, *trees, **place)
+    warehouse.reset()
+    assert kept.read_text() == "not ours"
+    assert counts(warehouse) == dict.fromkeys(COLUMNS, 0)
+    warehouse.drop()
+    assert [p.name for p in Path(place["root"]).iterdir()] == ["users"]
+
+
+@pytest.mark.parametrize("at", ["write", "move"])
+def test_interrupted_overwrite_then_append(spark, trees, place, monkeypatch, at):
+    """Before the move the old rows count, after the commit the new ones; never both."""
+    warehouse = run_etl(spark, *trees, **place)
+    rows = warehouse.table("users").limit(1)
+    expected = 2 if at == "write" else 1
+
+    def fail(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "_move" if at == "move" else "_write_generation", fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            warehouse.load("users", rows)
+    again = Warehouse(spark, **place)
+    again.load("users", rows, "append")
+    assert again.table("users").count() == expected + 1
+    again.load("users", rows)
+    assert again.table("users").count() == 1
+    assert len([p for p in (Path(place["root"]) / "users").iterdir()]) == 1
+
+
+@pytest.mark.parametrize("split", ["4k", "512m"])
+def test_fact_files_do_not_overlap(spark, place, monkeypatch, split):
+    from pyspark.sql import functions as F
+
+    from playmart.operators import numbering
+
+    monkeypatch.setattr(numbering, "range_partitions", lambda *args: 40)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        warehouse = Warehouse(spark, **place)
+        warehouse.create()
+        many = events(spark, event()).select("*").drop("ts").crossJoin(spark.range(4000).selectExpr("1541990258796 + id * 7001 AS ts"))
+        load_targets(warehouse, many, songs(spark, song()), tables=["songplays"])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    stored = warehouse.table("songplays").groupBy(F.input_file_name()).agg(F.min("start_time"), F.max("start_time"))
+    bounds = sorted((r[1], r[2]) for r in stored.collect())
+    assert len(bounds) >= 40
+    assert all(a[1] <= b[0] for a, b in zip(bounds, bounds[1:]))

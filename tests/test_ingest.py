@@ -161,3 +161,17 @@ def test_parse_path(path, expected):
 def test_parse_path_rejects(path):
     with pytest.raises(ValueError):
         parse_path(path)
+
+
+LOST = ['{"userId":1}{"userId":2}', '{"userId":1},{"userId":2}', '{"userId":1} xyz{bad', '[{"userId":1}]', "5", '{"userId":1', "null", "}{"]
+
+
+@pytest.mark.parametrize("line", LOST)
+def test_a_line_is_one_object_or_malformed(spark, tmp_path, line):
+    write_lines(tmp_path / "a" / "x.json", ['{"userId":7,"firstName":"a}{b"}', "", line])
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_events(spark, str(tmp_path)).collect()
+    good, bad = read_json_quarantine(spark, str(tmp_path), "staging_events")
+    assert [r.userId for r in good.collect()] == [7]
+    assert [r.record for r in bad.collect()] == [line]
+    assert read_json_quarantine(spark, str(tmp_path), "staging_events")[0].count() == 1

@@ -1,8 +1,9 @@
 """Incremental loads: each file once, dimensions without repeats, dense keys."""
 
-from helpers import event, multiset, song, write_logs, write_song
+import pytest
+from helpers import event, multiset, song, write_lines, write_logs, write_song
 
-from playmart.plans.star import build_time, build_users
+from playmart.plans.star import build_songplays, build_time, build_users
 from playmart.schemas import TARGETS
 from playmart.streaming import arrivals
 from playmart.streaming.arrivals import load_arrivals
@@ -84,3 +85,72 @@ def test_no_files_yet(spark, tmp_path):
     (tmp_path / "songs").mkdir()
     store = load_arrivals(spark, str(tmp_path / "logs"), str(tmp_path / "songs"), str(tmp_path / "mart"))
     assert store.table("songplays").count() == 0
+
+
+def plays(store):
+    return multiset(store.table("songplays").drop("songplay_id"))
+
+
+def test_late_songs_reach_the_fact(spark, tmp_path):
+    logs, catalog, root = (str(tmp_path / n) for n in ("logs", "songs", "mart"))
+    write_song(catalog, "TRAAAAA", song(title="Other"))
+    write_logs(logs, "2018-11-12", event(), event(userId=9), event(song="Other"))
+    assert ids(load_arrivals(spark, logs, catalog, root)) == [0]
+    write_song(catalog, "TRAAAAB", song())
+    assert ids(load_arrivals(spark, logs, catalog, root)) == [0, 1, 2]
+    write_song(catalog, "TRAAAAC", song(song_id="S3"))  # a second song for a play that has one
+    write_logs(logs, "2018-11-13", event(userId=10))
+    store = load_arrivals(spark, logs, catalog, root)
+    assert ids(store) == list(range(7))
+    full = build_songplays(store.table("staging_events"), store.table("staging_songs"))
+    assert plays(store) == multiset(full.drop("songplay_id"))
+
+
+@pytest.mark.parametrize("failing", ["songs", "events"])
+def test_repeated_batches_after_late_songs(spark, tmp_path, monkeypatch, failing):
+    """A batch is written whole, but its commit is lost: it runs again."""
+    logs, catalog, root = (str(tmp_path / n) for n in ("logs", "songs", "mart"))
+    write_song(catalog, "TRAAAAA", song(title="Other"))
+    write_logs(logs, "2018-11-12", event(), event(song="Other"))
+    load_arrivals(spark, logs, catalog, root)
+    name = f"_load_{failing}"
+    load = getattr(arrivals, name)
+
+    def lost(*args):
+        load(*args)
+        raise RuntimeError("lost")
+
+    write_song(catalog, "TRAAAAB", song())
+    write_logs(logs, "2018-11-13", event(userId=10))
+    with monkeypatch.context() as patch:
+        patch.setattr(arrivals, name, lost)
+        with pytest.raises(Exception, match="lost"):
+            load_arrivals(spark, logs, catalog, root)
+    write_song(catalog, "TRAAAAC", song(song_id="S3"))
+    store = load_arrivals(spark, logs, catalog, root)
+    full = build_songplays(store.table("staging_events"), store.table("staging_songs"))
+    assert plays(store) == multiset(full.drop("songplay_id"))
+    assert len(set(ids(store))) == len(ids(store))
+
+
+def test_a_lost_checkpoint_is_refused(spark, tmp_path):
+    logs, catalog, root = (str(tmp_path / n) for n in ("logs", "songs", "mart"))
+    write_song(catalog, "TRAAAAA", song())
+    write_logs(logs, "2018-11-12", event())
+    load_arrivals(spark, logs, catalog, root)
+    (tmp_path / "mart" / "_checkpoints" / "events").rename(tmp_path / "gone")
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        load_arrivals(spark, logs, catalog, root)
+
+
+def test_malformed_lines_of_a_batch_are_set_aside(spark, tmp_path):
+    logs, catalog, root = (str(tmp_path / n) for n in ("logs", "songs", "mart"))
+    write_song(catalog, "TRAAAAA", song())
+    write_logs(logs, "2018-11-12", event())
+    write_lines(tmp_path / "logs" / "bad.json", ["{bad", '{"a":1}{"a":2}'])
+    with pytest.raises(Exception, match="MALFORMED"):
+        load_arrivals(spark, logs, catalog, root)
+    aside = str(tmp_path / "aside")
+    store = load_arrivals(spark, logs, catalog, root, quarantine=aside)
+    assert ids(store) == [0]
+    assert {r.record for r in spark.read.json(f"{aside}/staging_events").collect()} == {"{bad", '{"a":1}{"a":2}'}
