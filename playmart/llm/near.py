@@ -223,7 +223,7 @@ def _pairs_of_lists(batches: Iterator[pa.RecordBatch], likeness: Likeness) -> It
         if len(a):
             need = likeness.shared(np.minimum(size[a], size[b]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(node[a]), pa.array(node[b]), pa.array(np.concatenate(weight)), pa.array(need.astype(np.int64))],
+                [pa.array(x) for x in (node[a], node[b], np.concatenate(weight), need.astype(np.int64))],
                 ["a", "b", "shared", "need"],
             )
 
@@ -262,7 +262,8 @@ def _candidates(sets: DataFrame, likeness: Likeness) -> DataFrame:
     counted = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("need").alias("need"))
     found = counted.filter("shared >= need").select("a", "b")
     classed = F.explode(likeness.size_classes(F.col("size")))
-    late = sets.select(F.explode("heavy").alias("shingle"), "node", "size").select("shingle", "node", classed.alias("c"))
+    late = sets.select(F.explode("heavy").alias("shingle"), "node", "size")
+    late = late.select("shingle", "node", classed.alias("c"))
     first = late.groupBy("shingle", "c").agg(F.min("node").alias("a"))
     stars = late.join(first, ["shingle", "c"]).filter("a <> node").select("a", F.col("node").alias("b"))
     return found.unionAll(stars.distinct())
@@ -377,7 +378,8 @@ def _members(docs: DataFrame, text: str, keys: list[str], wanted: DataFrame, lik
                 [batch.column("set_key"), batch.column("root"), pa.array(raw, type=pa.binary())],
                 ["set_key", "root", "shingles"],
             )
-            right = [xxhash.xxh3_128_digest(r) == k for r, k in zip(raw, batch.column("set_key").to_pylist(), strict=True)]
+            keys = batch.column("set_key").to_pylist()
+            right = [xxhash.xxh3_128_digest(r) == k for r, k in zip(raw, keys, strict=True)]
             yield out.filter(pa.array(right, type=pa.bool_()))
 
     plain = joined.select("set_key", "root", text).mapInArrow(run, "set_key binary, root bigint, shingles binary")
@@ -387,7 +389,8 @@ def _members(docs: DataFrame, text: str, keys: list[str], wanted: DataFrame, lik
 def _blocks(members: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """Members of groups (root, c) of two or more, with the group's number of blocks and
     their own block."""
-    sized = members.groupBy("root", "c").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("shingles")).alias("held"))
+    held = F.sum(F.octet_length("shingles"))
+    sized = members.groupBy("root", "c").agg(F.count(F.lit(1)).alias("n"), held.alias("held"))
     grouped = sized.filter("n > 1").withColumn("blocks", F.ceil(F.col("held") / BLOCK_BYTES).cast("int"))
     joined = members.join(small_side(scratch.write(name, grouped)), ["root", "c"])
     block = F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")
@@ -412,12 +415,13 @@ def near_duplicates(
     text: str = "text",
     id_column: str = "doc_id",
 ) -> DataFrame:
-    """(id_column, n_shingles, component_id) of every document.
+    """(id_column, n_shingles, component_id, component_key, text_hash) of every document.
 
     Two documents are linked when the Jaccard similarity of their shingle sets reaches
     the likeness. component_id is the least id that links lead to, the document's own
-    included. A null text, an empty one or one without words has no shingles, no links
-    and its own id. A null id never is the least unless all are null. Repeated rows and
+    included; component_key tells components apart where ids are null or repeat. A null
+    text, an empty one or one without words has no shingles, no links, its own id and a
+    null key. A null id never is the least unless all are null. Repeated rows and
     documents with equal sets are linked, also under one id. Other columns are ignored,
     whatever their names. No rows give no rows.
 
@@ -455,7 +459,8 @@ def near_duplicates(
     bundled = _dealt(small, nothing, nothing, bundle, F.lit(0), 2)
     # Every block of a large component by itself and with the first one.
     alone = _dealt(large, F.col("root"), F.col("c"), F.col("block"), F.col("block"), 2)
-    heads = large.filter("block = 0 AND blocks > 1").withColumn("j", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)))
+    heads = large.filter("block = 0 AND blocks > 1")
+    heads = heads.withColumn("j", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)))
     heads = _dealt(heads, F.col("root"), F.col("c"), F.lit(0), F.col("j"), 0)
     others = _dealt(large.filter("block > 0"), F.col("root"), F.col("c"), F.lit(0), F.col("block"), 1)
     links = scratch.write("links", _links(bundled.unionAll(alone).unionAll(heads).unionAll(others), likeness))
@@ -479,17 +484,24 @@ def near_duplicates(
     # Sets with links to others get the least id of all; the rest keep their own.
     linked = scratch.write("linked", kinds.join(small_side(labels.withColumnRenamed("node", "set_key")), "set_key"))
     groups = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_linked = linked.join(small_side(groups), "root").select("set_key", "component_id")
+    of_linked = linked.join(small_side(groups), "root").select("set_key", "component_id", "root")
     named = kinds.join(small_side(of_linked), "set_key", "left")
-    of_set = named.select("set_key", F.coalesce("component_id", "least_id").alias("component_id"))
+    of_set = named.select(
+        "set_key",
+        F.when(F.col("root").isNull(), F.col("least_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.coalesce("root", "set_key").alias("component_key"),
+    )
     joined = sets.join(of_set, "set_key", "left")
     return joined.select(
         F.col("near_id").alias(id_column),
         F.col("size").cast("bigint").alias("n_shingles"),
         F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("near_id")).alias("component_id"),
+        "component_key",
+        F.col("near_hash").alias("text_hash"),
     )
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents that share nine tenths of their three-word shingles."""
-    return near_duplicates(documents(spark, sf_dir), Scratch(spark, "near"), Likeness(3, 90, 100))
+    found = near_duplicates(documents(spark, sf_dir), Scratch(spark, "near"), Likeness(3, 90, 100))
+    return found.select("doc_id", "n_shingles", "component_id")

@@ -61,6 +61,9 @@ def test_line_dedup_drops_what_it_empties(spark, docs):
 def test_near_duplicates_keep_one_of_each_group(spark, docs):
     rows = pipeline.near_duplicates(spark, docs, SF_DIR).collect()
     assert sorted((r.doc_id or 0) for r in rows) == [0, 1, 4, 5, 6, 7, 8]
+    nameless = docs.selectExpr("cast(NULL AS bigint) AS doc_id", "text", "lang", "source", "n_chars")
+    left = pipeline.near_duplicates(spark, nameless, SF_DIR).collect()
+    assert len(left) == 7 and len({r.text for r in left if r.text}) == 5
     twice = pipeline.near_duplicates(spark, docs.unionAll(docs), SF_DIR).collect()
     assert sorted((r.doc_id or 0) for r in twice if r.text) == [0, 1, 4, 5, 6]
 
