@@ -505,3 +505,37 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents that share nine tenths of their three-word shingles."""
     found = near_duplicates(documents(spark, sf_dir), Scratch(spark, "near"), Likeness(3, 90, 100))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+OP6_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, list_filter(
+    regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(words) >= 3
+         THEN list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])
+         WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle
+  FROM worded
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+  WHERE 100 * common >= 90 * (s.n + t.n - common)
+),
+neighbours AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT reached.doc_id, neighbours.b FROM reached JOIN neighbours ON reached.other = neighbours.a
+)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
