@@ -1,6 +1,14 @@
-"""Line dedup: winnowing over line hashes, and deletion of later repeated runs.
+"""Line dedup: winnowing over word runs, and deletion of later repeated runs.
 
-A window is the shortest run of lines from a given line on that holds MIN_WORDS words,
+remove_passages() finds runs of words wherever they begin and end. A window of
+``min_words`` words is judged by its least hash of half as many words (winnowing), so
+that equal windows have equal marks, and only marks that repeat are looked at again.
+Places with equal marks and equal words around them are repeats of the first of them.
+Of those whose surroundings differ one for each kind is left, and the windows of these
+are told apart one by one: a mark's first place alone would hide runs that only later
+places share.
+
+remove_repeats() is the coarser form for whole lines. There, a window is the shortest run of lines from a given line on that holds MIN_WORDS words,
 so that any repeated run of that many words contains a whole window in both places.
 The least line hash of a window marks its place; the fingerprint that is joined is the
 digest of the window, so that a frequent line alone makes no bucket. Neighbouring
@@ -9,16 +17,18 @@ windows with the same mark and the same match count as one.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playmart.llm.common import bound_batches, documents, fresh_name, list_array, text_chunks
+from playmart.llm.common import INVERSE, MULTIPLIER, _powers, bound_batches, documents, fresh_name, list_array, text_chunks
 from playmart.operators import Scratch
 
 #: Words that a run must have to be deleted where it repeats.
@@ -159,10 +169,235 @@ def remove_repeats(
     ).drop(runs)
 
 
+WORD = re.compile(rb"\S+")
+
+
+def _rolled(hashes: np.ndarray, first: np.ndarray | slice, last: np.ndarray | slice) -> np.ndarray:
+    """Polynomial hashes of the runs of hashes between two lists of places."""
+    size = len(hashes) + 1
+    sums = np.zeros(size, dtype=np.uint64)
+    np.multiply(hashes, _powers(MULTIPLIER, size)[:-1], out=sums[1:])
+    np.cumsum(sums, out=sums)
+    return (sums[last] - sums[first]) * _powers(INVERSE, size)[first]
+
+
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    out = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return out ^ (out >> np.uint64(29))
+
+
+def word_windows(text: str, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int] | None:
+    """(hashes of words, of grams, the place of each window's least gram, words a gram);
+    None for a text that is shorter than a window."""
+    words = text.encode("utf-8", "replace").split()
+    if len(words) < min_words:
+        return None
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
+    size = max(1, min_words // 2)
+    count = len(words) - size + 1
+    grams = _mixed(_rolled(hashes, slice(0, count), slice(size, None)))
+    # The first of the least by their upper halves; the lower ones hold the places.
+    least = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(count, dtype=np.uint64)
+    width, reached = min_words - size + 1, 1
+    while reached < width:
+        step = min(reached, width - reached)
+        least = np.minimum(least[:-step], least[step:])
+        reached += step
+    return hashes, grams, (least & np.uint64(0xFFFFFFFF)).astype(np.int64), size
+
+
+def word_marks(text: str, min_words: int) -> tuple[np.ndarray, ...]:
+    """(mark, around, place, back, ahead) of the marks of a text: the least gram of a
+    window, a hash of all words that windows with this gram can hold, where the gram
+    begins, and how many of these words lie before that and from there on."""
+    found = word_windows(text, min_words)
+    if found is None:
+        return ()
+    hashes, grams, least, size = found
+    places = least[np.concatenate([[True], least[1:] != least[:-1]])]
+    start = np.maximum(places - (min_words - size), 0)
+    end = np.minimum(places + min_words, len(hashes))
+    # How far the words reach on each side is part of what they are.
+    sides = ((places - start) * (min_words + 1) + (end - places)).astype(np.uint64)
+    around = _mixed(_rolled(_mixed(hashes), start, end) + sides * np.uint64(MULTIPLIER))
+    return grams[places].view(np.int64), around.view(np.int64), places, places - start, end - places
+
+
+def windows_of_marks(text: str, min_words: int, places: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(mark, digest, start) of the windows whose least gram is at one of the places."""
+    found = word_windows(text, min_words)
+    if found is None:
+        return ()
+    hashes, grams, least, _ = found
+    start = np.flatnonzero(np.isin(least, places))
+    digest = _rolled(_mixed(hashes), start, start + min_words)
+    return grams[least[start]].view(np.int64), digest.view(np.int64), start
+
+
+def cut_runs(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
+    """The text without the runs of words, which may overlap, and the lines it lost.
+
+    Lines that lie in a run go with their ends. Where own words are left on a line, the
+    white space between them and the run goes, and what is left on both sides of a run
+    is one line. All other characters stay.
+    """
+    raw = text.encode("utf-8", "replace")
+    words = [m.span() for m in WORD.finditer(raw)]
+    united: list[list[int]] = []
+    for start, end in sorted(runs):
+        if united and start <= united[-1][1]:
+            united[-1][1] = max(united[-1][1], end)
+        else:
+            united.append([start, end])
+    parts, at, lost = [], 0, 0
+    for start, end in united:
+        begin, stop = words[start][0], words[end - 1][1]
+        before = words[start - 1][1] if start else 0
+        after = words[end][0] if end < len(words) else len(raw)
+        opens = raw.rfind(b"\n", before, begin) + 1
+        closes = raw.find(b"\n", stop, after)
+        line_starts, line_ends = start == 0 or opens > 0, end == len(words) or closes >= 0
+        closes = closes if closes >= 0 else len(raw)
+        if line_starts and line_ends:
+            begin, stop = (opens, closes + 1) if closes < len(raw) else (max(opens - 1, 0), closes)
+        elif line_starts:
+            begin, stop = opens, after
+        elif line_ends:
+            begin, stop = before, closes
+        else:
+            stop = after
+        parts.append(raw[at:begin])
+        lost += raw.count(b"\n", begin, stop)
+        at = stop
+    left = b"".join([*parts, raw[at:]])
+    return left.decode("utf-8"), lost + (1 if raw and not left else 0)
+
+
+def _mark_rows(docs: DataFrame, own: list[str], text: str, min_words: int) -> DataFrame:
+    """One row per mark: the columns of ``own`` and what word_marks() gives."""
+    schema = T.StructType([docs.schema[c] for c in own])
+    schema = schema.add("mark", T.LongType()).add("around", T.LongType())
+    for name in ("place", "back", "ahead"):
+        schema = schema.add(name, T.IntegerType())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_chunks(batches, text):
+            found = [(row, m) for row, body in enumerate(texts) if (m := word_marks(body, min_words))]
+            if found:
+                yield _joined(batch, own, found, schema)
+
+    return docs.select(*own, text).mapInArrow(run, schema)
+
+
+def _window_rows(docs: DataFrame, own: list[str], text: str, places: str, min_words: int) -> DataFrame:
+    """One row per window of the marks at ``places``: mark, digest and start."""
+    schema = T.StructType([docs.schema[c] for c in own])
+    schema = schema.add("mark", T.LongType()).add("digest", T.LongType()).add("start", T.IntegerType())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_chunks(batches, text):
+            given = batch.column(places).to_pylist()
+            found = [
+                (row, m) for row, body in enumerate(texts) if (m := windows_of_marks(body, min_words, np.array(given[row])))
+            ]
+            if found:
+                yield _joined(batch, own, found, schema)
+
+    return docs.select(*own, text, places).mapInArrow(run, schema)
+
+
+def _joined(batch: pa.RecordBatch, own: list[str], found: list[tuple], schema: T.StructType) -> pa.RecordBatch:
+    rows = np.repeat([row for row, _ in found], [len(m[0]) for _, m in found])
+    keys = [batch.column(c).take(pa.array(rows)) for c in own]
+    values = [np.concatenate(c) for c in zip(*(m for _, m in found), strict=True)]
+    kinds = [pa.int64() if f.dataType == T.LongType() else pa.int32() for f in schema.fields[len(own) :]]
+    columns = [pa.array(v.astype(k.to_pandas_dtype())) for v, k in zip(values, kinds, strict=True)]
+    return pa.RecordBatch.from_arrays([*keys, *columns], schema.names)
+
+
+def repeated_passages(docs: DataFrame, scratch: Scratch, text: str, own: list[str], min_words: int) -> DataFrame:
+    """Runs of words to delete, which may overlap: the columns of ``own``, start, end.
+
+    A word is in one of them if and only if it is in a window that occurred before. No
+    places are paired with each other: each is joined with the first one of its kind.
+    """
+    bound_batches(docs.sparkSession)
+    marks = scratch.write("marks", _mark_rows(docs, own, text, min_words))
+    several = marks.groupBy("mark").agg(
+        F.count(F.lit(1)).alias("n"), (F.min("around") < F.max("around")).alias("differ")
+    )
+    # Written, so that adaptive execution can split a frequent mark's rows in the join.
+    several = scratch.write("several", several.filter("n > 1").drop("n"))
+    marks = scratch.write("repeated", marks.join(several, "mark"))
+    spot = F.struct(*own, "place")
+    kinds = marks.groupBy("mark", "around", "differ").agg(F.count(F.lit(1)).alias("n"), F.min(spot).alias("first"))
+    kinds = scratch.write("kinds", kinds.filter("n > 1 or differ"))
+    firsts = kinds.filter("n > 1").select("mark", "around", "first")
+    equal = marks.join(firsts, ["mark", "around"]).filter(~spot.eqNullSafe(F.col("first")))
+    equal = equal.select(*own, (F.col("place") - F.col("back")).alias("start"), (F.col("place") + F.col("ahead")).alias("end"))
+
+    chosen = kinds.filter("differ").groupBy(*(F.col(f"first.{c}").alias(c) for c in own))
+    chosen = chosen.agg(F.collect_list("first.place").alias("places"))
+    chosen = chosen.select(*(F.col(c).alias(f"at_{c}") for c in own), "places")
+    same = F.lit(True)
+    for c in own:
+        same = same & docs[c].eqNullSafe(chosen[f"at_{c}"])
+    windows = scratch.write("windows", _window_rows(docs.join(chosen, same), own, text, "places", min_words))
+    spot = F.struct(*own, "start")
+    first = windows.groupBy("mark", "digest").agg(F.count(F.lit(1)).alias("n"), F.min(spot).alias("first"))
+    first = scratch.write("first", first.filter("n > 1").drop("n"))
+    later = windows.join(first, ["mark", "digest"]).filter(~spot.eqNullSafe(F.col("first")))
+    later = later.select(*own, "start", (F.col("start") + min_words).alias("end"))
+    return equal.unionAll(later)
+
+
+def remove_passages(
+    docs: DataFrame,
+    scratch: Scratch,
+    text: str = "text",
+    id_column: str = "doc_id",
+    min_words: int = MIN_WORDS,
+) -> DataFrame:
+    """Delete from each text the runs of words that occurred before; add removed_lines.
+
+    Words are parted by white space, ends of lines too. Every word goes that is in a run
+    of ``min_words`` words which starts in a document of a smaller id, or further up in
+    its own, as well; order, nulls, equal rows and columns are as in remove_repeats().
+    How white space and lines are left says cut_runs(); removed_lines counts the ends of
+    lines that went, and one more for a text that is empty then.
+    """
+    docs = docs.drop("removed_lines")
+    tie, runs = fresh_name(docs.columns, "text_hash"), fresh_name(docs.columns, "text_runs")
+    keyed = docs.withColumn(tie, F.xxhash64(text))
+    own, order = ["run_id", "run_tie"], [F.col(id_column).alias("run_id"), F.col(tie).alias("run_tie")]
+    found = repeated_passages(keyed.select(*order, F.col(text).alias("run_text")), scratch, "run_text", own, min_words)
+    # As a set, so that repeated rows hold no more than one of them.
+    by_text = found.groupBy(*own).agg(F.collect_set(F.struct("start", "end")).alias(runs))
+    same = keyed[id_column].eqNullSafe(by_text["run_id"]) & (keyed[tie] == by_text["run_tie"])
+    joined = keyed.join(by_text, same, "left").drop(*own, tie)
+    schema = T.StructType([*docs.schema.fields, T.StructField("removed_lines", T.IntegerType())])
+    names, place = docs.columns, docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lost, cut = np.zeros(batch.num_rows, dtype=np.int32), []
+            columns = [batch.column(c) for c in names]
+            marked = batch.column(runs).is_valid()
+            for row in np.flatnonzero(marked.to_numpy(zero_copy_only=False)).tolist():
+                spans = batch.column(runs)[row].as_py()
+                body, lost[row] = cut_runs(columns[place][row].as_py(), [(s["start"], s["end"]) for s in spans])
+                cut.append(body)
+            if cut:
+                columns[place] = pc.replace_with_mask(columns[place], marked, pa.array(cut, type=columns[place].type))
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(lost)], schema.names)
+
+    return joined.select(*docs.columns, runs).mapInArrow(run, schema)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without later repeats of runs of 50 words or more."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    cleaned = remove_repeats(docs, Scratch(spark, "lines"))
+    cleaned = remove_passages(docs, Scratch(spark, "lines"))
     return cleaned.select(
         "doc_id",
         F.col("removed_lines").cast("bigint").alias("removed_lines"),

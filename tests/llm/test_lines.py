@@ -99,3 +99,67 @@ def test_query(spark):
     texts = {d.doc_id: d.text for d in docs}
     for r in rows:
         assert r.text_sha256 == hashlib.sha256(expected[r.doc_id, texts[r.doc_id]].encode()).hexdigest()
+
+
+def passages(texts, least):
+    """The words left of texts in order, without those in windows that occurred before."""
+    seen, left = set(), []
+    for text in texts:
+        words = text.split()
+        gone = [False] * len(words)
+        for i in range(len(words) - least + 1):
+            window = tuple(words[i : i + least])
+            if window in seen:
+                gone[i : i + least] = [True] * least
+            seen.add(window)
+        left.append([w for w, g in zip(words, gone, strict=True) if not g])
+    return left
+
+
+def test_passages_within_lines_go_but_the_first(spark):
+    passage = " ".join(f"p{i}" for i in range(55))
+    rows = [(i, f"own before{i} {passage} after{i} it\nline {i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in lines.remove_passages(docs, Scratch(spark, "t")).collect()}
+    assert got[0].text == rows[0][1]
+    assert all(got[i].text == f"own before{i} after{i} it\nline {i}" for i in range(1, 40))
+    assert all(r.removed_lines == 0 for r in got.values())
+
+
+def test_passages_of_random_texts(spark):
+    draw = random.Random(5)
+    pool = [[f"w{draw.randrange(40)}" for _ in range(30)] for _ in range(6)]
+    texts = []
+    for _ in range(300):
+        words = []
+        for _ in range(draw.randrange(6)):
+            a, part = draw.randrange(20), draw.choice(pool)
+            words += part[a : a + draw.randrange(25)] + [f"w{draw.randrange(40)}"] * draw.randrange(3)
+        texts.append("".join(w + draw.choice([" ", " ", "\n", "  "]) for w in words))
+    rows = [(None, texts[0]), (None, texts[0]), *enumerate(texts[1:]), (500, None), (501, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("before", lines.F.col("text"))
+    for least in (6, 9):
+        got = lines.remove_passages(docs, Scratch(spark, "t"), min_words=least).collect()
+        assert len(got) == len(rows)
+        expected = dict(zip([None, *range(len(texts) - 1)], passages(texts, least), strict=True))
+        for r in got:
+            assert (r.text or "").split() == expected.get(r.doc_id, [])
+            assert (r.text is None) == (r.before is None)
+
+
+def test_cut_runs_leaves_other_characters():
+    text = "  a b\n\nc d  e\n f g\n"
+    assert lines.cut_runs(text, [(0, 2)]) == ("\nc d  e\n f g\n", 1)
+    assert lines.cut_runs(text, [(1, 3)]) == ("  a d  e\n f g\n", 2)
+    assert lines.cut_runs(text, [(2, 4), (3, 5)]) == ("  a b\n\n f g\n", 1)
+    assert lines.cut_runs(text, [(3, 4)]) == ("  a b\n\nc e\n f g\n", 0)
+    assert lines.cut_runs("a b\nc d", [(2, 4)]) == ("a b", 1)
+    assert lines.cut_runs("a b\nc d", [(0, 4)]) == ("", 2)
+
+
+def test_query_leaves_no_repeated_window(spark):
+    docs = sorted(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect(), key=lambda d: d.doc_id)
+    expected = passages([d.text for d in docs], 50)
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = {r.doc_id: r for r in lines.remove_passages(table, Scratch(spark, "t")).collect()}
+    assert [rows[d.doc_id].text.split() for d in docs] == expected
