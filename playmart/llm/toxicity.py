@@ -301,7 +301,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     The sample has at most TRAIN_TOXIC and TRAIN_OTHER documents of TRAIN_CHARS
     characters at most, chosen by a hash of the id, so that it is the same at each call.
-    Labels that are null, or that contradict each other for one id, are passed over.
+    Of rows that repeat an id the one of greatest text counts. Labels that are null, or that contradict each other for one id, are passed over.
     """
     known = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -315,8 +315,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     picked = picked.unionAll(known.filter("toxic = 0").orderBy(*order).limit(TRAIN_OTHER))
     texts = docs.select("doc_id", "text").filter(F.length("text") <= TRAIN_CHARS)
     # Broadcast: TRAIN_TOXIC + TRAIN_OTHER rows of two numbers at most.
-    rows = texts.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic").collect()
-    rows = sorted({r.doc_id: r for r in sorted(rows, key=lambda r: r.text)}.values(), key=lambda r: r.doc_id)
+    rows = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic")
+    # One row for each id reaches the driver, however many rows repeat it.
+    rows = sorted(rows.agg(F.max("text").alias("text")).collect(), key=lambda r: r.doc_id)
     return train((words_of(r.text), r.toxic == 1) for r in rows)
 
 

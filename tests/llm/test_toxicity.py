@@ -66,3 +66,18 @@ def test_the_held_out_fold_and_contradictions_do_not_teach(spark):
     for labels in (held, both):
         model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
         assert model.curve[:3] == (0.0, 0.0, 0.0)
+
+
+def test_one_row_of_each_id_reaches_the_driver(spark, monkeypatch):
+    texts = [(0, f"poor thing number {i}") for i in range(50)] + [(i, f"text {i}") for i in range(1, 20)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id bigint, toxic int")
+    collected, given = [], []
+    plain = type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda df: collected.append(plain(df)) or collected[-1])
+    monkeypatch.setattr(toxicity, "held_out", lambda c: c < 0)
+    monkeypatch.setattr(toxicity, "train", lambda documents: given.extend(documents))
+    toxicity.fit(docs, labels)
+    assert [len(rows) for rows in collected] == [20] and len(given) == 20
+    # The text of the repeated id that counted before.
+    assert given[0][0] == toxicity.words_of("poor thing number 9")
