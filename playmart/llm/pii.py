@@ -31,7 +31,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 LOCAL_PHONE = r"(?<![0-9+(.-])(?<!\+[0-9]\x20)\([0-9]{3}\)\x20?[0-9]{3}-[0-9]{4}(?![0-9-])"
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-SECRET = r"(?i)\b(?:token|secret|passw(?:or)?d|api[_-]?key)\x20?[=:]\x20?[\"']?[A-Za-z0-9+/_=-]{16,256}+[\"']?"
+SECRET = r"(?i)\b(?:token|secret|passw(?:or)?d|api[_-]?key)\x20?[=:]\x20?[\"']?[A-Za-z0-9+/_=-]{16,}+[\"']?"
 
 
 def digits(value: Column) -> Column:

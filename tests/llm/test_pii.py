@@ -92,3 +92,15 @@ def test_query(spark):
         assert row.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
         assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == [sum(k == x for _, _, k in spans) for x, _, _ in BASE]
         assert {f"{k}:{s}:{e}" for s, e, k in spans} <= set(row.spans.split(","))
+
+
+def test_long_secrets_are_masked_whole(spark):
+    key = "aB3/" * 1500
+    texts = [f"before token={key} after", f"password: '{key}x'"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    rows = {r.doc_id: r for r in pii.mask(pii.find(docs)).collect()}
+    for i, text in enumerate(texts):
+        (span,) = rows[i]["spans"]
+        assert text[span["start"] : span["end"]] == (f"token={key}" if i == 0 else text)
+        assert "aB3/" not in rows[i].text
+    assert rows[0].text.startswith("before ") and rows[0].text.endswith(" after")
