@@ -5,6 +5,7 @@ from __future__ import annotations
 from playmart.llm.bpe import op1_byte_bpe
 from playmart.llm.licenses import OP8_SQL, op8_license_scans
 from playmart.llm.lines import op9_line_dedup
+from playmart.llm.manifest import OP12_SQL, op12_merkle_manifest
 from playmart.llm.near import OP6_SQL, op6_ngram_jaccard_join
 from playmart.llm.packing import op10_best_fit_packing
 from playmart.llm.pii import op3_pii
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_license_scans": op8_license_scans,
     "op9_line_dedup": op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 ORACLES = {
     "op2_exact_top_k": OP2_SQL,
     "op6_ngram_jaccard_join": OP6_SQL,
     "op7_url_filters": OP7_SQL,
     "op8_license_scans": OP8_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }
