@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from playmart.llm.bpe import op1_byte_bpe
 from playmart.llm.conversations import op13_conversation_repair
+from playmart.llm.language import op11_lm_scoring
 from playmart.llm.licenses import OP8_SQL, op8_license_scans
 from playmart.llm.lines import op9_line_dedup
 from playmart.llm.manifest import OP12_SQL, op12_merkle_manifest
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_license_scans": op8_license_scans,
     "op9_line_dedup": op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_lm_scoring": op11_lm_scoring,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_conversation_repair": op13_conversation_repair,
 }

@@ -14,7 +14,7 @@ SF_DIR = "/root/testdata/sf0.01"
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES) and QUERIES.items() <= contract.queries().items()
 
 
