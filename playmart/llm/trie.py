@@ -98,6 +98,17 @@ class EliasFano:
         octet = word >> shift & np.uint64(0xFF)
         return block * BLOCK + shift.astype(np.int64) + _PLACES[octet, left]
 
+    def _run(self, bits: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+        """How many set bits follow one another from the given places on."""
+        octets = self.parts[0].view(np.uint8)
+        eight = np.ndarray((len(octets) - 7,), dtype="<u8", buffer=octets, strides=(1,))
+        at = np.minimum(bits >> 3, len(octets) - 8)
+        unset = ~(eight[at] >> (bits - (at << 3)).astype(np.uint64))
+        length = np.bitwise_count((unset & (~unset + np.uint64(1))) - np.uint64(1)).astype(np.int64)
+        long = np.flatnonzero(length + (bits - (at << 3)) >= 64)
+        length[long] = self._select(bucket[long], False) - bits[long]
+        return length
+
     def get(self, places: np.ndarray) -> np.ndarray:
         high = (self._select(places, True) - places).astype(np.uint64)
         return high << np.uint64(self.low_bits) | self._low(places)
@@ -109,8 +120,10 @@ class EliasFano:
         values = np.where(inside, values, 0).astype(np.uint64)
         bucket = (values >> np.uint64(self.low_bits)).astype(np.int64)
         low = values & np.uint64((1 << self.low_bits) - 1)
-        start = np.where(bucket > 0, self._select(np.maximum(bucket - 1, 0), False) - bucket + 1, 0)
-        end = self._select(bucket, False) - bucket
+        # A bucket's values are the set bits after the unset one that ends the bucket before.
+        after = np.where(bucket > 0, self._select(np.maximum(bucket - 1, 0), False) + 1, 0)
+        start = after - bucket
+        end = start + self._run(after, bucket)
         stop = end.copy()
         open_ = np.flatnonzero(start < stop)
         while len(open_):
