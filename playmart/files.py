@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -53,3 +54,35 @@ def make_temporary(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _hadoop(spark, path)
     fs.mkdirs(hadoop_path)
     fs.deleteOnExit(hadoop_path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    hadoop_path, fs = _hadoop(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """Write a file that must not exist. Readers see all of it or nothing.
+
+    It is written under another name and renamed without overwriting, which a shared file
+    system does atomically, so of two writers one fails.
+    """
+    jvm = spark._jvm
+    hadoop_path, fs = _hadoop(spark, path)
+    draft = jvm.org.apache.hadoop.fs.Path(hadoop_path.getParent(), f"_{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    no_options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(draft, hadoop_path, no_options)
+    except Exception:
+        fs.delete(draft, False)
+        raise

@@ -38,8 +38,9 @@ class Warehouse:
 
     A table's home is a folder below ``root`` that holds its generations. The newest
     committed one is the table; overwriting writes the next one and then moves the
-    table to it, so that readers see the old rows or the new ones. A session with a
-    fresh catalog sees the stored rows again after :meth:`create`.
+    table to it, so that readers see the old rows or the new ones. The generation that
+    was replaced stays until the next overwrite, for the queries that still read it. A
+    session with a fresh catalog sees the stored rows again after :meth:`create`.
     """
 
     def __init__(self, spark: SparkSession, root: str, database: str = "playmart", numeric_mode: str = "exact"):
@@ -142,11 +143,11 @@ class Warehouse:
     def load(self, table: str, df: DataFrame, mode: str = "overwrite") -> None:
         """Write ``df`` into ``table``: columns by name, not-null rules enforced.
 
-        Overwriting writes a new generation, moves the table to it and deletes the old
-        ones, a folder each. A load that fails or is interrupted before the move
-        leaves the stored rows as they were; one interrupted after it leaves old
-        folders, which the next load deletes. Raises if the database has the table at
-        another root.
+        Overwriting writes a new generation, moves the table to it and deletes those
+        before the one that it replaces, a folder each. A load that fails or is
+        interrupted before the move leaves the stored rows as they were; one interrupted
+        after it leaves old folders, which the next load deletes. Raises if the database
+        has the table at another root.
         """
         if mode not in WRITE_MODES:
             raise ValueError(f"mode must be one of {WRITE_MODES}, not {mode!r}")
@@ -156,12 +157,13 @@ class Warehouse:
             self.create()  # moves the table on if an overwrite was interrupted before
             rows.write.insertInto(self.name(table))
         else:
-            known = self._generations(table)
+            known, replaced = self._generations(table), self._committed(table)
             generation = max(known, default=0) + 1
             self._write_generation(table, rows, self._folder(table, generation))
             self._move(table, self._folder(table, generation))
             for old in known:
-                files.delete(self.spark, self._folder(table, old))
+                if old != replaced:
+                    files.delete(self.spark, self._folder(table, old))
         self.spark.catalog.refreshTable(self.name(table))
 
     def _write_generation(self, table: str, rows: DataFrame, folder: str) -> None:
@@ -177,7 +179,21 @@ class Warehouse:
         """Primary-key values stored more than once; they are legal, not removed."""
         return duplicate_keys(self.table(table), PRIMARY_KEY[table])
 
+    def stored_maximum(self, table: str, column: str) -> DataFrame:
+        """The largest value of a column, from the footers of the table's files.
+
+        Tasks read the footers, no row is read. The settings that this takes are those of a
+        session of its own.
+        """
+        session = self.spark.newSession()
+        session.conf.set("spark.sql.sources.useV1SourceList", "")
+        session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        rows = session.read.schema(self.table(table).schema).parquet(self.location(table))
+        return rows.agg(F.max(column).alias(column))
+
     def next_songplay_id(self) -> int:
         """One past the largest stored key. Numbering assumes a single writer."""
-        last = self.table("songplays").agg(F.max("songplay_id")).first()[0]
+        if not files.names_below(self.spark, self.location("songplays")):
+            return 0
+        last = self.stored_maximum("songplays", "songplay_id").first()[0]
         return 0 if last is None else last + 1
