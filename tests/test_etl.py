@@ -260,7 +260,7 @@ def test_interrupted_overwrite_then_append(spark, trees, place, monkeypatch, at)
     # The table and the generation that its readers may still read; nothing of the lost load.
     left = sorted(p.name for p in (Path(place["root"]) / "users").iterdir())
     assert len(left) == 2 and again.location("users").endswith(left[-1])
-    again.load("users", rows)
+    again.load("users", again.table("users"))
     assert len([p for p in (Path(place["root"]) / "users").iterdir()]) == 2
 
 
