@@ -10,7 +10,7 @@ from math import ceil, floor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playmart.llm.common import documents
+from playmart.llm.common import documents, fresh_name
 
 THRESHOLD = 0.8
 
@@ -67,11 +67,12 @@ def scan(
     Every line of the whole text, and a text of several lines as a whole (line -1), is
     compared with the templates whose size leaves the threshold within reach. A line
     is reported under the template that it is most like, the first by name on a tie, if
-    2 |common| / (|line| + |template|) reaches the threshold over distinct word bigrams.
+    2 |common| / (|line| + |template|) reaches the threshold over distinct word bigrams. The
+    whole text counts only where no line of it is reported under the same licence.
 
     A null or empty text has none, as have lines of fewer than two words. Rows are
-    judged each by itself. Other columns stay; one called licenses is replaced, as are
-    helper columns l_*. Templates of fewer than two words raise ValueError.
+    judged each by itself; an empty table gives an empty one. Other columns stay; one called
+    licenses is replaced. Templates of fewer than two words raise ValueError.
     """
     sized = sorted((name, _plain_bigrams(notice)) for name, notice in templates)
     if any(not grams for _, grams in sized):
@@ -87,8 +88,10 @@ def scan(
     full = F.struct(F.lit(-1).alias("line"), whole.alias("words"))
     segments = F.when(several, F.concat(F.array(full), segments)).otherwise(segments)
 
+    names = (fresh_name(docs.columns, n) for n in ("segments", "sets", "near", "found"))
+    segments_name, sets_name, near_name, found_name = names
     cut = docs.withColumn(
-        "l_segments",
+        segments_name,
         F.filter(
             F.transform(
                 segments,
@@ -98,10 +101,10 @@ def scan(
         ),
     )
     sets = cut.withColumn(
-        "l_sets",
-        F.transform("l_segments", lambda s: F.struct(s["line"].alias("line"), bigrams(s["words"]).alias("grams"))),
+        sets_name,
+        F.transform(segments_name, lambda s: F.struct(s["line"].alias("line"), bigrams(s["words"]).alias("grams"))),
     )
-    near = F.filter("l_sets", lambda s: _any([F.size(s["grams"]).between(*b) for b in bounds]))
+    near = F.filter(sets_name, lambda s: _any([F.size(s["grams"]).between(*b) for b in bounds]))
 
     def likeness(grams: Column, name: str, template: list[str], low: int, high: int) -> Column:
         common = F.size(F.array_intersect(grams, F.array(*map(F.lit, template))))
@@ -116,9 +119,14 @@ def scan(
         chosen = F.array_min(F.transform(F.filter(scored, lambda x: x["dice"] == top), lambda x: x["license"]))
         return F.struct(s["line"].alias("line"), chosen.alias("license"), top.alias("dice"))
 
-    found = F.filter(F.transform("l_near", best), lambda x: x["license"].isNotNull())
-    scanned = sets.withColumn("l_near", near).withColumn("licenses", F.array_sort(found))
-    return scanned.drop("l_segments", "l_sets", "l_near")
+    found = F.filter(F.transform(near_name, best), lambda x: x["license"].isNotNull())
+
+    def counted(x: Column) -> Column:
+        return (x["line"] >= 0) | ~F.exists(found_name, lambda y: (y["line"] >= 0) & (y["license"] == x["license"]))
+
+    scanned = sets.withColumn(near_name, near).withColumn(found_name, found)
+    scanned = scanned.withColumn("licenses", F.array_sort(F.filter(found_name, counted)))
+    return scanned.drop(segments_name, sets_name, near_name, found_name)
 
 
 def _any(conditions: list[Column]) -> Column:
@@ -173,10 +181,15 @@ best AS (
   SELECT doc_id, line, license, dice FROM scored WHERE dice >= {THRESHOLD}
   QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, license) = 1
 ),
+counted AS (
+  SELECT * FROM best WHERE line >= 0
+  UNION ALL
+  SELECT w.* FROM best w ANTI JOIN (SELECT * FROM best WHERE line >= 0) l USING (doc_id, license) WHERE w.line < 0
+),
 found AS (
   SELECT doc_id, count(*) AS n, string_agg(license, ',' ORDER BY line) AS notices,
     min(line) AS first_line, arg_min(dice, line) AS first_dice
-  FROM best GROUP BY doc_id
+  FROM counted GROUP BY doc_id
 )
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_notices, coalesce(notices, '') AS notices,
   first_line::BIGINT AS first_line, round(first_dice, 6) AS first_dice

@@ -1,18 +1,12 @@
-"""Line dedup: winnowing over word runs, and deletion of later repeated runs.
-
-remove_passages() finds runs of words wherever they begin and end. A window of
-``min_words`` words is judged by its least hash of half as many words (winnowing), so
-that equal windows have equal marks, and only marks that repeat are looked at again.
-Places with equal marks and equal words around them are repeats of the first of them.
-Of those whose surroundings differ one for each kind is left, and the windows of these
-are told apart one by one: a mark's first place alone would hide runs that only later
-places share.
-
-remove_repeats() is the coarser form for whole lines. There, a window is the shortest run of lines from a given line on that holds MIN_WORDS words,
-so that any repeated run of that many words contains a whole window in both places.
-The least line hash of a window marks its place; the fingerprint that is joined is the
-digest of the window, so that a frequent line alone makes no bucket. Neighbouring
-windows with the same mark and the same match count as one.
+"""Line dedup: winnowing over runs of words, and deletion of later repeated runs.
+
+A window of ``min_words`` words, wherever it begins and ends, is marked by its least hash
+of half as many words (winnowing), so that equal windows have equal marks, and only marks
+that repeat are looked at again. Places with equal marks and equal words around them are
+repeats of the first of them. Of those whose surroundings differ one for each kind is left,
+and the windows of these are told apart one by one: a mark's first place alone would hide
+runs that only later places share. The words around a mark thus take the place of an
+extension of matches, word by word, both ways.
 """
 
 from __future__ import annotations
@@ -35,140 +29,6 @@ from playmart.operators import Scratch
 MIN_WORDS = 50
 
 
-def fingerprints(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[bytes, int, int, int, np.ndarray, np.ndarray]]:
-    """(digest, mark, start, end, tail, reach) of every window of a text.
-
-    Places count all lines; lines without a word belong to no window. ``tail`` has the
-    hashes of the lines after the window up to the end of the next one: how far a match
-    can go on without another window matching.
-    """
-    raw = text.encode("utf-8", "replace").split(b"\n")
-    sizes = np.array([len(line.split()) for line in raw])
-    places = np.flatnonzero(sizes)
-    if not len(places):
-        return
-    total = np.concatenate([[0], np.cumsum(sizes[places])])
-    ends = np.searchsorted(total, total[:-1] + min_words)
-    hashes = np.array([xxhash.xxh3_64_intdigest(raw[p].strip()) for p in places.tolist()], dtype=np.uint64)
-    count = len(places)
-    for start, end in enumerate(ends.tolist()):
-        if end > count:
-            return
-        window = hashes[start:end]
-        # The next window's end, or the text's where it has none: fewer words remain.
-        far = min(int(ends[start + 1]), count) if start + 1 < count else count
-        yield (
-            xxhash.xxh3_128_digest(window.tobytes()),
-            int(places[start + int(window.argmin())]),
-            int(places[start]),
-            int(places[end - 1]) + 1,
-            hashes[end:far].astype(np.int64),
-            (places[end:far] + 1).astype(np.int32),
-        )
-
-
-def _windows(docs: DataFrame, order: list[str], text: str, min_words: int) -> DataFrame:
-    """One row per window: the columns of ``order`` and what fingerprints() gives."""
-    kinds = [docs.schema[c] for c in order]
-    schema = T.StructType([*kinds, T.StructField("digest", T.BinaryType())])
-    for name in ("mark", "start", "end"):
-        schema = schema.add(name, T.IntegerType())
-    schema = schema.add("tail", T.ArrayType(T.LongType())).add("reach", T.ArrayType(T.IntegerType()))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_chunks(batches, text):
-            rows, found = [], []
-            for row, body in enumerate(texts):
-                for window in fingerprints(body, min_words):
-                    rows.append(row)
-                    found.append(window)
-            if not rows:
-                continue
-            keys = [batch.column(c).take(pa.array(rows, type=pa.int32())) for c in order]
-            digest, mark, start, end, tail, reach = zip(*found, strict=True)
-            columns = [
-                pa.array(digest, type=pa.binary()),
-                *(pa.array(c, type=pa.int32()) for c in (mark, start, end)),
-                list_array(np.concatenate(tail), [len(t) for t in tail]),
-                list_array(np.concatenate(reach), [len(t) for t in reach]),
-            ]
-            yield pa.RecordBatch.from_arrays([*keys, *columns], schema.names)
-
-    return docs.select(*order, text).mapInArrow(run, schema)
-
-
-def repeated_runs(docs: DataFrame, scratch: Scratch, text: str, order: list[str], min_words: int) -> DataFrame:
-    """Disjoint runs of lines to delete: the columns of ``order``, start, end.
-
-    Each window is matched with its first occurrence only, so that a passage in a third
-    of all documents makes as many rows as it has copies. To the right, the lines up to
-    the end of the next window are compared with those after the first occurrence; from
-    there on the next window has a match of its own. To the left nothing need be
-    compared, as the window that starts there matches by itself.
-    """
-    bound_batches(docs.sparkSession)
-    windows = scratch.write("windows", _windows(docs, order, text, min_words))
-    place = F.struct(*order, "start")
-    first = (
-        windows.groupBy("digest")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(place.alias("place"), "tail")).alias("first"))
-        .filter("n > 1")
-        .select("digest", "first")
-    )
-    later = windows.join(first, "digest").filter(~place.eqNullSafe(F.col("first.place")))
-    same = F.transform("tail", lambda h, i: F.coalesce(h == F.get("first.tail", i), F.lit(False)))
-    more = F.coalesce(F.nullif(F.array_position(same, False), F.lit(0)) - 1, F.size("tail").cast("bigint"))
-    until = F.when(more > 0, F.get("reach", (more - 1).cast("int"))).otherwise(F.col("end"))
-    matched = later.select(*order, "mark", "start", until.alias("end"))
-    # Windows of one document with one mark overlap there: they are one run.
-    runs = matched.groupBy(*order, "mark").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    in_order = Window.partitionBy(*order).orderBy("start", "end")
-    before = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    opened = runs.withColumn("opens", F.when(F.col("start") <= before, 0).otherwise(1))
-    numbered = opened.withColumn("island", F.sum("opens").over(in_order))
-    return numbered.groupBy(*order, "island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("island")
-
-
-def remove_repeats(
-    docs: DataFrame,
-    scratch: Scratch,
-    text: str = "text",
-    id_column: str = "doc_id",
-    min_words: int = MIN_WORDS,
-) -> DataFrame:
-    """Delete from each text the runs of lines that occurred before; add removed_lines.
-
-    A run has ``min_words`` words or more and equal lines, white space at their ends
-    aside. It occurred before if it starts in a document of a smaller id, or further up
-    in its own; a null id comes first, and documents of one id are ordered by a hash
-    of their text. Of a run in many documents the first one stays. A repeat ends with
-    the last line of its last window, or of those lines after that which also follow the
-    window's first occurrence. Lines without a word go only from within a deleted run. All other lines stay, in order.
-
-    A null text stays null and an empty one empty. Rows with equal id and text are one
-    document to this operator: their runs are not repeats of each other, and all get
-    the same result. Columns stay; one called removed_lines is replaced. An empty table
-    gives an empty result.
-    """
-    docs = docs.drop("removed_lines")
-    tie, runs = fresh_name(docs.columns, "text_hash"), fresh_name(docs.columns, "text_runs")
-    keyed = docs.withColumn(tie, F.xxhash64(text))
-    own, order = ["run_id", "run_tie"], [F.col(id_column).alias("run_id"), F.col(tie).alias("run_tie")]
-    found = repeated_runs(keyed.select(*order, F.col(text).alias("run_text")), scratch, "run_text", own, min_words)
-    by_text = found.groupBy(*own).agg(F.collect_list(F.struct("start", "end")).alias(runs))
-    same = keyed[id_column].eqNullSafe(by_text["run_id"]) & (keyed[tie] == by_text["run_tie"])
-    joined = keyed.join(by_text, same, "left").drop(*own, tie)
-    lines = F.split(F.col(text), "\n")
-    left = F.filter(lines, lambda _, i: ~F.exists(runs, lambda r: (i >= r["start"]) & (i < r["end"])))
-    removed = F.aggregate(runs, F.lit(0), lambda total, r: total + r["end"] - r["start"])
-    return joined.withColumns(
-        {
-            text: F.when(F.col(runs).isNull(), F.col(text)).otherwise(F.array_join(left, "\n")),
-            "removed_lines": F.coalesce(removed, F.lit(0)),
-        }
-    ).drop(runs)
-
-
 WORD = re.compile(rb"\S+")
 
 
@@ -357,25 +217,30 @@ def remove_passages(
     text: str = "text",
     id_column: str = "doc_id",
     min_words: int = MIN_WORDS,
+    name: str = "removed_lines",
 ) -> DataFrame:
-    """Delete from each text the runs of words that occurred before; add removed_lines.
+    """Delete from each text the runs of words that occurred before; add ``name``, the
+    number of ends of lines that went, and one more for a text that is empty then.
 
     Words are parted by white space, ends of lines too. Every word goes that is in a run
     of ``min_words`` words which starts in a document of a smaller id, or further up in
-    its own, as well; order, nulls, equal rows and columns are as in remove_repeats().
-    How white space and lines are left says cut_runs(); removed_lines counts the ends of
-    lines that went, and one more for a text that is empty then.
+    its own, as well. A null id is less than any other, rows of one id stand by a hash of
+    their text, and rows that are equal in both are one document: they stay alike. A null
+    text stays null, an empty one empty; an empty table gives an empty one. Texts are read
+    whole. How white space and lines are left says cut_runs(). Other columns stay; one
+    called ``name`` is replaced.
     """
-    docs = docs.drop("removed_lines")
+    docs = docs.drop(name)
     tie, runs = fresh_name(docs.columns, "text_hash"), fresh_name(docs.columns, "text_runs")
     keyed = docs.withColumn(tie, F.xxhash64(text))
-    own, order = ["run_id", "run_tie"], [F.col(id_column).alias("run_id"), F.col(tie).alias("run_tie")]
+    own = [fresh_name(keyed.columns, "run_id"), fresh_name(keyed.columns, "run_tie")]
+    order = [F.col(id_column).alias(own[0]), F.col(tie).alias(own[1])]
     found = repeated_passages(keyed.select(*order, F.col(text).alias("run_text")), scratch, "run_text", own, min_words)
     # As a set, so that repeated rows hold no more than one of them.
     by_text = found.groupBy(*own).agg(F.collect_set(F.struct("start", "end")).alias(runs))
-    same = keyed[id_column].eqNullSafe(by_text["run_id"]) & (keyed[tie] == by_text["run_tie"])
+    same = keyed[id_column].eqNullSafe(by_text[own[0]]) & (keyed[tie] == by_text[own[1]])
     joined = keyed.join(by_text, same, "left").drop(*own, tie)
-    schema = T.StructType([*docs.schema.fields, T.StructField("removed_lines", T.IntegerType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.IntegerType())])
     names, place = docs.columns, docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playmart.llm.common import documents
+from playmart.llm.common import documents, fresh_name
 
 # The prescribed white space and symbols.
 WHITE = " \t\n\x0b\x0c\r"
@@ -65,6 +65,10 @@ def line_fails(line: Column, n_words: Column) -> Column:
     )
 
 
+#: Columns that judge() makes on its way.
+HELPERS = ("q_text", "q_words", "q_lines", "q_hashes", "q_sorted", "q_again", "q_grouped", "q_kept")
+
+
 def _repeat_words(docs: DataFrame) -> DataFrame:
     """From ``q_words``: ``n_repeat_words``, the words in three-word windows that
     occur at least twice in their text.
@@ -128,9 +132,11 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     ``clean_text`` (the lines that pass, in order), n_kept_words and ``kept``: false if
     base_failed or if the lines that pass hold less than MIN_KEPT_SHARE of the words.
     A null text counts as an empty one: no words, not kept, an empty clean_text.
-    Repeated rows are judged alike. Other columns stay; those that are called like an
-    added one are replaced, as are helper columns q_*.
+    Repeated rows are judged alike; an empty table gives an empty one. Other columns stay;
+    those that are called like an added one are replaced.
     """
+    own = {c: fresh_name([*docs.columns, *HELPERS], f"own_{c}") for c in docs.columns if c.lower() in HELPERS}
+    docs, text = docs.withColumnsRenamed(own), own.get(text, text)
     whole = F.coalesce(F.col(text), F.lit(""))
     split = docs.withColumn("q_text", whole).withColumn("q_words", words_of(F.col("q_text")))
     lines = F.transform(
@@ -158,7 +164,7 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     enough = F.col("n_kept_words") >= MIN_KEPT_SHARE * F.col("n_words")
     judged = measured.withColumn("kept", ~F.col("base_failed") & enough)
-    return judged.drop("q_text", "q_words", "q_lines", "q_hashes", "q_sorted", "q_again", "q_grouped", "q_kept")
+    return judged.drop(*HELPERS).withColumnsRenamed({made: c for c, made in own.items()})
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -296,12 +296,14 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % HELD_OUT_FOLDS == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Train on a bounded sample of the labelled documents outside the held-out fold.
-
-    The sample has at most TRAIN_TOXIC and TRAIN_OTHER documents of TRAIN_CHARS
-    characters at most, chosen by a hash of the id, so that it is the same at each call.
-    Of rows that repeat an id the one of greatest text counts. Labels that are null, or that contradict each other for one id, are passed over.
+def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """A bounded sample (doc_id, toxic, text) of the labelled documents outside the
+    held-out fold.
+
+    It has at most TRAIN_TOXIC and TRAIN_OTHER documents of TRAIN_CHARS characters at most,
+    chosen by a hash of the id, so that it is the same at each call. Of rows that repeat an
+    id the one of greatest text counts. Null texts and ids, labels that are null and those
+    that contradict each other for one id are passed over.
     """
     known = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -316,26 +318,46 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     texts = docs.select("doc_id", "text").filter(F.length("text") <= TRAIN_CHARS)
     # Broadcast: TRAIN_TOXIC + TRAIN_OTHER rows of two numbers at most.
     rows = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic")
-    # One row for each id reaches the driver, however many rows repeat it.
-    rows = sorted(rows.agg(F.max("text").alias("text")).collect(), key=lambda r: r.doc_id)
-    return train((words_of(r.text), r.toxic == 1) for r in rows)
+    return rows.agg(F.max("text").alias("text"))
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """Train on the bounded sample of training_rows().
+
+    One task trains on it; the driver gets the weights, about a megabyte. Without documents
+    or labels the model is constant.
+    """
+    sample = training_rows(docs, labels).repartition(1)
+    found = sample.mapInArrow(_trained, "weights binary, bias double, curve array<double>").collect()
+    if not found:
+        return train([])
+    return Model(np.frombuffer(found[0]["weights"], dtype=np.float32), found[0]["bias"], tuple(found[0]["curve"]))
+
+
+def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row with the model of all rows (doc_id, toxic, text)."""
+    rows = sorted((r["doc_id"], r["toxic"], r["text"]) for batch in batches for r in batch.to_pylist())
+    model = train((words_of(text), toxic == 1) for _, toxic, text in rows)
+    row = {"weights": model.weights.tobytes(), "bias": float(model.bias), "curve": list(model.curve)}
+    kinds = [("weights", pa.binary()), ("bias", pa.float64()), ("curve", pa.list_(pa.float64()))]
+    yield pa.RecordBatch.from_pylist([row], pa.schema(kinds))
 
 
 _KNOWN: dict[int, dict[str, float]] = {}
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Add ``toxicity``: the probability that a text is toxic, from its two worst words
-    and the number of its different words.
+def score(docs: DataFrame, model: Model, text: str = "text", name: str = "toxicity") -> DataFrame:
+    """Add ``name``: the probability that a text is toxic, from its two worst words and
+    the number of its different words.
 
     Every whole text is read. A null text counts as an empty one; a text without words
-    gets the value of a word without letters. Repeated rows get equal values. Other
-    columns stay; one called toxicity is replaced.
+    gets the value of a word without letters. Repeated rows get equal values. An empty
+    table gives an empty one. Other columns stay; one of that name is replaced.
     """
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    plain = docs.drop("toxicity")
-    schema = T.StructType([*plain.schema.fields, T.StructField("toxicity", T.DoubleType())])
+    plain = docs.drop(name)
+    schema = T.StructType([*plain.schema.fields, T.StructField(name, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -350,7 +372,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 if place >= room or len(word) > CACHED_CHARS:
                     del known[word]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(model.probability(worst))], schema=pa.schema([*batch.schema, ("toxicity", pa.float64())])
+                [*batch.columns, pa.array(model.probability(worst))], schema=pa.schema([*batch.schema, (name, pa.float64())])
             )
 
     return plain.mapInArrow(run, schema)

@@ -23,12 +23,21 @@ def test_notices_and_variants(spark):
         "",
         "one",
         long + "\nReleased under the BSD 3-Clause License.",
+        "Released under the MIT License.\n",
+        "Released under the\nMIT License.",
     ]
     got = found(spark, texts)
     assert got[0] == [(1, "MIT", 1.0)] and got[2] == [(0, "MIT", 1.0)] and got[3] == [(0, "MIT", 0.8)]
     assert [x[1] for x in got[4]] == ["Apache-2.0", "CC-BY-NC-4.0"]
     assert got[1] == got[5] == got[6] == got[7] == []
     assert got[8] == [(3000, "BSD-3-Clause", 1.0)]
+    assert got[9] == [(0, "MIT", 1.0)] and got[10] == [(-1, "MIT", 1.0)]
+
+
+def test_repeated_rows_and_clashing_columns(spark):
+    docs = spark.createDataFrame([("Released under the MIT License.", "a", "b")] * 2, "text string, segments string, found string")
+    rows = licenses.scan(docs).collect()
+    assert [(r.segments, r.found, r.licenses[0].license) for r in rows] == [("a", "b", "MIT")] * 2
 
 
 def test_bounds_are_exact():

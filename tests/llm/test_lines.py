@@ -1,106 +1,13 @@
 """Line dedup against explicit comparison of all windows."""
 
 import random
+import re
+from hashlib import sha256
 
 from playmart.llm import lines
 from playmart.operators import Scratch
 
 
-def plain(rows, least):
-    """Texts by (id, text), without the runs that occurred before."""
-    order = sorted({(i is not None, i or 0, h, t) for i, h, t in rows if t is not None})
-    first, windows, gone = {}, [], {}
-    for rank, (_, _, _, text) in enumerate(order):
-        cut = text.split("\n")
-        full = [k for k, line in enumerate(cut) if line.split()]
-        for a in range(len(full)):
-            words = 0
-            for b in range(a, len(full)):
-                words += len(cut[full[b]].split())
-                if words >= least:
-                    key = tuple(cut[k].strip(" \t\r\x0b\x0c") for k in full[a : b + 1])
-                    first.setdefault(key, (rank, cut, full, a, b))
-                    windows.append((rank, cut, full, a, b, key))
-                    break
-    for rank, cut, full, a, b, key in windows:
-        old_rank, old, old_full, old_a, old_b = first[key]
-        if (old_rank, old_a) == (rank, a):
-            continue
-        b, old_b = b + 1, old_b + 1
-        # What follows is compared up to the end of the next window, which has its own
-        # first occurrence.
-        until, words = a + 1, 0
-        while until < len(full) and words < least:
-            words += len(cut[full[until]].split())
-            until += 1
-        while b < until and old_b < len(old_full) and cut[full[b]].strip() == old[old_full[old_b]].strip():
-            b, old_b = b + 1, old_b + 1
-        gone.setdefault(rank, set()).update(range(full[a], full[b - 1] + 1))
-    return {
-        (t if not known else (i, t)): "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone.get(rank, ()))
-        for rank, (known, i, _, t) in enumerate(order)
-    }
-
-
-def cleaned(spark, rows, least):
-    from pyspark.sql import functions as F
-
-    docs = spark.createDataFrame([(i, t, 3) for i, t in rows], "doc_id bigint, text string, removed_lines int")
-    docs = docs.withColumn("before", F.col("text"))
-    return lines.remove_repeats(docs, Scratch(spark, "t"), min_words=least).collect(), {
-        (r.doc_id, r.text): r.h for r in docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
-    }
-
-
-def compare(spark, rows, least):
-    got, hashes = cleaned(spark, rows, least)
-    expected = plain([(i, hashes[i, t], t) for i, t in rows], least)
-    assert len(got) == len(rows)
-    for row in got:
-        if row.before is None:
-            assert row.text is None and row.removed_lines == 0
-            continue
-        key = row.before if row.doc_id is None else (row.doc_id, row.before)
-        assert row.text == expected[key]
-        assert row.removed_lines == len(row.before.split("\n")) - (len(row.text.split("\n")) if row.text else 0) or row.text == ""
-
-
-def test_random_texts(spark):
-    draw = random.Random(2)
-    parts = ["a", "b b", "c c c", "d d d d", "", "  ", "e e e e e e e ", "f"]
-    texts = ["\n".join(draw.choice(parts) for _ in range(draw.randrange(12))) for _ in range(300)]
-    compare(spark, list(enumerate(texts)), 6)
-
-
-def test_odd_rows(spark):
-    long = "\n".join(f"line {i % 977} of a very long text" for i in range(20_000))
-    run = "one two three\nfour five six"
-    rows = [(1, run), (1, run), (1, run + "\nseven"), (None, run), (2, None), (3, ""), (4, long), (5, "x\n" + run + "\n\ny")]
-    compare(spark, rows, 6)
-    assert lines.remove_repeats(spark.createDataFrame([], "doc_id int, text string"), Scratch(spark, "t")).count() == 0
-
-
-def test_passage_within_documents_goes_but_the_first(spark):
-    passage = " ".join(f"p{i}" for i in range(55))
-    rows = [(i, f"own text {i}\n{passage}\nmore text {i}") for i in range(40)]
-    got, _ = cleaned(spark, rows, 50)
-    left = {r.doc_id: r.text for r in got}
-    assert passage in left[0]
-    assert all(left[i] == f"own text {i}\nmore text {i}" for i in range(1, 40))
-
-
-def test_query(spark):
-    import hashlib
-
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
-    expected = plain([(d.doc_id, 0, d.text) for d in docs], 50)
-    rows = lines.op9_line_dedup(spark, "/root/testdata/sf0.001").collect()
-    assert len(rows) == len(docs) and any(r.removed_lines for r in rows)
-    texts = {d.doc_id: d.text for d in docs}
-    for r in rows:
-        assert r.text_sha256 == hashlib.sha256(expected[r.doc_id, texts[r.doc_id]].encode()).hexdigest()
-
-
 def passages(texts, least):
     """The words left of texts in order, without those in windows that occurred before."""
     seen, left = set(), []
@@ -157,6 +64,70 @@ def test_cut_runs_leaves_other_characters():
     assert lines.cut_runs("a b\nc d", [(0, 4)]) == ("", 2)
 
 
+def plainly_cut(text, gone):
+    """(text, ends of lines lost) without the words of the given places, character by
+    character: a run goes with the white space after it, or with whole lines."""
+    words = [m.span() for m in re.finditer(r"[^ \t-\r]+", text)]
+    drop, lost, i = set(), 0, 0
+    while i < len(words):
+        if not gone[i]:
+            i += 1
+            continue
+        j = i
+        while j + 1 < len(words) and gone[j + 1]:
+            j += 1
+        start, end = words[i][0], words[j][1]
+        left, right = text[words[i - 1][1] if i else 0 : start], text[end : words[j + 1][0] if j + 1 < len(words) else len(text)]
+        opens, closes = i == 0 or "\n" in left, j + 1 == len(words) or "\n" in right
+        line_start = start - len(left) + left.rfind("\n") + 1
+        line_end = end + right.index("\n") if "\n" in right else len(text)
+        if opens and closes:
+            span = range(line_start, line_end + 1) if line_end < len(text) else range(max(line_start - 1, 0), line_end)
+        elif opens:
+            span = range(line_start, end + len(right))
+        elif closes:
+            span = range(start - len(left), line_end)
+        else:
+            span = range(start, end + len(right))
+        drop.update(span)
+        lost += sum(text[k] == "\n" for k in span if k < len(text))
+        i = j + 1
+    rest = "".join(c for k, c in enumerate(text) if k not in drop)
+    return rest, lost + (not rest and bool(text))
+
+
+def test_query_against_windows(spark):
+    """Whole texts with their white space, and the lines that went."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    seen, expected = set(), {}
+    for d in sorted(docs, key=lambda d: d.doc_id):
+        words = re.findall(r"[^ \t-\r]+", d.text)
+        gone = [False] * len(words)
+        for i in range(len(words) - 49):
+            window = tuple(words[i : i + 50])
+            if window in seen:
+                gone[i : i + 50] = [True] * 50
+            seen.add(window)
+        expected[d.doc_id] = plainly_cut(d.text, gone)
+    rows = lines.op9_line_dedup(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == len(docs) and any(r.removed_lines for r in rows)
+    for r in rows:
+        text, lost = expected[r.doc_id]
+        assert (r.text_sha256, r.n_chars_left, r.removed_lines) == (sha256(text.encode()).hexdigest(), len(text), lost)
+
+
+def test_odd_rows(spark):
+    run = "one two three\nfour five six"
+    long = " ".join(f"word{i % 977} of {i // 977}" for i in range(20_000))
+    rows = [(None, run), (None, run), (1, run + "\nseven"), (2, None), (3, ""), (4, long), (5, "x\n" + run + "\n\ny"), (6, long)]
+    docs = spark.createDataFrame([(i, t, "own") for i, t in rows], "doc_id bigint, text string, removed_lines string")
+    found = lines.remove_passages(docs, Scratch(spark, "t"), min_words=6, name="gone").collect()
+    assert {r.removed_lines for r in found} == {"own"} and len(found) == len(rows)
+    left = {r.doc_id: (r.text, r.gone) for r in found}
+    assert left == {None: (run, 0), 1: ("seven", 2), 2: (None, 0), 3: ("", 0), 4: (long, 0), 5: ("x\n\ny", 2), 6: ("", 1)}
+    assert lines.remove_passages(docs.limit(0), Scratch(spark, "t")).count() == 0
+
+
 def test_query_leaves_no_repeated_window(spark):
     docs = sorted(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect(), key=lambda d: d.doc_id)
     expected = passages([d.text for d in docs], 50)

@@ -91,3 +91,16 @@ def test_run_equals_its_stages(spark):
     assert packed == {r.doc_id for r in step.select("doc_id").collect()}
     used = rows.selectExpr("sequence_id", "offset + length AS until").groupBy("sequence_id").agg({"until": "max"})
     assert max(r[1] for r in used.collect()) <= 4096 and 0 < len(packed) < docs.count()
+
+
+def test_clashing_columns(spark, docs):
+    """Stages leave columns alone that are called like those they make on their way."""
+    from pyspark.sql import functions as F
+
+    names = ["toxicity", "removed_lines", "leader_id", "leader_hash", "leader_rows", "text_hash", "component_key", "n_shingles", "spans", "run_id"]
+    rows = docs.withColumns({n: F.lit("own") for n in names})
+    for _, stage in pipeline.STAGES[:-1]:
+        rows = stage(spark, rows, SF_DIR)
+        assert rows.columns == [*docs.columns, *names]
+    assert rows.select(*names).distinct().collect() == [tuple(["own"] * len(names))] and rows.count() > 3
+    assert pipeline.best_fit_packing(spark, rows, SF_DIR).count() >= rows.count()

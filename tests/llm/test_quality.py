@@ -76,3 +76,9 @@ def test_clean_documents_stay_and_junk_goes(spark):
 
 def test_empty_table(spark):
     assert quality.judge(spark.createDataFrame([], "doc_id int, text string")).count() == 0
+
+
+def test_helper_columns_leave_own_ones(spark):
+    docs = spark.createDataFrame([("Some words. " * 30, "a", "b")], "q_text string, q_words string, q_kept string")
+    row = quality.judge(docs, "q_text").first()
+    assert (row.q_text, row.q_words, row.q_kept, row.n_words) == ("Some words. " * 30, "a", "b", 60)

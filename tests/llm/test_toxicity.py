@@ -1,6 +1,8 @@
 """Toxicity by held-out labels and by disguised insults."""
 
 import zlib
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -68,16 +70,34 @@ def test_the_held_out_fold_and_contradictions_do_not_teach(spark):
         assert model.curve[:3] == (0.0, 0.0, 0.0)
 
 
-def test_one_row_of_each_id_reaches_the_driver(spark, monkeypatch):
+def test_one_row_of_each_id_trains_and_the_driver_gets_the_model(spark, monkeypatch):
     texts = [(0, f"poor thing number {i}") for i in range(50)] + [(i, f"text {i}") for i in range(1, 20)]
     docs = spark.createDataFrame(texts, "doc_id bigint, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id bigint, toxic int")
-    collected, given = [], []
+    monkeypatch.setattr(toxicity, "held_out", lambda c: c < 0)
+    rows = {r.doc_id: r.text for r in toxicity.training_rows(docs, labels).collect()}
+    # The text of the repeated id that counted before.
+    assert len(rows) == 20 and rows[0] == "poor thing number 9"
+    collected = []
     plain = type(docs).collect
     monkeypatch.setattr(type(docs), "collect", lambda df: collected.append(plain(df)) or collected[-1])
-    monkeypatch.setattr(toxicity, "held_out", lambda c: c < 0)
-    monkeypatch.setattr(toxicity, "train", lambda documents: given.extend(documents))
     toxicity.fit(docs, labels)
-    assert [len(rows) for rows in collected] == [20] and len(given) == 20
-    # The text of the repeated id that counted before.
-    assert given[0][0] == toxicity.words_of("poor thing number 9")
+    assert [[r.asDict().keys() for r in rows] for rows in collected] == [[{"weights", "bias", "curve"}]]
+
+
+def test_kernel_against_all_triples():
+    """The kernel of two words, by enumeration of their ordered triples of letters."""
+    def plain(word):
+        """(weights of its triples, norm); the norm counts equal triples apart."""
+        weights, norm = Counter(), 0
+        for places in combinations(range(len(word)), 3):
+            span = places[2] - places[0] + 1
+            if span <= toxicity.MAX_SPAN:
+                weights["".join(word[p] for p in places)] += toxicity.DECAY**span
+                norm += toxicity.DECAY ** (2 * span)
+        return weights, norm**0.5
+
+    words = ["idiot", "idxiot", "stupid", "window", "aaaaa", "banana", "abcdefgh", "toidi"]
+    features = [plain(w) for w in words]
+    expected = [[sum(v * g[t] for t, v in f.items()) / (m * n) for g, n in features] for f, m in features]
+    assert np.allclose(toxicity._kernel(words, words), expected, atol=1e-4)
