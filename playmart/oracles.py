@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from playmart.schemas import COLUMNS, NOT_NULL
+from playmart.schemas import COLUMNS, NOT_NULL, TARGETS
 
 STAGED = """
 WITH staging_events AS (
@@ -134,6 +134,11 @@ _RESULTS |= {
     "arrivals_late_songs": "SELECT * EXCLUDE (songplay_id) FROM numbered",
     "overwritten_songplays": _RESULTS["songplays"],
     "etl_songplays": _RESULTS["songplays"],
+    "etl_songs": _RESULTS["songs"],
+    "etl_artists": _RESULTS["artists"],
+    "stored_layout": "SELECT * FROM (VALUES "
+    + ", ".join(f"('{table}', CAST(0 AS BIGINT))" for table in TARGETS)
+    + ") AS t(table_name, overlapping_files)",
     "etl_users": _RESULTS["users"],
     "etl_time": _RESULTS["time"],
     "reset_row_counts": "SELECT * FROM (VALUES "

@@ -8,14 +8,14 @@ from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from playmart.functions import calendar_parts, epoch_to_timestamp
 from playmart.operators import Scratch, duplicate_keys
 from playmart.plans import reports, star
 from playmart.plans.job import load_staging, load_targets, run_etl
-from playmart.schemas import COLUMNS, NOT_NULL, struct
+from playmart.schemas import COLUMNS, NOT_NULL, SORT_KEY, TARGETS, struct
 from playmart.sinks import Warehouse
 from playmart.sources import json_trees
 from playmart.sources.tables import staging_events, staging_songs
@@ -178,12 +178,13 @@ def _loaded(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def reset_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of each table after a load and a reset."""
+    """Rows of each table after a load of all of them and a reset."""
     with _database(spark) as database:
         warehouse = Warehouse(spark, Scratch(spark, "reset").root, database)
         warehouse.create()
         warehouse.load("staging_events", staging_events(spark, sf_dir))
-        load_targets(warehouse, _plays(spark, sf_dir), staging_songs(spark, sf_dir), tables=["users", "songs"])
+        warehouse.load("staging_songs", staging_songs(spark, sf_dir))
+        load_targets(warehouse, warehouse.table("staging_events"), warehouse.table("staging_songs"))
         warehouse.reset()
         counts = _counts({t: warehouse.table(t) for t in COLUMNS}).collect()
     return spark.createDataFrame(counts, "table_name string, n bigint")
@@ -240,6 +241,19 @@ def users_by_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.users_by_gender(**stored_tables(spark, sf_dir, ["users"]))
 
 
+def stored_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each stored target table the number of its files whose range of the sort key
+    reaches into that of a file before it: none, so that a key's rows lie side by side."""
+    counts = []
+    for name, rows in stored_tables(spark, sf_dir, TARGETS).items():
+        key = SORT_KEY[name]
+        ranges = rows.groupBy(F.input_file_name().alias("file")).agg(F.min(key).alias("least"), F.max(key).alias("most"))
+        before = F.max("most").over(Window.orderBy("least", "most").rowsBetween(Window.unboundedPreceding, -1))
+        reaching = ranges.select((F.col("least") < before).alias("reaching")).agg(F.count_if("reaching").alias("n"))
+        counts.append(reaching.select(F.lit(name).alias("table_name"), F.col("n").alias("overlapping_files")))
+    return reduce(DataFrame.unionAll, counts)
+
+
 def appended_songplays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_tables(spark, sf_dir, ["songplays"], loads=2)["songplays"]
 
@@ -310,6 +324,9 @@ QUERIES: dict[str, Query] = {
     "ingest_dirty_events": ingest_dirty_events,
     "quarantined_events": quarantined_events,
     "etl_songplays": lambda spark, sf_dir: _loaded(spark, sf_dir, "songplays"),
+    "etl_songs": lambda spark, sf_dir: _loaded(spark, sf_dir, "songs"),
+    "etl_artists": lambda spark, sf_dir: _loaded(spark, sf_dir, "artists"),
+    "stored_layout": stored_layout,
     "etl_users": lambda spark, sf_dir: _loaded(spark, sf_dir, "users"),
     "etl_time": lambda spark, sf_dir: _loaded(spark, sf_dir, "time"),
 }

@@ -79,16 +79,18 @@ def _parsed(lines: DataFrame, table: str, paths: list[str], numeric_mode: str) -
     """Typed columns of each line, with ``_corrupt_record``: the line if it is not
     exactly one JSON object, else NULL.
 
-    A parser alone would take the first value of a line and drop what follows it.
+    A parser would take the first value of a line and drop what follows it, so each line
+    is parsed as the items of an array, of which there must be one.
     """
-    schema = _raw_schema(paths)
-    kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    single = F.json_array_length(F.concat(F.lit("["), "value", F.lit("]"))) == 1
-    is_object = F.ltrim("value").startswith("{")
-    raw = lines.select("value", FILE, F.from_json("value", kept, options).alias("raw"))
-    sound = F.coalesce(single & is_object & F.col("raw").isNotNull() & F.col(f"raw.{CORRUPT}").isNull(), F.lit(False))
-    flat = raw.select("raw.*", FILE, F.when(sound, None).otherwise(F.col("value")).alias(BAD)).drop(CORRUPT)
+    items = T.ArrayType(_raw_schema(paths))
+    parsed = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), items, {"mode": "PERMISSIVE"})
+    # Generated with the parsing, so that no expression below parses again.
+    listed = lines.select("value", FILE, F.explode(F.array(F.struct(parsed.alias("items")))).alias("p"))
+    raw = listed.select("value", FILE, F.col("p.items").alias("items"))
+    item = F.get("items", F.lit(0))
+    sound = F.coalesce((F.size("items") == 1) & F.ltrim("value").startswith("{") & item.isNotNull(), F.lit(False))
+    flat = raw.select(item.alias("raw"), FILE, F.when(sound, None).otherwise(F.col("value")).alias(BAD))
+    flat = flat.select("raw.*", FILE, BAD)
     # Fields of a malformed line are not cast: it may be set aside rather than fail.
     fields = [F.when(F.col(BAD).isNull(), _raw_field(path)) for path in paths]
     typed = [
