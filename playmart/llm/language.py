@@ -50,7 +50,7 @@ CHUNK_CHARS, SHARD_TOKENS = 5_000_000, 1_000_000
 FREQUENT = 250_000
 #: What ends a text, as a word; no word holds white space.
 END = b" "
-LEVEL = 3
+LEVEL = 1
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
