@@ -245,19 +245,22 @@ def _word_shards(batches: Iterator[pa.RecordBatch], schema: pa.Schema, shards: i
 
 
 def _count_words(table: pa.Table, schema: pa.Schema) -> pa.Table:
-    """For each chunk the place of its words in the shard, and their counts in training."""
+    """For each chunk the rank of its words in the shard, the most frequent first, and their
+    counts in training."""
     chunks, packed = table.column("chunk").to_pylist(), table.column("grams").to_pylist()
     parts = [split(p) for p in packed]
     hashes = [np.frombuffer(raw, dtype=np.uint64) for raw, _ in parts]
     known, place = np.unique(np.concatenate(hashes), return_inverse=True)
     counts = np.zeros(len(known), dtype=np.int64)
     np.add.at(counts, place, np.concatenate([unpack(c) for _, c in parts]))
-    facts = {"shard": table.column("shard")[0].as_py(), "words": len(known), "seen": int((counts > 0).sum()), "tokens": int(counts.sum())}
+    rank = np.empty(len(known), dtype=np.int64)
+    rank[np.argsort(-counts, kind="stable")] = np.arange(len(known))
+    facts = {"shard": table.column("shard")[0].as_py(), "seen": int((counts > 0).sum()), "tokens": int(counts.sum())}
     rows, at = [], 0
     for chunk, own in zip(chunks, hashes, strict=True):
         mine = place[at : at + len(own)]
         at += len(own)
-        rows.append({"chunk": chunk, "part": 1, "answer": join([pack(mine), pack(counts[mine])]), **facts})
+        rows.append({"chunk": chunk, "part": 1, "answer": join([pack(rank[mine]), pack(counts[mine])]), **facts})
     return pa.Table.from_pylist(rows, schema)
 
 
@@ -270,13 +273,17 @@ def _answers(table: pa.Table, part: int) -> list[tuple[int, list[np.ndarray]]]:
     return sorted(((shard, [unpack(p) for p in split(answer)]) for p, shard, answer in rows if p == part), key=lambda x: x[0])
 
 
-def _with_ids(chunk: pa.Table, words: pa.Table, schema: pa.Schema, offsets: list[int]) -> pa.Table:
-    """A chunk's tokens as places among its words' ids, which rise from 1; and the counts."""
+def _with_ids(chunk: pa.Table, words: pa.Table, schema: pa.Schema, shards: int) -> pa.Table:
+    """A chunk's tokens as places among its words' ids, which rise from 1; and the counts.
+
+    The shards take turns in the ids, so frequent words have small ones, which packs n-grams
+    and tries better.
+    """
     row = chunk.to_pylist()[0]
     answers = _answers(words, 1)
     by_hash = unpack(row["by_hash"])
     ids, counts = np.empty((2, len(by_hash)), dtype=np.int64)
-    ids[by_hash] = np.concatenate([own + offsets[shard] + 1 for shard, (own, _) in answers])
+    ids[by_hash] = np.concatenate([own * shards + shard + 1 for shard, (own, _) in answers])
     counts[by_hash] = np.concatenate([c for _, (_, c) in answers])
     order = np.argsort(ids)
     rank = np.empty_like(order)
@@ -504,16 +511,14 @@ def score(
     buckets = max(1, min(facts["chunks"], max(2 * cores, facts["chunks"] // 4)))
 
     asked = raw.select("chunk", "words").mapInArrow(_mapped(_word_shards, BLOB, shards), BLOB)
-    counted = f"{ANSWERS}, words bigint, seen bigint, tokens bigint"
+    counted = f"{ANSWERS}, seen bigint, tokens bigint"
     words = scratch.write("words", asked.groupBy("shard").applyInArrow(_one(_mapped(_count_words, counted)), counted))
-    told = {r["shard"]: r for r in words.select("shard", "words", "seen", "tokens").distinct().collect()}  # a row for each shard
-    held = [told[s]["words"] if s in told else 0 for s in range(shards)]
-    offsets = np.cumsum([0, *held[:-1]]).tolist()
-    tokens, seen = sum(r["tokens"] for r in told.values()), sum(r["seen"] for r in told.values())
+    told = words.select("shard", "seen", "tokens").distinct().agg(F.sum("tokens").alias("tokens"), F.sum("seen").alias("seen")).first()
+    tokens, seen = told["tokens"] or 0, told["seen"] or 0
 
     by_chunk = raw.drop("words").repartition(buckets, "chunk").groupBy("chunk")
     moved = words.select("chunk", "shard", "part", "answer").repartition(buckets, "chunk").groupBy("chunk")
-    chunks = ChunkTable(scratch, by_chunk.cogroup(moved).applyInArrow(_two(_mapped(_with_ids, WITH_IDS, offsets)), WITH_IDS), buckets)
+    chunks = ChunkTable(scratch, by_chunk.cogroup(moved).applyInArrow(_two(_mapped(_with_ids, WITH_IDS, shards)), WITH_IDS), buckets)
     scratch.drop("chunks")
     scratch.drop("words")
 
