@@ -108,6 +108,9 @@ PLAY_PAGE = "NextSong"
 NUMERIC = {"exact": "decimal(23,5)", "ddl": "decimal(18,0)"}
 # End of the fixed values.
 
+# Columns by which single rows are looked up and the stored order does not help.
+LOOKED_UP = {"songplays": ["user_id", "song_id"]}
+
 STAGING = ["staging_events", "staging_songs"]
 TARGETS = ["songplays", "users", "songs", "artists", "time"]
 
@@ -132,3 +135,11 @@ def column_names(table: str) -> list[str]:
 def struct(table: str, mode: str = "exact") -> T.StructType:
     """Explicit read schema of a stored table."""
     return T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in column_types(table, mode)))
+
+
+def bloom_options(table: str) -> dict[str, str]:
+    """Writer options for a Bloom filter per row group and looked-up column, of a size that
+    follows the number of its values."""
+    columns = LOOKED_UP.get(table, [])
+    options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
+    return options | {"parquet.bloom.filter.adaptive.enabled": "true"} if columns else {}

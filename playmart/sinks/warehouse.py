@@ -11,7 +11,17 @@ from pyspark.sql import functions as F
 from playmart import files
 from playmart.functions.guards import enforce_not_null
 from playmart.operators import duplicate_keys
-from playmart.schemas import COLUMNS, NOT_NULL, PRIMARY_KEY, SORT_KEY, STAGING, column_names, column_types, numeric_type
+from playmart.schemas import (
+    COLUMNS,
+    NOT_NULL,
+    PRIMARY_KEY,
+    SORT_KEY,
+    STAGING,
+    bloom_options,
+    column_names,
+    column_types,
+    numeric_type,
+)
 
 WRITE_MODES = ("overwrite", "append")
 GENERATION = "generation-"
@@ -97,6 +107,11 @@ class Warehouse:
             for name, kind in column_types(table, self.numeric_mode)
         )
 
+    def _layout(self, table: str) -> str:
+        """Columns, format and writer options of a table."""
+        options = ", ".join(f"'{k}' '{v}'" for k, v in bloom_options(table).items())
+        return f"({self._columns(table)}) USING parquet" + (f" OPTIONS ({options})" if options else "")
+
     def create(self) -> None:
         """Define every missing table; an existing one is left as it is.
 
@@ -107,10 +122,7 @@ class Warehouse:
         for table in COLUMNS:
             registered, location = self._check_owned(table), self.location(table)
             if registered is None:
-                self.spark.sql(
-                    f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({self._columns(table)}) "
-                    f"USING parquet LOCATION '{location}'"
-                )
+                self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} {self._layout(table)} LOCATION '{location}'")
             elif registered.startswith(f"{self.home(table)}/{GENERATION}") and registered != location:
                 self._move(table, location)
 
@@ -169,7 +181,7 @@ class Warehouse:
     def _write_generation(self, table: str, rows: DataFrame, folder: str) -> None:
         """Insert into a table of the same columns that lies in ``folder``."""
         loading = f"`{self.database}`.`{table}_{uuid.uuid4().hex}`"
-        self.spark.sql(f"CREATE TABLE {loading} ({self._columns(table)}) USING parquet LOCATION '{folder}'")
+        self.spark.sql(f"CREATE TABLE {loading} {self._layout(table)} LOCATION '{folder}'")
         try:
             rows.write.insertInto(loading)
         finally:

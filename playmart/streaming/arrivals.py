@@ -30,7 +30,7 @@ from playmart.functions.guards import enforce_not_null
 from playmart.operators import Scratch
 from playmart.operators.numbering import file_by_file
 from playmart.plans.star import build_artists, build_songplays, build_songs, build_time, build_users
-from playmart.schemas import PLAY_PAGE, SORT_KEY, column_names, struct
+from playmart.schemas import PLAY_PAGE, SORT_KEY, bloom_options, column_names, struct
 from playmart.sources.json_trees import sound_rows, split_malformed, stream_json_table
 from playmart.streaming.manifest import Entry, Manifest, State
 
@@ -107,7 +107,7 @@ class ArrivalStore:
         rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), largest.alias("max_id"))
         write = rows.write.partitionBy(BUCKET) if table in BUCKETED else rows.write
         folder = f"{RUN}={name}-{uuid.uuid4().hex}"
-        write.parquet(f"{self.location(table)}/{folder}")
+        write.options(**bloom_options(table)).parquet(f"{self.location(table)}/{folder}")
         found = seen.get
         if not found["rows"]:
             files.delete(self.spark, f"{self.location(table)}/{folder}")

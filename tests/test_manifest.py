@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 from helpers import event, multiset, song, write_logs, write_song
+from pyspark.sql import functions as F
 
 from playmart import files
 from playmart.schemas import struct
@@ -144,3 +145,31 @@ def test_the_largest_id_comes_from_footers(spark, tmp_path):
     assert "PushedAggregation: [MAX(songplay_id)]" in plan
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
     mart.drop()
+
+
+def scanned(df):
+    """Rows that the scan of a query gave, from its metrics."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+@pytest.mark.parametrize("kind", ["stored", "arrived"])
+def test_a_point_query_skips_files_by_their_bloom_filters(spark, tmp_path, kind):
+    """Each file has every fourth user, so that least and greatest values do not help."""
+    mart, store = Warehouse(spark, str(tmp_path), "pruned"), ArrivalStore(spark, str(tmp_path / "arrived"))
+    mart.create()
+    for k in range(4):
+        rows = plays(spark, 100 * k, 100).withColumn("user_id", (F.col("songplay_id") % 100 * 4 + k).cast("int")).coalesce(1)
+        mart.load("songplays", rows, "append")
+        store.write("songplays", rows, "events", k)
+    table = {"stored": mart, "arrived": store}[kind].table("songplays")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert scanned(table) == 400
+        assert scanned(table.filter("user_id = 42")) == 100
+        assert scanned(table.filter("user_id = 401")) <= 100 and table.filter("user_id = 42").count() == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        mart.drop()
