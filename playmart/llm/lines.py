@@ -17,7 +17,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +29,8 @@ MIN_WORDS = 50
 
 
 WORD = re.compile(rb"\S+")
+_WHITE = np.zeros(256, dtype=bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def _rolled(hashes: np.ndarray, first: np.ndarray | slice, last: np.ndarray | slice) -> np.ndarray:
@@ -46,15 +47,26 @@ def _mixed(hashes: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def word_windows(text: str, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int] | None:
-    """(hashes of words, of grams, the place of each window's least gram, words a gram);
-    None for a text that is shorter than a window."""
-    words = text.encode("utf-8", "replace").split()
-    if len(words) < min_words:
+def word_hashes(texts: list[str]) -> list[np.ndarray]:
+    """The hashes of each text's words, from running sums over the bytes of all texts."""
+    raws = [t.encode("utf-8", "replace") for t in texts]
+    raw = np.frombuffer(b"\n".join(raws), dtype=np.uint8)
+    edges = np.flatnonzero(np.diff(~_WHITE[raw], prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    # Bytes count from 1, so that zeros in front of a word tell.
+    rolled = _rolled(raw + np.uint64(1), starts, ends)
+    hashes = _mixed(rolled + (ends - starts).astype(np.uint64) * np.uint64(MULTIPLIER))
+    firsts = np.cumsum([0, *[len(r) + 1 for r in raws[:-1]]])
+    return np.split(hashes, np.searchsorted(starts, firsts[1:]))
+
+
+def word_windows(hashes: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, int] | None:
+    """(hashes of grams, the place of each window's least gram, words a gram), from the
+    hashes of words; None for a text that is shorter than a window."""
+    if len(hashes) < min_words:
         return None
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
     size = max(1, min_words // 2)
-    count = len(words) - size + 1
+    count = len(hashes) - size + 1
     grams = _mixed(_rolled(hashes, slice(0, count), slice(size, None)))
     # The first of the least by their upper halves; the lower ones hold the places.
     least = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(count, dtype=np.uint64)
@@ -63,17 +75,17 @@ def word_windows(text: str, min_words: int) -> tuple[np.ndarray, np.ndarray, np.
         step = min(reached, width - reached)
         least = np.minimum(least[:-step], least[step:])
         reached += step
-    return hashes, grams, (least & np.uint64(0xFFFFFFFF)).astype(np.int64), size
+    return grams, (least & np.uint64(0xFFFFFFFF)).astype(np.int64), size
 
 
-def word_marks(text: str, min_words: int) -> tuple[np.ndarray, ...]:
+def word_marks(hashes: np.ndarray, min_words: int) -> tuple[np.ndarray, ...]:
     """(mark, around, place, back, ahead) of the marks of a text: the least gram of a
     window, a hash of all words that windows with this gram can hold, where the gram
     begins, and how many of these words lie before that and from there on."""
-    found = word_windows(text, min_words)
+    found = word_windows(hashes, min_words)
     if found is None:
         return ()
-    hashes, grams, least, size = found
+    grams, least, size = found
     places = least[np.concatenate([[True], least[1:] != least[:-1]])]
     start = np.maximum(places - (min_words - size), 0)
     end = np.minimum(places + min_words, len(hashes))
@@ -83,12 +95,12 @@ def word_marks(text: str, min_words: int) -> tuple[np.ndarray, ...]:
     return grams[places].view(np.int64), around.view(np.int64), places, places - start, end - places
 
 
-def windows_of_marks(text: str, min_words: int, places: np.ndarray) -> tuple[np.ndarray, ...]:
+def windows_of_marks(hashes: np.ndarray, min_words: int, places: np.ndarray) -> tuple[np.ndarray, ...]:
     """(mark, digest, start) of the windows whose least gram is at one of the places."""
-    found = word_windows(text, min_words)
+    found = word_windows(hashes, min_words)
     if found is None:
         return ()
-    hashes, grams, least, _ = found
+    grams, least, _ = found
     start = np.flatnonzero(np.isin(least, places))
     digest = _rolled(_mixed(hashes), start, start + min_words)
     return grams[least[start]].view(np.int64), digest.view(np.int64), start
@@ -142,7 +154,7 @@ def _mark_rows(docs: DataFrame, own: list[str], text: str, min_words: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches, text):
-            found = [(row, m) for row, body in enumerate(texts) if (m := word_marks(body, min_words))]
+            found = [(row, m) for row, words in enumerate(word_hashes(texts)) if (m := word_marks(words, min_words))]
             if found:
                 yield _joined(batch, own, found, schema)
 
@@ -158,7 +170,9 @@ def _window_rows(docs: DataFrame, own: list[str], text: str, places: str, min_wo
         for batch, texts in text_chunks(batches, text):
             given = batch.column(places).to_pylist()
             found = [
-                (row, m) for row, body in enumerate(texts) if (m := windows_of_marks(body, min_words, np.array(given[row])))
+                (row, m)
+                for row, words in enumerate(word_hashes(texts))
+                if (m := windows_of_marks(words, min_words, np.array(given[row])))
             ]
             if found:
                 yield _joined(batch, own, found, schema)
