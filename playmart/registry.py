@@ -243,7 +243,8 @@ def users_by_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each stored target table the number of its files whose range of the sort key
-    reaches into that of a file before it: none, so that a key's rows lie side by side."""
+    reaches into that of a file before it: none, so that a key's rows lie side by side. The
+    files are put in order in one task, a row each."""
     counts = []
     for name, rows in stored_tables(spark, sf_dir, TARGETS).items():
         key = SORT_KEY[name]
