@@ -16,11 +16,13 @@ TOP = 20
 QUERY_STEP = 20
 SCALE = 64
 #: Vectors of a shard and queries of a block: what one task holds at a time.
-SHARD_VECTORS, BLOCK_QUERIES = 8192, 2048
-#: Vectors whose postings are traversed together; bounds are kept for each such range.
-RANGE_VECTORS = 2048
-#: Queries that share an order of terms, and terms probed between two looks at bounds.
-QUERIES_TOGETHER, PROBED_TERMS = 64, 8
+SHARD_VECTORS, BLOCK_QUERIES = 16384, 32768
+#: Vectors of a shard that is made smaller only to give every core one.
+LEAST_VECTORS = 2048
+#: Vectors that share bounds, and those that a query meets before it has a threshold.
+RANGE_VECTORS, FIRST_VECTORS = 128, 256
+#: Queries whose bounds are computed together, and terms probed between two looks at them.
+QUERIES_TOGETHER, PROBED_TERMS = 32, 8
 #: Threshold of a query that has fewer than k results so far.
 NONE = -(1 << 62)
 
@@ -31,64 +33,92 @@ def _exact_type(bound: float) -> type:
 
 
 class Shard:
-    """Inverted lists of a set of vectors, by term (component number) and range.
+    """Inverted lists of a set of vectors, by term (component number).
 
-    A range holds, for each term, the values of its vectors in order and the largest
-    and least of them. Lists of vectors that use most terms are full, so a list is an
-    array with a zero for a vector that is not in it.
+    Vectors use most terms, so a list is an array with a zero for a vector that is not in
+    it. The largest and least value of each term are kept for ranges of vectors, and
+    for segments of ranges, each as long as all before it: a query's threshold grows
+    from one segment to the next. ``postings`` counts those traversed in essential
+    lists, those probed, and all that the queries had.
     """
 
     def __init__(self, ids: np.ndarray, values: np.ndarray):
         order = np.argsort(ids, kind="stable")
+        # Neighbouring ids may be alike; a fixed shuffle makes the first segments a fair sample.
+        order = order[np.random.default_rng(0).permutation(len(order))]
         self.ids, self.values = ids[order], values[order]
         self.largest = float(np.abs(self.values).max(initial=0))
-        self.ranges = []
-        for start in range(0, len(ids), RANGE_VECTORS):
-            part = self.values[start : start + RANGE_VECTORS]
-            self.ranges.append((start, part, part.max(axis=0, initial=0), part.min(axis=0, initial=0)))
+        self.postings = np.zeros(3, dtype=np.int64)
+        self.segments = []
+        start, count = 0, len(ids)
+        while start < count:
+            end = min(count, max(FIRST_VECTORS, 2 * start))
+            begins = np.arange(start, end, RANGE_VECTORS)
+            part = self.values[start:end]
+            most = np.maximum.reduceat(part, begins - start, axis=0)
+            least = np.minimum.reduceat(part, begins - start, axis=0)
+            sizes = np.diff(np.append(begins, end))
+            self.segments.append((start, end, np.repeat(np.arange(len(sizes)), sizes), most, least))
+            start = end
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query numbers, ids, scores): the k highest scores of each query but its
-        own, ties to smaller ids.
-
-        The queries share an order of the terms. Those from ``essential`` on cannot lift
-        a vector to any query's threshold by themselves: a vector that is in no essential
-        list is out of the race. The essential lists are traversed for all queries at
-        once, the other terms probed for the vectors that stay competitive.
-        """
+        own, ties to smaller ids."""
         count, width = queries.shape
         kind = _exact_type(width * self.largest * float(np.abs(queries).max(initial=0)))
-        lists, asked = self.values.T.astype(kind), queries.astype(kind)
-        best = (np.empty(0, dtype=np.int64),) * 3
-        threshold = np.full(count, NONE)
-        for start, part, most, least in self.ranges:
-            bounds = np.maximum(np.maximum(queries * most, queries * least), 0)
-            order = np.argsort(-bounds.sum(axis=0), kind="stable")
-            # rest[q, i]: what the terms from i on can add to a score at most.
-            rest = np.zeros((count, width + 1), dtype=np.int64)
-            rest[:, :-1] = np.cumsum(bounds[:, order[::-1]], axis=1)[:, ::-1]
-            essential = int((rest >= threshold[:, None]).sum(axis=1).max())
-            essential = min(essential, width)
-            terms = order[:essential]
-            scores = (asked[:, terms] @ lists[terms, start : start + len(part)]).astype(np.int64)
-            query, place = np.nonzero(scores + rest[:, essential, None] >= threshold[:, None])
-            partial = scores[query, place]
-            for first in range(essential, width, PROBED_TERMS):
-                some = order[first : first + PROBED_TERMS]
-                partial = partial + np.einsum("ij,ij->i", queries[query[:, None], some], part[place[:, None], some])
-                still = partial + rest[query, min(first + PROBED_TERMS, width)] >= threshold[query]
-                query, place, partial = query[still], place[still], partial[still]
-            found = self.ids[start + place]
-            other = found != own[query]
-            joined = [np.concatenate([b, x[other]]) for b, x in zip(best, (query, found, partial), strict=True)]
-            ranked = np.lexsort((joined[1], -joined[2], joined[0]))
-            query, found, partial = (x[ranked] for x in joined)
-            begins = np.searchsorted(query, np.arange(count))
-            rank = np.arange(len(query)) - begins[query]
-            best = tuple(x[rank < k] for x in (query, found, partial))
-            last = rank == k - 1
-            threshold[query[last]] = partial[last]
-        return best
+        lists, asked = np.ascontiguousarray(self.values.T.astype(kind)), queries.astype(kind)
+        best = [(np.empty(0, dtype=np.int64),) * 2] * count
+        for segment in self.segments:
+            most, least = segment[3], segment[4]
+            for first in range(0, count, QUERIES_TOGETHER):
+                some = queries[first : first + QUERIES_TOGETHER]
+                bounds = np.maximum(some[:, None] * most, some[:, None] * least)
+                for n, of_ranges in enumerate(bounds, first):
+                    best[n] = self._meet(segment, lists, asked[n], queries[n], of_ranges, own[n], k, best[n])
+        sizes = [len(ids) for ids, _ in best]
+        ids, scores = (np.concatenate(x) if count else np.empty(0, dtype=np.int64) for x in (zip(*best) if count else ((), ())))
+        return np.repeat(np.arange(count), sizes), ids, scores
+
+    def _meet(self, segment, lists, asked, query, bounds, own, k, best):
+        """The best results of one query after a segment.
+
+        The terms stand by what they can add to a score there at most. The last of them
+        together cannot reach the threshold: a vector that is in no list before those,
+        the essential ones, is out of the race. Essential lists are traversed; the other
+        terms are probed for the vectors that stay competitive by their range's bounds.
+        """
+        start, end, range_of, _, _ = segment
+        width = len(query)
+        threshold = int(best[1][-1]) if len(best[1]) == k else NONE
+        order = np.argsort(-bounds.max(axis=0, initial=0), kind="stable")
+        tops = np.maximum(bounds.max(axis=0), 0)[order]
+        essential = int((np.cumsum(tops[::-1])[::-1] >= threshold).sum())
+        # rest[r, i]: what the terms from i on add to a score in range r at most.
+        rest = np.zeros((len(bounds), width + 1), dtype=np.int64)
+        rest[:, :-1] = np.cumsum(bounds[:, order[::-1]], axis=1)[:, ::-1]
+        terms = order[:essential]
+        scores = (asked[terms] @ lists[terms, start:end]).astype(np.int64)
+        place = np.flatnonzero(scores + rest[range_of, essential] >= threshold)
+        partial = scores[place]
+        probed = 0
+        for first in range(essential, width, PROBED_TERMS):
+            if not len(place):
+                break
+            some = order[first : first + PROBED_TERMS]
+            probed += len(place) * len(some)
+            partial = partial + self.values[start + place[:, None], some] @ query[some]
+            still = partial + rest[range_of[place], min(first + PROBED_TERMS, width)] >= threshold
+            place, partial = place[still], partial[still]
+        self.postings += (essential * (end - start), probed, width * (end - start))
+        found = self.ids[start + place]
+        other = found != own
+        ids, scores = np.append(best[0], found[other]), np.append(best[1], partial[other])
+        if len(ids) > 4 * k:
+            # Only what ties with the k-th score or beats it needs sorting.
+            near = scores >= -np.partition(-scores, k - 1)[k - 1]
+            ids, scores = ids[near], scores[near]
+        ranked = np.lexsort((ids, -scores))[:k]
+        return ids[ranked], scores[ranked]
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -121,7 +151,8 @@ def top_k(
     ``vectors`` has vec_id and ``terms array<bigint>``; ``is_query`` tells the queries by
     their vec_id. Vectors are dealt into shards and queries into blocks; each shard
     meets each block in one task, which returns at most k rows a query, and the shards'
-    results are merged per query.
+    results are merged per query. A block is large, so vectors are copied once for every
+    ``block_queries`` queries only.
 
     Returns query_id, rank (from 1), vec_id, score; ties go to the smaller vec_id. Rows
     with a null vec_id or null terms take no part. Rows that repeat a vec_id count once,
@@ -131,7 +162,9 @@ def top_k(
     plain = vectors.filter(F.col("vec_id").isNotNull() & F.col("terms").isNotNull())
     once = scratch.write("vectors", plain.groupBy("vec_id").agg(F.min("terms").alias("terms")))
     queries = once.filter(is_query)
-    shards = max(1, ceil(once.count() / shard_vectors))
+    count = once.count()
+    by_cores = min(vectors.sparkSession.sparkContext.defaultParallelism, ceil(count / LEAST_VECTORS))
+    shards = max(1, by_cores, ceil(count / shard_vectors))
     blocks = max(1, ceil(queries.count() / block_queries))
     spread = F.xxhash64("vec_id")
     left = once.select(
@@ -155,10 +188,8 @@ def top_k(
             values, wanted = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (values, wanted))
             shard = Shard(candidates.column("vec_id").to_numpy(), values)
             own = asked.column("query_id").to_numpy()
-            for at in range(0, len(own), QUERIES_TOGETHER):
-                some = own[at : at + QUERIES_TOGETHER]
-                query, ids, scores = shard.search(wanted[at : at + QUERIES_TOGETHER], some, k)
-                found.append((some[query], ids, scores))
+            query, ids, scores = shard.search(wanted, own, k)
+            found.append((own[query], ids, scores))
         columns = (pa.array(np.concatenate(c)) for c in zip(*found, strict=True))
         return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
 

@@ -1,6 +1,7 @@
 """Exact top-k against brute force and DuckDB."""
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from playmart.llm import topk
@@ -25,6 +26,7 @@ def rows_of(df):
 @pytest.mark.parametrize("spread", [2, 40])
 def test_many_shards_and_ties(spark, spread, monkeypatch):
     monkeypatch.setattr(topk, "RANGE_VECTORS", 16)
+    monkeypatch.setattr(topk, "FIRST_VECTORS", 24)
     draw = np.random.default_rng(spread)
     vectors = {i: draw.integers(-spread, spread, 6).tolist() for i in range(300)}
     df = spark.createDataFrame(list(vectors.items()), "vec_id bigint, terms array<bigint>")
@@ -45,6 +47,35 @@ def test_bounds_spare_terms():
     assert ids.tolist() == order.tolist() and scores.tolist() == expected[order].tolist()
 
 
+def test_a_high_threshold_leaves_few_essential_lists():
+    draw = np.random.default_rng(2)
+    values = np.concatenate([np.full((400, 8), 60), draw.integers(0, 3, (4000, 8))])
+    shard = topk.Shard(np.arange(len(values)), values)
+    query, ids, scores = shard.search(np.array([[9, 8, 7, 1, 1, 1, 1, 1]]), np.array([0]), 20)
+    assert ids.tolist() == list(range(1, 21)) and set(scores.tolist()) == {60 * 29}
+    traversed, probed, every = shard.postings
+    assert traversed + probed < 0.5 * every
+
+
+def test_dense_vectors_are_not_all_traversed():
+    """On the given vectors, which use every component, each query has lists of its own that it skips."""
+    rows = pq.read_table("/root/testdata/sf0.1/embeddings.parquet").to_pylist()
+    rows = [r for r in rows if r["embedding"] and all(x is not None and np.isfinite(x) for x in r["embedding"])]
+    values = np.floor(64 * np.array([r["embedding"] for r in rows], dtype=float)).astype(np.int64)
+    ids = np.array([r["vec_id"] for r in rows])
+    asked = ids % 20 == 0
+    shard = topk.Shard(ids, values)
+    query, got, scores = shard.search(values[asked], ids[asked], 20)
+    exact = values[asked] @ values.T
+    exact[np.arange(asked.sum()), np.flatnonzero(asked)] = topk.NONE
+    for q in range(len(exact)):
+        order = np.lexsort((ids, -exact[q]))[:20]
+        assert got[query == q].tolist() == ids[order].tolist()
+    traversed, probed, every = shard.postings
+    print(f"traversed {traversed / every:.3f}, probed {probed / every:.3f}")
+    assert traversed < 0.75 * every and traversed + probed < 0.95 * every
+
+
 def test_large_values_stay_exact():
     draw = np.random.default_rng(3)
     for size in (10, 2**12, 2**28):
