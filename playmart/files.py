@@ -49,6 +49,25 @@ def delete_empty(spark: SparkSession, path: str) -> None:
         fs.delete(hadoop_path, False)
 
 
+def move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Move the data files of a folder into another one and delete the folder.
+
+    If one cannot be moved, those moved before it go back to where they were.
+    """
+    source_path, fs = _hadoop(spark, source)
+    target_path, _ = _hadoop(spark, target)
+    fs.mkdirs(target_path)
+    path, moved = spark._jvm.org.apache.hadoop.fs.Path, []
+    for name in (n for n in names_below(spark, source) if n[0] not in "_."):
+        old, new = path(source_path, name), path(target_path, name)
+        if not fs.rename(old, new):
+            for back, there in reversed(moved):
+                fs.rename(there, back)
+            raise OSError(f"cannot move {old} to {target}")
+        moved.append((old, new))
+    fs.delete(source_path, True)
+
+
 def make_temporary(spark: SparkSession, path: str) -> None:
     """Create a folder that goes away when the driver exits."""
     hadoop_path, fs = _hadoop(spark, path)

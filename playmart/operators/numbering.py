@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from math import ceil
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,6 +24,9 @@ TARGET_ROWS = 2_000_000
 SMALL_ROWS = 100_000
 MAX_PARTITIONS = 50_000
 
+_lock = Lock()
+_inside: dict[str, tuple[int, str]] = {}  # by session: how many are within file_by_file, the setting before
+
 
 @contextmanager
 def file_by_file(spark: SparkSession) -> Iterator[None]:
@@ -30,15 +34,25 @@ def file_by_file(spark: SparkSession) -> Iterator[None]:
 
     Spark packs small files by size, which mixes distant ranges of a sorted table.
     With an opening cost of a whole split, each file, or each part of a large one, is
-    a task of its own, so rows that are written again keep their order.
+    a task of its own, so rows that are written again keep their order. The setting is the
+    session's: of several threads within it the first one makes it, the last one restores it.
     """
     cost, split = "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(cost)
-    spark.conf.set(cost, spark.conf.get(split))
+    session = spark._jsparkSession.sessionUUID()
+    with _lock:
+        inside, before = _inside.get(session, (0, spark.conf.get(cost)))
+        _inside[session] = inside + 1, before
+        if not inside:
+            spark.conf.set(cost, spark.conf.get(split))
     try:
         yield
     finally:
-        spark.conf.set(cost, before)
+        with _lock:
+            inside, before = _inside.pop(session)
+            if inside > 1:
+                _inside[session] = inside - 1, before
+            else:
+                spark.conf.set(cost, before)
 
 
 def range_partitions(total_bytes: int, rows: int, cores: int, most: int = MAX_PARTITIONS) -> int:
@@ -58,7 +72,7 @@ def dense_ids(
     df: DataFrame,
     id_name: str,
     scratch: Scratch,
-    start: int = 0,
+    start: int | Callable[[int], int] = 0,
     id_type: str = "bigint",
     max_partitions: int = MAX_PARTITIONS,
 ) -> DataFrame:
@@ -75,13 +89,18 @@ def dense_ids(
        running sum and the broadcast stay small. The default holds the targets up
        to 6.4 TB of parquet or 100 billion rows; give more for more.
 
+    ``start`` may be a function that gives the first id for a number of rows. It is called
+    once, as soon as the rows are written and counted.
+
     Identical rows may swap ids, which leaves the same table.
     """
     spark = df.sparkSession
     columns = df.columns
     raw = scratch.write(f"{id_name}-raw", df.withColumn(TIE, F.monotonically_increasing_id()))
+    rows = raw.count()
+    first = start(rows) if callable(start) else start
     partitions = range_partitions(
-        scratch.bytes(f"{id_name}-raw"), raw.count(), spark.sparkContext.defaultParallelism, max_partitions
+        scratch.bytes(f"{id_name}-raw"), rows, spark.sparkContext.defaultParallelism, max_partitions
     )
     ordered = (
         raw.repartitionByRange(partitions, *columns, TIE)
@@ -97,7 +116,7 @@ def dense_ids(
     before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(PART, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(OFFSET))
     ordinal = F.col(SLOT).bitwiseAND(F.lit((1 << ORDINAL_BITS) - 1))
-    row_id = F.col(OFFSET) + ordinal + F.lit(start)
+    row_id = F.col(OFFSET) + ordinal + F.lit(first)
     if id_type != "bigint":
         row_id = checked_cast(row_id, id_type, label=id_name)
     return (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +24,26 @@ def _scratch(spark: SparkSession, label: str) -> Iterator[Scratch]:
         scratch.clean()
 
 
+@contextmanager
+def _first_id(warehouse: Warehouse, mode: str) -> Iterator[int | Callable[[int], int]]:
+    """Where a load's keys start: at 0, or with a range of its own, which a failed load gives back."""
+    if mode != "append":
+        yield 0
+        return
+    ids, taken = warehouse.songplay_ids(), []
+
+    def reserve(rows: int) -> int:
+        taken.append((ids.reserve(rows), rows))
+        return taken[-1][0]
+
+    try:
+        yield reserve
+    except BaseException:
+        for first, rows in taken:
+            ids.give_back(first, rows)
+        raise
+
+
 def load_staging(
     warehouse: Warehouse,
     log_path: str,
@@ -70,8 +90,7 @@ def load_targets(
     }
     for table in tables:
         if table == "songplays":
-            start = warehouse.next_songplay_id() if mode == "append" else 0
-            with _scratch(warehouse.spark, "songplays") as scratch:
+            with _scratch(warehouse.spark, "songplays") as scratch, _first_id(warehouse, mode) as start:
                 plays = build_songplays(
                     events, songs, scratch, start, ignore_trailing_blanks=ignore_trailing_blanks
                 )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,12 +56,12 @@ def build_songplays(
     events: DataFrame,
     songs: DataFrame,
     scratch: Scratch | None = None,
-    start: int = 0,
+    start: int | Callable[[int], int] = 0,
     id_type: str = "bigint",
     ignore_trailing_blanks: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """The fact, numbered from ``start`` in the order of all its columns.
+    """The fact, numbered from ``start`` in the order of all its columns (:func:`dense_ids`).
 
     Songs that measure at most ``broadcast_bytes`` are broadcast, so that plays
     are matched where they are read, and a hot song is spread as its plays are.

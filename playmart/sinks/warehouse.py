@@ -22,9 +22,11 @@ from playmart.schemas import (
     column_types,
     numeric_type,
 )
+from playmart.sinks.key_ranges import KeyRanges
 
 WRITE_MODES = ("overwrite", "append")
 GENERATION = "generation-"
+LOADING = "_loading-"
 COMMITTED = "_SUCCESS"
 
 
@@ -143,6 +145,9 @@ class Warehouse:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
             for generation in self._generations(table):
                 files.delete(self.spark, self._folder(table, generation))
+            for name in files.names_below(self.spark, self.home(table)):
+                if re.fullmatch(LOADING + "[0-9a-f]{32}", name):  # left by an append that was killed
+                    files.delete(self.spark, f"{self.home(table)}/{name}")
             files.delete_empty(self.spark, self.home(table))
 
     def reset(self) -> None:
@@ -156,7 +161,9 @@ class Warehouse:
         """Write ``df`` into ``table``: columns by name, not-null rules enforced.
 
         Overwriting writes a new generation, moves the table to it and deletes those
-        before the one that it replaces, a folder each. A load that fails or is
+        before the one that it replaces, a folder each. Appending writes a folder of its own
+        and moves its files to the table's, so that several can append at once, but none
+        while another overwrites. A load that fails or is
         interrupted before the move leaves the stored rows as they were; one interrupted
         after it leaves old folders, which the next load deletes. Raises if the database
         has the table at another root.
@@ -167,7 +174,12 @@ class Warehouse:
         rows = lay_out(table, enforce_not_null(df.select(*column_names(table)), table))
         if mode == "append":
             self.create()  # moves the table on if an overwrite was interrupted before
-            rows.write.insertInto(self.name(table))
+            loading = f"{self.home(table)}/{LOADING}{uuid.uuid4().hex}"
+            try:
+                self._write_generation(table, rows, loading)
+                files.move_files(self.spark, loading, self.location(table))
+            finally:
+                files.delete(self.spark, loading)
         else:
             known, replaced = self._generations(table), self._committed(table)
             generation = max(known, default=0) + 1
@@ -203,9 +215,16 @@ class Warehouse:
         rows = session.read.schema(self.table(table).schema).parquet(self.location(table))
         return rows.agg(F.max(column).alias(column))
 
+    def songplay_ids(self) -> KeyRanges:
+        """The keys of the fact's present generation."""
+        return KeyRanges(self.spark, f"{self.location('songplays')}/_ids", self._next_stored_id)
+
     def next_songplay_id(self) -> int:
-        """One past the largest stored key. Numbering assumes a single writer."""
-        if not files.names_below(self.spark, self.location("songplays")):
+        """One past the largest key that is stored or handed out to a writer."""
+        return self.songplay_ids().next()
+
+    def _next_stored_id(self) -> int:
+        if all(n.startswith("_") for n in files.names_below(self.spark, self.location("songplays"))):
             return 0
         last = self.stored_maximum("songplays", "songplay_id").first()[0]
         return 0 if last is None else last + 1
