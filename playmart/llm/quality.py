@@ -181,3 +181,56 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kept",
         "n_kept_words",
     )
+
+
+# Windows as rows with their count, words covered as a distinct count, lines as rows.
+OP5_SQL = f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS body, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents
+),
+windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, three) AS times
+  FROM (
+    SELECT doc_id, i, word || ' ' || lead(word) OVER following || ' ' || lead(word, 2) OVER following AS three
+    FROM (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS i FROM texts)
+    WINDOW following AS (PARTITION BY doc_id ORDER BY i)
+  ) WHERE three IS NOT NULL
+),
+repeats AS (
+  SELECT doc_id, count(DISTINCT j) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM windows WHERE times > 1) GROUP BY doc_id
+),
+lines AS (
+  SELECT doc_id, line, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n,
+    regexp_replace(line, '[^\\p{{L}}]', '', 'g') AS letters
+  FROM (SELECT doc_id, unnest(string_split(body, chr(10))) AS line FROM texts)
+),
+judged AS (
+  SELECT doc_id, line, n,
+    len(regexp_extract_all(line, '{SYMBOLS}')) >= {MAX_SYMBOLS_PER_WORD}::DOUBLE * n
+    OR len(regexp_extract_all(line, '{NAVIGATION}')) >= {MAX_MARKS_PER_WORD}::DOUBLE * n
+    OR len(regexp_extract_all(line, '{SHOUT}')) >= {MAX_SHOUTS_PER_WORD}::DOUBLE * n
+    OR (length(letters) >= 20 AND letters = upper(letters) AND letters <> lower(letters))
+    OR (n >= {MIN_WORDS_WITHOUT_STOP} AND NOT regexp_matches(line, '{PUNCTUATION}'))
+    OR regexp_matches(line, '{BOILERPLATE}') AS fails
+  FROM lines WHERE n > 0
+),
+by_lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines, coalesce(sum(n) FILTER (NOT fails), 0) AS n_kept_words
+  FROM judged GROUP BY doc_id
+),
+measured AS (
+  SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    len(regexp_extract_all(body, '{SYMBOLS}')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_kept_words, 0) AS n_kept_words
+  FROM texts LEFT JOIN by_lines USING (doc_id) LEFT JOIN repeats USING (doc_id)
+),
+based AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM measured
+)
+SELECT doc_id, n_words::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+  n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+  NOT base_failed AND n_kept_words >= {MIN_KEPT_SHARE}::DOUBLE * n_words AS kept, n_kept_words::BIGINT AS n_kept_words
+FROM based
+"""

@@ -11,7 +11,7 @@ from playmart.llm.manifest import OP12_SQL, op12_merkle_manifest
 from playmart.llm.near import OP6_SQL, op6_ngram_jaccard_join
 from playmart.llm.packing import op10_best_fit_packing
 from playmart.llm.pii import op3_pii
-from playmart.llm.quality import op5_quality_rules
+from playmart.llm.quality import OP5_SQL, op5_quality_rules
 from playmart.llm.topk import OP2_SQL, op2_exact_top_k
 from playmart.llm.toxicity import op4_toxicity
 from playmart.llm.urls import OP7_SQL, op7_url_filters
@@ -33,6 +33,7 @@ QUERIES = {
 }
 ORACLES = {
     "op2_exact_top_k": OP2_SQL,
+    "op5_quality_rules": OP5_SQL,
     "op6_ngram_jaccard_join": OP6_SQL,
     "op7_url_filters": OP7_SQL,
     "op8_license_scans": OP8_SQL,
