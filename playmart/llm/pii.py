@@ -15,7 +15,7 @@ from playmart.llm.common import documents
 
 #: A proposed span of the added kinds stays from this score on.
 THRESHOLD = 0.5
-#: Characters before a span in which context words count, and their weight.
+#: Characters before a span in which context words count, and what they add or take.
 CONTEXT_CHARS, CONTEXT_WEIGHT = 40, 0.3
 
 # The prescribed patterns, in forms that find the same matches without
@@ -30,6 +30,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 LOCAL_PHONE = r"(?<![0-9+(.-])(?<!\+[0-9]\x20)\([0-9]{3}\)\x20?[0-9]{3}-[0-9]{4}(?![0-9-])"
+NATIONAL_PHONE = r"(?<![0-9+().-])(?<!\)\x20)(?<!\+[0-9]{1,3}\x20)[0-9]{3}[-.\x20][0-9]{3}[-.\x20][0-9]{4}(?![0-9-])"
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 SECRET = r"(?i)\b(?:token|secret|passw(?:or)?d|api[_-]?key)\x20?[=:]\x20?[\"']?[A-Za-z0-9+/_=-]{16,}+[\"']?"
 
@@ -74,7 +75,8 @@ def small_parts(value: Column) -> Column:
 @dataclass(frozen=True)
 class Kind:
     """A kind of personal data. ``needs``: what a text must contain to be searched.
-    ``score``: what a confirmed match is worth without context; None keeps it always."""
+    ``score``: what a confirmed match is worth without context; None keeps it always.
+    ``context``: words before a match that speak for it; ``against``: those that do not."""
 
     name: str
     pattern: str
@@ -82,6 +84,7 @@ class Kind:
     check: object = None
     score: float | None = None
     context: str = ""
+    against: str = ""
 
 
 KINDS = [
@@ -90,9 +93,10 @@ KINDS = [
     Kind("card", CARD, None, luhn),
     Kind("phone", PHONE, "+", lambda v: F.length(digits(v)).between(10, 15)),
     Kind("iban", IBAN, None, mod_97, 0.7, "iban|account|konto|compte|cuenta"),
-    Kind("local_phone", LOCAL_PHONE, "(", None, 0.6, "phone|call|tel|fax"),
-    Kind("social", SOCIAL, None, None, 0.3, "ssn|social|security|insurance"),
+    Kind("local_phone", LOCAL_PHONE, "(", None, 0.6, "phone|call|tel|fax", "order|ticket|invoice|serial"),
+    Kind("social", SOCIAL, None, None, 0.3, "ssn|social|security|insurance", "order|ticket|invoice|serial"),
     Kind("secret", SECRET, None, None, 0.6, "key|token|secret|password"),
+    Kind("national_phone", NATIONAL_PHONE, None, None, 0.3, "phone|call|tel|fax", "order|ticket|invoice|serial"),
 ]
 #: The first kinds are prescribed: a match that passes its check is never dropped.
 BASE_KINDS = 4
@@ -124,11 +128,12 @@ def _matches(text: Column, kind: Kind, number: int) -> Column:
 
     def scored(s: Column) -> Column:
         score = F.lit(base)
-        if kind.context:
-            held = F.least(s["start"], F.lit(CONTEXT_CHARS))
-            before = text.substr((s["start"] - held + 1).cast("int"), held.cast("int"))
-            near = F.lower(before).rlike(kind.context)
-            score = F.when(near, F.lit(min(1.0, base + CONTEXT_WEIGHT))).otherwise(score)
+        held = F.least(s["start"], F.lit(CONTEXT_CHARS))
+        before = F.lower(text.substr((s["start"] - held + 1).cast("int"), held.cast("int")))
+        for words, weight in ((kind.context, CONTEXT_WEIGHT), (kind.against, -CONTEXT_WEIGHT)):
+            if words:
+                score = score + F.when(before.rlike(words), weight).otherwise(0.0)
+        score = F.least(F.lit(1.0), F.round(score, 2))
         return F.struct(
             s["start"].alias("start"),
             s["kind_no"].alias("kind_no"),
@@ -153,8 +158,8 @@ def find(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame
 
     Each span has start and end (code points, end exclusive), kind, kind_no (the place
     in KINDS), score and value. Spans of different kinds may overlap. A null or empty
-    text has none. Rows are judged each by itself: repeated rows get equal spans. Other
-    columns stay; one that is called like ``spans`` is replaced.
+    text has none. Rows are judged each by itself: repeated rows get equal spans, an empty
+    table stays empty, texts are read whole. Other columns stay; one that is called like ``spans`` is replaced.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     each = [_matches(whole, kind, number) for number, kind in enumerate(KINDS)]

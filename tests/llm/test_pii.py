@@ -71,6 +71,68 @@ def test_added_kinds_need_checksum_or_context(spark):
     assert [[s[2] for s in got[i]] for i in range(6)] == [["iban"], [], ["social"], [], ["secret"], ["local_phone"]]
 
 
+def before(text, start, words):
+    return any(w in text[max(0, start - 40) : start].lower() for w in words.split())
+
+
+def added(text):
+    """The added kinds, place by place: form, neighbours, checksum, then the words before."""
+    word, digit = re.compile("[A-Za-z0-9]"), re.compile("[0-9]")
+    at = lambda i: text[i] if 0 <= i < len(text) else " "
+    phone, wrong, out = "phone call tel fax", "order ticket invoice serial", []
+    plus = [re.compile(r"\+[0-9]{%d} \Z" % n) for n in (1, 2, 3)]
+    forms = [
+        ("local_phone", r"\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}", 0.6, phone, wrong,
+         lambda s, e: at(s - 1) not in "0123456789+(.-" and not plus[0].search(text[:s]) and at(e) not in "0123456789-"),
+        ("national_phone", r"[0-9]{3}[-. ][0-9]{3}[-. ][0-9]{4}", 0.3, phone, wrong,
+         lambda s, e: at(s - 1) not in "0123456789+().-" and text[max(0, s - 2) : s] != ") "
+         and not any(p.search(text[:s]) for p in plus) and at(e) not in "0123456789-"),
+        ("social", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", 0.3, "ssn social security insurance", wrong,
+         lambda s, e: not digit.match(at(s - 1)) and at(s - 1) != "-" and at(e) not in "0123456789-"),
+    ]
+    for kind, form, score, good, bad, fits in forms:
+        done = 0
+        for start in range(len(text)):
+            m = re.compile(form).match(text, start)
+            if m is None or start < done or not fits(start, m.end()):
+                continue
+            done = m.end()
+            if score + 0.3 * before(text, start, good) - 0.3 * before(text, start, bad) >= 0.5 - 1e-9:
+                out.append((start, m.end(), kind))
+    for start in range(len(text)):
+        if word.match(at(start - 1)):
+            continue
+        for end in range(min(len(text), start + 48), start + 11, -1):
+            value = text[start:end]
+            plain_value = value.replace(" ", "")
+            if re.fullmatch(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?", value) and not word.match(at(end)):
+                moved = "".join(str(int(c, 36)) for c in plain_value[4:] + plain_value[:4])
+                if int(moved) % 97 == 1:
+                    out.append((start, end, "iban"))
+                break
+    return sorted(out)
+
+
+def test_added_spans_on_random_texts(spark):
+    draw = random.Random(12)
+    parts = ["call ", "Fax: ", "order ", "serial no ", "SSN ", "insurance ", "(499) 555-6503", "(499)555-6503", "078-05-1120", "743-555-3824",
+             "743.555.3824", "743 555 3824", "+1 ", "+49 ", "1", "-", " ", " and some words that stand between them ", "é", "\n", "(", ")",
+             "GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765432", "GB83 WEST 1234 5698 7654 32", "DE89370400440532013000 "]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randrange(12))) for _ in range(1500)]
+    kinds = {"local_phone", "national_phone", "social", "iban"}
+    got, seen = found(spark, texts), set()
+    for i, text in enumerate(texts):
+        assert sorted(s for s in got[i] if s[2] in kinds) == added(text), text
+        seen |= {s[2] for s in got[i]}
+    assert kinds <= seen
+
+
+def test_context_decides_both_ways(spark):
+    texts = ["fax 743-555-3824", "size 743-555-3824", "(499) 555-6503", "order (499) 555-6503", "order, or call (499) 555-6503"]
+    got = found(spark, texts)
+    assert [[s[2] for s in got[i]] for i in range(5)] == [["national_phone"], [], ["local_phone"], [], ["local_phone"]]
+
+
 def test_mask(spark):
     texts = ["x a@b.cd y 1.2.3.4 é", "clean", None, "", "+1 743 555 3824, 4111111111111111"]
     docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id int, text string, spans int")
