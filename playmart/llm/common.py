@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Characters handed to one vectorised step inside a task.
 CHUNK_CHARS = 1_000_000
+#: Characters hashed in one step: running sums over their bytes take 8 times as much, and
+#: what a worker has taken once it seldom gives back.
+HASHED_CHARS = 250_000
 #: Rows of one Arrow batch, at most. Spark's default of 10,000 can be GBs of whole texts.
 BATCH_ROWS = 1000
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"

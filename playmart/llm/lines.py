@@ -11,7 +11,6 @@ extension of matches, word by word, both ways.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,14 +20,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playmart.llm.common import INVERSE, MULTIPLIER, _powers, bound_batches, documents, fresh_name, list_array, text_chunks
+from playmart.llm.common import (
+    HASHED_CHARS,
+    INVERSE,
+    MULTIPLIER,
+    _powers,
+    bound_batches,
+    documents,
+    fresh_name,
+    list_array,
+    text_chunks,
+)
 from playmart.operators import Scratch
 
 #: Words that a run must have to be deleted where it repeats.
 MIN_WORDS = 50
 
-
-WORD = re.compile(rb"\S+")
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -47,25 +54,37 @@ def _mixed(hashes: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def word_hashes(texts: list[str]) -> list[np.ndarray]:
-    """The hashes of each text's words, from running sums over the bytes of all texts."""
+def _word_edges(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of some bytes begin and end."""
+    edges = np.flatnonzero(np.diff(~_WHITE[raw], prepend=False, append=False))
+    return edges[::2], edges[1::2]
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the words of all texts, cuts: where the words of each text begin, and the
+    end), from running sums over the bytes of all texts."""
     raws = [t.encode("utf-8", "replace") for t in texts]
     raw = np.frombuffer(b"\n".join(raws), dtype=np.uint8)
-    edges = np.flatnonzero(np.diff(~_WHITE[raw], prepend=False, append=False))
-    starts, ends = edges[::2], edges[1::2]
+    starts, ends = _word_edges(raw)
     # Bytes count from 1, so that zeros in front of a word tell.
     rolled = _rolled(raw + np.uint64(1), starts, ends)
     hashes = _mixed(rolled + (ends - starts).astype(np.uint64) * np.uint64(MULTIPLIER))
-    firsts = np.cumsum([0, *[len(r) + 1 for r in raws[:-1]]])
-    return np.split(hashes, np.searchsorted(starts, firsts[1:]))
+    firsts = np.cumsum([0, *[len(r) + 1 for r in raws]])
+    return hashes, np.searchsorted(starts, firsts)
+
+
+def gram_words(min_words: int) -> int:
+    """Words of the grams that mark windows."""
+    return max(1, min_words // 2)
 
 
-def word_windows(hashes: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, int] | None:
-    """(hashes of grams, the place of each window's least gram, words a gram), from the
-    hashes of words; None for a text that is shorter than a window."""
+def word_windows(hashes: np.ndarray, cuts: np.ndarray, min_words: int) -> tuple[np.ndarray, ...] | None:
+    """(hashes of grams, the starts of the windows, the place of each window's least gram),
+    from the hashes of the words of several texts; None if all are shorter than a window.
+    Windows lie within a text; grams that do not are in none of them."""
     if len(hashes) < min_words:
         return None
-    size = max(1, min_words // 2)
+    size = gram_words(min_words)
     count = len(hashes) - size + 1
     grams = _mixed(_rolled(hashes, slice(0, count), slice(size, None)))
     # The first of the least by their upper halves; the lower ones hold the places.
@@ -75,35 +94,51 @@ def word_windows(hashes: np.ndarray, min_words: int) -> tuple[np.ndarray, np.nda
         step = min(reached, width - reached)
         least = np.minimum(least[:-step], least[step:])
         reached += step
-    return grams, (least & np.uint64(0xFFFFFFFF)).astype(np.int64), size
+    ends = np.repeat(cuts[1:], np.diff(cuts))[: len(least)]
+    starts = np.flatnonzero(np.arange(min_words, min_words + len(least)) <= ends)
+    if not len(starts):
+        return None
+    return grams, starts, (least[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
 
+def _texts_of(places: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    return np.searchsorted(cuts, places, side="right") - 1
 
-def word_marks(hashes: np.ndarray, min_words: int) -> tuple[np.ndarray, ...]:
-    """(mark, around, place, back, ahead) of the marks of a text: the least gram of a
-    window, a hash of all words that windows with this gram can hold, where the gram
-    begins, and how many of these words lie before that and from there on."""
-    found = word_windows(hashes, min_words)
+
+def word_marks(hashes: np.ndarray, cuts: np.ndarray, min_words: int) -> tuple[np.ndarray, ...] | None:
+    """(row, mark, around, place, ahead) of the marks of several texts: which text it is,
+    the least gram of a window, a hash of all words that windows with this gram can hold,
+    where in its text the gram begins, and how many of these words lie from there on."""
+    found = word_windows(hashes, cuts, min_words)
     if found is None:
-        return ()
-    grams, least, size = found
+        return None
+    grams, _, least = found
     places = least[np.concatenate([[True], least[1:] != least[:-1]])]
-    start = np.maximum(places - (min_words - size), 0)
-    end = np.minimum(places + min_words, len(hashes))
+    row = _texts_of(places, cuts)
+    start = np.maximum(places - (min_words - gram_words(min_words)), cuts[row])
+    end = np.minimum(places + min_words, cuts[row + 1])
     # How far the words reach on each side is part of what they are.
     sides = ((places - start) * (min_words + 1) + (end - places)).astype(np.uint64)
     around = _mixed(_rolled(_mixed(hashes), start, end) + sides * np.uint64(MULTIPLIER))
-    return grams[places].view(np.int64), around.view(np.int64), places, places - start, end - places
+    return row, grams[places].view(np.int64), around.view(np.int64), places - cuts[row], end - places
 
 
-def windows_of_marks(hashes: np.ndarray, min_words: int, places: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(mark, digest, start) of the windows whose least gram is at one of the places."""
-    found = word_windows(hashes, min_words)
+def windows_of_marks(
+    hashes: np.ndarray, cuts: np.ndarray, min_words: int, places: np.ndarray
+) -> tuple[np.ndarray, ...] | None:
+    """(row, mark, digest, start) of the windows whose least gram is at one of the places,
+    which count through all texts."""
+    found = word_windows(hashes, cuts, min_words)
     if found is None:
-        return ()
-    grams, least, _ = found
-    start = np.flatnonzero(np.isin(least, places))
-    digest = _rolled(_mixed(hashes), start, start + min_words)
-    return grams[least[start]].view(np.int64), digest.view(np.int64), start
+        return None
+    grams, starts, least = found
+    wanted = np.zeros(len(grams), dtype=bool)
+    wanted[places] = True
+    chosen = wanted[least]
+    starts, least = starts[chosen], least[chosen]
+    digest = _rolled(_mixed(hashes), starts, starts + min_words)
+    row = _texts_of(starts, cuts)
+    return row, grams[least].view(np.int64), digest.view(np.int64), starts - cuts[row]
 
 
 def cut_runs(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
@@ -114,7 +149,7 @@ def cut_runs(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
     is one line. All other characters stay.
     """
     raw = text.encode("utf-8", "replace")
-    words = [m.span() for m in WORD.finditer(raw)]
+    begins, ends = _word_edges(np.frombuffer(raw, dtype=np.uint8))
     united: list[list[int]] = []
     for start, end in sorted(runs):
         if united and start <= united[-1][1]:
@@ -123,12 +158,12 @@ def cut_runs(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
             united.append([start, end])
     parts, at, lost = [], 0, 0
     for start, end in united:
-        begin, stop = words[start][0], words[end - 1][1]
-        before = words[start - 1][1] if start else 0
-        after = words[end][0] if end < len(words) else len(raw)
+        begin, stop = int(begins[start]), int(ends[end - 1])
+        before = int(ends[start - 1]) if start else 0
+        after = int(begins[end]) if end < len(begins) else len(raw)
         opens = raw.rfind(b"\n", before, begin) + 1
         closes = raw.find(b"\n", stop, after)
-        line_starts, line_ends = start == 0 or opens > 0, end == len(words) or closes >= 0
+        line_starts, line_ends = start == 0 or opens > 0, end == len(begins) or closes >= 0
         closes = closes if closes >= 0 else len(raw)
         if line_starts and line_ends:
             begin, stop = (opens, closes + 1) if closes < len(raw) else (max(opens - 1, 0), closes)
@@ -149,13 +184,13 @@ def _mark_rows(docs: DataFrame, own: list[str], text: str, min_words: int) -> Da
     """One row per mark: the columns of ``own`` and what word_marks() gives."""
     schema = T.StructType([docs.schema[c] for c in own])
     schema = schema.add("mark", T.LongType()).add("around", T.LongType())
-    for name in ("place", "back", "ahead"):
+    for name in ("place", "ahead"):
         schema = schema.add(name, T.IntegerType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_chunks(batches, text):
-            found = [(row, m) for row, words in enumerate(word_hashes(texts)) if (m := word_marks(words, min_words))]
-            if found:
+        for batch, texts in text_chunks(batches, text, HASHED_CHARS):
+            found = word_marks(*word_hashes(texts), min_words)
+            if found is not None:
                 yield _joined(batch, own, found, schema)
 
     return docs.select(*own, text).mapInArrow(run, schema)
@@ -167,25 +202,26 @@ def _window_rows(docs: DataFrame, own: list[str], text: str, places: str, min_wo
     schema = schema.add("mark", T.LongType()).add("digest", T.LongType()).add("start", T.IntegerType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_chunks(batches, text):
-            given = batch.column(places).to_pylist()
-            found = [
-                (row, m)
-                for row, words in enumerate(word_hashes(texts))
-                if (m := windows_of_marks(words, min_words, np.array(given[row])))
-            ]
-            if found:
+        for batch, texts in text_chunks(batches, text, HASHED_CHARS):
+            hashes, cuts = word_hashes(texts)
+            flat, sizes = _lists(batch.column(places))
+            found = windows_of_marks(hashes, cuts, min_words, flat.to_numpy() + np.repeat(cuts[:-1], sizes))
+            if found is not None:
                 yield _joined(batch, own, found, schema)
 
     return docs.select(*own, text, places).mapInArrow(run, schema)
 
 
-def _joined(batch: pa.RecordBatch, own: list[str], found: list[tuple], schema: T.StructType) -> pa.RecordBatch:
-    rows = np.repeat([row for row, _ in found], [len(m[0]) for _, m in found])
-    keys = [batch.column(c).take(pa.array(rows)) for c in own]
-    values = [np.concatenate(c) for c in zip(*(m for _, m in found), strict=True)]
-    kinds = [pa.int64() if f.dataType == T.LongType() else pa.int32() for f in schema.fields[len(own) :]]
-    columns = [pa.array(v.astype(k.to_pandas_dtype())) for v, k in zip(values, kinds, strict=True)]
+def _lists(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All values of a list column, and how many of them each row has."""
+    return column.flatten(), pc.fill_null(column.value_lengths(), 0).to_numpy()
+
+
+def _joined(batch: pa.RecordBatch, own: list[str], found: tuple[np.ndarray, ...], schema: T.StructType) -> pa.RecordBatch:
+    rows, values = pa.array(found[0]), found[1:]
+    keys = [batch.column(c).take(rows) for c in own]
+    kinds = [np.int64 if f.dataType == T.LongType() else np.int32 for f in schema.fields[len(own) :]]
+    columns = [pa.array(v.astype(k, copy=False)) for v, k in zip(values, kinds, strict=True)]
     return pa.RecordBatch.from_arrays([*keys, *columns], schema.names)
 
 
@@ -202,13 +238,15 @@ def repeated_passages(docs: DataFrame, scratch: Scratch, text: str, own: list[st
     )
     # Written, so that adaptive execution can split a frequent mark's rows in the join.
     several = scratch.write("several", several.filter("n > 1").drop("n"))
-    marks = scratch.write("repeated", marks.join(several, "mark"))
+    # The sides that hold a key once are hashed, which spares sorting the other one.
+    marks = scratch.write("repeated", marks.join(several.hint("shuffle_hash"), "mark"))
     spot = F.struct(*own, "place")
     kinds = marks.groupBy("mark", "around", "differ").agg(F.count(F.lit(1)).alias("n"), F.min(spot).alias("first"))
     kinds = scratch.write("kinds", kinds.filter("n > 1 or differ"))
     firsts = kinds.filter("n > 1").select("mark", "around", "first")
-    equal = marks.join(firsts, ["mark", "around"]).filter(~spot.eqNullSafe(F.col("first")))
-    equal = equal.select(*own, (F.col("place") - F.col("back")).alias("start"), (F.col("place") + F.col("ahead")).alias("end"))
+    equal = marks.join(firsts.hint("shuffle_hash"), ["mark", "around"]).filter(~spot.eqNullSafe(F.col("first")))
+    start = F.greatest(F.col("place") - (min_words - gram_words(min_words)), F.lit(0))
+    equal = equal.select(*own, start.alias("start"), (F.col("place") + F.col("ahead")).alias("end"))
 
     chosen = kinds.filter("differ").groupBy(*(F.col(f"first.{c}").alias(c) for c in own))
     chosen = chosen.agg(F.collect_list("first.place").alias("places"))
@@ -216,11 +254,11 @@ def repeated_passages(docs: DataFrame, scratch: Scratch, text: str, own: list[st
     same = F.lit(True)
     for c in own:
         same = same & docs[c].eqNullSafe(chosen[f"at_{c}"])
-    windows = scratch.write("windows", _window_rows(docs.join(chosen, same), own, text, "places", min_words))
+    windows = scratch.write("windows", _window_rows(docs.join(chosen.hint("shuffle_hash"), same), own, text, "places", min_words))
     spot = F.struct(*own, "start")
     first = windows.groupBy("mark", "digest").agg(F.count(F.lit(1)).alias("n"), F.min(spot).alias("first"))
     first = scratch.write("first", first.filter("n > 1").drop("n"))
-    later = windows.join(first, ["mark", "digest"]).filter(~spot.eqNullSafe(F.col("first")))
+    later = windows.join(first.hint("shuffle_hash"), ["mark", "digest"]).filter(~spot.eqNullSafe(F.col("first")))
     later = later.select(*own, "start", (F.col("start") + min_words).alias("end"))
     return equal.unionAll(later)
 
@@ -253,7 +291,7 @@ def remove_passages(
     # As a set, so that repeated rows hold no more than one of them.
     by_text = found.groupBy(*own).agg(F.collect_set(F.struct("start", "end")).alias(runs))
     same = keyed[id_column].eqNullSafe(by_text[own[0]]) & (keyed[tie] == by_text[own[1]])
-    joined = keyed.join(by_text, same, "left").drop(*own, tie)
+    joined = keyed.join(by_text.hint("shuffle_hash"), same, "left").drop(*own, tie)
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.IntegerType())])
     names, place = docs.columns, docs.columns.index(text)
 
@@ -262,9 +300,12 @@ def remove_passages(
             lost, cut = np.zeros(batch.num_rows, dtype=np.int32), []
             columns = [batch.column(c) for c in names]
             marked = batch.column(runs).is_valid()
-            for row in np.flatnonzero(marked.to_numpy(zero_copy_only=False)).tolist():
-                spans = batch.column(runs)[row].as_py()
-                body, lost[row] = cut_runs(columns[place][row].as_py(), [(s["start"], s["end"]) for s in spans])
+            spans, sizes = _lists(batch.column(runs))
+            pairs = list(zip(*(spans.field(f).to_pylist() for f in ("start", "end")), strict=True))
+            ends = np.cumsum(sizes).tolist()
+            for row in np.flatnonzero(sizes).tolist():
+                own_runs = pairs[ends[row] - sizes[row] : ends[row]]
+                body, lost[row] = cut_runs(columns[place][row].as_py(), own_runs)
                 cut.append(body)
             if cut:
                 columns[place] = pc.replace_with_mask(columns[place], marked, pa.array(cut, type=columns[place].type))

@@ -4,6 +4,8 @@ import random
 import re
 from hashlib import sha256
 
+import numpy as np
+
 from playmart.llm import lines
 from playmart.operators import Scratch
 
@@ -54,6 +56,37 @@ def test_passages_of_random_texts(spark):
             assert (r.text is None) == (r.before is None)
 
 
+def test_marks_and_windows_of_texts_hashed_together():
+    """Texts side by side have the marks and windows that each has by itself."""
+    draw = random.Random(7)
+    texts = ["", *(" ".join(f"w{draw.randrange(9)}" for _ in range(draw.randrange(30))) for _ in range(50)), "", "x"]
+    hashes, cuts = lines.word_hashes(texts)
+    assert np.diff(cuts).tolist() == [len(t.split()) for t in texts]
+    for least in (1, 2, 7, 12):
+        alone = {}
+        for row, text in enumerate(texts):
+            own, ends = lines.word_hashes([text])
+            found = lines.word_marks(own, ends, least)
+            if found is None:
+                continue
+            windows = lines.windows_of_marks(own, ends, least, found[3])
+            assert windows[3].tolist() == list(range(len(own) - least + 1))
+            alone[row] = [np.stack(x[1:]).tolist() for x in (found, windows)]
+        found = lines.word_marks(hashes, cuts, least)
+        windows = lines.windows_of_marks(hashes, cuts, least, found[3] + cuts[found[0]])
+        rows = np.unique(found[0]).tolist()
+        assert {r: [np.stack([c[x[0] == r] for c in x[1:]]).tolist() for x in (found, windows)] for r in rows} == alone
+
+
+def test_texts_are_not_sorted_where_joined(spark):
+    """The sides that hold a key once are hashed: no sort of rows with whole texts."""
+    docs = spark.createDataFrame([(i, f"one two three four {i % 2}") for i in range(20)], "doc_id bigint, text string")
+    cleaned = lines.remove_passages(docs, Scratch(spark, "t"), min_words=4)
+    plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert cleaned.filter("removed_lines > 0").count() == 18
+
+
 def test_cut_runs_leaves_other_characters():
     text = "  a b\n\nc d  e\n f g\n"
     assert lines.cut_runs(text, [(0, 2)]) == ("\nc d  e\n f g\n", 1)
