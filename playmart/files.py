@@ -88,7 +88,8 @@ def write_new(spark: SparkSession, path: str, text: str) -> None:
     """Write a file that must not exist. Readers see all of it or nothing.
 
     It is written under another name and renamed without overwriting, which a shared file
-    system does atomically, so of two writers one fails.
+    system does atomically, so of two writers one fails. Renaming local files checks first
+    and overwrites then, and moves their checksum apart: there the name is a hard link.
     """
     jvm = spark._jvm
     hadoop_path, fs = _hadoop(spark, path)
@@ -98,6 +99,13 @@ def write_new(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
+    if fs.getUri().getScheme() == "file":
+        path_of = lambda p: jvm.java.io.File(p.toUri().getPath()).toPath()
+        try:
+            jvm.java.nio.file.Files.createLink(path_of(hadoop_path), path_of(draft))
+        finally:
+            fs.delete(draft, False)
+        return
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
     no_options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
     try:

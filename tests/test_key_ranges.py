@@ -4,7 +4,9 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from helpers import event, events, song, songs
+from py4j.protocol import Py4JJavaError
 
+from playmart import files
 from playmart.plans.job import load_targets
 from playmart.sinks import Warehouse, warehouse
 from playmart.sinks.key_ranges import KeyRanges
@@ -33,6 +35,22 @@ def test_ranges_of_many_writers_touch_and_do_not_overlap(spark, tmp_path):
     assert ranges.next() == 5 + sum(counts)
 
 
+def test_one_of_many_writers_gets_a_new_file(spark, tmp_path):
+    def write(name, text):
+        try:
+            files.write_new(spark, f"{tmp_path}/new/{name}", text)
+            return text
+        except Py4JJavaError:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        for name in "abcdefghijkl":
+            written = [w for w in pool.map(write, [name] * 8, [f"{name}{i}" for i in range(8)]) if w]
+            assert len(written) == 1 and files.read_text(spark, f"{tmp_path}/new/{name}") == written[0]
+    # No checksum of another writer's text beside it, and no drafts.
+    assert sorted(p.name for p in (tmp_path / "new").iterdir()) == list("abcdefghijkl")
+
+
 def test_a_range_is_given_back_unless_another_follows(spark, tmp_path):
     ranges = KeyRanges(spark, str(tmp_path / "ids"), lambda: 0)
     first, second = ranges.reserve(10), ranges.reserve(5)
