@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,7 +52,8 @@ def text_chunks(
 ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of the batches with at most ``chars`` characters of text, or one row.
 
-    Yields each slice with its texts; a null text is given as an empty one.
+    Yields each slice with its texts; a null text is given as an empty one. After the last
+    one the worker's unused memory is given back, as the worker goes on to other jobs.
     """
     for batch in batches:
         texts = [t or "" for t in batch.column(column).to_pylist()]
@@ -62,6 +65,19 @@ def text_chunks(
             held += len(text)
         if start < len(texts):
             yield batch.slice(start), texts[start:]
+    give_back()
+
+
+def give_back() -> None:
+    """Return what this process's allocators hold unused to the system.
+
+    Spark keeps Python workers for later tasks. Arrow's pool and the C library keep freed
+    memory for them, together up to some 150 MB a worker that the next stage does not need.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None
+    if trim is not None:
+        trim(0)
 
 
 def list_array(values: np.ndarray, sizes: list[int] | np.ndarray) -> pa.Array:
@@ -83,13 +99,21 @@ MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 
 
+#: Powers of one factor that a worker keeps, at most: 8 MB.
+KEPT_POWERS = 1 << 20
 _POWERS: dict[int, np.ndarray] = {}
 
 
 def _powers(factor: int, count: int) -> np.ndarray:
-    """The first powers of a factor modulo 2 ** 64; the longest table is kept."""
+    """The first powers of a factor modulo 2 ** 64; up to KEPT_POWERS of them are kept."""
+    if count > KEPT_POWERS:
+        kept, out = _powers(factor, KEPT_POWERS), np.empty(count, dtype=np.uint64)
+        for start in range(0, count, KEPT_POWERS):
+            piece = out[start : start + KEPT_POWERS]
+            np.multiply(kept[: len(piece)], np.uint64(pow(factor, start, 1 << 64)), out=piece)
+        return out
     if len(_POWERS.get(factor, ())) < count:
-        steps = np.full(count + count // 4, factor, dtype=np.uint64)
+        steps = np.full(min(count + count // 4, KEPT_POWERS), factor, dtype=np.uint64)
         steps[0] = 1
         _POWERS[factor] = np.cumprod(steps, out=steps)
     return _POWERS[factor][:count]
@@ -105,11 +129,19 @@ def equal_slices(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple
     """
     size = len(raw) + 1
     sums = np.zeros(size, dtype=np.uint64)
-    np.multiply(raw, _powers(MULTIPLIER, size)[:-1], out=sums[1:])
+    # Block by block: of the powers, few are held at a time.
+    for start in range(0, len(raw), KEPT_POWERS):
+        piece = raw[start : start + KEPT_POWERS]
+        block = np.multiply(piece, _powers(MULTIPLIER, len(piece)), out=sums[start + 1 : start + 1 + len(piece)])
+        block *= np.uint64(pow(MULTIPLIER, start, 1 << 64))
     np.cumsum(sums, out=sums)
     lengths = ends - starts
-    hashes = (sums[ends] - sums[starts]) * _powers(INVERSE, size)[starts] + lengths.astype(np.uint64)
+    hashes = sums[ends] - sums[starts]
     del sums
+    unit, turns = _powers(INVERSE, min(size, KEPT_POWERS)), -(-size // KEPT_POWERS)
+    hashes *= unit[starts % KEPT_POWERS]
+    hashes *= np.array([pow(INVERSE, t * KEPT_POWERS, 1 << 64) for t in range(turns)], dtype=np.uint64)[starts // KEPT_POWERS]
+    hashes += lengths.astype(np.uint64)
     _, first, place = np.unique(hashes, return_index=True, return_inverse=True)
     if (lengths == lengths[first][place]).all():
         at = np.arange(lengths.sum(), dtype=np.int32)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playmart.llm.common import bound_batches, documents, equal_slices, list_array, text_chunks
+from playmart.llm.common import HASHED_CHARS, bound_batches, documents, equal_slices, list_array, text_chunks
 from playmart.llm.components import components
 from playmart.operators import Scratch
 from playmart.operators.lookup import broadcast_within
@@ -136,7 +136,7 @@ def _first_shingles(docs: DataFrame, text: str, likeness: Likeness) -> DataFrame
     """The first shingles of every document in the order of hashes alone: one column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in text_chunks(batches, text):
+        for _, texts in text_chunks(batches, text, HASHED_CHARS):
             sets = shingle_sets(texts, likeness.words)
             flat = np.concatenate([s[: likeness.first(len(s))] for s in sets])
             yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], ["shingle"])
@@ -157,7 +157,7 @@ def _sets(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, often = shared.value
-        for batch, texts in text_chunks(batches, text):
+        for batch, texts in text_chunks(batches, text, HASHED_CHARS):
             sets = shingle_sets(texts, likeness.words)
             light, late = [], []
             for s in sets:
@@ -372,7 +372,7 @@ def _members(docs: DataFrame, text: str, keys: list[str], wanted: DataFrame, lik
     joined = texts.join(broadcast_within(wanted, MEMBER_BYTES), same)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, found in text_chunks(batches, text):
+        for batch, found in text_chunks(batches, text, HASHED_CHARS):
             raw = [s.tobytes() for s in shingle_sets(found, likeness.words)]
             out = pa.RecordBatch.from_arrays(
                 [batch.column("set_key"), batch.column("root"), pa.array(raw, type=pa.binary())],

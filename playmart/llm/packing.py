@@ -33,6 +33,8 @@ END_OF_DOCUMENT = 1
 SEQUENCE_TOKENS = 4096
 #: Words remembered by one Python worker, and the longest word worth remembering.
 CACHED_WORDS, CACHED_BYTES = 1_000_000, 64
+#: Words handed to the tokenizer at once: its results take far more memory than the ids.
+ASKED_WORDS = 10_000
 #: Characters looked up together: more of them share their words.
 TOGETHER_CHARS = 3_000_000
 # ASCII white space, which parts words in any case.
@@ -70,7 +72,7 @@ class WordIds:
     by itself. What was not seen before goes to the tokenizer in one batch.
     """
 
-    def __init__(self, vocabulary: bytes):
+    def __init__(self, vocabulary: bytes, cached_words: int | None = None):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -82,6 +84,7 @@ class WordIds:
         self.closing = np.zeros(max(tokens.values()) + 1, dtype=bool)
         self.closing[[i for t, i in tokens.items() if t.endswith(CLOSING)]] = True
         self.known: dict[bytes, bytes] = {}
+        self.cached_words = CACHED_WORDS if cached_words is None else cached_words
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each). Equal words are looked up once."""
@@ -108,7 +111,7 @@ class WordIds:
         ids, sizes = gather([known[w] for w in words], place)
         # Frequent words come early; once the memory is full, later ones are rare.
         added = {*new, *asked}
-        room = CACHED_WORDS - len(known) + len(added)
+        room = self.cached_words - len(known) + len(added)
         for number, word in enumerate(added):
             if number >= room or len(word) > CACHED_BYTES:
                 del known[word]
@@ -121,23 +124,27 @@ class WordIds:
         # A word of letters only has one last token and that closes it, so many of
         # them can be looked up as one text.
         words = [a for a, s in zip(asked, single, strict=True) if s]
-        text = " ".join(d for d, s in zip(decoded, single, strict=True) if s)
-        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        ends = np.flatnonzero(self.closing[ids]) + 1
-        raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-        if len(ends) != len(words):
-            raise AssertionError("words and closing tokens differ")
-        self.known.update(zip(words, map(raw.__getitem__, map(slice, cuts[:-1], cuts[1:])), strict=True))
+        plain = [d for d, s in zip(decoded, single, strict=True) if s]
+        for at in range(0, len(words), ASKED_WORDS):
+            some, text = words[at : at + ASKED_WORDS], " ".join(plain[at : at + ASKED_WORDS])
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            ends = np.flatnonzero(self.closing[ids]) + 1
+            raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+            if len(ends) != len(some):
+                raise AssertionError("words and closing tokens differ")
+            self.known.update(zip(some, map(raw.__getitem__, map(slice, cuts[:-1], cuts[1:])), strict=True))
         others = [a for a, s in zip(asked, single, strict=True) if not s]
-        coded = self.tokenizer.encode_batch_fast([a.decode() for a in others], add_special_tokens=False)
-        for word, c in zip(others, coded, strict=True):
-            self.known[word] = np.array(c.ids, dtype="<u4").tobytes()
+        for at in range(0, len(others), ASKED_WORDS):
+            some = others[at : at + ASKED_WORDS]
+            coded = self.tokenizer.encode_batch_fast([a.decode() for a in some], add_special_tokens=False)
+            for word, c in zip(some, coded, strict=True):
+                self.known[word] = np.array(c.ids, dtype="<u4").tobytes()
 
 
 @cache
-def _word_ids(vocabulary: bytes) -> WordIds:
+def _word_ids(vocabulary: bytes, cached_words: int) -> WordIds:
     """One per Python worker, kept for the tasks that follow."""
-    return WordIds(vocabulary)
+    return WordIds(vocabulary, cached_words)
 
 
 def token_pieces(
@@ -147,13 +154,16 @@ def token_pieces(
     text: str = "text",
     id_column: str = "doc_id",
     with_ids: bool = False,
+    cached_words: int = CACHED_WORDS,
+    together_chars: int = TOGETHER_CHARS,
 ) -> DataFrame:
     """The token ids of each document, closed by END_OF_DOCUMENT and cut into pieces
     of ``max_tokens``; only the last piece may be shorter.
 
     Returns id_column, piece, start, length, ids_crc32, and ``ids array<int>`` if
     ``with_ids``. A null text counts as an empty one and gives one piece of one token.
-    Repeated rows give their pieces each. Other columns are ignored.
+    Repeated rows give their pieces each. Other columns are ignored. ``cached_words`` and
+    ``together_chars`` trade a worker's memory for time; they change no result.
     """
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
@@ -166,8 +176,8 @@ def token_pieces(
     end = np.array([END_OF_DOCUMENT], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _word_ids(shared.value)
-        for batch, texts in text_chunks(batches, "_text", TOGETHER_CHARS):
+        words = _word_ids(shared.value, cached_words)
+        for batch, texts in text_chunks(batches, "_text", together_chars):
             rows, numbers, starts, cut = [], [], [], []
             coded, sizes = words.encode(texts)
             flat, stops = coded.tobytes(), (4 * np.cumsum(sizes)).tolist()
@@ -281,6 +291,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
 
 
-def pack_documents(docs: DataFrame) -> DataFrame:
-    pieces = token_pieces(docs, public_file(VOCABULARY))
+def pack_documents(
+    docs: DataFrame, cached_words: int = CACHED_WORDS, together_chars: int = TOGETHER_CHARS
+) -> DataFrame:
+    pieces = token_pieces(
+        docs, public_file(VOCABULARY), cached_words=cached_words, together_chars=together_chars
+    )
     return pack(pieces, Scratch(docs.sparkSession, "packing"))

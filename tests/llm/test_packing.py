@@ -34,6 +34,17 @@ def test_ids_are_those_of_the_library(vocabulary, library):
         assert own.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_few_words_at_a_time_and_little_memory_change_nothing(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(packing, "ASKED_WORDS", 3)
+    words = packing.WordIds(vocabulary, cached_words=5)
+    texts = [f"one{i} two three{i}, four! fivesix Seven{i}th" for i in range(40)]
+    for _ in range(2):
+        ids, sizes = words.encode(texts)
+        assert len(words.known) <= 5
+        for own, text in zip(np.split(ids, np.cumsum(sizes)[:-1]), texts, strict=True):
+            assert own.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_full_memory_changes_nothing(vocabulary, library, monkeypatch):
     monkeypatch.setattr(packing, "CACHED_WORDS", 4)
     words = packing.WordIds(vocabulary)

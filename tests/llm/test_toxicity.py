@@ -85,6 +85,16 @@ def test_one_row_of_each_id_trains_and_the_driver_gets_the_model(spark, monkeypa
     assert [[r.asDict().keys() for r in rows] for rows in collected] == [[{"weights", "bias", "curve"}]]
 
 
+def test_words_beyond_the_cache_score_alike(spark, monkeypatch):
+    draw = np.random.default_rng(3)
+    model = toxicity.Model(draw.normal(size=toxicity.CODES**3).astype(np.float32), 0.1, (1.0, 0.5, -0.2, 0.1))
+    texts = [" ".join(f"w{i % 7}ord{j}" for j in range(i)) for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    whole = {r.doc_id: r.toxicity for r in toxicity.score(docs, model).collect()}
+    monkeypatch.setattr(toxicity, "CACHED_WORDS", 5)
+    assert {r.doc_id: r.toxicity for r in toxicity.score(docs, model).collect()} == whole
+
+
 def test_kernel_against_all_triples():
     """The kernel of two words, by enumeration of their ordered triples of letters."""
     def plain(word):
