@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 from playmart.llm.common import (
     bound_batches,
     documents,
-    equal_slices,
     fresh_name,
     gather,
     list_array,
@@ -44,6 +43,8 @@ WHITE[[0x20, *range(0x09, 0x0E)]] = True
 CLOSING = "</w>"
 # ASCII punctuation, which the tokenizer never joins with a letter before it.
 PUNCTUATION = string.punctuation.encode()
+MARKS = np.zeros(256, dtype=bool)
+MARKS[list(PUNCTUATION)] = True
 #: Sequences that one group of pieces fills, about. A group is packed by one task and
 #: leaves a part-filled sequence or two, so larger groups waste less.
 GROUP_SEQUENCES = 1024
@@ -63,13 +64,41 @@ class Capacity:
         return np.array([self.tokens, self.documents, self.attention], dtype=np.float64)
 
 
+def distinct_words(whole: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(words, place, starts) of lower-cased UTF-8 without white space: the distinct words,
+    the place of each word of the text among them, and where each starts in the text.
+
+    Punctuation at a word's end is a word by itself where it follows an ASCII letter.
+    """
+    raw = np.frombuffer(whole, dtype=np.uint8)
+    black = ~WHITE[raw]
+    inside = np.concatenate([[False], black, [False]])
+    bounds = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = bounds[::2], bounds[1::2]
+    # The last byte up to each one that is no punctuation ends the word's stem.
+    last = np.where(MARKS[raw], np.int32(-1), np.arange(len(raw), dtype=np.int32))
+    stems = np.maximum.accumulate(last, out=last)[ends - 1] + 1
+    before = raw[stems - 1]
+    parted = np.flatnonzero((stems > starts) & (stems < ends) & (before >= ord("a")) & (before <= ord("z")))
+    lengths = ends - starts
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    offsets = np.insert(offsets, parted + 1, offsets[parted] + (stems - starts)[parted]).astype(np.int32)
+    starts = np.insert(starts, parted + 1, stems[parted])
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(raw[black])]
+    coded = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
+    _, cuts, held = coded.dictionary.buffers()
+    cuts = np.frombuffer(cuts, dtype=np.int32)[: len(coded.dictionary) + 1].tolist()
+    distinct = held.to_pybytes() if held is not None else b""
+    return list(map(distinct.__getitem__, map(slice, cuts[:-1], cuts[1:]))), coded.indices.to_numpy(), starts
+
+
 class WordIds:
     """Ids of white-space-free words, as little-endian bytes.
 
     The tokenizer drops white space and case and merges within words only, so a
     text's ids are those of its words in order. It also parts a letter from
     punctuation, so a word is looked up without the punctuation at its end, and that
-    by itself. What was not seen before goes to the tokenizer in one batch.
+    by itself. Each word is merged by the tokenizer when it is first seen, many at once.
     """
 
     def __init__(self, vocabulary: bytes, cached_words: int | None = None):
@@ -89,15 +118,12 @@ class WordIds:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each). Equal words are looked up once."""
         whole = "\n".join([*texts, ""]).encode().lower()
-        raw = np.frombuffer(whole, dtype=np.uint8)
-        inside = np.concatenate([[False], ~WHITE[raw], [False]])
-        bounds = np.flatnonzero(inside[1:] != inside[:-1])
-        starts, ends = bounds[::2], bounds[1::2]
+        words, place, starts = distinct_words(whole)
         cuts = np.searchsorted(starts, np.cumsum([0, *(len(t.encode()) + 1 for t in texts)]))
-        first, place = equal_slices(raw, starts, ends)
-        words = list(map(whole.__getitem__, map(slice, starts[first].tolist(), ends[first].tolist())))
         known = self.known
-        new = [w for w in words if w not in known]
+        found = list(map(known.get, words))
+        missing = [n for n, ids in enumerate(found) if ids is None]
+        new = [words[n] for n in missing]
         stems = [w.rstrip(PUNCTUATION) for w in new]
         parts = [
             (s, w[len(s) :]) if len(s) < len(w) and s.decode().lower()[-1:].isalpha() else (w,)
@@ -108,7 +134,9 @@ class WordIds:
         for word, each in zip(new, parts, strict=True):
             if len(each) == 2:
                 known[word] = known[each[0]] + known[each[1]]
-        ids, sizes = gather([known[w] for w in words], place)
+        for n, word in zip(missing, new, strict=True):
+            found[n] = known[word]
+        ids, sizes = gather(found, place)
         # Frequent words come early; once the memory is full, later ones are rare.
         added = {*new, *asked}
         room = self.cached_words - len(known) + len(added)
@@ -119,6 +147,18 @@ class WordIds:
 
     def _learn(self, asked: list[bytes]) -> None:
         """Look up words without punctuation at their end."""
+        # Lower-case ASCII letters are one word to the tokenizer as they are, so only its
+        # model is asked.
+        merged = self.tokenizer.model.tokenize
+        letters = [a for a in asked if a.isalpha()]
+        for at in range(0, len(letters), ASKED_WORDS):
+            some, flat, cuts = letters[at : at + ASKED_WORDS], [], [0]
+            for word in some:
+                flat += [t.id for t in merged(word.decode())]
+                cuts.append(4 * len(flat))
+            raw = np.array(flat, dtype="<u4").tobytes()
+            self.known.update(zip(some, map(raw.__getitem__, map(slice, cuts[:-1], cuts[1:])), strict=True))
+        asked = [a for a in asked if not a.isalpha()]
         decoded = [a.decode() for a in asked]
         single = [d.lower().isalpha() for d in decoded]
         # A word of letters only has one last token and that closes it, so many of
@@ -127,7 +167,8 @@ class WordIds:
         plain = [d for d, s in zip(decoded, single, strict=True) if s]
         for at in range(0, len(words), ASKED_WORDS):
             some, text = words[at : at + ASKED_WORDS], " ".join(plain[at : at + ASKED_WORDS])
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            coded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+            ids = np.array(coded.ids, dtype="<u4")
             ends = np.flatnonzero(self.closing[ids]) + 1
             raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
             if len(ends) != len(some):

@@ -45,6 +45,27 @@ def test_few_words_at_a_time_and_little_memory_change_nothing(vocabulary, librar
             assert own.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_are_remembered_without_the_marks_behind_them(vocabulary, library):
+    words = packing.WordIds(vocabulary)
+    text = "One one, ONE. one! it's, é, x1, ..."
+    assert words.encode([text, "", text])[0].tolist() == 2 * library.encode(text, add_special_tokens=False).ids
+    assert {w for w in words.known if w.startswith(b"one")} == {b"one"}
+    assert words.encode(["", " \n"])[1].tolist() == [0, 0]
+
+
+def test_distinct_words_give_the_text_in_order():
+    draw = random.Random(6)
+    for _ in range(300):
+        text = "".join(draw.choice("ab1,.'é \n\x85𝒳") for _ in range(draw.randrange(40)))
+        words, place, starts = packing.distinct_words(text.encode())
+        expected = []
+        for word in text.encode().split():
+            stem = word.rstrip(packing.PUNCTUATION)
+            expected += [w for w in ((stem, word[len(stem) :]) if stem[-1:].isalpha() else (word,)) if w]
+        assert len(set(words)) == len(words) and [words[p] for p in place] == expected
+        assert all(text.encode()[s:].startswith(w) for s, w in zip(starts, expected, strict=True))
+
+
 def test_full_memory_changes_nothing(vocabulary, library, monkeypatch):
     monkeypatch.setattr(packing, "CACHED_WORDS", 4)
     words = packing.WordIds(vocabulary)
