@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -103,6 +104,10 @@ def write_new(spark: SparkSession, path: str, text: str) -> None:
         path_of = lambda p: jvm.java.io.File(p.toUri().getPath()).toPath()
         try:
             jvm.java.nio.file.Files.createLink(path_of(hadoop_path), path_of(draft))
+        except Py4JJavaError as error:
+            if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+                raise
+            raise Py4JJavaError(f"{path} exists", error.java_exception) from error
         finally:
             fs.delete(draft, False)
         return
