@@ -33,9 +33,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return others.unionAll(least.select("u", F.col("least").alias("v"))).distinct()
 
 
-def _contracted(edges: DataFrame) -> DataFrame:
+def _contracted(edges: DataFrame, roots: bool = False) -> DataFrame:
     """Each task's edges (u, v) as edges of every node to the least one that the task's
-    edges connect it with: fewer edges, same components."""
+    edges connect it with: fewer edges, same components. With ``roots``, that node has an
+    edge to itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
@@ -59,7 +60,7 @@ def _contracted(edges: DataFrame) -> DataFrame:
             if np.array_equal(root, before):
                 break
         nodes = coded.dictionary.take(pa.array(order))
-        others = np.flatnonzero(root != np.arange(len(root)))
+        others = np.flatnonzero(roots | (root != np.arange(len(root))))
         columns = [nodes.take(pa.array(others)), nodes.take(pa.array(root[others]))]
         yield pa.RecordBatch.from_arrays(columns, ["u", "v"])
 
@@ -76,9 +77,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     count and a checksum reach the driver. Ids may be of any type with an order. Edges
     of a node with itself or with null are ignored.
     """
-    now = scratch.write(
-        f"{name}-0", edges.filter("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
-    )
+    now = scratch.write(f"{name}-0", edges.filter("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")))
     seen, turn = None, 0
     while True:
         check = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
@@ -86,8 +85,8 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             break
         seen, turn, tasks = check, turn + 1, ceil(check[0] / EDGES_OF_TASK)
         if tasks == 1:
-            now = scratch.write(f"{name}-{turn}", _contracted(now.coalesce(1)))
-            break
+            now = scratch.write(f"{name}-{turn}", _contracted(now.coalesce(1), roots=True))
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         if turn == 1:
             now = _contracted(now.repartition(tasks))
         now = scratch.write(f"{name}-{turn}", _small_star(_large_star(now)))

@@ -2,24 +2,27 @@
 
 1. Every document becomes a set of shingle hashes. Documents with equal sets are one
    node from here on, so a group of copies weighs as much as one document.
-2. Sets that are similar enough share many of their first shingles in any one order of
-   all shingles. The order puts frequent shingles last and is else by hash. Inverted
-   lists of these first shingles give candidate pairs; the few lists that are long
-   give each member one edge to the list's first member.
+2. Each set is cut by ranges of hashes into a few more parts than two similar sets of
+   its size can differ in shingles, so similar sets have parts in common. A part is known
+   by a hash of its shingles. Inverted lists of the parts give candidate pairs; the few
+   lists that are long give each member one edge to the list's first member.
 3. Components of the candidates share a task, large ones in blocks. There a T-occurrence
    search over whole sets finds the links: for each set, the short inverted lists are
    merged with counts, the long ones are probed for what has been met often enough, and
    the sets that reach the required overlap are linked (DivideSkip).
-4. Components of the links are the groups of near duplicates.
+4. What the first blocks of a large component leave unconnected meets again, block by
+   block, but only sets that have a part in common with one of another group there.
+5. Components of the links are the groups of near duplicates.
 
-The order of shingles and the candidates only say where to look. No link is missed:
-every linked pair shares a task, except two sets that are connected by other links.
+The parts and the candidates only say where to look. No link is missed: every linked
+pair shares a task, except two sets that are connected by other links.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 from math import ceil, log, log2
 
 import numpy as np
@@ -34,25 +37,35 @@ from playmart.llm.components import components
 from playmart.operators import Scratch
 from playmart.operators.lookup import broadcast_within
 
-#: A shingle among the first of so many documents counts as frequent; the most frequent
-#: HEAVY_LIMIT are put last in the order, by their number. The bound is that of their
-#: broadcast: 16 bytes each. Shingles beyond it keep their place, which costs time but no
-#: result.
-HEAVY_COUNT, HEAVY_LIMIT = 32, 200_000
-#: Sets of this many shingles or more must share so many of their first ones.
-LEAST_SHARED = 6
+#: One part in so many is there to be common beyond the first, and one to be left out.
+SPARE_PARTS = 8
 #: Lists of so many sets give edges to their first member instead of pairs.
 LONG_LIST = 128
 #: Bytes of the sets of one block, about, at 8 for a shingle; a task compares two
 #: blocks at most.
 BLOCK_BYTES = 1 << 20
+#: Of what is left of a large component, groups of so many sets get blocks of their own.
+HEAVY_COUNT = 32
 #: Sides of joins that hold members of groups are broadcast up to this measured size.
 MEMBER_BYTES = 64 << 20
 #: Weight of the probe against the merge in the choice of long lists.
 PROBE_WEIGHT = 0.0085
 MIX = np.uint64(0xC2B2AE3D27D4EB4F)
 SHIFT = np.uint64(29)
+HALF = np.uint64(32)
 ENOUGH = 1 << 20
+#: No set is so large.
+MOST_SHINGLES = 1 << 31
+
+
+@cache
+def _class_starts(share: int, of: int) -> np.ndarray:
+    """The least size of each class of sizes. Sizes that sets of a similarity of share / of
+    can have lie in one class or in two that follow each other."""
+    starts = [1]
+    while starts[-1] < MOST_SHINGLES:
+        starts.append(starts[-1] * of // share + 1)
+    return np.array([*starts, starts[-1] * of // share + 1])
 
 
 @dataclass(frozen=True)
@@ -67,23 +80,21 @@ class Likeness:
         """Shingles that a set of ``size`` has in common with any similar one, at least."""
         return -(-size * self.share // self.of)
 
-    def shared(self, size):
-        """Shingles that two similar sets share among their first(), at least, where
-        ``size`` is the smaller one's: about half of the first ones, so that sharing a
-        passage alone makes no candidates."""
-        spare = size - self.overlap(size) + 1
-        return np.minimum(np.maximum(spare, LEAST_SHARED), np.maximum(self.overlap(size), 1))
-
-    def first(self, size):
-        """How many shingles, in the common order, are the first of a set."""
-        return np.minimum(size, size - self.overlap(size) + self.shared(size))
+    def parts(self, size, later: int = 0):
+        """(class, differ, common) for the class of a size, or one of the ``later`` classes:
+        similar sets of sizes up to the end of that class differ in ``differ`` shingles at
+        most, and ``common`` of the first differ + common parts are the same at least."""
+        starts = _class_starts(self.share, self.of)
+        at = np.searchsorted(starts, size, side="right") - 1 + later
+        differ = (self.of - self.share) * 2 * (starts[at + 1] - 1) // (self.of + self.share)
+        return at, differ, 1 + differ // SPARE_PARTS
 
     def similar(self, common, a, b):
         return self.of * common >= self.share * (a + b - common)
 
     def least_size(self) -> int:
         """Smaller sets are similar to none but equal ones."""
-        return -(-self.share // max(self.of - self.share, 1))
+        return -(-self.share // (self.of - self.share)) if self.share < self.of else MOST_SHINGLES
 
     def size_classes(self, size: Column) -> Column:
         """Two classes of a size; any two sizes that similar sets can have share one."""
@@ -132,53 +143,63 @@ def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
     return out
 
 
-def _first_shingles(docs: DataFrame, text: str, likeness: Likeness) -> DataFrame:
-    """The first shingles of every document in the order of hashes alone: one column."""
+def signatures(sets: list[np.ndarray], likeness: Likeness) -> list[np.ndarray]:
+    """Hashes of parts of each set, which is sorted. Two similar sets share as many as
+    ``likeness.parts`` has in common for the larger one.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in text_chunks(batches, text, HASHED_CHARS):
-            sets = shingle_sets(texts, likeness.words)
-            flat = np.concatenate([s[: likeness.first(len(s))] for s in sets])
-            yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], ["shingle"])
-
-    return docs.select(text).mapInArrow(run, "shingle bigint")
-
-
-def _sets(
-    docs: DataFrame, text: str, keys: list[str], likeness: Likeness, heavy: np.ndarray, counts: np.ndarray
-) -> DataFrame:
-    """For every document: keys, size, set_key, node and its first shingles, those with
-    long lists apart. ``heavy`` and ``counts``: the frequent shingles."""
-    by_hash = np.argsort(heavy)
-    shared = docs.sparkSession.sparkContext.broadcast((heavy[by_hash], counts[by_hash]))
+    A set is cut for its class of sizes and for the next one, so that similar sets are cut
+    alike once. Of parts + spare parts, d at most differ, so parts + spare - d are the same;
+    if both sets leave out the last spare ones in one order of all parts, parts - d of them
+    stay. The order puts large parts first: small ones are the same by chance.
+    """
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    used = np.flatnonzero(sizes >= likeness.least_size())
+    out = [[np.empty(0, dtype=np.uint64)] for _ in sets]
+    if not len(used):
+        return [x[0] for x in out]
+    flat, sizes = np.concatenate([sets[i] for i in used]), sizes[used]
+    owner = np.repeat(np.arange(len(used)), sizes)
+    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(_mixed(flat))])
+    for later in (0, 1):
+        of_class, differ, common = likeness.parts(sizes, later)
+        kept = differ + common
+        cuts = kept + 1 + kept // SPARE_PARTS
+        begin = np.cumsum(cuts) - cuts
+        part = ((flat >> HALF) * cuts.astype(np.uint64)[owner]) >> HALF
+        held = np.bincount(begin[owner] + part.astype(np.int64), minlength=cuts.sum())
+        end = np.cumsum(held)
+        whose = np.repeat(np.arange(len(used)), cuts)
+        place = (of_class[whose] << 32) + np.arange(len(whose)) - begin[whose]
+        signs = _mixed((sums[end] - sums[end - held]) ^ _mixed(place.astype(np.uint64)))
+        order = np.lexsort((signs, -held, whose))
+        for i, b, k in zip(used.tolist(), begin.tolist(), kept.tolist(), strict=True):
+            out[i].append(signs[order[b : b + k]])
+    return [np.concatenate(x) for x in out]
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    out = (values + np.uint64(1)) * MIX
+    out ^= out >> SHIFT
+    return out * MIX
+
+
+def _sets(docs: DataFrame, text: str, keys: list[str], likeness: Likeness) -> DataFrame:
+    """For every document: keys, size, set_key, node and the signatures of its set."""
     schema = T.StructType([docs.schema[k] for k in keys])
     schema = schema.add("size", T.IntegerType()).add("set_key", T.BinaryType()).add("node", T.LongType())
-    schema = schema.add("light", T.ArrayType(T.LongType())).add("heavy", T.ArrayType(T.LongType()))
+    schema = schema.add("signs", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, often = shared.value
         for batch, texts in text_chunks(batches, text, HASHED_CHARS):
             sets = shingle_sets(texts, likeness.words)
-            light, late = [], []
-            for s in sets:
-                if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-                    is_heavy = frequent[at] == s
-                else:
-                    is_heavy = np.zeros(len(s), dtype=bool)
-                count = likeness.first(len(s)) if len(s) >= likeness.least_size() else 0
-                rare = s[~is_heavy][:count]
-                order = np.argsort(often[at[is_heavy]], kind="stable")[: count - len(rare)] if is_heavy.any() else []
-                usual, times = s[is_heavy][order], often[at[is_heavy]][order] if is_heavy.any() else np.empty(0)
-                light.append(np.concatenate([rare, usual[times < LONG_LIST]]))
-                late.append(usual[times >= LONG_LIST])
+            signs = signatures(sets, likeness)
             set_keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             nodes = np.frombuffer(b"".join(k[:8] for k in set_keys), dtype=np.int64)
             columns = [
                 pa.array([len(s) for s in sets], type=pa.int32()),
                 pa.array(set_keys, type=pa.binary()),
                 pa.array(nodes),
-                *(list_array(np.concatenate(x).view(np.int64), [len(i) for i in x]) for x in (light, late)),
+                list_array(np.concatenate(signs).view(np.int64), [len(i) for i in signs]),
             ]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), *columns], schema.names)
 
@@ -221,7 +242,7 @@ def _pairs_of_lists(batches: Iterator[pa.RecordBatch], likeness: Likeness) -> It
             weight.append(np.ones(len(to), dtype=np.int64))
         a, b = np.concatenate(left), np.concatenate(right)
         if len(a):
-            need = likeness.shared(np.minimum(size[a], size[b]))
+            need = likeness.parts(np.maximum(size[a], size[b]))[2]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in (node[a], node[b], np.concatenate(weight), need.astype(np.int64))],
                 ["a", "b", "shared", "need"],
@@ -254,19 +275,13 @@ def _pairs_of_lists(batches: Iterator[pa.RecordBatch], likeness: Likeness) -> It
 
 def _candidates(sets: DataFrame, likeness: Likeness) -> DataFrame:
     """Edges (a, b) between nodes such that any two similar sets are connected."""
-    light = sets.select(F.explode("light").alias("shingle"), "node", "size")
+    light = sets.select(F.explode("signs").alias("shingle"), "node", "size")
     listed = light.repartition("shingle").sortWithinPartitions("shingle", "node")
     pairs = listed.mapInArrow(
         lambda batches: _pairs_of_lists(batches, likeness), "a bigint, b bigint, shared bigint, need bigint"
     )
     counted = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("need").alias("need"))
-    found = counted.filter("shared >= need").select("a", "b")
-    classed = F.explode(likeness.size_classes(F.col("size")))
-    late = sets.select(F.explode("heavy").alias("shingle"), "node", "size")
-    late = late.select("shingle", "node", classed.alias("c"))
-    first = late.groupBy("shingle", "c").agg(F.min("node").alias("a"))
-    stars = late.join(first, ["shingle", "c"]).filter("a <> node").select("a", F.col("node").alias("b"))
-    return found.unionAll(stars.distinct())
+    return counted.filter("shared >= need").select("a", "b")
 
 
 class Links:
@@ -403,6 +418,80 @@ def _dealt(rows: DataFrame, root: Column, c: Column, i: Column, j: Column, lane:
     return rows.select(task.alias("task"), F.lit(lane).alias("lane"), "set_key", "shingles", "known")
 
 
+def _met_in_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each set of a list of rows (sign, set_key, known, block) in order, the blocks that
+    have a set of another group in that list. A list is held until it is whole."""
+
+    def met(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        sign = rows.column("sign").to_numpy()
+        group = rows.column("known").combine_chunks().dictionary_encode().indices.to_numpy()
+        begins = np.flatnonzero(np.append(True, sign[1:] != sign[:-1]))
+        mixed = np.minimum.reduceat(group, begins) != np.maximum.reduceat(group, begins)
+        rows = rows.filter(pa.array(np.repeat(mixed, np.diff(np.append(begins, len(sign))))))
+        if not rows.num_rows:
+            return
+        sign, block = rows.column("sign").to_numpy(), rows.column("block").to_numpy()
+        group = rows.column("known").combine_chunks().dictionary_encode().indices.to_numpy()
+        spots = np.flatnonzero(np.append(True, (sign[1:] != sign[:-1]) | (block[1:] != block[:-1])))
+        least, most = np.minimum.reduceat(group, spots), np.maximum.reduceat(group, spots)
+        first, last = np.searchsorted(sign[spots], sign), np.searchsorted(sign[spots], sign, side="right")
+        sets = rows.select(["set_key", "known", "block"])
+        for start in range(0, len(sign), LONG_LIST):
+            a, count = first[start : start + LONG_LIST], (last - first)[start : start + LONG_LIST]
+            own = start + np.repeat(np.arange(len(a)), count)
+            spot = np.repeat(a - np.cumsum(count) + count, count) + np.arange(count.sum())
+            apart = (least[spot] != group[own]) | (most[spot] != group[own])
+            out = sets.take(pa.array(own[apart])).append_column("other", pa.array(block[spots][spot[apart]]))
+            yield from out.group_by(out.column_names).aggregate([]).to_batches()
+
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = pa.Table.from_batches([batch])
+        held = pa.concat_tables([held, new]) if held is not None else new
+        end = held.column("sign")[-1].as_py()
+        if new.column("sign")[0].as_py() != end or len(held) == len(new):
+            cut = int(np.searchsorted(held.column("sign").to_numpy(), end))
+            if cut:
+                yield from met(held.slice(0, cut))
+                held = held.slice(cut)
+    if held is not None:
+        yield from met(held)
+
+
+def _meetings(rest: DataFrame, likeness: Likeness, scratch: Scratch) -> DataFrame:
+    """Rows for _links() of sets (set_key, shingles, known) that have a signature in common
+    with a set of another group: a task for every two blocks with such sets, and of each
+    block only those. Groups that are small share blocks."""
+    sized = rest.groupBy("known").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("shingles")).alias("held"))
+    sized = scratch.write("groups-left", sized)
+    held = sized.filter(F.col("n") < HEAVY_COUNT).agg(F.sum("held")).first()[0] or 0
+    shared = F.pmod(F.xxhash64("known"), F.lit(max(1, ceil(held / BLOCK_BYTES))))
+    own = F.xxhash64("known", F.pmod(F.xxhash64("set_key"), F.ceil(F.col("held") / BLOCK_BYTES)))
+    block = F.when(F.col("n") < HEAVY_COUNT, shared).otherwise(own).alias("block")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(s, dtype=np.uint64) for s in batch.column("shingles").to_pylist()]
+            signs = signatures(sets, likeness)
+            if sets:
+                column = list_array(np.concatenate(signs).view(np.int64), [len(i) for i in signs])
+                whole = [*(batch.column(c) for c in ("set_key", "known", "block")), column]
+                yield pa.RecordBatch.from_arrays(whole, ["set_key", "known", "block", "signs"])
+
+    placed = rest.join(small_side(sized), "known").select("set_key", "known", block, "shingles")
+    signed = placed.mapInArrow(run, "set_key binary, known binary, block bigint, signs array<bigint>")
+    listed = signed.select(F.explode("signs").alias("sign"), "set_key", "known", "block")
+    listed = listed.repartition("sign").sortWithinPartitions("sign", "block")
+    met = listed.mapInArrow(_met_in_lists, "set_key binary, known binary, block bigint, other bigint")
+    met = met.repartition("set_key").distinct()
+    task = F.struct(F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    lane = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1)
+    joined = met.join(rest.select("set_key", "shingles"), "set_key")
+    return joined.select(task.alias("task"), lane.alias("lane"), "set_key", "shingles", "known")
+
+
 def small_side(df: DataFrame) -> DataFrame:
     """A side that is cheap to measure, broadcast if it takes MEMBER_BYTES at most."""
     return broadcast_within(df, MEMBER_BYTES)
@@ -432,11 +521,7 @@ def near_duplicates(
         "near_hash", F.xxhash64("near_text")
     )
     keys, body = ["near_id", "near_hash"], "near_text"
-    counts = _first_shingles(keyed, body, likeness).groupBy("shingle").count().filter(F.col("count") >= HEAVY_COUNT)
-    frequent = counts.orderBy(F.desc("count"), "shingle").limit(HEAVY_LIMIT).toArrow()
-    heavy = frequent.column("shingle").to_numpy().astype(np.int64).view(np.uint64)
-    often = frequent.column("count").to_numpy().astype(np.int64)
-    sets = scratch.write("sets", _sets(keyed, body, keys, likeness, heavy, often))
+    sets = scratch.write("sets", _sets(keyed, body, keys, likeness))
     filled = sets.filter("size > 0")
     kinds = filled.groupBy("set_key").agg(
         F.min("near_id").alias("least_id"), F.min(F.struct(*keys, "node")).alias("sample")
@@ -466,19 +551,15 @@ def near_duplicates(
     links = scratch.write("links", _links(bundled.unionAll(alone).unionAll(heads).unionAll(others), likeness))
     labels = scratch.write("labels", components(links, scratch, "links-by-head"))
 
-    # What is left of large components that these links do not connect: all other pairs
-    # of blocks, where sets that are connected already need no comparison.
+    # What is left of large components that these links do not connect.
     label = labels.select(F.col("node").alias("set_key"), F.col("root").alias("label"))
     known = large.filter("blocks > 2").drop("known").join(small_side(label), "set_key", "left")
     known = known.withColumn("known", F.coalesce("label", "set_key"))
     split = known.groupBy("root", "c").agg(F.min("known").alias("a"), F.max("known").alias("b")).filter("a <> b")
-    rest = scratch.write("rest", known.join(small_side(split.select("root", "c")), ["root", "c"], "left_semi"))
+    rest = known.join(small_side(split.select("root", "c")), ["root", "c"], "left_semi")
+    rest = scratch.write("rest", rest.select("set_key", "shingles", "known").dropDuplicates(["set_key"]))
     if not rest.isEmpty():
-        pairs = rest.filter("block > 0").withColumn("j", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)))
-        ends = F.least("block", "j"), F.greatest("block", "j")
-        lower = _dealt(pairs.filter("block < j"), F.col("root"), F.col("c"), *ends, 0)
-        upper = _dealt(pairs.filter("block > j"), F.col("root"), F.col("c"), *ends, 1)
-        more = scratch.write("more", _links(lower.unionAll(upper), likeness))
+        more = scratch.write("more", _links(_meetings(rest, likeness, scratch), likeness))
         labels = scratch.write("all-labels", components(links.unionAll(more), scratch, "links-all"))
 
     # Sets with links to others get the least id of all; the rest keep their own.

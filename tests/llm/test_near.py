@@ -150,3 +150,61 @@ def test_query(spark):
     expected = plain([(d.doc_id, d.text) for d in docs], 3, 90, 100)
     rows = near.op6_ngram_jaccard_join(spark, "/root/testdata/sf0.001").collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == expected
+
+
+@pytest.mark.parametrize("share, of", [(90, 100), (80, 100), (1, 2), (19, 20)])
+def test_similar_sets_share_signatures(share, of):
+    import numpy as np
+
+    likeness, draw, seen = near.Likeness(3, share, of), np.random.default_rng(share), 0
+    for size in [1, 2, 4, 5, 8, 9, 10, 11, 19, 20, 50, 100, 101, 500, 1500] * 20:
+        one = np.unique(draw.integers(0, 2**64, size, dtype=np.uint64))
+        gone = int(draw.integers(0, size * (of - share) // of + 2))
+        new = draw.integers(0, 2**64, int(draw.integers(0, gone + 1)), dtype=np.uint64)
+        other = np.unique(np.concatenate([draw.permutation(one)[gone:], new]))
+        common = len(np.intersect1d(one, other))
+        if len(new) + gone == 0 or not len(other) or not likeness.similar(common, len(one), len(other)):
+            continue
+        a, nothing, b = near.signatures([one, one[:0], other], likeness)
+        assert not len(nothing)
+        assert len(np.intersect1d(a, b)) >= likeness.parts(max(len(one), len(other)))[2]
+        seen += 1
+    assert seen > 20
+
+
+def test_a_large_group_is_not_sent_to_every_block_again(spark, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(near, "LONG_LIST", 5)
+    sent, links = [], near._links
+    monkeypatch.setattr(near, "_links", lambda dealt, likeness: (sent.append(dealt.count()), links(dealt, likeness))[1])
+    draw = random.Random(3)
+    base = [f"v{i}" for i in range(300)]
+    odd = [" ".join(base[:267] + [f"u{i}.{j}" for j in range(33)]) for i in range(4)]
+    rows = list(enumerate(family(draw, " ".join(base), 240, 1) + odd))
+    assert grouped(spark, rows, near.Likeness(3, 90, 100)) == plain(rows, 3, 90, 100)
+    assert len(sent) == 2 and 0 < sent[1] <= 4 * len(rows)
+
+
+def test_lists_name_the_blocks_of_other_groups():
+    import pyarrow as pa
+
+    draw = random.Random(8)
+    rows = sorted({(draw.randrange(30), draw.randrange(4), b"s%d" % draw.randrange(90)) for _ in range(900)})
+    rows += [(40, 1, b"s1"), (40, 2, b"s11"), (50, 3, b"s5")]
+    group = {s: b"g" + s[-1:] for _, _, s in rows}
+    expected = {
+        (s, group[s], b, c)
+        for i, b, s in rows
+        for j, c, t in rows
+        if i == j and group[s] != group[t]
+    }
+    for step in (1, 7, 64, 5000):
+        batches = []
+        for k in range(0, len(rows), step):
+            part = rows[k : k + step]
+            columns = [[r[0] for r in part], [r[2] for r in part], [group[r[2]] for r in part], [r[1] for r in part]]
+            kinds = pa.int64(), pa.binary(), pa.binary(), pa.int64()
+            arrays = [pa.array(c, type=t) for c, t in zip(columns, kinds)]
+            batches.append(pa.RecordBatch.from_arrays(arrays, ["sign", "set_key", "known", "block"]))
+        found = [tuple(r.values()) for out in near._met_in_lists(iter(batches)) for r in out.to_pylist()]
+        assert set(found) == expected
